@@ -279,8 +279,10 @@ def value_range_mean(
     the frame is the difference of the two, so no frame is ever buffered.
     """
     if not needs_slices(df, keys, group_rows):
-        window = W.partitionBy(*(keys or [F.lit(0)])).orderBy(value).rangeBetween(-reach, reach)
-        return df.withColumn(out, F.avg(value).over(window))
+        # rangeBetween() of the DataFrame API takes whole numbers only
+        frame = f"RANGE BETWEEN {float(reach)}D PRECEDING AND {float(reach)}D FOLLOWING"
+        by = ", ".join(f"`{k}`" for k in keys) or "0"
+        return df.withColumn(out, F.expr(f"avg(`{value}`) OVER (PARTITION BY {by} ORDER BY `{value}` {frame})"))
     points = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
     # total in integer cents of cents: running differences must not lose digits
     exact = F.col(value).cast("decimal(28,6)")

@@ -20,6 +20,7 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.cteRecursionRowLimit": "-1",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
 _local_base: dict[str, str] = {}
