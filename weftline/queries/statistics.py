@@ -1 +1,69 @@
+"""Statistics and queries whose point is the plan."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from weftline.adapters import EMP, emp, table
+from weftline.operators.tables import by_partition, fresh_database
+from weftline.plans.stats import column_profile
+from weftline.registry import query
+
+PROFILED = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+
+
+@query("table_column_stats", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+  CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high, count(DISTINCT {c}) AS distinct_values FROM customer"""
+                                       for c in PROFILED))
+def table_column_stats(spark, sf):
+    """The catalog's own statistics are gathered too; the profile is what a report reads."""
+    name = f"{fresh_database(spark)}.customer"
+    table(spark, sf, "customer").write.format("parquet").saveAsTable(name)
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+    return column_profile(spark.table(name).select(*PROFILED))
+
+
+@query("count_from_stats", """
+SELECT count(*) AS n, min(l_orderkey) AS first_order, max(l_orderkey) AS last_order, max(l_linenumber) AS lines FROM lineitem""")
+def count_from_stats(spark, sf):
+    """Answered from file footers: the second-version reader pushes the aggregate into the scan."""
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("spark.sql.sources.useV1SourceList", "")
+    try:
+        lines = table(spark, sf, "lineitem")
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", before)
+    return lines.agg(
+        F.count("*").alias("n"), F.min("l_orderkey").alias("first_order"), F.max("l_orderkey").alias("last_order"),
+        F.max("l_linenumber").alias("lines"),
+    )
+
+
+@query("dynamic_partition_pruning", """
+SELECT n_name, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE n_regionkey = 2 GROUP BY n_name""")
+def dynamic_partition_pruning(spark, sf):
+    """Customers partitioned by nation; the filter on nation prunes their folders at run time."""
+    name = f"{fresh_database(spark)}.customer_by_nation"
+    by_partition(table(spark, sf, "customer"), "c_nationkey").write.partitionBy("c_nationkey").format(
+        "parquet").saveAsTable(name)
+    nation = table(spark, sf, "nation").filter("n_regionkey = 2")
+    facts = spark.table(name)
+    return facts.join(nation, facts.c_nationkey == nation.n_nationkey).groupBy("n_name").agg(
+        F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total")
+    )
+
+
+@query("cache_reuse", f"""
+WITH {EMP}, paid AS (SELECT * FROM emp WHERE salary > 2000)
+SELECT 'country' AS level, country AS name, count(*) AS n FROM paid GROUP BY country
+UNION ALL SELECT 'department', department, count(*) FROM paid GROUP BY department""")
+def cache_reuse(spark, sf):
+    """One cached frame feeds both branches; it holds the grouped counts, which are few, and not the rows."""
+    paid = emp(spark, sf).filter("salary > 2000").groupBy("country", "department").agg(F.count("*").alias("c")).persist()
+    parts = [
+        paid.groupBy(F.lit(level).alias("level"), F.col(level).alias("name")).agg(F.sum("c").alias("n"))
+        for level in ("country", "department")
+    ]
+    return parts[0].unionByName(parts[1])
