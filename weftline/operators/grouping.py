@@ -22,7 +22,7 @@ def salted_sum(df: DataFrame, keys: list[str], row_id: str, value: str, salts: i
 
 
 def bags(
-    df: DataFrame, keys: list[str], order: Order, item: Column, chunk: int = CHUNK_ROWS, **sizing: int
+    df: DataFrame, keys: list[str], order: Order, item: Column, chunk: int = CHUNK_ROWS, **sizing
 ) -> DataFrame:
     """The bag of every group as ordered arrays of at most ``chunk`` items, numbered ``part`` = 0, 1, ...
 

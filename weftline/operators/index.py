@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.grouping import bags
+from weftline.session import land
 
 POSTINGS_PER_ROW = 100_000
 
 
-def inverted_index(tokens: DataFrame, per_row: int = POSTINGS_PER_ROW, **sizing: int) -> DataFrame:
+def inverted_index(tokens: DataFrame, per_row: int = POSTINGS_PER_ROW, **sizing) -> DataFrame:
     """(word, file) tokens to ``word, part, postings`` with postings ``file:count`` in file order.
 
     Counts come first, so a list holds distinct files. A word found in more than ``per_row`` files continues in
-    further parts; its list never sits in one task.
+    further parts; its list never sits in one task. The counts are written once: sizing the lists and building them
+    must not tokenise the texts twice.
     """
     counts = tokens.filter(F.col("word") != "").groupBy("word", "file").agg(F.count("*").alias("n"))
+    counts = land(counts, "postings")
     entry = F.concat("file", F.lit(":"), F.col("n").cast("string"))
     listed = bags(counts, ["word"], [("file", False)], entry, chunk=per_row, **sizing)
     return listed.select("word", "part", F.array_join("bag", ",").alias("postings"))

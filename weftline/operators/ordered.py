@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.plans.sizing import GROUP_ROWS, largest_group
+from weftline.plans.sizing import GROUP_ROWS, largest_group, settle
 from weftline.session import land
 
 Order = list[tuple[str, bool]]  # (column, descending); the last column makes the order total
@@ -27,7 +27,8 @@ def sort_columns(order: Order) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c, descending in order]
 
 
-def needs_slices(df: DataFrame, keys: list[str], group_rows: int) -> bool:
+def needs_slices(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS) -> bool:
+    """Whether some group is too large for one task. Only the key columns are read; derive ``df`` cheaply or land it."""
     return largest_group(df, keys) > group_rows
 
 
@@ -37,8 +38,11 @@ def slice_rows(df: DataFrame, keys: list[str], order: Order) -> DataFrame:
 
 
 def join_pieces(rows: DataFrame, pieces: DataFrame, keys: list[str]) -> DataFrame:
-    """Join rows with the per-slice table on (_slice, keys), matching null keys."""
-    renamed = pieces.withColumnsRenamed({k: f"_p_{k}" for k in [*keys, "_slice"]})
+    """Join rows with the per-slice table on (_slice, keys), matching null keys.
+
+    The table has a row per group and slice; with few groups it is within the bound and broadcast.
+    """
+    renamed = settle(pieces).withColumnsRenamed({k: f"_p_{k}" for k in [*keys, "_slice"]})
     condition = rows["_slice"] == renamed["_p__slice"]
     for key in keys:
         condition = condition & rows[key].eqNullSafe(renamed[f"_p_{key}"])
@@ -52,10 +56,16 @@ def running(
     sums: dict[str, str] | None = None,
     position: str | None = None,
     group_rows: int = GROUP_ROWS,
+    sliced: bool | None = None,
 ) -> DataFrame:
-    """Add the row number within the group (``position``) and running sums (``{output: input column}``)."""
+    """Add the row number within the group (``position``) and running sums (``{output: input column}``).
+
+    ``sliced`` skips the size check where the caller already knows its outcome.
+    """
     sums = sums or {}
-    if not needs_slices(df, keys, group_rows):
+    if sliced is None:
+        sliced = needs_slices(df, keys, group_rows)
+    if not sliced:
         window = W.partitionBy(*(keys or [F.lit(0)])).orderBy(*sort_columns(order))
         added = {out: F.sum(c).over(window.rowsBetween(W.unboundedPreceding, 0)) for out, c in sums.items()}
         if position:
@@ -233,15 +243,18 @@ def framed(
     ahead: int,
     group_rows: int = GROUP_ROWS,
     block: int = FRAME_BLOCK,
+    sliced: bool | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``back`` rows behind and ``ahead`` rows on (lag, lead, ROWS frames).
 
     Large groups are cut into blocks of ``block`` consecutive rows; the few rows near a block edge are copied into
     the neighbour block, so every frame is complete inside its block.
     """
-    if not needs_slices(df, keys, group_rows):
+    if sliced is None:
+        sliced = needs_slices(df, keys, group_rows)
+    if not sliced:
         return df.withColumns(build(W.partitionBy(*(keys or [F.lit(0)])).orderBy(*sort_columns(order))))
-    placed = running(df, keys, order, position="_pos", group_rows=group_rows)
+    placed = running(df, keys, order, position="_pos", sliced=True)
     at = F.col("_pos") - 1
     spread = placed.withColumn("_own", F.floor(at / block)).withColumn(
         "_block",
@@ -258,8 +271,6 @@ def attach_group(df: DataFrame, keys: list[str], aggregates: dict[str, Column])
 
     The group table is counted; within the bound it is broadcast and the rows are not shuffled at all.
     """
-    from weftline.plans.sizing import settle
-
     stats = settle(df.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(
         *[c.alias(name) for name, c in aggregates.items()]
     ))
@@ -284,7 +295,7 @@ def value_range_mean(
         by = ", ".join(f"`{k}`" for k in keys) or "0"
         return df.withColumn(out, F.expr(f"avg(`{value}`) OVER (PARTITION BY {by} ORDER BY `{value}` {frame})"))
     points = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    # total in integer cents of cents: running differences must not lose digits
+    # decimal totals: the difference of two large running sums must not lose digits
     exact = F.col(value).cast("decimal(28,6)")
     marks = points.select(
         *keys,
@@ -301,7 +312,7 @@ def value_range_mean(
         ).alias("m"),
     ).select(*keys, "_v", "m.*")
     summed = running(
-        marks, keys, [("x", False), ("side", False), ("_v", False)], {"_rc": "c", "_rs": "s"}, group_rows=group_rows
+        marks, keys, [("x", False), ("side", False), ("_v", False)], {"_rc": "c", "_rs": "s"}, sliced=True
     )
     sign = F.when(F.col("side") == 2, 1).when(F.col("side") == 0, -1)
     means = summed.filter("side <> 1").groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys], "_v").agg(

@@ -15,7 +15,7 @@ def sample_bucket(df: DataFrame, column: str, bucket: int, buckets: int) -> Data
     return df.filter(F.pmod(hashed, F.lit(buckets)) == bucket - 1)
 
 
-def sample_bytes(df: DataFrame, key: str, columns: list[str], limit: int, **sizing: int) -> DataFrame:
+def sample_bytes(df: DataFrame, key: str, columns: list[str], limit: int, **sizing) -> DataFrame:
     """Rows in key order until their text length passes ``limit`` bytes."""
     size = sum((F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns), F.lit(0))
     sized = running(df.withColumn("_bytes", size.cast("long")), [], [(key, False)], {"_upto": "_bytes"}, **sizing)

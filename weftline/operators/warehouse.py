@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.ordered import framed
+from weftline.operators.ordered import framed, needs_slices
+from weftline.plans.sizing import GROUP_ROWS
 
 
 def surrogate_key(*parts: Column) -> Column:
@@ -15,10 +16,11 @@ def surrogate_key(*parts: Column) -> Column:
 
 
 def history(
-    changes: DataFrame, key: str, value: str, at: str, tie: str, **sizing: int
+    changes: DataFrame, key: str, value: str, at: str, tie: str, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Type-2 history: one row per stretch of an unchanged value, [valid_from, valid_to), the last one current."""
     order = [(at, False), (tie, False)]
+    sizing = {"sliced": needs_slices(changes, [key], group_rows)}
     seen = framed(changes, [key], order, lambda w: {"_before": F.lag(F.struct(value)).over(w)}, 1, 0, **sizing)
     starts = seen.filter(~F.col("_before").eqNullSafe(F.struct(value)) | F.col("_before").isNull()).drop("_before")
     ended = framed(starts, [key], order, lambda w: {"valid_to": F.lead(at).over(w)}, 0, 1, **sizing)

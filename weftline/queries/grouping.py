@@ -82,8 +82,6 @@ def star_revenue(spark, sf):
     placed = _orders_by_nation(spark, sf).select("o_orderkey", "c_nationkey")
     totals = (
         line.join(part, "l_partkey")
-        .groupBy("o_orderkey", "category")
-        .agg(F.sum("price").alias("price"))
         .join(placed, "o_orderkey")
         .groupBy("c_nationkey", "category")
         .agg(F.sum("price").alias("price"))
