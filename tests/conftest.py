@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     session = build_session(
         "tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                "spark.driver.memory": "8g"}
+                                "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "10000"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

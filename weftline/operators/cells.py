@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 from weftline.plans.sizing import broadcast_if_small
 
 CELL = ["row_key", "family", "qualifier"]
-NEWEST = F.struct("version_ts", "seq")
+
+
+def newest() -> Column:
+    return F.struct("version_ts", "seq")
 
 
 def latest(cells: DataFrame) -> DataFrame:
     """The newest version of every cell; versions are combined before the shuffle."""
-    newest = cells.groupBy(*CELL).agg(F.max_by(F.struct("value", "version_ts", "seq"), NEWEST).alias("v"))
-    return newest.select(*CELL, "v.version_ts", "v.seq", "v.value")
+    last = cells.groupBy(*CELL).agg(F.max_by(F.struct("value", "version_ts", "seq"), newest()).alias("v"))
+    return last.select(*CELL, "v.version_ts", "v.seq", "v.value")
 
 
 def versions(cells: DataFrame, count: int) -> DataFrame:
@@ -128,7 +131,7 @@ def to_wide(cells: DataFrame, mapping: dict[str, tuple[str, str]]) -> DataFrame:
     columns = []
     for name, (family, qualifier) in mapping.items():
         here = (F.col("family") == family) & (F.col("qualifier") == qualifier)
-        columns.append(F.max_by("value", F.when(here, NEWEST)).alias(name))
+        columns.append(F.max_by("value", F.when(here, newest())).alias(name))
     wanted = F.lit(False)
     for family, qualifier in mapping.values():
         wanted = wanted | ((F.col("family") == family) & (F.col("qualifier") == qualifier))

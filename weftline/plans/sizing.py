@@ -37,3 +37,13 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame:
     """Keys with more than ``threshold`` rows; there can be at most rows/threshold of them."""
     return df.groupBy(*keys).agg(F.count("*").alias("hot_rows")).filter(F.col("hot_rows") > threshold)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give work that costs much CPU per row enough tasks when the scan has fewer splits than there are cores.
+
+    Large inputs have more splits than cores and pass through without a shuffle. Only for plans that are a plain scan:
+    asking for the number of splits must not start a job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from weftline.adapters import CELLS, EMP, cells, emp, table
 from weftline.functions.text import words_unicode
 from weftline.operators.grouping import CHUNK_ROWS, bags, salted_sum
+from weftline.plans.sizing import spread
 from weftline.registry import query
 
 
@@ -142,7 +143,7 @@ WITH w AS (SELECT unnest(string_split_regex(lower(text), '[^\p{L}\p{N}_]+')) AS
 c AS (SELECT word, count(*) AS n FROM w WHERE word <> '' GROUP BY word)
 SELECT CAST(sum(n) AS BIGINT) AS total_words, count(*) AS unique_words, max(n) AS top_count FROM c""")
 def agg_of_agg(spark, sf):
-    words = table(spark, sf, "documents").select(F.explode(words_unicode(F.col("text"))).alias("word"))
+    words = spread(table(spark, sf, "documents").select("text")).select(F.explode(words_unicode(F.col("text"))).alias("word"))
     counts = words.filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
     return counts.agg(
         F.sum("n").alias("total_words"), F.count("*").alias("unique_words"), F.max("n").alias("top_count")

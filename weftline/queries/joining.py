@@ -10,25 +10,27 @@ from weftline.operators.ordered import attach_group
 from weftline.plans.sizing import broadcast_if_small
 from weftline.registry import query
 
-MATCH = F.col("department") == F.col("dept_name")
+
+def own_unit():
+    return F.col("department") == F.col("dept_name")
 
 
 @query("inner_join", f"""
 WITH {EMP}, {DEPT} SELECT name, salary, location FROM emp JOIN dept ON department = dept_name""")
 def inner_join(spark, sf):
-    return emp(spark, sf).join(dept(spark), MATCH).select("name", "salary", "location")
+    return emp(spark, sf).join(dept(spark), own_unit()).select("name", "salary", "location")
 
 
 @query("left_outer_join", f"""
 WITH {EMP}, {DEPT} SELECT name, department, location FROM emp LEFT JOIN dept ON department = dept_name""")
 def left_outer_join(spark, sf):
-    return emp(spark, sf).join(dept(spark), MATCH, "left").select("name", "department", "location")
+    return emp(spark, sf).join(dept(spark), own_unit(), "left").select("name", "department", "location")
 
 
 @query("right_outer_join", f"""
 WITH {EMP}, {DEPT} SELECT name, dept_name, location FROM emp RIGHT JOIN dept ON department = dept_name""")
 def right_outer_join(spark, sf):
-    return emp(spark, sf).join(dept(spark), MATCH, "right").select("name", "dept_name", "location")
+    return emp(spark, sf).join(dept(spark), own_unit(), "right").select("name", "dept_name", "location")
 
 
 @query("full_outer_join", f"""
@@ -40,9 +42,9 @@ def full_outer_join(spark, sf):
     join against the distinct department names.
     """
     staff, units = emp(spark, sf), dept(spark)
-    kept = staff.join(units, MATCH, "left").select("name", "dept_name", "location")
+    kept = staff.join(units, own_unit(), "left").select("name", "dept_name", "location")
     used = staff.select("department").distinct()
-    alone = units.join(used, MATCH, "left_anti").select(
+    alone = units.join(used, own_unit(), "left_anti").select(
         F.lit(None).cast("string").alias("name"), "dept_name", "location"
     )
     return kept.unionByName(alone)
@@ -58,14 +60,14 @@ def cross_join(spark, sf):
 @query("left_semi_join", f"""
 WITH {EMP}, {DEPT} SELECT name, salary FROM emp WHERE department IN (SELECT dept_name FROM dept)""")
 def left_semi_join(spark, sf):
-    return emp(spark, sf).join(dept(spark), MATCH, "left_semi").select("name", "salary")
+    return emp(spark, sf).join(dept(spark), own_unit(), "left_semi").select("name", "salary")
 
 
 @query("broadcast_join", f"""
 WITH {EMP}, {DEPT} SELECT emp_id, name, salary, division, location FROM emp JOIN dept ON department = dept_name""")
 def broadcast_join(spark, sf):
     units = broadcast_if_small(dept(spark))
-    return emp(spark, sf).join(units, MATCH).select("emp_id", "name", "salary", "division", "location")
+    return emp(spark, sf).join(units, own_unit()).select("emp_id", "name", "salary", "division", "location")
 
 
 @query("map_side_left_lookup", f"""
@@ -76,7 +78,7 @@ def map_side_left_lookup(spark, sf):
     """Left lookup that writes the text NULL for no match and Unknown for a match without a location."""
     units = dept(spark).withColumn("location", F.nullif(F.col("location"), F.lit("Oslo")))
     found = F.col("dept_name").isNotNull()
-    return emp(spark, sf).join(broadcast_if_small(units), MATCH, "left").select(
+    return emp(spark, sf).join(broadcast_if_small(units), own_unit(), "left").select(
         "emp_id",
         "name",
         "salary",
@@ -106,7 +108,7 @@ def multi_way_join(spark, sf):
     return (
         sold.join(buyer, "sale_id")
         .join(emp(spark, sf), "emp_id")
-        .join(dept(spark), MATCH)
+        .join(dept(spark), own_unit())
         .select("name", "salary", "location", "sale_id", "amount")
         .orderBy(F.desc("amount"), "sale_id")
         .limit(10)
@@ -149,4 +151,4 @@ def skew_join(spark, sf):
 @query("filtered_dimension_join", f"""
 WITH {EMP}, {DEPT} SELECT name, salary, location FROM emp JOIN dept ON department = dept_name WHERE division = 'Home'""")
 def filtered_dimension_join(spark, sf):
-    return emp(spark, sf).join(dept(spark).filter("division = 'Home'"), MATCH).select("name", "salary", "location")
+    return emp(spark, sf).join(dept(spark).filter("division = 'Home'"), own_unit()).select("name", "salary", "location")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, EMP_H, emp, emp_hired, table
 from weftline.functions.text import strip_punctuation, words_unicode
+from weftline.plans.sizing import spread
 from weftline.registry import query
 
 # The date reports count from; the wall clock would make them unrepeatable.
@@ -181,5 +182,6 @@ SELECT doc_id, word, count(*) AS n FROM (
   SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}_]+')) AS word FROM documents)
 WHERE word <> '' GROUP BY doc_id, word""")
 def tokenize_explode(spark, sf):
-    words = table(spark, sf, "documents").select("doc_id", F.explode(words_unicode(F.col("text"))).alias("word"))
+    texts = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    words = texts.select("doc_id", F.explode(words_unicode(F.col("text"))).alias("word"))
     return words.filter("word <> ''").groupBy("doc_id", "word").agg(F.count("*").alias("n"))

@@ -8,6 +8,7 @@ from weftline.adapters import table
 from weftline.functions.text import lines, words_delimited, words_stripped, words_unicode
 from weftline.operators.index import POSTINGS_PER_ROW, inverted_index
 from weftline.operators.tables import fill_ready_hours, write_hours
+from weftline.plans.sizing import spread
 from weftline.registry import query
 from weftline.session import scratch
 
@@ -18,8 +19,12 @@ def count_words(words):
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
+def texts(spark, sf, *columns):
+    return spread(table(spark, sf, "documents").select(*columns, "text"))
+
+
 def unicode_words(spark, sf):
-    return table(spark, sf, "documents").select(F.explode(words_unicode(F.col("text"))).alias("word"))
+    return texts(spark, sf).select(F.explode(words_unicode(F.col("text"))).alias("word"))
 
 
 @query("wordcount", f"SELECT word, count(*) AS n FROM ({UNICODE_WORDS}) WHERE word <> '' GROUP BY word")
@@ -38,7 +43,7 @@ SELECT word, count(*) AS n FROM (
   SELECT unnest(string_split_regex(regexp_replace(lower(text), '[^\w\s]', '', 'g'), '\s+')) AS word FROM documents)
 WHERE regexp_matches(word, '\w{2,}') GROUP BY word ORDER BY n DESC, word""")
 def wordcount_strip_punct(spark, sf):
-    words = table(spark, sf, "documents").select(F.explode(words_stripped(F.col("text"))).alias("word"))
+    words = texts(spark, sf).select(F.explode(words_stripped(F.col("text"))).alias("word"))
     return count_words(words.filter(F.col("word").rlike(r"\w{2,}"))).orderBy(F.desc("n"), "word")
 
 
@@ -47,7 +52,7 @@ WITH l AS (SELECT unnest(string_split_regex(text, '\r?\n')) AS line FROM documen
 w AS (SELECT unnest(string_split_regex(lower(line), '[ ",()*]+')) AS word FROM l)
 SELECT word, count(*) AS n FROM w WHERE length(word) > 1 GROUP BY word ORDER BY n DESC, word LIMIT 20""")
 def wordcount_tokenize(spark, sf):
-    each_line = table(spark, sf, "documents").select(F.explode(lines(F.col("text"))).alias("line"))
+    each_line = texts(spark, sf).select(F.explode(lines(F.col("text"))).alias("line"))
     words = each_line.select(F.explode(words_delimited(F.col("line"))).alias("word"))
     return count_words(words.filter(F.length("word") > 1)).orderBy(F.desc("n"), "word").limit(20)
 
@@ -60,7 +65,7 @@ p AS (SELECT *, (row_number() OVER (PARTITION BY word ORDER BY file) - 1) // {PO
 SELECT word, CAST(part AS BIGINT) AS part, string_agg(file || ':' || CAST(n AS VARCHAR), ',' ORDER BY file) AS postings
 FROM p GROUP BY word, part""")
 def build_inverted_index(spark, sf):
-    tokens = table(spark, sf, "documents").select(
+    tokens = texts(spark, sf, "doc_id").select(
         F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"),
         F.explode(words_unicode(F.col("text"))).alias("word"),
     )

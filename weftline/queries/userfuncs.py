@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, emp, money_text, table
 from weftline.functions.udfs import FLAT_TAX, band_batches, blank_as_zero, clean_name, mask_email, register, salary_band
+from weftline.plans.sizing import spread
 from weftline.registry import query
 
 BAND = "CASE WHEN pay >= 8000 THEN 'Senior' WHEN pay >= 5000 THEN 'Mid' ELSE 'Junior' END"
@@ -107,7 +108,8 @@ WITH w AS (SELECT unnest(string_split_regex(trim(lower(text), E' \t\n\r'), '\s+'
 SELECT word, count(*) AS n FROM w WHERE length(word) >= 4 GROUP BY word""")
 def streaming_mapreduce(spark, sf, shortest: int = 4):
     """A Python mapper with a parameter and its own combiner; the reducer is an ordinary partial-and-final sum."""
-    mapped = table(spark, sf, "documents").select("text").mapInPandas(keyed_map("text", shortest), "word string, n long")
+    texts = spread(table(spark, sf, "documents").select("text"))
+    mapped = texts.mapInPandas(keyed_map("text", shortest), "word string, n long")
     return mapped.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -116,7 +118,7 @@ WITH w AS (SELECT doc_id, unnest(string_split_regex(trim(lower(text), E' \t\n\r'
 SELECT doc_id, count(*) AS tokens, count(DISTINCT word) AS words FROM w WHERE word <> '' GROUP BY doc_id""")
 def tokenize_udtf(spark, sf):
     register(spark)
-    table(spark, sf, "documents").select("doc_id", "text").createOrReplaceTempView("weft_udtf_docs")
+    spread(table(spark, sf, "documents").select("doc_id", "text")).createOrReplaceTempView("weft_udtf_docs")
     return spark.sql("""
         SELECT doc_id, count(*) AS tokens, count(DISTINCT word) AS words
         FROM weft_udtf_docs, LATERAL tokenize_rows(text) GROUP BY doc_id""")
