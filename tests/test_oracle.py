@@ -16,6 +16,8 @@ def con(sf):
 @pytest.mark.parametrize("name", list(registry.all_queries()))
 def test_query(spark, sf, con, name):
     frame = registry.all_queries()[name](spark, sf)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     sql = registry.all_oracles().get(name)
     if sql is None:
         assert frame.count() > 0
