@@ -142,25 +142,19 @@ def ranked(
         )
 
     rows = slice_rows(df, keys, order)
-    local = W.partitionBy("_slice", *keys)
-    peers = local.orderBy(*sort_columns(order[:1]))
-    rows = rows.withColumns(
-        {
-            "_rn": F.row_number().over(local.orderBy(*sort_columns(order))),
-            "_rank": F.rank().over(peers),
-            "_dense": F.dense_rank().over(peers),
-            "_end": F.count("*").over(peers.rangeBetween(W.unboundedPreceding, 0)),
-        }
-    )
     # struct() keeps nulls inside min/max and orders them as the sort does
-    low, high = F.min(F.struct(value)), F.max(F.struct(value))
-    pieces = rows.groupBy(*keys, "_slice").agg(
-        F.count("*").alias("_n"),
-        F.max("_dense").alias("_d"),
-        (high if descending else low).alias("_first"),
-        (low if descending else high).alias("_last"),
-        F.max("_rank").alias("_last_rank"),
-        F.min("_end").alias("_first_end"),
+    at = F.struct(value)
+    lowest, highest = (F.min(at), F.min_by("_c", at)), (F.max(at), F.max_by("_c", at))
+    (first, first_rows), (last, last_rows) = (highest, lowest) if descending else (lowest, highest)
+    # totals per slice come from counted values, without sorting a row
+    runs = rows.groupBy(*keys, "_slice", value).agg(F.count("*").alias("_c"))
+    pieces = runs.groupBy(*keys, "_slice").agg(
+        F.sum("_c").alias("_n"),
+        F.count("*").alias("_d"),
+        first.alias("_first"),
+        last.alias("_last"),
+        (F.sum("_c") - last_rows + 1).alias("_last_rank"),
+        first_rows.alias("_first_end"),
     )
     group = W.partitionBy(*(keys or [F.lit(0)]))
     in_order = group.orderBy("_slice")
@@ -207,6 +201,16 @@ def ranked(
         return left.join(right, condition).drop("_run", *[f"_e_{k}" for k in keys])
 
     pieces = with_edge(with_edge(pieces, "_first"), "_last")
+    local = W.partitionBy("_slice", *keys)
+    peers = local.orderBy(*sort_columns(order[:1]))
+    rows = rows.withColumns(
+        {
+            "_rn": F.row_number().over(local.orderBy(*sort_columns(order))),
+            "_rank": F.rank().over(peers),
+            "_dense": F.dense_rank().over(peers),
+            "_end": F.count("*").over(peers.rangeBetween(W.unboundedPreceding, 0)),
+        }
+    )
     joined = join_pieces(rows, pieces, keys)
     here = F.struct(F.col(value))
     at_first = here.eqNullSafe(F.col("_first"))

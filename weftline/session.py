@@ -7,20 +7,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings every job relies on. Parallelism (spark.sql.shuffle.partitions) is left to the session:
-# adaptive execution coalesces what is too fine, and a cluster sets its own ceiling.
-RUNTIME_CONF = {
+# Settings the results depend on.
+REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.cteRecursionRowLimit": "-1",
+}
+
+# Settings only the speed depends on; what the cluster was started with wins. Parallelism
+# (spark.sql.shuffle.partitions) is left alone: adaptive execution coalesces what is too fine.
+TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "25000000",
     "spark.sql.parquet.aggregatePushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.cteRecursionRowLimit": "-1",
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 _local_base: dict[str, str] = {}
@@ -30,14 +35,18 @@ def build_session(app: str = "weftline", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**REQUIRED_CONF, **TUNING_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_CONF.items():
+    started_with = spark.sparkContext.getConf()
+    for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    for key, value in TUNING_CONF.items():
+        if not started_with.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
