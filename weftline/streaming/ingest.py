@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from weftline.operators.tables import by_partition
+
 Transform = Callable[[DataFrame], DataFrame]
 ROLL_ROWS = 1_000_000
 
@@ -130,8 +132,11 @@ def land(
 ) -> None:
     """Append the available data to files, exactly once (the sink keeps a log of committed files).
 
-    A file is closed at the end of its batch or after ``roll_rows`` rows.
+    A file is closed at the end of its batch or after ``roll_rows`` rows. Rows of one partition are brought together
+    before the write and split again where there are too many for one task.
     """
+    if partitions:
+        stream = by_partition(stream, *partitions)
     writer = stream.writeStream.format(kind).option("path", path).option("checkpointLocation", checkpoint)
     writer = writer.option("maxRecordsPerFile", roll_rows)
     if codec:
