@@ -60,7 +60,7 @@ def after_flat_tax(pay: pd.Series) -> pd.Series:
     return pay * (1.0 - FLAT_TAX)
 
 
-@F.udtf(returnType="word: string, place: int")
+@F.udtf(returnType="word: string, place: int", useArrow=True)
 class TokenizeRows:
     """One text in, one row per token out."""
 

@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from weftline.plans.sizing import hot_keys, settle
 
 HOT_KEY_ROWS = 100_000
+HOT_KEYS_AT_MOST = 10_000
 
 
 def salted_join(
-    big: DataFrame, small: DataFrame, key: str, row_id: str, salts: int = 16, hot_rows: int = HOT_KEY_ROWS
+    big: DataFrame, small: DataFrame, key: str, row_id: str, salts: int = 16, hot_rows: int | None = None
 ) -> DataFrame:
     """Inner join where rows of hot keys are spread over ``salts`` tasks.
 
-    Only the hot keys (at most rows/hot_rows of them, counted and broadcast within the bound) are repeated on the
-    other side; everything else joins once under salt 0.
+    A key is hot above 100,000 rows or a ten-thousandth of all rows, whichever is more, so there are never more than
+    10,000 hot keys and their list may be broadcast whatever the data. Only hot keys are repeated on the other side;
+    everything else joins once under salt 0.
     """
+    if hot_rows is None:
+        hot_rows = max(HOT_KEY_ROWS, big.count() // HOT_KEYS_AT_MOST)
     hot = settle(hot_keys(big, [key], hot_rows).select(F.col(key).alias("_hot")))
     left = big.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
         "_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(row_id), F.lit(salts))).otherwise(F.lit(0))

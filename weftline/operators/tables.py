@@ -33,8 +33,12 @@ def by_partition(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "overwrite") -> None:
-    by_partition(df, *columns).write.mode(mode).partitionBy(*columns).parquet(path)
+def write_partitioned(
+    df: DataFrame, path: str, columns: list[str], mode: str = "overwrite", only_touched: bool = False
+) -> None:
+    """Write by partition. Overwriting replaces the whole folder, or with ``only_touched`` the partitions in ``df``."""
+    writer = by_partition(df, *columns).write.mode(mode).partitionBy(*columns)
+    writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static").parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -65,8 +69,7 @@ def fill_ready_hours(
     hours = spark.read.schema(schema).parquet(f"{root}/data")
     result = job(hours.filter(F.col(column).isin(pending)))
     if pending:
-        writer = by_partition(result, column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(column).parquet(f"{out}/data")
+        write_partitioned(result, f"{out}/data", [column], only_touched=True)
         spark.createDataFrame([(h,) for h in pending], f"{column} string").coalesce(1).write.mode("append").parquet(
             f"{out}/ready"
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.adapters import DEPARTMENTS, DEPT, EMP, SALES, dept, emp, sales, table
+from weftline.adapters import DEPARTMENTS, DEPT, EMP, SALES, dept, emp, table
 from weftline.operators.joins import product_with_list, salted_join
 from weftline.operators.ordered import attach_group
 from weftline.plans.sizing import broadcast_if_small
@@ -103,11 +103,12 @@ FROM sales s JOIN orders o ON s.sale_id = o.o_orderkey JOIN emp e ON o.o_custkey
 JOIN dept d ON e.department = d.dept_name
 WHERE s.year = 1997 AND s.quarter = 'Q1' ORDER BY s.amount DESC, s.sale_id LIMIT 10""")
 def multi_way_join(spark, sf):
-    sold = sales(spark, sf).filter("year = 1997 AND quarter = 'Q1'")
-    buyer = table(spark, sf, "orders").select(F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("emp_id"))
+    when = (F.year("o_orderdate") == 1997) & (F.quarter("o_orderdate") == 1)
+    sold = table(spark, sf, "orders").filter(when).select(
+        F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("emp_id"), F.col("o_totalprice").alias("amount")
+    )
     return (
-        sold.join(buyer, "sale_id")
-        .join(emp(spark, sf), "emp_id")
+        sold.join(emp(spark, sf), "emp_id")
         .join(dept(spark), own_unit())
         .select("name", "salary", "location", "sale_id", "amount")
         .orderBy(F.desc("amount"), "sale_id")

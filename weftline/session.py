@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings the results depend on.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.cteRecursionRowLimit": "-1",
 }
 
