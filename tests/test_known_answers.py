@@ -15,8 +15,10 @@ from weftline.operators.joins import product_with_list, salted_join
 from weftline.operators.ordered import attach_group, ranked, value_range_mean
 from weftline.operators.selection import route, sample_bucket, sample_bytes
 from weftline.operators.tables import partition_advice
+from weftline.plans.sizing import broadcast_if_small, hot_keys, largest_group
 from weftline.queries.grouping import department_stats
 from weftline.queries.texts import count_words
+from weftline.sources.files import read_counts, split_fields
 
 
 @pytest.fixture(scope="module")
@@ -84,6 +86,24 @@ def test_word_rules(spark):
     assert {r.word: r.n for r in counted.collect()} == {"hadoop": 3, "hello": 2, "world": 1}
 
 
+def test_malformed_lines_are_dropped(spark):
+    lines = spark.createDataFrame([("hadoop\t5",), ("apache",), ("spark\t8",), ("x\ty",), ("a\t1\t2",), ("hdfs\t6",)], "value string")
+    best = read_counts(lines).orderBy(F.desc("n"), F.desc("word")).limit(3)
+    assert [tuple(r) for r in best.collect()] == [("spark", 8), ("hdfs", 6), ("hadoop", 5)]
+    people = spark.createDataFrame([(" 1 , Ann , 10 , 5 ",), ("2,Bob",), ("3,Cy,20",)], "value string")
+    got = [tuple(r) for r in split_fields(people, ["id", "name", "dept", "pay"], at_least=3).collect()]
+    assert got == [("1", "Ann", "10", "5"), ("3", "Cy", "20", None)]
+
+
+def test_size_checks(spark):
+    rows = spark.range(1000).select("id", F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"))
+    assert largest_group(rows, ["k"], 10) == 400
+    assert largest_group(rows, ["k"], 5000) == 1000  # counted only: no group can be larger
+    assert [r.k for r in hot_keys(rows, "k", 100, 1000).collect()] == [0]
+    assert "broadcast" in broadcast_if_small(rows, 1000)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in broadcast_if_small(rows, 999)._jdf.queryExecution().analyzed().toString().lower()
+
+
 def test_inverted_index(spark):
     rows = [("a.txt", "x"), ("a.txt", "x"), ("b.txt", "x"), ("c.txt", "x"), ("c.txt", "y"), ("c.txt", "")]
     tokens = spark.createDataFrame(rows, "file string, word string")

@@ -20,9 +20,12 @@ def salted_join(
     10,000 hot keys and their list may be broadcast whatever the data. Only hot keys are repeated on the other side;
     everything else joins once under salt 0.
     """
+    total = big.count()
     if hot_rows is None:
-        hot_rows = max(HOT_KEY_ROWS, big.count() // HOT_KEYS_AT_MOST)
-    hot = settle(hot_keys(big, [key], hot_rows).select(F.col(key).alias("_hot")))
+        hot_rows = max(HOT_KEY_ROWS, total // HOT_KEYS_AT_MOST)
+    if total <= hot_rows:
+        return big.join(small, key)
+    hot = settle(hot_keys(big, key, hot_rows, total).withColumnRenamed(key, "_hot"))
     left = big.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
         "_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(row_id), F.lit(salts))).otherwise(F.lit(0))
     ).drop("_hot")

@@ -29,7 +29,7 @@ def sort_columns(order: Order) -> list[Column]:
 
 def needs_slices(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS) -> bool:
     """Whether some group is too large for one task. Only the key columns are read; derive ``df`` cheaply or land it."""
-    return largest_group(df, keys) > group_rows
+    return largest_group(df, keys, group_rows) > group_rows
 
 
 def slice_rows(df: DataFrame, keys: list[str], order: Order) -> DataFrame:

@@ -9,6 +9,7 @@ from weftline.session import cut
 
 BROADCAST_ROWS = 200_000
 GROUP_ROWS = 4_000_000
+SAMPLE_ROWS = 50_000_000
 
 
 def row_bound(df: DataFrame, limit: int) -> int:
@@ -26,17 +27,31 @@ def settle(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return broadcast_if_small(cut(df), limit)
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group; counts are combined before the shuffle, so a hot key costs nothing extra."""
-    if not keys:
-        return df.count()
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+def key_sample(df: DataFrame, keys: list[str], total: int) -> tuple[DataFrame, float]:
+    """The key columns, thinned to about ``SAMPLE_ROWS`` rows. Only for choosing a plan, never for results."""
+    fraction = min(1.0, SAMPLE_ROWS / max(total, 1))
+    only_keys = df.select(*keys)
+    return (only_keys if fraction == 1.0 else only_keys.sample(fraction, seed=1)), fraction
 
 
-def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows; there can be at most rows/threshold of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("hot_rows")).filter(F.col("hot_rows") > threshold)
+def largest_group(df: DataFrame, keys: list[str], enough: int) -> int:
+    """Rows of the largest group, or any number up to ``enough`` when no group can be larger than that.
+
+    A table within the bound is only counted. A large one is counted by key on a sample, with partial counts before the
+    shuffle, so a hot key costs nothing extra.
+    """
+    total = df.count()
+    if total <= enough or not keys:
+        return total
+    sample, fraction = key_sample(df, keys, total)
+    counts = sample.groupBy(*keys).agg(F.count("*").alias("n"))
+    return int((counts.agg(F.max("n")).first()[0] or 0) / fraction)
+
+
+def hot_keys(df: DataFrame, key: str, threshold: int, total: int) -> DataFrame:
+    """Keys with more than about ``threshold`` rows; there can be at most about total/threshold of them."""
+    sample, fraction = key_sample(df, [key], total)
+    return sample.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > threshold * fraction).select(key)
 
 
 def spread(df: DataFrame) -> DataFrame:

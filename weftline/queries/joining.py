@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.adapters import DEPARTMENTS, DEPT, EMP, SALES, dept, emp, table
+from weftline.adapters import DEPARTMENTS, DEPT, EMP, SALES, dept, emp, money_text, table
 from weftline.operators.joins import product_with_list, salted_join
 from weftline.operators.ordered import attach_group
 from weftline.plans.sizing import broadcast_if_small
 from weftline.registry import query
+from weftline.sources.files import split_fields
 
 
 def own_unit():
@@ -73,15 +74,24 @@ def broadcast_join(spark, sf):
 @query("map_side_left_lookup", f"""
 WITH {EMP}, {DEPT} SELECT emp_id, name, salary, coalesce(dept_name, 'NULL') AS dept_name,
   CASE WHEN dept_name IS NULL THEN 'NULL' ELSE coalesce(nullif(location, 'Oslo'), 'Unknown') END AS location
-FROM emp LEFT JOIN dept ON department = dept_name""")
+FROM emp LEFT JOIN dept ON department = dept_name WHERE emp_id % 97 <> 5""")
 def map_side_left_lookup(spark, sf):
-    """Left lookup that writes the text NULL for no match and Unknown for a match without a location."""
+    """Delimited lines looked up in a small table; some lines break off after two fields and are dropped.
+
+    No match gives the text NULL, a match without a location gives Unknown.
+    """
+    whole = F.concat_ws(",", "emp_id", "name", "department", money_text("salary"))
+    broken = F.concat_ws(",", "emp_id", "name")
+    line = F.when(F.col("emp_id") % 97 == 5, broken).otherwise(whole)
+    staff = split_fields(
+        emp(spark, sf).select(line.alias("value")), ["emp_id", "name", "department", "salary"], at_least=3
+    )
     units = dept(spark).withColumn("location", F.nullif(F.col("location"), F.lit("Oslo")))
     found = F.col("dept_name").isNotNull()
-    return emp(spark, sf).join(broadcast_if_small(units), own_unit(), "left").select(
-        "emp_id",
+    return staff.join(broadcast_if_small(units), own_unit(), "left").select(
+        F.col("emp_id").cast("bigint").alias("emp_id"),
         "name",
-        "salary",
+        F.col("salary").cast("double").alias("salary"),
         F.coalesce("dept_name", F.lit("NULL")).alias("dept_name"),
         F.when(found, F.coalesce("location", F.lit("Unknown"))).otherwise("NULL").alias("location"),
     )

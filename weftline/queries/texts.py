@@ -11,6 +11,7 @@ from weftline.operators.tables import fill_ready_hours, write_hours
 from weftline.plans.sizing import spread
 from weftline.registry import query
 from weftline.session import scratch
+from weftline.sources.files import read_counts
 
 UNICODE_WORDS = r"SELECT unnest(string_split_regex(lower(text), '[^\p{L}\p{N}_]+')) AS word FROM documents"
 
@@ -75,8 +76,9 @@ def build_inverted_index(spark, sf):
 @query("top_n_words", f"""
 SELECT word, count(*) AS n FROM ({UNICODE_WORDS}) WHERE word <> '' GROUP BY word ORDER BY n DESC, word DESC LIMIT 10""")
 def top_n_words(spark, sf, n: int = 10):
-    """Each task keeps its own n best, one last task merges them (TakeOrderedAndProject)."""
-    return wordcount(spark, sf).orderBy(F.desc("n"), F.desc("word")).limit(n)
+    """Reads count lines. Each task keeps its own n best, one last task merges them (TakeOrderedAndProject)."""
+    lines_in = wordcount(spark, sf).select(F.concat_ws("\t", "word", "n").alias("value"))
+    return read_counts(lines_in).orderBy(F.desc("n"), F.desc("word")).limit(n)
 
 
 @query("wordcount_load_report", f"""

@@ -11,6 +11,21 @@ def read_delimited(spark: SparkSession, path: str, schema: str | StructType, sep
     return spark.read.schema(schema).option("sep", sep).csv(path, header=False)
 
 
+def split_fields(lines: DataFrame, names: list[str], at_least: int, sep: str = ",", column: str = "value") -> DataFrame:
+    """Untyped lines as text columns, trimmed. Lines with fewer than ``at_least`` fields are dropped; later ones may lack."""
+    fields = F.split(F.trim(column), sep)
+    kept = lines.select(fields.alias("_f")).filter(F.size("_f") >= at_least)
+    return kept.select(*[F.trim(F.get("_f", F.lit(i))).alias(n) for i, n in enumerate(names)])
+
+
+def read_counts(lines: DataFrame, column: str = "value") -> DataFrame:
+    """``word TAB count`` lines; a line without exactly two fields or with a count that is no number is dropped."""
+    fields = F.split(column, "\t")
+    pairs = lines.select(fields.alias("_f")).filter(F.size("_f") == 2)
+    typed = pairs.select(F.col("_f")[0].alias("word"), F.col("_f")[1].try_cast("bigint").alias("n"))
+    return typed.filter(F.col("n").isNotNull())
+
+
 def read_with_file_name(spark: SparkSession, path: str) -> DataFrame:
     """Lines with the name of the file they come from."""
     return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
