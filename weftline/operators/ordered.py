@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weftline.functions.numbers import exact, quotient
 from weftline.plans.sizing import GROUP_ROWS, largest_group, settle
 from weftline.session import land
 
@@ -289,38 +290,34 @@ def value_range_mean(
 ) -> DataFrame:
     """Mean of ``value`` over rows of the group whose value lies within ``reach`` of this row's value.
 
-    Small groups use the RANGE frame. Large ones first collapse to distinct values, then place two probes per value
-    (just below ``v - reach`` and at ``v + reach``) among the values and take the running count and sum at each probe;
-    the frame is the difference of the two, so no frame is ever buffered.
+    A RANGE frame adds up its rows again for every row, which is quadratic where values lie close. Instead the rows
+    collapse to distinct values; two probes per value (just below ``v - reach`` and at ``v + reach``) are placed among
+    them, and the frame is the difference of the running count and sum at the probes.
     """
-    if not needs_slices(df, keys, group_rows):
-        # rangeBetween() of the DataFrame API takes whole numbers only
-        frame = f"RANGE BETWEEN {float(reach)}D PRECEDING AND {float(reach)}D FOLLOWING"
-        by = ", ".join(f"`{k}`" for k in keys) or "0"
-        return df.withColumn(out, F.expr(f"avg(`{value}`) OVER (PARTITION BY {by} ORDER BY `{value}` {frame})"))
+    sliced = needs_slices(df, keys, group_rows // 3)  # each value makes up to three marks
     points = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
     # decimal totals: the difference of two large running sums must not lose digits
-    exact = F.col(value).cast("decimal(28,6)")
+    amount = exact(value, 6)
     marks = points.select(
         *keys,
         F.col(value).alias("_v"),
         F.explode(
             F.array(
                 F.struct(F.col(value).alias("x"), F.lit(1).alias("side"), F.col("_c").alias("c"),
-                         (exact * F.col("_c")).cast("decimal(38,6)").alias("s")),
+                         (amount * F.col("_c")).cast("decimal(32,6)").alias("s")),
                 F.struct((F.col(value) - reach).alias("x"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("c"),
-                         F.lit(0).cast("decimal(38,6)").alias("s")),
+                         F.lit(0).cast("decimal(32,6)").alias("s")),
                 F.struct((F.col(value) + reach).alias("x"), F.lit(2).alias("side"), F.lit(0).cast("long").alias("c"),
-                         F.lit(0).cast("decimal(38,6)").alias("s")),
+                         F.lit(0).cast("decimal(32,6)").alias("s")),
             )
         ).alias("m"),
     ).select(*keys, "_v", "m.*")
     summed = running(
-        marks, keys, [("x", False), ("side", False), ("_v", False)], {"_rc": "c", "_rs": "s"}, sliced=True
+        marks, keys, [("x", False), ("side", False), ("_v", False)], {"_rc": "c", "_rs": "s"}, sliced=sliced
     )
     sign = F.when(F.col("side") == 2, 1).when(F.col("side") == 0, -1)
     means = summed.filter("side <> 1").groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys], "_v").agg(
-        (F.sum(sign * F.col("_rs")).cast("double") / F.sum(sign * F.col("_rc"))).alias(out)
+        quotient(F.sum(sign * F.col("_rs")), F.sum(sign * F.col("_rc")), 6).alias(out)
     )
     condition = F.col(value) == F.col("_v")
     for key in keys:

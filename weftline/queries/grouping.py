@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.adapters import CELLS, EMP, cells, emp, table
+from weftline.functions.numbers import exact, mean
 from weftline.functions.text import words_unicode
 from weftline.operators.grouping import CHUNK_ROWS, bags, salted_sum
 from weftline.plans.sizing import spread
@@ -16,7 +17,7 @@ def department_stats(frame):
         frame.groupBy("department")
         .agg(
             F.count("*").alias("headcount"),
-            F.round(F.avg("salary"), 4).alias("avg_salary"),
+            F.round(mean("salary"), 4).alias("avg_salary"),
             F.max("salary").alias("max_salary"),
             F.min("salary").alias("min_salary"),
             F.round(F.sum("salary"), 2).alias("total_salary"),
@@ -26,7 +27,7 @@ def department_stats(frame):
 
 
 @query("dept_stats", f"""
-WITH {EMP} SELECT department, count(*) AS headcount, round(avg(salary), 4) AS avg_salary, max(salary) AS max_salary,
+WITH {EMP} SELECT department, count(*) AS headcount, round(avg(CAST(salary AS DECIMAL(18,2))), 4) AS avg_salary, max(salary) AS max_salary,
   min(salary) AS min_salary, round(sum(salary), 2) AS total_salary
 FROM emp GROUP BY department ORDER BY avg_salary DESC, department""")
 def dept_stats(spark, sf):
@@ -34,9 +35,9 @@ def dept_stats(spark, sf):
 
 
 @query("having_filter", f"""
-WITH {EMP} SELECT country, round(avg(salary), 4) AS avg_sal FROM emp GROUP BY country HAVING avg(salary) > 4500""")
+WITH {EMP} SELECT country, round(avg(CAST(salary AS DECIMAL(18,2))), 4) AS avg_sal FROM emp GROUP BY country HAVING avg(CAST(salary AS DECIMAL(18,2))) > 4500""")
 def having_filter(spark, sf):
-    means = emp(spark, sf).groupBy("country").agg(F.avg("salary").alias("avg_sal")).filter("avg_sal > 4500")
+    means = emp(spark, sf).groupBy("country").agg(mean("salary").alias("avg_sal")).filter("avg_sal > 4500")
     return means.select("country", F.round("avg_sal", 4).alias("avg_sal"))
 
 
@@ -72,12 +73,12 @@ def _region_of(spark, sf, totals):
 
 
 @query("star_revenue", """
-SELECT r_name AS region, p_type AS category, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+SELECT r_name AS region, p_type AS category, CAST(round(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))), 2) AS DOUBLE) AS revenue
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey
 GROUP BY r_name, p_type""")
 def star_revenue(spark, sf):
-    price = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    price = exact("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     line = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", price.alias("price"))
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("category"))
     placed = _orders_by_nation(spark, sf).select("o_orderkey", "c_nationkey")
@@ -90,7 +91,7 @@ def star_revenue(spark, sf):
     return (
         _region_of(spark, sf, totals)
         .groupBy("region", "category")
-        .agg(F.round(F.sum("price"), 2).alias("revenue"))
+        .agg(F.round(F.sum("price"), 2).cast("double").alias("revenue"))
     )
 
 

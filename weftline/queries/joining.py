@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.adapters import DEPARTMENTS, DEPT, EMP, SALES, dept, emp, money_text, table
+from weftline.functions.numbers import mean
 from weftline.operators.joins import product_with_list, salted_join
 from weftline.operators.ordered import attach_group
 from weftline.plans.sizing import broadcast_if_small
@@ -127,12 +128,12 @@ def multi_way_join(spark, sf):
 
 
 @query("join_to_group_average", f"""
-WITH {EMP}, a AS (SELECT department, avg(salary) AS avg_sal FROM emp GROUP BY department)
+WITH {EMP}, a AS (SELECT department, avg(CAST(salary AS DECIMAL(18,2))) AS avg_sal FROM emp GROUP BY department)
 SELECT emp.name, emp.department, emp.salary, round(a.avg_sal, 4) AS avg_sal FROM emp JOIN a USING (department)
 WHERE emp.salary > a.avg_sal ORDER BY emp.department, emp.salary DESC""")
 def join_to_group_average(spark, sf):
     staff = attach_group(
-        emp(spark, sf).select("name", "department", "salary"), ["department"], {"avg_sal": F.avg("salary")}
+        emp(spark, sf).select("name", "department", "salary"), ["department"], {"avg_sal": mean("salary")}
     )
     return (
         staff.filter("salary > avg_sal")

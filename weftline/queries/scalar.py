@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, EMP_H, emp, emp_hired, table
+from weftline.functions.numbers import mean
 from weftline.functions.text import strip_punctuation, words_unicode
 from weftline.plans.sizing import spread
 from weftline.registry import query
@@ -74,7 +75,7 @@ def fill_nulls(spark, sf):
 WITH {EMP}, texted AS (SELECT department,
   CASE WHEN emp_id % 10 = 0 THEN 'n/a' ELSE CAST(CAST(salary AS DECIMAL(18,2)) AS VARCHAR) END AS salary_text FROM emp)
 SELECT department, count(*) AS headcount, count(TRY_CAST(salary_text AS DOUBLE)) AS numeric_rows,
-       round(avg(TRY_CAST(salary_text AS DOUBLE)), 4) AS avg_salary
+       round(avg(TRY_CAST(salary_text AS DECIMAL(18,2))), 4) AS avg_salary
 FROM texted GROUP BY department""")
 def cast_string_numeric(spark, sf):
     texted = emp(spark, sf).select(
@@ -87,18 +88,18 @@ def cast_string_numeric(spark, sf):
     return texted.groupBy("department").agg(
         F.count("*").alias("headcount"),
         F.count(number).alias("numeric_rows"),
-        F.round(F.avg(number), 4).alias("avg_salary"),
+        F.round(mean(number), 4).alias("avg_salary"),
     )
 
 
 @query("cte_query", f"""
-WITH {EMP}, dept_avg AS (SELECT department, avg(salary) AS avg_sal FROM emp GROUP BY department)
+WITH {EMP}, dept_avg AS (SELECT department, avg(CAST(salary AS DECIMAL(18,2))) AS avg_sal FROM emp GROUP BY department)
 SELECT e.name, e.salary, round(d.avg_sal, 4) AS avg_sal FROM emp e JOIN dept_avg d ON e.department = d.department
 WHERE e.salary > d.avg_sal""")
 def cte_query(spark, sf):
     emp(spark, sf).createOrReplaceTempView("weft_cte_emp")
     return spark.sql("""
-        WITH dept_avg AS (SELECT department, avg(salary) AS avg_sal FROM weft_cte_emp GROUP BY department)
+        WITH dept_avg AS (SELECT department, CAST(sum(CAST(salary AS DECIMAL(18,2))) * 100 AS DOUBLE) / (count(salary) * 100) AS avg_sal FROM weft_cte_emp GROUP BY department)
         SELECT e.name, e.salary, round(d.avg_sal, 4) AS avg_sal
         FROM weft_cte_emp e JOIN dept_avg d ON e.department = d.department
         WHERE e.salary > d.avg_sal""")

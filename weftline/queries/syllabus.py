@@ -401,7 +401,7 @@ def chunk_moments(batch: pd.DataFrame) -> pd.DataFrame:
 
 @query("pandas_udf_forms", """
 SELECT 'scalar' AS form, event_type, round(sum(ln(1 + value)), 4) AS result FROM events GROUP BY event_type
-UNION ALL SELECT 'aggregate', event_type, round(sum(value * value), 2) FROM events GROUP BY event_type
+UNION ALL SELECT 'aggregate', event_type, round(sum(value * value), 4) FROM events GROUP BY event_type
 UNION ALL SELECT 'map', event_type, round(avg(value), 6) FROM events GROUP BY event_type""")
 def pandas_udf_forms(spark, sf, chunk: int = 100_000):
     """Grouped forms run on numbered chunks of a group, so no task loads a whole hot group; totals combine natively."""
@@ -410,7 +410,7 @@ def pandas_udf_forms(spark, sf, chunk: int = 100_000):
     placed = running(events, ["event_type"], [("event_id", False)], position="pos")
     chunks = placed.withColumn("part", F.floor((F.col("pos") - 1) / chunk))
     partial = chunks.groupBy("event_type", "part").agg(squares("value").alias("s"))
-    aggregate = partial.groupBy("event_type").agg(F.round(F.sum("s"), 2).alias("result"))
+    aggregate = partial.groupBy("event_type").agg(F.round(F.sum("s"), 4).alias("result"))
     moments = chunks.groupBy("event_type", "part").applyInPandas(chunk_moments, "event_type string, n long, total double")
     mapped = moments.groupBy("event_type").agg(F.round(F.sum("total") / F.sum("n"), 6).alias("result"))
     forms = {"scalar": scalar, "aggregate": aggregate, "map": mapped}

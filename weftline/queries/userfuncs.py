@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, emp, money_text, table
+from weftline.functions.numbers import mean
 from weftline.functions.udfs import FLAT_TAX, band_batches, blank_as_zero, clean_name, mask_email, register, salary_band
 from weftline.plans.sizing import spread
 from weftline.registry import query
@@ -59,12 +60,12 @@ def clean_names(spark, sf):
 
 
 @query("grouped_summary_udaf", f"""
-WITH {EMP} SELECT department, count(*) AS headcount, round(avg(salary), 2) AS avg_salary,
+WITH {EMP} SELECT department, count(*) AS headcount, round(avg(CAST(salary AS DECIMAL(18,2))), 2) AS avg_salary,
   round(max(salary) - min(salary), 2) AS salary_range FROM emp GROUP BY department""")
 def grouped_summary_udaf(spark, sf):
     return emp(spark, sf).groupBy("department").agg(
         F.count("*").alias("headcount"),
-        F.round(F.avg("salary"), 2).alias("avg_salary"),
+        F.round(mean("salary"), 2).alias("avg_salary"),
         F.round(F.max("salary") - F.min("salary"), 2).alias("salary_range"),
     )
 

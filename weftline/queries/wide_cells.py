@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weftline.adapters import CELLS, DEPT, EMP, WIDE, cells, dept, emp, money_text
+from weftline.functions.numbers import mean
 from weftline.operators import cells as hb
 from weftline.plans.sizing import broadcast_if_small
 from weftline.registry import query
@@ -222,12 +223,12 @@ def stamped(frame):
 
 
 @query("wide_from_cells", f"""
-WITH {EMP} SELECT department, count(*) AS headcount, round(avg(salary), 4) AS avg_salary FROM emp
+WITH {EMP} SELECT department, count(*) AS headcount, round(avg(CAST(salary AS DECIMAL(18,2))), 4) AS avg_salary FROM emp
 WHERE department <> 'FURNITURE' GROUP BY department""")
 def wide_from_cells(spark, sf):
     wide = hb.to_wide(stamped(staff_cells(spark, sf)), MAPPING)
     return wide.filter("department <> 'FURNITURE'").groupBy("department").agg(
-        F.count("*").alias("headcount"), F.round(F.avg(F.col("salary").cast("double")), 4).alias("avg_salary")
+        F.count("*").alias("headcount"), F.round(mean("salary"), 4).alias("avg_salary")
     )
 
 
@@ -305,7 +306,7 @@ def secondary_index(spark, sf):
 
 @query("phoenix_queries", f"""
 WITH {EMP}, {DEPT} SELECT 'filter' AS part, department, name, salary, CAST(NULL AS VARCHAR) AS location FROM emp WHERE department = 'BUILDING'
-UNION ALL SELECT 'average', department, NULL, round(avg(salary), 4), NULL FROM emp GROUP BY department
+UNION ALL SELECT 'average', department, NULL, round(avg(CAST(salary AS DECIMAL(18,2))), 4), NULL FROM emp GROUP BY department
 UNION ALL SELECT 'join', department, name, salary, location FROM emp JOIN dept ON department = dept_name WHERE salary > 8000""")
 def typed_table_queries(spark, sf):
     staff = emp(spark, sf)
@@ -313,7 +314,7 @@ def typed_table_queries(spark, sf):
     filtered = staff.filter("department = 'BUILDING'").select(
         F.lit("filter").alias("part"), "department", "name", "salary", none.alias("location")
     )
-    means = staff.groupBy("department").agg(F.round(F.avg("salary"), 4).alias("salary")).select(
+    means = staff.groupBy("department").agg(F.round(mean("salary"), 4).alias("salary")).select(
         F.lit("average").alias("part"), "department", none.alias("name"), "salary", none.alias("location")
     )
     joined = staff.filter("salary > 8000").join(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, emp
+from weftline.functions.numbers import mean
 from weftline.operators.ordered import attach_group, framed, ranked, running, value_range_mean
 from weftline.registry import query
 
@@ -140,24 +141,23 @@ def rows_frames(spark, sf, **sizing):
 
 
 @query("range_frame_value", f"""
-WITH {EMP} SELECT emp_id, salary, round(avg(salary) OVER
-  (ORDER BY salary RANGE BETWEEN 500 PRECEDING AND 500 FOLLOWING) + 1e-8, 4) AS avg_within_range FROM emp""")
+WITH {EMP} SELECT emp_id, salary, round(avg(CAST(salary AS DECIMAL(18,2))) OVER
+  (ORDER BY salary RANGE BETWEEN 500 PRECEDING AND 500 FOLLOWING), 4) AS avg_within_range FROM emp""")
 def range_frame_value(spark, sf, **sizing):
     rows = staff(spark, sf).select("emp_id", "salary")
     near = value_range_mean(rows, [], "salary", 500.0, "avg_within_range", **sizing)
-    # means of cents often end in an exact half: the nudge makes both summation orders round it up
-    return near.withColumn("avg_within_range", F.round(F.col("avg_within_range") + 1e-8, 4))
+    return near.withColumn("avg_within_range", F.round("avg_within_range", 4))
 
 
 @query("named_window", f"""
-WITH {EMP} SELECT emp_id, department, salary, round(avg(salary) OVER w, 4) AS dept_avg, max(salary) OVER w AS dept_max,
-  min(salary) OVER w AS dept_min, round(salary - avg(salary) OVER w, 4) AS delta_from_avg FROM emp
+WITH {EMP} SELECT emp_id, department, salary, round(avg(CAST(salary AS DECIMAL(18,2))) OVER w, 4) AS dept_avg, max(salary) OVER w AS dept_max,
+  min(salary) OVER w AS dept_min, round(salary - round(avg(CAST(salary AS DECIMAL(18,2))) OVER w, 4), 4) AS delta_from_avg FROM emp
 WINDOW w AS (PARTITION BY department ORDER BY salary ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
 def named_window(spark, sf):
     rows = attach_group(
         staff(spark, sf).drop("name"),
         ["department"],
-        {"_mean": F.avg("salary"), "dept_max": F.max("salary"), "dept_min": F.min("salary")},
+        {"_mean": mean("salary"), "dept_max": F.max("salary"), "dept_min": F.min("salary")},
     )
     return rows.select(
         "emp_id",
@@ -166,5 +166,5 @@ def named_window(spark, sf):
         F.round("_mean", 4).alias("dept_avg"),
         "dept_max",
         "dept_min",
-        F.round(F.col("salary") - F.col("_mean"), 4).alias("delta_from_avg"),
+        F.round(F.col("salary") - F.round("_mean", 4), 4).alias("delta_from_avg"),
     )
