@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from weftline.adapters import emp, table
 from weftline.operators.cells import publish_sorted
+from weftline.operators.joins import bucketed_join
 from weftline.operators.tables import (
     fill_ready_hours,
     fresh_database,
     merge_small_files,
     partition_advice,
     write_hours,
+    write_bucketed,
     write_partitioned,
 )
 from weftline.operators.versions import VersionedTable, compact, snapshot_diff
@@ -87,7 +89,8 @@ def test_repair_finds_folders(spark, sf):
 
 
 def test_bucket_files_equal_the_hash(spark, sf):
-    orders, _ = layout.bucketed_pair(spark, sf)
+    orders, _, buckets = layout.bucketed_pair(spark, sf)
+    assert buckets == 8
     one = layout.sample_from_bucketed(spark, sf)
     by_hash = spark.table(orders).filter(F.pmod(F.hash("o_custkey"), F.lit(8)) == 3)
     assert one.count() > 0
@@ -95,6 +98,24 @@ def test_bucket_files_equal_the_hash(spark, sf):
     assert one.count() == by_hash.count()
 
 
+def test_bucketed_join_with_hot_keys(spark):
+    db = fresh_database(spark)
+    big = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"))
+    write_bucketed(big, f"{db}.big", 4, "k")
+    write_bucketed(spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")), f"{db}.other", 4, "k")
+    left, right = spark.table(f"{db}.big"), spark.table(f"{db}.other")
+    plain = left.join(right, "k").select("id", "k", "w")
+    split = bucketed_join(left, right, "k", hot_rows=500).select("id", "k", "w")
+    assert split.count() == plain.count() > 0
+    assert split.exceptAll(plain).count() == 0
+    text = split._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Exchange hashpartitioning" not in text
+    files = {p.name.split("_")[-1] for p in Path(
+        spark.sql(f"DESCRIBE FORMATTED {db}.big").filter("col_name = 'Location'").first()["data_type"]
+        .removeprefix("file:")).glob("part-*")}
+    assert len(files) == 4
+
+
 def test_codecs_change_bytes_not_rows(spark, sf):
     rows = layout.codec_matrix(spark, sf).collect()
     assert len(rows) == sum(len(c) for c in layout.CODECS.values())

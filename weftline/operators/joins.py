@@ -11,6 +11,23 @@ HOT_KEY_ROWS = 100_000
 HOT_KEYS_AT_MOST = 10_000
 
 
+def bucketed_join(big: DataFrame, other: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """Inner join of two tables bucketed on ``key``: no row is shuffled.
+
+    A bucket is one task, so rows of hot keys (see ``salted_join``) are joined apart: there are at most 10,000 such keys
+    and their rows of the other table are counted and broadcast, which leaves the hot rows spread over the scan's tasks.
+    """
+    total = big.count()
+    if hot_rows is None:
+        hot_rows = max(HOT_KEY_ROWS, total // HOT_KEYS_AT_MOST)
+    if total <= hot_rows:
+        return big.join(other.hint("merge"), key)
+    hot = settle(hot_keys(big, key, hot_rows, total))
+    cold = big.join(hot, key, "left_anti").join(other.hint("merge"), key)
+    apart = big.join(hot, key, "left_semi").join(settle(other.join(hot, key, "left_semi")), key)
+    return cold.unionByName(apart)
+
+
 def salted_join(
     big: DataFrame, small: DataFrame, key: str, row_id: str, salts: int = 16, hot_rows: int | None = None
 ) -> DataFrame:

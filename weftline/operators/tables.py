@@ -14,6 +14,7 @@ from weftline.session import scratch
 from weftline.sources.files import inventory
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+BUCKET_BYTES = 1024 * 1024 * 1024
 PARTITION_FLOOR_BYTES = 128 * 1024 * 1024
 
 
@@ -41,6 +42,23 @@ def write_partitioned(
     writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static").parquet(path)
 
 
+def bucket_count(bytes_total: int, least: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets of about a gigabyte, never fewer than ``least``."""
+    return max(least, -(-bytes_total // bucket_bytes))
+
+
+def write_bucketed(df: DataFrame, name: str, buckets: int, key: str, partitions: list[str] | None = None) -> None:
+    """Bucketed table: one file per bucket, more only where one bucket is too much for a task.
+
+    The rebalance uses as many partitions as there are buckets and the same hash, so a partition is a bucket; adaptive
+    execution splits the bucket of a hot key over several tasks.
+    """
+    writer = df.hint("rebalance", buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    writer.saveAsTable(name)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)

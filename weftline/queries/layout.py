@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, SALES, emp, sales, table
+from weftline.operators.joins import bucketed_join
 from weftline.operators.tables import (
+    bucket_count,
     by_partition,
     fresh_database,
     merge_small_files,
     partition_advice,
     total_bytes,
+    write_bucketed,
     write_partitioned,
 )
 from weftline.registry import query
@@ -285,35 +288,36 @@ def partition_column_advisor(spark, sf):
 
 @query("bucketed_write", f"WITH {EMP} SELECT {', '.join(EMP_ORDER)} FROM emp")
 def bucketed_write(spark, sf):
-    """Four buckets by employee inside one folder per country."""
+    """Buckets by employee inside one folder per country; four buckets until the table outgrows them."""
     name = f"{fresh_database(spark)}.employees_part_bucketed"
-    rows = emp(spark, sf).repartition(4, "emp_id")  # one task per bucket: one file per bucket and country
-    rows.write.partitionBy("country").bucketBy(4, "emp_id").sortBy("emp_id").format("parquet").saveAsTable(name)
+    buckets = bucket_count(total_bytes(spark, f"{sf}/customer.parquet"), least=4)
+    write_bucketed(emp(spark, sf), name, buckets, "emp_id", ["country"])
     return spark.table(name).select(*EMP_ORDER)
 
 
-def bucketed_pair(spark, sf, buckets: int = 8):
-    """Names of orders and customers tables bucketed on the join key."""
+def bucketed_pair(spark, sf):
+    """Names of orders and customers tables bucketed on the join key, and the number of buckets."""
     db = fresh_database(spark)
+    buckets = bucket_count(total_bytes(spark, f"{sf}/orders.parquet"), least=8)
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     for name, frame in (("orders_b", orders), ("customer_b", customer)):
-        spread = frame.repartition(buckets, "o_custkey")  # one task per bucket: one file per bucket
-        spread.write.bucketBy(buckets, "o_custkey").sortBy("o_custkey").format("parquet").saveAsTable(f"{db}.{name}")
-    return f"{db}.orders_b", f"{db}.customer_b"
+        write_bucketed(frame, f"{db}.{name}", buckets, "o_custkey")
+    return f"{db}.orders_b", f"{db}.customer_b", buckets
 
 
 @query("bucket_join", """
 SELECT o_orderkey, o_totalprice, c_name FROM orders JOIN customer ON o_custkey = c_custkey""")
 def bucket_join(spark, sf):
-    orders, customer = (spark.table(name) for name in bucketed_pair(spark, sf))
-    return orders.join(customer.hint("merge"), "o_custkey").select("o_orderkey", "o_totalprice", "c_name")
+    orders, customer, _ = bucketed_pair(spark, sf)
+    joined = bucketed_join(spark.table(orders), spark.table(customer), "o_custkey")
+    return joined.select("o_orderkey", "o_totalprice", "c_name")
 
 
 @query("sample_from_bucketed")
 def sample_from_bucketed(spark, sf, bucket: int = 3):
-    """One bucket out of eight, read from the files of that bucket alone."""
-    orders, _ = bucketed_pair(spark, sf)
+    """One bucket, read from the files of that bucket alone."""
+    orders, _, _ = bucketed_pair(spark, sf)
     details = spark.sql(f"DESCRIBE FORMATTED {orders}").filter("col_name = 'Location'")
     location = details.first()["data_type"]
     return spark.read.option("pathGlobFilter", f"*_{bucket:05d}.c000*").parquet(location)

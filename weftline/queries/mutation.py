@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, emp, table
-from weftline.operators.versions import VersionedTable, compact, snapshot_diff
+from weftline.operators.tables import bucket_count, total_bytes
+from weftline.operators.versions import BUCKETS, VersionedTable, compact, snapshot_diff
 from weftline.registry import query
 from weftline.session import scratch
 
@@ -21,8 +22,12 @@ LATER = f"""WITH {EMP}, later AS (
   UNION ALL SELECT emp_id + 2000000000, name || ' II', department, salary FROM emp WHERE salary > 9500)"""
 
 
+def buckets(spark, sf):
+    return bucket_count(total_bytes(spark, f"{sf}/customer.parquet"), least=BUCKETS)
+
+
 def managed(spark, sf):
-    acid = VersionedTable(spark, scratch(spark, "acid"), SCHEMA, ["emp_id"])
+    acid = VersionedTable(spark, scratch(spark, "acid"), SCHEMA, ["emp_id"], buckets(spark, sf))
     acid.create(emp(spark, sf).select(*COLUMNS))
     return acid
 
@@ -66,7 +71,7 @@ def upsert(spark, sf):
     staff = emp(spark, sf).select("emp_id", "department", "name", "salary")
     acid = VersionedTable(
         spark, scratch(spark, "upsert"), "emp_id bigint, department string, name string, salary double",
-        ["emp_id", "department"],
+        ["emp_id", "department"], buckets(spark, sf),
     )
     acid.create(staff)
     raised = staff.filter("salary >= 6000").withColumns(
