@@ -81,15 +81,15 @@ def test_word_rules(spark):
     assert words(words_unicode, "Étion don't x_1, ça") == ["étion", "don", "t", "x_1", "ça"]
     assert words(words_stripped, "Don't  stop, ça") == ["dont", "stop", "a"]
     assert words(words_delimited, 'a,b ("c")\td*e') == ["a", "b", "c", "\td", "e"]
-    lines = spark.createDataFrame([("hello hadoop hello",), ("world hadoop hadoop",)], "t string")
+    lines = spark.createDataFrame([("hello lamp hello",), ("world lamp lamp",)], "t string")
     counted = count_words(lines.select(F.explode(words_unicode(F.col("t"))).alias("word")))
-    assert {r.word: r.n for r in counted.collect()} == {"hadoop": 3, "hello": 2, "world": 1}
+    assert {r.word: r.n for r in counted.collect()} == {"lamp": 3, "hello": 2, "world": 1}
 
 
 def test_malformed_lines_are_dropped(spark):
-    lines = spark.createDataFrame([("hadoop\t5",), ("apache",), ("spark\t8",), ("x\ty",), ("a\t1\t2",), ("hdfs\t6",)], "value string")
+    lines = spark.createDataFrame([("lamp\t5",), ("apache",), ("spark\t8",), ("x\ty",), ("a\t1\t2",), ("desk\t6",)], "value string")
     best = read_counts(lines).orderBy(F.desc("n"), F.desc("word")).limit(3)
-    assert [tuple(r) for r in best.collect()] == [("spark", 8), ("hdfs", 6), ("hadoop", 5)]
+    assert [tuple(r) for r in best.collect()] == [("spark", 8), ("desk", 6), ("lamp", 5)]
     people = spark.createDataFrame([(" 1 , Ann , 10 , 5 ",), ("2,Bob",), ("3,Cy,20",)], "value string")
     got = [tuple(r) for r in split_fields(people, ["id", "name", "dept", "pay"], at_least=3).collect()]
     assert got == [("1", "Ann", "10", "5"), ("3", "Cy", "20", None)]

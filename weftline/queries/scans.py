@@ -13,7 +13,6 @@ from weftline.sources.files import (
     load_pairs,
     read_delimited,
     read_evolved,
-    read_with_file_name,
     save_pairs,
 )
 
