@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits",
           "n_distinct_words", "n_word_runs", "n_marked_words", "n_bare_lines", "n_top_word", "n_sentence_words")
@@ -71,7 +72,7 @@ def text_counts(text: str | None) -> tuple[int, ...]:
     )
 
 
-@F.pandas_udf(", ".join(f"{c} long" for c in COUNTS))
+@F.pandas_udf(StructType([StructField(c, LongType()) for c in COUNTS]))
 def counted(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
         yield pd.DataFrame([text_counts(t) for t in batch], columns=list(COUNTS), dtype="int64")
