@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.adapters import table
-from weftline.llm import bpe, quality
+from weftline.llm import bpe, quality, toxicity
 from weftline.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op5_weak_toxicity")
+def weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.classify(docs, toxicity.fit(docs, labels, toxicity.may_learn(F.col("doc_id"))))
+
+
 @query("op6_prefix_bpe")
 def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
