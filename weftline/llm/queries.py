@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.adapters import table
-from weftline.llm import bpe, quality, toxicity
+from weftline.llm import bpe, mixing, quality, sharding, toxicity
 from weftline.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op3_source_mix", mixing.SQL)
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op4_label_propagation")
+def label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op5_weak_toxicity")
 def weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
