@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.adapters import table
-from weftline.llm import bpe, mixing, quality, sharding, toxicity
+from weftline.llm import bpe, minhash_forest, mixing, quality, sharding, toxicity
 from weftline.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,31 @@ def quality_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.apply_list(docs, quality.fit_list(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op10_minhash_forest", """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * common >= 75 * (p.n + q.n - common)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  WITH RECURSIVE r(x, y) AS (
+    SELECT x, y FROM both_ways UNION SELECT r.x, l.y FROM r JOIN both_ways l ON r.y = l.x)
+  SELECT x, min(y) AS low FROM r GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(low, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach ON x = d.doc_id
+""")
+def minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.grouped(table(spark, sf_dir, "documents"))
