@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.adapters import table
-from weftline.llm import bpe, minhash_forest, mixing, quality, sharding, toxicity
+from weftline.llm import bpe, html_extract, minhash_forest, mixing, quality, sharding, toxicity
 from weftline.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_tag_ratio_text")
+def tag_ratio_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", html_extract.extract(F.col("html")).alias("text"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op3_source_mix", mixing.SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
