@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.adapters import table
-from weftline.llm import bpe, html_extract, minhash_forest, mixing, quality, sharding, toxicity
+from weftline.llm import bpe, hash_forest, html_extract, minhash_forest, mixing, quality, sharding, toxicity
 from weftline.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,12 @@ def tag_ratio_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query("op2_hash_prefix_forest")
+def hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hash_forest.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 @query("op3_source_mix", mixing.SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
