@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.adapters import table
-from weftline.llm import bpe, hash_forest, html_extract, minhash_forest, mixing, quality, sharding, toxicity
+from weftline.llm import bpe, hash_forest, html_extract, language_model, minhash_forest, mixing, quality, sharding, toxicity
 from weftline.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,12 @@ def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), raw, public_tokenizers.PATTERN)
 
 
+@query("op7_recurrent_lm")
+def recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = language_model.split(table(spark, sf_dir, "documents"))
+    return language_model.score(docs, language_model.fit(docs.filter(~F.col("held_out"))))
+
+
 @query("op8_rule_ensemble")
 def quality_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
