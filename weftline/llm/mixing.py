@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from weftline.llm.common import SLICE_ROWS, WORD, key_slice, slices_for, word_count
+from weftline.llm.common import SLICE_ROWS, key_slice, slices_for, word_count
 from weftline.session import land
 
 #: Weights in the order of the source names, repeating; a source is repeated three times at most.
@@ -135,11 +135,12 @@ def materialised(docs: DataFrame) -> DataFrame:
     """
     done = taken(docs, plan(docs))
     whole = F.floor(F.col("taken") / F.col("size")).cast("int")
-    rest = F.col("taken") % F.col("size")
-    head = F.regexp_extract(F.col("row")["text"], F.concat(
-        F.lit(rf"^(?:[\x20\x09-\x0D]*{WORD}){{"), rest.cast("string"), F.lit("}")), 0)
+    rest = (F.col("taken") % F.col("size")).cast("int")
+    # pieces end with a word each, so the first ones joined are the text up to its last word taken
+    pieces = F.split(F.col("row")["text"], r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    head = F.array_join(F.slice(pieces, F.lit(1), F.col("rest")), "")
     amounts = F.concat(F.array_repeat(F.lit(0), whole), F.when(rest > 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
-    rows = done.filter(F.col("taken") > 0).select("row", "taken", "size", F.explode(amounts).alias("cut"))
+    rows = done.filter(F.col("taken") > 0).select("row", rest.alias("rest"), F.explode(amounts).alias("cut"))
     named = [F.when(F.col("cut") == 1, head).otherwise(F.col("row")["text"]).alias("text") if c == "text"
              else F.col("row")[c].alias(c) for c in docs.columns]
     if "n_chars" in docs.columns:

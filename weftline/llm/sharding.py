@@ -21,6 +21,8 @@ SHARDS = 16
 ROUNDS = 24
 #: Share of a shard that groups may fill; the rest is left for documents without links, which make sizes even.
 FILL = 0.97
+#: Groups above this part of a shard are placed after all others and may be cut where a shard is full.
+HEAVY = 8
 #: A document is large above 1/LARGE of a shard, so there are at most LARGE times SHARDS of them.
 LARGE = 200
 
@@ -66,9 +68,10 @@ def propose(state: DataFrame, room: list[int]) -> DataFrame:
     ).select("group", "size", "shard", "n", F.col("best.shard").alias("target"))
 
 
-def admit(moves: DataFrame, room: list[int], slices: int) -> DataFrame:
-    """How many documents of each proposal fit: those before it in key order count first."""
-    keyed = moves.withColumn("key", unit_key("group", "shard", "size")).withColumn(
+def admit(moves: DataFrame, room: list[int], slices: int, whole: bool) -> DataFrame:
+    """How many documents of each proposal fit: those before it in key order count first. ``whole``: a group moves with all
+    its proposals or not at all."""
+    keyed = moves.withColumn("key", unit_key("group")).withColumn(
         "slice", key_slice(F.col("key"), F.lit(slices)))
     pull = F.col("n") * F.col("size")
     sums = keyed.groupBy("target", "slice").agg(F.sum(pull).alias("bytes"))
@@ -77,18 +80,23 @@ def admit(moves: DataFrame, room: list[int], slices: int) -> DataFrame:
     inside = W.partitionBy("target", "slice").orderBy("key", "group", "shard", "size")
     ahead = F.coalesce(F.sum(pull).over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + F.col("_before")
     joined = keyed.join(F.broadcast(sums), (F.col("target") == F.col("_t")) & (F.col("slice") == F.col("_s")))
+    joined = joined.withColumn("ahead", ahead)
     fits = F.floor((per_shard(room, F.col("target")) - F.col("ahead")) / F.col("size"))
-    return joined.withColumn("ahead", ahead).select(
+    if whole:
+        together = W.partitionBy("target", "slice", "group")
+        joined = joined.withColumn("end", F.min("ahead").over(together) + F.sum(pull).over(together))
+        fits = F.when(F.col("end") <= per_shard(room, F.col("target")), F.col("n")).otherwise(F.lit(0))
+    return joined.select(
         "group", "size", "shard", "target",
         F.greatest(F.lit(0), F.least(F.col("n"), fits)).cast("long").alias("n")).filter("n > 0")
 
 
-def propagate(state: DataFrame, capacity: int, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """State rows (group, size, shard, n) after label propagation."""
+def propagate(state: DataFrame, used: list[int], capacity: int, shards: int, whole: bool, rounds: int = ROUNDS) -> DataFrame:
+    """State rows (group, size, shard, n) after label propagation in what ``used`` leaves of the shards."""
     slices = max(1, -(-state.count() // SLICE_ROWS))
     for _ in range(rounds):
-        room = [max(0, int(capacity * FILL) - x) for x in loads(state, shards)]
-        moves = land(admit(propose(state, room), room, slices), "moves")
+        room = [max(0, int(capacity * FILL) - x - y) for x, y in zip(loads(state, shards), used, strict=True)]
+        moves = land(admit(propose(state, room), room, slices, whole), "moves")
         if moves.isEmpty():
             break
         gone = moves.select("group", "size", "shard", (-F.col("n")).alias("n"))
@@ -115,7 +123,12 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     start = linked.groupBy("group", "size", key_slice(F.col("key"), F.lit(shards)).cast("int").alias("shard")).agg(
         F.count("*").alias("n"))
-    state = propagate(land(start, "state"), capacity, shards)
+    weight = start.groupBy(F.col("group").alias("g")).agg(F.sum(F.col("n") * F.col("size")).alias("weight"))
+    start = land(start.join(weight, F.col("group") == F.col("g")).drop("g"), "state")
+    heavy = F.col("weight") > capacity // HEAVY
+    light = propagate(start.filter(~heavy).drop("weight"), [0] * shards, capacity, shards, True)
+    large = propagate(start.filter(heavy).drop("weight"), loads(light, shards), capacity, shards, False)
+    state = land(light.select("group", "size", "shard", "n").unionByName(large.select("group", "size", "shard", "n")), "state")
 
     # documents of a group, numbered, take the group's places in shard order
     order = W.partitionBy("group").orderBy("shard", "size")
@@ -129,16 +142,16 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     # large documents without links are few (their size says so); largest first, each to the emptiest shard
     used = loads(state, shards)
     least = capacity // LARGE
-    large = F.col("group").isNotNull() & (F.col("size") > least)
+    bulky = F.col("group").isNotNull() & (F.col("size") > least)
     seats = []
-    for row in sorted(single.filter(large).select("group", "size").collect(), key=lambda r: (-r["size"], r["group"])):
+    for row in sorted(single.filter(bulky).select("group", "size").collect(), key=lambda r: (-r["size"], r["group"])):
         at_least = min(range(shards), key=lambda i: (used[i], i))
         used[at_least] += row["size"]
         seats.append((row["group"], at_least))
     chosen = docs.sparkSession.createDataFrame(seats, "g string, shard int")
-    big = single.filter(large).join(F.broadcast(chosen), F.col("group") == F.col("g")).select(
+    big = single.filter(bulky).join(F.broadcast(chosen), F.col("group") == F.col("g")).select(
         "doc_id", "size", "text_crc32", "key", "shard")
-    single = single.filter(~F.coalesce(large, F.lit(False)))
+    single = single.filter(~F.coalesce(bulky, F.lit(False)))
 
     # the others lie on a line that is cut by what each shard lacks
     lack = [max(0, capacity - x) for x in used]
