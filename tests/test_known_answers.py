@@ -136,9 +136,10 @@ def test_samples(staff):
     assert sorted(r.emp_id for r in parts[0].collect()) == [4, 8]
     assert sum(p.count() for p in parts) == 10
     assert sum(sample_bucket(staff, "name", b, 3).count() for b in (1, 2, 3)) == 10
-    for rows in (0, 100):
-        few = sample_bytes(staff, "emp_id", ["name"], 14, group_rows=rows)
-        assert sorted(names(few)) == ["Alice", "Bob", "Carol"]  # 5 + 3 + 5 bytes, the next name passes 14
+    few = sample_bytes(staff, "emp_id", ["emp_id", "name"], 17)
+    assert sorted(names(few)) == ["Alice", "Bob", "Carol"]  # 6 + 4 + 6 bytes, the next name passes 17
+    with pytest.raises(ValueError):
+        sample_bytes(staff, "emp_id", ["name"], 14)
 
 
 def test_user_functions(spark):
@@ -241,3 +242,19 @@ def test_keys(spark):
     deltas = spark.createDataFrame([("p", "c", "v", 1), ("p", "c", "v", 1), ("p", "c", "v", 5)],
                                    "row_key string, family string, qualifier string, delta int")
     assert hb.increment(deltas).first().counter == 7
+
+
+def test_means_keep_small_values(spark):
+    from weftline.functions.numbers import mean
+
+    rows = spark.createDataFrame([(0.004,), (0.004,), (0.004,), (None,)], "v double")
+    assert rows.agg(mean("v").alias("m")).first().m == pytest.approx(0.004)
+
+
+def test_surrogate_keys_tell_nulls_and_separators_apart(spark):
+    from weftline.operators.warehouse import surrogate_key
+
+    rows = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("a|1:b", None, None), ("a", "b", ""), (None, "null", "b")],
+                                 "x string, y string, z string")
+    keys = rows.select(surrogate_key(F.col("x"), F.col("y"), F.col("z")).alias("k")).collect()
+    assert len({r.k for r in keys}) == 5 and all(len(r.k) == 32 for r in keys)

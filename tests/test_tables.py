@@ -149,10 +149,14 @@ def test_file_names_and_pairs(spark):
 def test_schema_evolution_rejects_a_changed_type(spark):
     path = scratch(spark, "evolve")
     spark.range(3).write.parquet(f"{path}/g=1")
-    read = read_evolved(spark, path, {"id": ("bigint", None), "bonus": ("double", 1.5)})
-    assert {r.bonus for r in read.collect()} == {1.5}
+    spark.sql("SELECT 7L AS id, CAST(NULL AS DOUBLE) AS bonus").write.parquet(f"{path}/g=2")
+    both = [f"{path}/g=1", f"{path}/g=2"]
+    read = read_evolved(spark, both, {"id": ("bigint", None), "bonus": ("double", 1.5)})
+    assert sorted((r.id, r.bonus) for r in read.collect()) == [(0, 1.5), (1, 1.5), (2, 1.5), (7, None)]  # a stored null stays
     with pytest.raises(TypeError):
-        read_evolved(spark, path, {"id": ("string", None)})
+        read_evolved(spark, both, {"id": ("string", None)})
+    with pytest.raises(TypeError):  # a renamed column is lost where it has its old name
+        read_evolved(spark, both, {"number": ("bigint", None)})
 
 
 def test_partition_advice_is_one_row_per_column(spark):

@@ -10,12 +10,9 @@ def exact(value: Column | str, scale: int = 2) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast(f"decimal(28,{scale})")
 
 
-def mean(value: Column | str, scale: int = 2) -> Column:
-    """The mean from a decimal sum: adding doubles in another order can change its last digits, and so a rounded half.
-
-    Whole units of the last decimal are divided, because those are exact as doubles.
-    """
-    return quotient(F.sum(exact(value, scale)), F.count(value), scale)
+def mean(value: Column | str) -> Column:
+    """The mean of the values as they are; only the caller rounds, and only the result."""
+    return F.avg(value)
 
 
 def quotient(total: Column, count: Column, scale: int) -> Column:

@@ -22,6 +22,8 @@ from weftline.session import land
 
 Order = list[tuple[str, bool]]  # (column, descending); the last column makes the order total
 FRAME_BLOCK = 1_000_000
+#: Decimals kept in the running sums of value frames; a double has about as many after the point of a price.
+DIGITS = 10
 
 
 def sort_columns(order: Order) -> list[Column]:
@@ -297,18 +299,18 @@ def value_range_mean(
     sliced = needs_slices(df, keys, group_rows // 3)  # each value makes up to three marks
     points = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
     # decimal totals: the difference of two large running sums must not lose digits
-    amount = exact(value, 6)
+    amount = exact(value, DIGITS)
     marks = points.select(
         *keys,
         F.col(value).alias("_v"),
         F.explode(
             F.array(
                 F.struct(F.col(value).alias("x"), F.lit(1).alias("side"), F.col("_c").alias("c"),
-                         (amount * F.col("_c")).cast("decimal(32,6)").alias("s")),
+                         (amount * F.col("_c")).cast(f"decimal(38,{DIGITS})").alias("s")),
                 F.struct((F.col(value) - reach).alias("x"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("c"),
-                         F.lit(0).cast("decimal(32,6)").alias("s")),
+                         F.lit(0).cast(f"decimal(38,{DIGITS})").alias("s")),
                 F.struct((F.col(value) + reach).alias("x"), F.lit(2).alias("side"), F.lit(0).cast("long").alias("c"),
-                         F.lit(0).cast("decimal(32,6)").alias("s")),
+                         F.lit(0).cast(f"decimal(38,{DIGITS})").alias("s")),
             )
         ).alias("m"),
     ).select(*keys, "_v", "m.*")
@@ -317,7 +319,7 @@ def value_range_mean(
     )
     sign = F.when(F.col("side") == 2, 1).when(F.col("side") == 0, -1)
     means = summed.filter("side <> 1").groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys], "_v").agg(
-        quotient(F.sum(sign * F.col("_rs")), F.sum(sign * F.col("_rc")), 6).alias(out)
+        quotient(F.sum(sign * F.col("_rs")), F.sum(sign * F.col("_rc")), DIGITS).alias(out)
     )
     condition = F.col(value) == F.col("_v")
     for key in keys:

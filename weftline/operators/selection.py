@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.operators.ordered import running
-
 
 def sample_bucket(df: DataFrame, column: str, bucket: int, buckets: int) -> DataFrame:
     """Bucket ``bucket`` (from 1) of ``buckets``: integers hash to themselves, other types by value hash."""
@@ -15,11 +14,18 @@ def sample_bucket(df: DataFrame, column: str, bucket: int, buckets: int) -> Data
     return df.filter(F.pmod(hashed, F.lit(buckets)) == bucket - 1)
 
 
-def sample_bytes(df: DataFrame, key: str, columns: list[str], limit: int, **sizing) -> DataFrame:
-    """Rows in key order until their text length passes ``limit`` bytes."""
+def sample_bytes(df: DataFrame, key: str, columns: list[str], limit: int) -> DataFrame:
+    """Rows in key order until their text length passes ``limit`` bytes.
+
+    The key must be one of the columns and not null: then every row has a byte at least, so no more than ``limit`` rows
+    can be in the sample, and only the first rows in key order are sorted and summed.
+    """
+    if key not in columns:
+        raise ValueError("the key must be one of the columns")
     size = sum((F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns), F.lit(0))
-    sized = running(df.withColumn("_bytes", size.cast("long")), [], [(key, False)], {"_upto": "_bytes"}, **sizing)
-    return sized.filter(F.col("_upto") <= limit).drop("_bytes", "_upto")
+    first = df.filter(F.col(key).isNotNull()).orderBy(key).limit(limit)
+    upto = F.sum(size.cast("long")).over(W.partitionBy(F.lit(0)).orderBy(key).rowsBetween(W.unboundedPreceding, 0))
+    return first.withColumn("_upto", upto).filter(F.col("_upto") <= limit).drop("_upto")
 
 
 def route(df: DataFrame, branches: dict[str, Column], otherwise: str | None = None) -> DataFrame:

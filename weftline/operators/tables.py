@@ -68,8 +68,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_hours(df: DataFrame, root: str, column: str) -> None:
-    """Write one directory per hour, then the ready marks: an hour is visible to readers only once marked."""
-    by_partition(df, column).write.mode("append").partitionBy(column).parquet(f"{root}/data")
+    """Write one directory per hour, then the ready marks: an hour is visible to readers only once marked.
+
+    An hour that is written again replaces itself, so a repeated run changes nothing.
+    """
+    write_partitioned(df, f"{root}/data", [column], only_touched=True)
     df.select(column).distinct().coalesce(1).write.mode("append").parquet(f"{root}/ready")
 
 

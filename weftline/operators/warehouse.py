@@ -10,9 +10,13 @@ from weftline.plans.sizing import GROUP_ROWS
 
 
 def surrogate_key(*parts: Column) -> Column:
-    """A stable 60-bit number from the business key, computed row by row: no counter, no shuffle."""
-    text = F.concat_ws("|", *[p.cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    """A stable 128-bit key from the business key, computed row by row: no counter, no shuffle.
+
+    Every part carries its length, and a null part has none, so different parts never make the same text.
+    """
+    marked = [F.coalesce(F.concat(F.length(p.cast("string")).cast("string"), F.lit(":"), p.cast("string")), F.lit("null"))
+              for p in parts]
+    return F.md5(F.concat_ws("|", *marked))
 
 
 def history(

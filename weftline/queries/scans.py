@@ -27,12 +27,12 @@ def read_csv_schema(spark, sf):
     return read_delimited(spark, path, EMP_SCHEMA)
 
 
-@query("read_csv_infer", f"WITH {EMP} SELECT CAST(emp_id AS INTEGER) AS emp_id, name, salary FROM emp")
+@query("read_csv_infer", f"WITH {EMP} SELECT emp_id, name, salary FROM emp")
 def read_csv_infer(spark, sf):
     path = scratch(spark, "emp-header")
     emp(spark, sf).select("emp_id", "name", "salary").write.csv(path, header=True)
     inferred = spark.read.csv(path, header=True, inferSchema=True)
-    return inferred.withColumn("emp_id", F.col("emp_id").cast("int"))  # bigint once ids outgrow an int
+    return inferred.withColumn("emp_id", F.col("emp_id").cast("bigint"))  # inferred as int while ids are small
 
 
 @query("read_text_lines", r"""
@@ -106,14 +106,16 @@ def schema_evolution_read(spark, sf):
     newer.select("emp_id", "name", "salary", F.round(F.col("salary") * 0.1, 3).alias("bonus")).write.parquet(
         f"{path}/gen=2"
     )
-    wanted = {"emp_id": ("bigint", None), "name": ("string", ""), "salary": ("double", None), "bonus": ("double", 0.0)}
-    return read_evolved(spark, path, wanted)
+    wanted = {"emp_id": ("bigint", None), "name": ("string", None), "salary": ("double", None), "bonus": ("double", 0.0)}
+    return read_evolved(spark, [f"{path}/gen=1", f"{path}/gen=2"], wanted)
 
 
-@query("file_inventory")
+@query("file_inventory", """
+SELECT 'event_type=' || event_type AS folder, true AS has_files, true AS has_bytes FROM events GROUP BY event_type""")
 def file_inventory(spark, sf):
     path = scratch(spark, "inventory")
-    write_partitioned(table(spark, sf, "events").select("event_id", "event_type", "value"), path, ["event_type"])
+    write_partitioned(table(spark, sf, "events"), path, ["event_type"])
     return folder_totals(spark, path).select(
-        F.regexp_extract("folder", r"([^/]+)$", 1).alias("folder"), "files", "bytes"
+        F.regexp_extract("folder", r"([^/]+)$", 1).alias("folder"), (F.col("files") > 0).alias("has_files"),
+        (F.col("bytes") > 0).alias("has_bytes"),
     )

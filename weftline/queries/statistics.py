@@ -8,8 +8,9 @@ from weftline.adapters import EMP, emp, table
 from weftline.operators.tables import by_partition, fresh_database
 from weftline.plans.stats import column_profile
 from weftline.registry import query
+from weftline.session import land, tune
 
-PROFILED = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+PROFILED = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 @query("table_column_stats", " UNION ALL ".join(f"""
@@ -28,12 +29,9 @@ def table_column_stats(spark, sf):
 SELECT count(*) AS n, min(l_orderkey) AS first_order, max(l_orderkey) AS last_order, max(l_linenumber) AS lines FROM lineitem""")
 def count_from_stats(spark, sf):
     """Answered from file footers: the second-version reader pushes the aggregate into the scan."""
-    before = spark.conf.get("spark.sql.sources.useV1SourceList")
-    spark.conf.set("spark.sql.sources.useV1SourceList", "")
-    try:
-        lines = table(spark, sf, "lineitem")
-    finally:
-        spark.conf.set("spark.sql.sources.useV1SourceList", before)
+    apart = tune(spark.newSession())  # the setting must not reach other queries of this session
+    apart.conf.set("spark.sql.sources.useV1SourceList", "")
+    lines = table(apart, sf, "lineitem")
     return lines.agg(
         F.count("*").alias("n"), F.min("l_orderkey").alias("first_order"), F.max("l_orderkey").alias("last_order"),
         F.max("l_linenumber").alias("lines"),
@@ -60,8 +58,10 @@ WITH {EMP}, paid AS (SELECT * FROM emp WHERE salary > 2000)
 SELECT 'country' AS level, country AS name, count(*) AS n FROM paid GROUP BY country
 UNION ALL SELECT 'department', department, count(*) FROM paid GROUP BY department""")
 def cache_reuse(spark, sf):
-    """One cached frame feeds both branches; it holds the grouped counts, which are few, and not the rows."""
-    paid = emp(spark, sf).filter("salary > 2000").groupBy("country", "department").agg(F.count("*").alias("c")).persist()
+    """One kept result feeds both branches; it holds the grouped counts, which are few, and not the rows. It lies in the shared
+    scratch, so nothing stays in the memory of executors."""
+    paid = emp(spark, sf).filter("salary > 2000").groupBy("country", "department").agg(F.count("*").alias("c"))
+    paid = land(paid, "paid")
     parts = [
         paid.groupBy(F.lit(level).alias("level"), F.col(level).alias("name")).agg(F.sum("c").alias("n"))
         for level in ("country", "department")

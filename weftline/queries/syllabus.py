@@ -85,8 +85,8 @@ def nth_value(spark, sf, n: int = 2):
     rows = emp(spark, sf).select("emp_id", "department", "salary")
     best_first = W.partitionBy("department").orderBy(F.desc("salary"), "emp_id")
     nth = rows.withColumn("rn", F.row_number().over(best_first)).filter(F.col("rn") <= n).filter(F.col("rn") == n)
-    second = settle(nth.select("department", F.col("salary").alias("second_salary")))
-    return rows.join(second, "department", "left")
+    second = settle(nth.select(F.col("department").alias("of"), F.col("salary").alias("second_salary")))
+    return rows.join(second, F.col("department").eqNullSafe(F.col("of")), "left").drop("of")
 
 
 TREE = """
@@ -288,12 +288,12 @@ def stateful_per_key(spark, sf):
     return last.select("user_id", "s.n", F.round("s.total", 2).alias("total"))
 
 
-HASH = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
+HASH = "md5({})"
 
 
 @query("star_schema_build", f"""
-SELECT {HASH.format("CAST(o_custkey AS VARCHAR)")} AS customer_key, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key,
-  {HASH.format("c_mktsegment || '|' || CAST(c_nationkey AS VARCHAR)")} AS segment_key, o_orderkey, o_totalprice,
+SELECT {HASH.format("len(CAST(o_custkey AS VARCHAR)) || ':' || o_custkey")} AS customer_key, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key,
+  {HASH.format("len(c_mktsegment) || ':' || c_mktsegment || '|' || len(CAST(c_nationkey AS VARCHAR)) || ':' || c_nationkey")} AS segment_key, o_orderkey, o_totalprice,
   round(sum(o_totalprice) OVER (PARTITION BY c_mktsegment, c_nationkey, strftime(o_orderdate, '%Y%m')), 2) AS month_total
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 def star_schema_build(spark, sf):
@@ -369,17 +369,22 @@ EMAIL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z0-9]"
 PHONE = r"\+[0-9]+ \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
 
 
+#: The salt where the session sets none in spark.weftline.pii.salt: for tests only.
+SALT = "pepper"
+
+
 @query("pii_tokenize", rf"""
 SELECT doc_id, md5(regexp_replace(regexp_replace(text, '{EMAIL}', '<email>', 'g'), '{PHONE}', '<phone>', 'g')) AS masked_digest,
-  CAST(len(regexp_extract_all(text, '{EMAIL}')) AS INTEGER) AS emails, substr(sha256('pepper|' || source), 1, 16) AS source_token FROM documents""")
+  CAST(len(regexp_extract_all(text, '{EMAIL}')) AS INTEGER) AS emails, substr(sha256('{SALT}|' || source), 1, 16) AS source_token FROM documents""")
 def pii_tokenize(spark, sf):
-    """Addresses and numbers masked in the whole text; the source replaced by a salted token."""
+    """Addresses and numbers masked in the whole text; the source replaced by a token salted with the session's secret."""
+    salt = spark.conf.get("spark.weftline.pii.salt", SALT)
     text = F.regexp_replace(F.regexp_replace("text", EMAIL, "<email>"), PHONE, "<phone>")
     return table(spark, sf, "documents").select(
         "doc_id",
         F.md5(text).alias("masked_digest"),
         F.size(F.regexp_extract_all("text", F.lit(EMAIL), F.lit(0))).alias("emails"),
-        F.substring(F.sha2(F.concat(F.lit("pepper|"), "source"), 256), 1, 16).alias("source_token"),
+        F.substring(F.sha2(F.concat(F.lit(f"{salt}|"), "source"), 256), 1, 16).alias("source_token"),
     )
 
 
@@ -404,11 +409,11 @@ SELECT 'scalar' AS form, event_type, round(sum(ln(1 + value)), 4) AS result FROM
 UNION ALL SELECT 'aggregate', event_type, round(sum(value * value), 4) FROM events GROUP BY event_type
 UNION ALL SELECT 'map', event_type, round(avg(value), 6) FROM events GROUP BY event_type""")
 def pandas_udf_forms(spark, sf, chunk: int = 100_000):
-    """Grouped forms run on numbered chunks of a group, so no task loads a whole hot group; totals combine natively."""
+    """Grouped forms run on hashed chunks of a group, so no task loads a whole hot group; totals combine natively."""
     events = table(spark, sf, "events").select("event_id", "event_type", "value")
     scalar = events.groupBy("event_type").agg(F.round(F.sum(log_scaled("value")), 4).alias("result"))
-    placed = running(events, ["event_type"], [("event_id", False)], position="pos")
-    chunks = placed.withColumn("part", F.floor((F.col("pos") - 1) / chunk))
+    parts = max(1, -(-events.count() // chunk))
+    chunks = events.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(parts)))
     partial = chunks.groupBy("event_type", "part").agg(squares("value").alias("s"))
     aggregate = partial.groupBy("event_type").agg(F.round(F.sum("s"), 4).alias("result"))
     moments = chunks.groupBy("event_type", "part").applyInPandas(chunk_moments, "event_type string, n long, total double")

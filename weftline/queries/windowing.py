@@ -141,7 +141,7 @@ def rows_frames(spark, sf, **sizing):
 
 
 @query("range_frame_value", f"""
-WITH {EMP} SELECT emp_id, salary, round(avg(CAST(salary AS DECIMAL(18,2))) OVER
+WITH {EMP} SELECT emp_id, salary, round(avg(CAST(salary AS DECIMAL(28,10))) OVER
   (ORDER BY salary RANGE BETWEEN 500 PRECEDING AND 500 FOLLOWING), 4) AS avg_within_range FROM emp""")
 def range_frame_value(spark, sf, **sizing):
     rows = staff(spark, sf).select("emp_id", "salary")
@@ -150,8 +150,8 @@ def range_frame_value(spark, sf, **sizing):
 
 
 @query("named_window", f"""
-WITH {EMP} SELECT emp_id, department, salary, round(avg(CAST(salary AS DECIMAL(18,2))) OVER w, 4) AS dept_avg, max(salary) OVER w AS dept_max,
-  min(salary) OVER w AS dept_min, round(salary - round(avg(CAST(salary AS DECIMAL(18,2))) OVER w, 4), 4) AS delta_from_avg FROM emp
+WITH {EMP} SELECT emp_id, department, salary, round(avg(salary) OVER w, 4) AS dept_avg, max(salary) OVER w AS dept_max,
+  min(salary) OVER w AS dept_min, round(salary - round(avg(salary) OVER w, 4), 4) AS delta_from_avg FROM emp
 WINDOW w AS (PARTITION BY department ORDER BY salary ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
 def named_window(spark, sf):
     rows = attach_group(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -54,19 +56,24 @@ def load_pairs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame(spark.sparkContext.sequenceFile(path), schema)
 
 
-def read_evolved(spark: SparkSession, path: str, wanted: dict[str, tuple[str, object]]) -> DataFrame:
-    """Read files written under older and newer schemas as the ``wanted`` schema ``{column: (type, default)}``.
+def read_evolved(spark: SparkSession, generations: list[str], wanted: dict[str, tuple[str, object]]) -> DataFrame:
+    """Read folders written under older and newer schemas as the ``wanted`` schema ``{column: (type, default)}``.
 
-    A column missing from some files is filled with its default, a column no longer wanted is dropped. A column whose
-    stored type differs from the wanted one is a breaking change and raises.
+    The files of one folder have one schema. A column a folder lacks is filled with its default there; a null that is
+    stored stays a null. A column no longer wanted is dropped. What breaks readers raises: a stored type that differs,
+    and a wanted column without a default that a folder lacks, as after a rename.
     """
-    merged = spark.read.option("mergeSchema", "true").parquet(path)
-    stored = dict(merged.dtypes)
-    clash = [c for c, (kind, _) in wanted.items() if c in stored and stored[c] != kind]
-    if clash:
-        raise TypeError(f"stored type differs for {clash}")
-    columns = []
-    for name, (kind, default) in wanted.items():
-        fallback = F.lit(default).cast(kind)
-        columns.append((F.coalesce(F.col(name), fallback) if name in stored else fallback).alias(name))
-    return merged.select(*columns)
+    parts = []
+    for folder in generations:
+        rows = spark.read.parquet(folder)
+        stored = dict(rows.dtypes)
+        clash = [c for c, (kind, _) in wanted.items() if c in stored and stored[c] != kind]
+        if clash:
+            raise TypeError(f"stored type differs for {clash} in {folder}")
+        lost = [c for c, (_, default) in wanted.items() if c not in stored and default is None]
+        if lost:
+            raise TypeError(f"no {lost} in {folder} and no default")
+        parts.append(rows.select(*[
+            F.col(c) if c in stored else F.lit(default).cast(kind).alias(c) for c, (kind, default) in wanted.items()
+        ]))
+    return reduce(DataFrame.unionByName, parts)
