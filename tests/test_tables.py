@@ -117,7 +117,7 @@ def test_bucketed_join_with_hot_keys(spark):
 
 
 def test_codecs_change_bytes_not_rows(spark, sf):
-    rows = layout.codec_matrix(spark, sf).collect()
+    rows = layout.codec_sizes(spark, sf).collect()
     assert len(rows) == sum(len(c) for c in layout.CODECS.values())
     assert {r.rows_read for r in rows} == {table(spark, sf, "events").count()}
     size = {(r.format, r.codec): r.bytes for r in rows}
