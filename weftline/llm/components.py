@@ -29,7 +29,6 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.select("u", "v").unionByName(edges.select(v.alias("u"), u.alias("v")))
         least = both.groupBy(u.alias("k")).agg(F.min("v").alias("m"))
         large = both.join(least, u == F.col("k")).filter(v > u).select(v.alias("u"), F.least("m", u).alias("v"))
-        large = large.distinct()
         low = large.groupBy(u.alias("k")).agg(F.min("v").alias("m"))
         small = large.join(low, u == F.col("k"))
         small = small.select(F.col("k").alias("u"), F.col("m").alias("v")).unionByName(
@@ -42,3 +41,17 @@ def components(links: DataFrame) -> DataFrame:
         raise RuntimeError("components did not settle")
     return edges.select(u.alias("node"), v.alias("root")).unionByName(
         edges.select(v.alias("node"), v.alias("root")).distinct())
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """(node, root) of a forest given as (node, parent), every node once, by pointer jumping."""
+    state = land(parents.select("node", F.col("parent").alias("root")), "parents")
+    for _ in range(ROUNDS):
+        up = state.select(F.col("node").alias("k"), F.col("root").alias("above"))
+        state = land(state.join(up, F.col("root") == F.col("k"), "left").select(
+            "node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")), "parents")
+        if state.filter("moved").isEmpty():
+            break
+    else:
+        raise RuntimeError("the forest is too deep")
+    return state.select("node", "root").unionByName(state.select(F.col("root").alias("node"), "root").distinct())

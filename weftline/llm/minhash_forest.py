@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from weftline.llm.components import components
+from weftline.llm.components import components, roots
 from weftline.plans.sizing import broadcast_if_small
 from weftline.session import land
 
@@ -35,7 +35,6 @@ DEPTH = 6
 NEIGHBOURS = 4
 #: Classes one region may hold before it is cut at a deeper prefix.
 REGION = 256
-ROUNDS = 4
 WIDTH = 4  # bytes of one value in a signature
 
 _mix = np.random.default_rng(20240611)
@@ -107,7 +106,7 @@ def tree_prefix(tree: int, depth: int) -> Column:
 def by_tree(classes: DataFrame, depths: range) -> DataFrame:
     trees = F.array(*[F.struct(F.lit(t).alias("tree"), *[tree_prefix(t, d).alias(f"p{d}") for d in depths])
                       for t in range(TREES)])
-    return classes.select("cls", F.explode(trees).alias("x")).select("cls", "x.*")
+    return classes.select("cls", "n", F.explode(trees).alias("x")).select("cls", "n", "x.*")
 
 
 def regions(rows: DataFrame, size: int = REGION) -> DataFrame:
@@ -128,21 +127,28 @@ def regions(rows: DataFrame, size: int = REGION) -> DataFrame:
     return rows.withColumn("region", region).drop(*[f"m{d}" for d in depths])
 
 
+def sized(n: Column, m: Column) -> Column:
+    """Sets of these sizes can be similar enough."""
+    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+
+
 def neighbours(rows: DataFrame) -> DataFrame:
     """Candidate pairs (a > b) with the number of trees they are neighbours in."""
     order = W.partitionBy("region").orderBy(*[f"p{d}" for d in range(FIRST_DEPTH + 1, DEPTH + 1)], "cls")
-    before = F.array(*[F.lag("cls", k).over(order) for k in range(1, NEIGHBOURS + 1)])
-    near = rows.select("cls", before.alias("near")).select("cls", F.explode("near").alias("other")).filter("other IS NOT NULL")
-    return near.select(F.greatest("cls", "other").alias("a"), F.least("cls", "other").alias("b")).filter(
-        "a != b").groupBy("a", "b").agg(F.count("*").alias("trees"))
+    before = F.array(*[F.lag(F.struct("cls", "n"), k).over(order) for k in range(1, NEIGHBOURS + 1)])
+    near = rows.select("cls", "n", before.alias("near")).select("cls", "n", F.explode("near").alias("x")).filter(
+        F.col("x").isNotNull() & (F.col("cls") != F.col("x.cls")) & sized(F.col("n"), F.col("x.n")))
+    return near.select(F.greatest("cls", "x.cls").alias("a"), F.least("cls", "x.cls").alias("b")).groupBy("a", "b").agg(
+        F.count("*").alias("trees"))
 
 
 def heads(rows: DataFrame) -> DataFrame:
     """Pairs that tie the slices of one crowded full-depth prefix together: the first class of each to the first of all."""
-    first = rows.groupBy(f"p{DEPTH}", "region").agg(F.min("cls").alias("a"))
-    top = first.groupBy(F.col(f"p{DEPTH}").alias("k")).agg(F.min("a").alias("b"), F.count("*").alias("parts")).filter("parts > 1")
-    return first.join(top, F.col(f"p{DEPTH}") == F.col("k")).filter("a != b").select(
-        "a", "b", F.lit(1).cast("long").alias("trees"))
+    first = rows.groupBy(f"p{DEPTH}", "region").agg(F.min(F.struct("cls", "n")).alias("x"))
+    top = first.groupBy(F.col(f"p{DEPTH}").alias("k")).agg(F.min("x").alias("y"), F.count("*").alias("parts")).filter("parts > 1")
+    return first.join(top, F.col(f"p{DEPTH}") == F.col("k")).filter(
+        (F.col("x.cls") != F.col("y.cls")) & sized(F.col("x.n"), F.col("y.n"))).select(
+        F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.lit(1).cast("long").alias("trees"))
 
 
 @F.pandas_udf(LongType())
@@ -153,12 +159,10 @@ def shared(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. Sizes alone rule many out before sets travel."""
+    """The pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("cls").alias("ca"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("cls").alias("cb"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    sized = pairs.join(left.drop("sa"), F.col("a") == F.col("ca")).join(right.drop("sb"), F.col("b") == F.col("cb")).filter(
-        100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b", "na", "nb")
-    both = sized.join(left.drop("na"), F.col("a") == F.col("ca")).join(right.drop("nb"), F.col("b") == F.col("cb"))
+    both = pairs.select("a", "b").join(left, F.col("a") == F.col("ca")).join(right, F.col("b") == F.col("cb"))
     common = both.select("a", "b", "na", "nb", shared("sa", "sb").alias("common"))
     return land(common.filter(100 * F.col("common") >= PERCENT * (F.col("na") + F.col("nb") - F.col("common"))).select(
         "a", "b"), "links")
@@ -173,10 +177,10 @@ def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.select(*pairs.columns, ra.alias("ra"), rb.alias("rb")).filter(F.col("ra") != F.col("rb"))
 
 
-def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links. Only the components that the links touch are computed again."""
-    if labels is None:
-        return land(components(links), "labels")
+    if links.isEmpty():
+        return labels
     lifted = across(links, labels).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     up = land(components(lifted), "roots").select(F.col("node").alias("k"), F.col("root").alias("top"))
     known = labels.join(up, F.col("root") == F.col("k"), "left").select("node", F.coalesce("top", "root").alias("root"))
@@ -185,26 +189,22 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def link(candidates: DataFrame, sets: DataFrame) -> DataFrame:
-    """Components of the confirmed candidates. Pairs inside one component need no check, so first every class tries its
-    best partner, then every two components their best pair, and in the end all pairs that still lie across."""
-    best = F.max_by(F.col("b"), F.struct("trees", "b"))
-    tried = land(candidates.groupBy("a").agg(best.alias("b")), "tried")
-    labels = merged(None, confirm(tried, sets))
-    left = candidates
-    for step in range(ROUNDS):
-        left = land(across(left.join(tried, ["a", "b"], "left_anti").select("a", "b", "trees"), labels), "left")
-        if left.isEmpty():
-            break
-        if step == ROUNDS - 1:
-            tried = left.select("a", "b")
-        else:
-            tried = land(left.groupBy(F.least("ra", "rb").alias("x"), F.greatest("ra", "rb").alias("y")).agg(
-                F.max_by(F.struct("a", "b"), F.struct("trees", "a", "b")).alias("p")).select("p.a", "p.b"), "tried")
-        found = confirm(tried, sets)
-        if not found.isEmpty():
-            labels = merged(labels, found)
-        left = left.select("a", "b", "trees")
-    return labels
+    """Components of the confirmed candidates.
+
+    Pairs inside one component need no check. So first every class tries its best partner among those before it, which
+    gives a forest; then every two components their best pair; in the end all pairs that still lie across are checked.
+    """
+    tried = land(candidates.groupBy("a").agg(F.max_by(F.col("b"), F.struct("trees", "b")).alias("b")), "tried")
+    forest = confirm(tried, sets)
+    labels = land(roots(forest.select(F.col("a").alias("node"), F.col("b").alias("parent"))), "labels")
+    left = land(across(candidates.join(tried, ["a", "b"], "left_anti"), labels), "left")
+    if left.isEmpty():
+        return labels
+    tried = land(left.groupBy(F.least("ra", "rb").alias("x"), F.greatest("ra", "rb").alias("y")).agg(
+        F.max_by(F.struct("a", "b"), F.struct("trees", "a", "b")).alias("p")).select("p.a", "p.b"), "tried")
+    labels = merged(labels, confirm(tried, sets))
+    left = land(across(left.select("a", "b").join(tried, ["a", "b"], "left_anti"), labels), "left")
+    return labels if left.isEmpty() else merged(labels, confirm(left, sets))
 
 
 def open_regions(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -232,7 +232,9 @@ def spread_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def exact_pairs(classes: DataFrame, sets: DataFrame) -> DataFrame:
     """All pairs across components that can reach the threshold: they share a shingle among each one's rarest ones.
 
-    A class of n shingles keeps n - ceil(0.75 n) + 1 of them; common passages come last in that order and drop out.
+    A class of n shingles keeps n - ceil(0.75 n) + 1 of them; common passages come last in that order and drop out. If a
+    shared one is the first that two classes share, no more can be shared than either has from there on; a pair for which
+    that is too little is not made there, and a pair that can reach the threshold is made at its first shared one.
     """
     chosen = sets.join(classes.withColumnRenamed("cls", "c"), F.col("cls") == F.col("c")).select("cls", "root", "n", "shingles")
     postings = land(chosen.mapInPandas(spread_sets, POSTINGS), "postings")
@@ -240,11 +242,13 @@ def exact_pairs(classes: DataFrame, sets: DataFrame) -> DataFrame:
     ranked = postings.join(often, F.col("s") == F.col("t")).groupBy("cls", "root", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "s"))).alias("all"))
     keep = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    rare = land(ranked.select("cls", "root", "n", F.explode(F.slice("all", F.lit(1), keep.cast("int"))).alias("x")).filter(
-        "x.df > 1").select("cls", "root", "n", F.col("x.s").alias("s")), "rare")
-    other = rare.select(F.col("cls").alias("b"), F.col("root").alias("rb"), F.col("n").alias("m"), F.col("s").alias("t"))
+    rare = land(ranked.select("cls", "root", "n", F.posexplode(F.slice("all", F.lit(1), keep.cast("int"))).alias("i", "x")).filter(
+        "x.df > 1").select("cls", "root", "n", "i", F.col("x.s").alias("s")), "rare")
+    other = rare.select(F.col("cls").alias("b"), F.col("root").alias("rb"), F.col("n").alias("m"), F.col("i").alias("j"),
+                        F.col("s").alias("t"))
+    most = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
     met = rare.join(other, (F.col("s") == F.col("t")) & (F.col("cls") > F.col("b")) & (F.col("root") != F.col("rb"))
-                    & (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")))
+                    & ((100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("m"))))
     return met.select(F.col("cls").alias("a"), "b").distinct()
 
 
@@ -264,11 +268,7 @@ def class_labels(docs: DataFrame, signed: DataFrame, region: int = REGION) -> Da
     candidates = land(neighbours(rows).unionByName(heads(rows)).groupBy("a", "b").agg(F.sum("trees").alias("trees")), "candidates")
     labels = link(candidates, sets)
     rest = land(open_regions(rows, labels), "open")
-    if not rest.isEmpty():
-        found = confirm(exact_pairs(rest, sets), sets)
-        if not found.isEmpty():
-            labels = merged(labels, found)
-    return labels
+    return labels if rest.isEmpty() else merged(labels, confirm(land(exact_pairs(rest, sets), "rest"), sets))
 
 
 def grouped(docs: DataFrame, region: int = REGION) -> DataFrame:
@@ -294,14 +294,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat an id one stays, chosen among the texts that are kept; rows without an id stay as they are.
     """
-    with_id = docs.filter(F.col("doc_id").isNotNull())
+    with_id = docs.filter(docs["doc_id"].isNotNull())
     groups = land(grouped(with_id), "groups")
-    gone = broadcast_if_small(land(groups.groupBy("doc_id").agg(F.max("kept").alias("any")).filter("NOT any").select(
-        F.col("doc_id").alias("gone")), "gone"))
-    again = broadcast_if_small(land(groups.groupBy("doc_id").count().filter("count > 1").select(
-        F.col("doc_id").alias("again")), "again"))
-    left = with_id.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    once = left.join(again, F.col("doc_id") == F.col("again"), "left_anti")
-    repeated = left.join(again, F.col("doc_id") == F.col("again"), "left_semi").dropDuplicates(["doc_id"])
-    parts = [once, repeated, docs.filter(F.col("doc_id").isNull())]
+    gone = broadcast_if_small(land(groups.groupBy("doc_id").agg(F.max("kept").alias("any")).filter("NOT any").select("doc_id"), "gone"))
+    again = broadcast_if_small(land(groups.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again"))
+    left = with_id.join(gone, with_id["doc_id"] == gone["doc_id"], "left_anti")
+    once = left.join(again, left["doc_id"] == again["doc_id"], "left_anti")
+    repeated = left.join(again, left["doc_id"] == again["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    parts = [once, repeated, docs.filter(docs["doc_id"].isNull())]
     return reduce(DataFrame.unionByName, parts)
