@@ -86,3 +86,14 @@ def test_registered_windows_in_sliced_form(spark, sf, name):
     got = spark_rows(getattr(windowing, name)(spark, sf, group_rows=0))
     assert got[0] == want[0]
     assert sorted(got[2], key=sort_key) == want[2]
+
+
+def test_a_group_and_a_tie_cross_slices(spark):
+    from weftline.operators.ordered import slice_rows
+
+    rows = spark.range(4000).selectExpr("IF(id < 3600, 'hot', 'cold') AS g", "CAST(id % 40 AS DOUBLE) AS v", "id")
+    sliced = slice_rows(rows, ["g"], [("v", False), ("id", False)])
+    assert sliced.select("_slice").distinct().count() >= 4
+    assert sliced.filter("g = 'hot'").select("_slice").distinct().count() >= 4  # one group in several slices
+    crossing = sliced.groupBy("g", "v").agg(F.count_distinct("_slice").alias("n")).filter("n > 1")
+    assert crossing.count() > 0  # one value in two slices

@@ -22,6 +22,8 @@ from weftline.session import land
 
 Order = list[tuple[str, bool]]  # (column, descending); the last column makes the order total
 FRAME_BLOCK = 1_000_000
+#: Rows of one slice, and the fewest slices a sliced plan is worth.
+SLICE_ROWS, LEAST_SLICES = 1_000_000, 8
 #: Decimals kept in the running sums of value frames; a double has about as many after the point of a price.
 DIGITS = 10
 
@@ -36,7 +38,9 @@ def needs_slices(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS) -
 
 
 def slice_rows(df: DataFrame, keys: list[str], order: Order) -> DataFrame:
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *sort_columns(order))
+    """Rows in ranges of (keys, order). The number of ranges follows the rows and is given, so that it is not merged."""
+    slices = max(LEAST_SLICES, -(-df.count() // SLICE_ROWS))
+    ranged = df.repartitionByRange(slices, *[F.col(k) for k in keys], *sort_columns(order))
     return land(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
