@@ -8,6 +8,7 @@ with each document.
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -67,12 +68,13 @@ def step(model: Gru, x: np.ndarray, h: np.ndarray):
 
 def lanes(lengths: list[int], count: int) -> list[list[int]]:
     """Deal documents to lanes of about equal length, longest first."""
+    count = max(1, min(count, -(-sum(lengths) // max(lengths, default=1))))  # no more than the longest one keeps busy
     out: list[list[int]] = [[] for _ in range(count)]
-    load = np.zeros(count, np.int64)
+    load = [(0, k) for k in range(count)]
     for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
-        at = int(load.argmin())
+        used, at = load[0]
         out[at].append(i)
-        load[at] += lengths[i]
+        heapq.heapreplace(load, (used + lengths[i], at))
     return [x for x in out if x]
 
 
@@ -93,7 +95,7 @@ def layout(docs: list[np.ndarray], count: int) -> tuple[np.ndarray, np.ndarray,
 
 def previous(ids: np.ndarray, starts: np.ndarray, as_input: np.ndarray, start_id: int) -> np.ndarray:
     """Input ids: the word before, or the start sign at the beginning of a document."""
-    before = np.full(ids.shape, start_id, np.int64)
+    before = np.full(ids.shape, start_id, np.int32)
     before[1:] = as_input[np.maximum(ids[:-1], 0)]
     before[starts] = start_id
     return before
@@ -114,7 +116,7 @@ def by_class(classes: np.ndarray, sizes: dict[int, int]):
             yield c, order[ends[c]:ends[c + 1]]
 
 
-def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], count: int = 192,
+def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], count: int = 384,
           window: int = 32) -> np.ndarray:
     """Natural log probability of each document's classes, and of the words in classes with a softmax of their own."""
     totals = np.zeros(len(docs))

@@ -16,8 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from weftline.llm import gru
 from weftline.llm.common import fold
@@ -34,7 +33,8 @@ CLASSES_PER_GROUP = 14
 SOFT_WORDS = 48
 #: The model is fitted on whole documents in hash order, at most so many of them and about so many tokens.
 SAMPLE_DOCS, SAMPLE_TOKENS = 1_000, 250_000
-FLUSH = 200_000
+FLUSH = 100_000
+BATCH_DOCS = 5_000
 #: Never a word, as it holds a space.
 END = " end"
 
@@ -50,9 +50,9 @@ def tokens(text: str | None) -> list[str]:
     return [w for w in words_of(text) if w]
 
 
-def letters(word: str) -> tuple[str, ...]:
-    """What the group of an unseen word is guessed from."""
-    return ("<" + word[:2], word[-3:] + ">", word[-2:] + ">", *(c for c in set(word) if ord(c) > 127))
+def letters(word: str) -> tuple[str, str]:
+    """The endings an unseen word's group is told by, the longer one first."""
+    return word[-3:] + ">", word[-2:] + ">"
 
 
 @dataclass
@@ -62,8 +62,8 @@ class Vocabulary:
     ids: dict[str, int]
     counts: np.ndarray
     groups: np.ndarray
-    hints: dict[str, np.ndarray]
-    group_prior: np.ndarray
+    endings: dict[str, int]
+    common_group: int
     output: gru.Output
     shares: np.ndarray  # natural log of the word's share in its class; 0 where the class has a softmax, and for rare ids
     as_input: np.ndarray
@@ -76,15 +76,14 @@ class Vocabulary:
         return len(self.ids)
 
     def rare_group(self, word: str) -> int:
-        return guess(word, self.hints, self.group_prior)
+        return guess(word, self.endings, self.common_group)
 
 
-def guess(word: str, hints: dict[str, np.ndarray], prior: np.ndarray) -> int:
-    total = prior.copy()
+def guess(word: str, endings: dict[str, int], common: int) -> int:
     for k in letters(word):
-        if k in hints:
-            total += hints[k]
-    return int(total.argmax())
+        if k in endings:
+            return endings[k]
+    return common
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -141,9 +140,9 @@ def vocabulary(head: list[tuple[str, int]], ends: int, docs: list[list[str]], ra
         for k in letters(w):
             hints.setdefault(k, np.zeros(GROUPS))[g] += 1
     rows = np.bincount(list(own.values()) or [0], minlength=GROUPS) + 1.0
-    hints = {k: np.log((v + 0.05) / (rows + 1)) for k, v in hints.items() if v.sum() > 1}
-    prior = np.log(rows / rows.sum())
-    groups = np.array([own[w] if w in own else guess(w, hints, prior) for w, _ in head] or [], np.int64)
+    endings = {k: int((v / rows).argmax()) for k, v in hints.items() if v.sum() > 2}
+    common = int(rows.argmax())
+    groups = np.array([own[w] if w in own else guess(w, endings, common) for w, _ in head] or [], np.int64)
     counts = np.array([c for _, c in head], np.int64)
 
     classes, place, sizes, word_counts = np.zeros(len(head) + 1 + GROUPS, np.int64), np.full(len(head) + 1 + GROUPS, -1), {}, {}
@@ -169,30 +168,28 @@ def vocabulary(head: list[tuple[str, int]], ends: int, docs: list[list[str]], ra
     used = min(OWN_INPUT, len(head))
     as_input = used + classes
     as_input[:used] = np.arange(used)
-    return Vocabulary(ids, counts, groups, hints, prior, gru.Output(classes, place, sizes), shares, as_input,
+    return Vocabulary(ids, counts, groups, endings, common, gru.Output(classes, place, sizes), shares, as_input,
                       used + n + 1 + GROUPS, np.array(totals, float), word_counts)
 
 
 class Reader:
-    """Word ids of texts; rare words are remembered within bounds."""
+    """Word ids of texts. Rare words are not remembered: their group is two look-ups."""
 
     def __init__(self, vocabulary: Vocabulary):
-        reader, self.vocabulary = self, vocabulary
+        self.vocabulary = vocabulary
+        first_rare, group = vocabulary.end + 1, vocabulary.rare_group
 
         class Ids(dict):
             def __missing__(self, word: str) -> int:
-                if len(self) > len(vocabulary.ids) + 300_000:
-                    self.clear()
-                    self.update(vocabulary.ids)
-                out = self[word] = vocabulary.end + 1 + vocabulary.rare_group(word)
-                return out
+                return first_rare + group(word)
 
         self.ids = Ids(vocabulary.ids)
 
-    def read(self, text: str | None) -> tuple[np.ndarray, list[str]]:
+    def read(self, text: str | None) -> tuple[np.ndarray, str]:
+        """Ids with the end, and the rare words joined by blanks."""
         found = tokens(text)
         ids = np.fromiter(map(self.ids.__getitem__, found), np.int32, len(found))
-        rare = [found[i] for i in np.flatnonzero(ids > self.vocabulary.end).tolist()]
+        rare = " ".join([found[i] for i in np.flatnonzero(ids > self.vocabulary.end).tolist()])
         return np.append(ids, np.int32(self.vocabulary.end)), rare
 
 
@@ -246,7 +243,7 @@ def fit(docs: DataFrame) -> LanguageModel:
 PASS = StructType([
     StructField("doc_id", LongType()), StructField("held_out", BooleanType()), StructField("n_tokens", LongType()),
     StructField("known", LongType()), StructField("logs", DoubleType()), StructField("model", DoubleType()),
-    StructField("rare", ArrayType(StructType([StructField("word", StringType()), StructField("n", IntegerType())]))),
+    StructField("rare", StringType()),
 ])
 
 
@@ -266,8 +263,9 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
         logs = np.concatenate([np.log10(known.counts + 1.0), [np.log10(ends + 1.0)], np.zeros(rare_ids)])
         seen = np.concatenate([np.ones(len(known.counts), np.int64), [int(ends > 0)], np.zeros(rare_ids, np.int64)])
         for whole in batches:
-            for start in range(0, len(whole), 2000):
-                part = whole.iloc[start:start + 2000]
+            # long documents run beside many others, so a step through the lanes is never nearly empty
+            for start in range(0, len(whole), BATCH_DOCS):
+                part = whole.iloc[start:start + BATCH_DOCS]
                 read = [reader.read(t) for t in part["text"]]
                 ids = [i for i, _ in read]
                 total = gru.score(model, known.output, known.as_input, known.start_id, ids)
@@ -276,12 +274,12 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
                     "doc_id": part["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None),
                     "held_out": part["held_out"].to_numpy(), "n_tokens": [len(i) for i in ids],
                     "known": [int(seen[i].sum()) for i in ids], "logs": [float(logs[i].sum()) for i in ids],
-                    "model": total / np.log(10), "rare": [list(Counter(r).items()) for _, r in read],
+                    "model": total / np.log(10), "rare": [r for _, r in read],
                 })
 
     scanned = land(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out"
                                ).mapInPandas(passes, PASS).withColumn("row", F.monotonically_increasing_id()), "scanned")
-    words = scanned.select("row", F.explode("rare").alias("x")).select("row", F.col("x.word").alias("word"), F.col("x.n").alias("n"))
+    words = scanned.filter("rare <> ''").select("row", F.explode(F.split("rare", " ")).alias("word"), F.lit(1).alias("n"))
     shares = F.create_map(*[F.lit(x) for g, (n, v, d) in lm.rare.items() for x in (g, float(n))]) if lm.rare else None
     off = F.create_map(*[F.lit(x) for g, (n, v, d) in lm.rare.items() for x in (g, float(d))]) if lm.rare else None
     if lm.rare:
@@ -289,7 +287,6 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
     else:
         inside = lm.counts.select(F.col("word").alias("w"), "c", F.lit(0.0).alias("share"))
     new = {g: float(np.log10(d * v / n)) for g, (n, v, d) in lm.rare.items()}
-    guessed = shared.value[0]
 
     @F.pandas_udf(DoubleType())
     def unknown(words: pd.Series) -> pd.Series:
@@ -299,7 +296,6 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
     met = words.join(inside, F.col("word") == F.col("w"), "left")
     found = met.filter("c IS NOT NULL").select("row", "n", "c", "share")
     lost = met.filter("c IS NULL").select("row", "n", F.lit(0).cast("long").alias("c"), unknown("word").alias("share"))
-    del guessed
     sums = found.unionByName(lost).groupBy(F.col("row").alias("r")).agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_logs"), F.sum(F.col("n") * F.col("share")).alias("rare_model"))
