@@ -10,7 +10,6 @@ from pyspark.sql.types import DoubleType
 
 from weftline.adapters import EMP, SALES, emp, sales, table
 from weftline.operators.grouping import bags
-from weftline.operators.ordered import running
 from weftline.operators.rollups import (
     distinct_sketches,
     merge_sketches,
