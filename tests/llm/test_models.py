@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import clashing, documents, empty, rows
+from tests.llm.helpers import clashing, documents, rows
 from weftline.llm import gru, hash_forest, language_model, queries
 from weftline.llm.html_extract import extract, main_text
 
