@@ -33,6 +33,8 @@ CLASSES_PER_GROUP = 14
 SOFT_WORDS = 48
 #: The model is fitted on whole documents in hash order, at most so many of them and about so many tokens.
 SAMPLE_DOCS, SAMPLE_TOKENS = 1_000, 250_000
+#: Bins of the histogram for each doubling of a count.
+BINS = 16
 FLUSH = 100_000
 BATCH_DOCS = 5_000
 #: Never a word, as it holds a space.
@@ -104,6 +106,25 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(parts, kind).groupBy("word").agg(F.sum("c").alias("c")).filter("c > 0")
 
 
+def frequent(counts: DataFrame) -> list[tuple[str, int]]:
+    """The head words, most frequent first: those above a threshold of the counts that leaves at most HEAD.
+
+    The threshold is read from a histogram with a bounded number of bins, so no task sends more than what is kept.
+    """
+    level = F.floor(F.log2(F.col("c")) * BINS).cast("int")
+    able = counts.filter(F.col("c") >= HEAD_COUNT)
+    bins = sorted(able.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
+    lowest, kept = None, 0
+    for row in bins:
+        kept += row["count"]
+        if kept > HEAD:
+            break
+        lowest = row["level"]
+    if lowest is None:
+        return []
+    return sorted(((r["word"], r["c"]) for r in able.filter(level >= lowest).collect()), key=lambda x: (-x[1], x[0]))
+
+
 def document_groups(docs: list[list[str]], head: dict[str, int]) -> np.ndarray:
     """k-means of the sampled documents by their most frequent words."""
     top = min(256, len(head))
@@ -210,7 +231,7 @@ def fit(docs: DataFrame) -> LanguageModel:
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = (counts.filter(F.col("word") == END).first() or {"c": 0})["c"]
     plain = counts.filter(F.col("word") != END)
-    head = [(r["word"], r["c"]) for r in plain.filter(F.col("c") >= HEAD_COUNT).orderBy(F.desc("c"), "word").limit(HEAD).collect()]
+    head = frequent(plain)
     rare_total = total["n"] - ends - sum(c for _, c in head)
     sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_DOCS).select("text").collect()
     read, taken = [], 0
