@@ -162,3 +162,31 @@ def test_language_model_of_awkward_rows(spark):
     none = docs.filter("false")
     assert language_model.score(none, language_model.fit(none)).count() == 0
     assert all(r["n_known"] == 0 for r in language_model.score(docs, language_model.fit(none)).collect())
+
+
+def test_weights_and_groups_come_from_all_documents(spark, monkeypatch):
+    """Every third document is of a second kind, and all of these come after the first thousand in hash order."""
+    rng = np.random.default_rng(4)
+    names = lambda k: [f"{k}{a}{b}" for a in "abcdefgh" for b in "abcde"]
+    order = [r["doc_id"] for r in spark.range(2100).select(F.col("id").alias("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    kinds = {d: names("x") if at < 1400 else names("y") for at, d in enumerate(order)}
+
+    def text(words):
+        at, out = int(rng.integers(len(words))), []
+        for _ in range(20):  # each word tells the next
+            out.append(words[at])
+            at = (at + 1) % len(words)
+        return " ".join(out)
+
+    docs = language_model.split(spark.createDataFrame([(d, text(w)) for d, w in kinds.items()], "doc_id long, text string"))
+    monkeypatch.setattr(language_model, "WORKER_TOKENS", 12_000)
+    monkeypatch.setattr(gru, "LANES", 8)
+    lm = language_model.fit(docs)
+    groups = [{int(lm.vocabulary.groups[lm.vocabulary.ids[w]]) for w in names(k)} for k in "xy"]
+    assert groups[0].isdisjoint(groups[1])
+    out = {r["doc_id"]: r["score"] - r["base_score"] for r in language_model.score(docs, lm).collect()}
+    late = [v for d, v in out.items() if kinds[d][0][0] == "y"]
+    assert len(late) == 700 and min(late) > 0
+    first = gru.fresh(lm.vocabulary.start_id + 1, lm.vocabulary.output, lm.vocabulary.class_counts, lm.vocabulary.word_counts)
+    used = lm.model.inputs != first.inputs
+    assert all(used[lm.vocabulary.as_input[lm.vocabulary.ids[w]]].any() for k in "xy" for w in names(k))

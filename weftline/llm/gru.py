@@ -1,9 +1,8 @@
 """A gated recurrent language model over word classes, in numpy.
 
-The output is factored: the class of the next word given the state, then the word given its class. Frequent classes have a
-softmax of their own over the state, in the others words keep their share of the class. Training is backpropagation
-through windows of fixed length; the state is carried from window to window, in training as in scoring, and starts anew
-with each document.
+The output is factored: the class of the next word given the state, then the word given its class, each a softmax over the
+state. Training is backpropagation through windows of fixed length; the state is carried from window to window, in training
+as in scoring, and starts anew with each document. A word's vectors are updated only in windows that hold it or its class.
 """
 
 from __future__ import annotations
@@ -15,23 +14,25 @@ import numpy as np
 
 HIDDEN = 32
 WINDOW = 24
-LANES = 48
+LANES = 96
 EPOCHS = 2
 RATE = 0.01
 
 
 @dataclass
 class Output:
-    """The output side of a vocabulary: class of each word id, and for frequent classes the place inside it."""
+    """The output side of a vocabulary: class of each word id, and the place inside it."""
 
     classes: np.ndarray  # class of each word id
-    place: np.ndarray  # place inside the class, -1 where words have fixed shares
+    place: np.ndarray  # place inside the class, -1 where the class is one id
     sizes: dict[int, int]  # words of each class with a softmax of its own
 
 
 @dataclass
 class Gru:
-    inputs: np.ndarray  # input id x 3 hidden: update gate, reset gate, candidate
+    inputs: np.ndarray  # input id x hidden
+    into: np.ndarray  # hidden x 3 hidden: update gate, reset gate, candidate
+    bias: np.ndarray
     recur: np.ndarray  # hidden x 3 hidden
     to_class: np.ndarray
     class_bias: np.ndarray
@@ -39,7 +40,17 @@ class Gru:
     word_bias: dict[int, np.ndarray] = field(default_factory=dict)
 
     def params(self) -> list[np.ndarray]:
-        return [self.inputs, self.recur, self.to_class, self.class_bias, *self.to_word.values(), *self.word_bias.values()]
+        return [self.inputs, self.into, self.bias, self.recur, self.to_class, self.class_bias, *self.to_word.values(),
+                *self.word_bias.values()]
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([p.ravel() for p in self.params()])
+
+    def filled(self, flat: np.ndarray) -> Gru:
+        """The same model with other weights."""
+        parts = np.split(flat, np.cumsum([p.size for p in self.params()])[:-1])
+        a, b, c, d, e, f, *rest = [x.reshape(p.shape).astype(np.float32) for x, p in zip(parts, self.params(), strict=True)]
+        return Gru(a, b, c, d, e, f, dict(zip(self.to_word, rest)), dict(zip(self.word_bias, rest[len(self.to_word):])))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -51,7 +62,8 @@ def fresh(n_inputs: int, output: Output, class_counts: np.ndarray, word_counts:
     rng = np.random.default_rng(seed)
     small = lambda *shape: (rng.normal(size=shape) * 0.1).astype(np.float32)
     start = lambda c: np.log((c + 0.5) / (c + 0.5).sum()).astype(np.float32)
-    return Gru(small(n_inputs, 3 * HIDDEN), small(HIDDEN, 3 * HIDDEN), small(HIDDEN, len(class_counts)), start(class_counts),
+    return Gru(small(n_inputs, HIDDEN), small(HIDDEN, 3 * HIDDEN) * np.float32(4), np.zeros(3 * HIDDEN, np.float32),
+               small(HIDDEN, 3 * HIDDEN), small(HIDDEN, len(class_counts)), start(class_counts),
                {c: small(HIDDEN, n) * np.float32(0.1) for c, n in output.sizes.items()},
                {c: start(word_counts[c]) for c in output.sizes})
 
@@ -101,14 +113,18 @@ def previous(ids: np.ndarray, starts: np.ndarray, as_input: np.ndarray, start_id
     return before
 
 
-def log_softmax(logits: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1, keepdims=True)
-    logits = logits - top
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def softmax(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities, in place of the logits, and the natural log of the target's."""
+    logits -= logits.max(axis=1, keepdims=True)
+    found = logits[np.arange(len(logits)), target]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=1, keepdims=True)
+    logits /= total
+    return logits, found - np.log(total[:, 0])
 
 
 def by_class(classes: np.ndarray, sizes: dict[int, int]):
-    """Rows of each frequent class."""
+    """Rows of each class with a softmax of its own."""
     order = np.argsort(classes, kind="stable")
     ends = np.searchsorted(classes[order], np.arange(classes.max(initial=0) + 2))
     for c in sizes:
@@ -118,85 +134,118 @@ def by_class(classes: np.ndarray, sizes: dict[int, int]):
 
 def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], count: int = 384,
           window: int = 32) -> np.ndarray:
-    """Natural log probability of each document's classes, and of the words in classes with a softmax of their own."""
+    """Natural log probability of each document's classes and of the words in them."""
     totals = np.zeros(len(docs))
     if not docs:
         return totals
     ids, owner, starts = layout(docs, count)
     before = previous(ids, starts, as_input, start_id)
+    entering = model.inputs @ model.into + model.bias
     h = np.zeros((ids.shape[1], HIDDEN), np.float32)
     for at in range(0, len(ids), window):
         states = []
         for t in range(at, min(at + window, len(ids))):
             h = np.where(starts[t][:, None], np.float32(0), h)
-            h = step(model, model.inputs[before[t]], h)[0]
+            h = step(model, entering[before[t]], h)[0]
             states.append(h)
         live = ids[at:at + window] >= 0
         hidden, words, who = np.stack(states)[live], ids[at:at + window][live], owner[at:at + window][live]
         classes, place = output.classes[words], output.place[words]
-        part = log_softmax(hidden @ model.to_class + model.class_bias)[np.arange(len(words)), classes].astype(float)
+        part = softmax(hidden @ model.to_class + model.class_bias, classes)[1].astype(float)
         for c, rows in by_class(classes, output.sizes):
-            part[rows] += log_softmax(hidden[rows] @ model.to_word[c] + model.word_bias[c])[np.arange(len(rows)), place[rows]]
+            part[rows] += softmax(hidden[rows] @ model.to_word[c] + model.word_bias[c], place[rows])[1]
         totals += np.bincount(who, part, len(docs))
     return totals
 
 
-def train(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], epochs: int = EPOCHS) -> Gru:
-    """Adam over truncated windows. The order is fixed, so a rerun gives the same model."""
-    if not docs:
-        return model
-    ids, _, starts = layout(docs, LANES)
-    before = previous(ids, starts, as_input, start_id)
-    H, params = HIDDEN, model.params()
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    words = list(model.to_word)
-    turn = 0
-    for epoch in range(epochs):
+class Trainer:
+    """Adam over truncated windows, block of documents by block. The order is fixed, so a rerun gives the same model."""
+
+    def __init__(self, model: Gru, output: Output, as_input: np.ndarray, start_id: int):
+        self.model, self.output, self.as_input, self.start_id = model, output, as_input, start_id
+        self.params = model.params()
+        self.first = [np.zeros_like(p) for p in self.params]
+        self.second = [np.zeros_like(p) for p in self.params]
+        self.word_at = {c: 6 + k for k, c in enumerate(model.to_word)}
+        self.turn = 0
+
+    def update(self, grads: list[tuple[int, np.ndarray | None, np.ndarray]], rate: float) -> None:
+        """``grads``: parameter, its rows (or all), gradient."""
+        self.turn += 1
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for _, _, g in grads))
+        scale = np.float32(min(1.0, 1.0 / (norm + 1e-9)))
+        near, far = 1 - 0.9**self.turn, 1 - 0.99**self.turn
+        for k, rows, g in grads:
+            g = g * scale
+            at = slice(None) if rows is None else rows
+            m, s = self.first[k][at], self.second[k][at]
+            m = m + np.float32(0.1) * (g - m)
+            s = s + np.float32(0.01) * (g * g - s)
+            self.first[k][at], self.second[k][at] = m, s
+            self.params[k][at] -= np.float32(rate / near) * m / (np.sqrt(s * np.float32(1 / far)) + np.float32(1e-8))
+
+    def learn(self, docs: list[np.ndarray], rates: tuple[float, float]) -> None:
+        """One pass over ``docs``; the rate falls from the first of ``rates`` to the second."""
+        if not docs:
+            return
+        model, output, H = self.model, self.output, HIDDEN
+        ids, _, starts = layout(docs, LANES)
+        before = previous(ids, starts, self.as_input, self.start_id)
         h = np.zeros((ids.shape[1], H), np.float32)
         for at in range(0, len(ids), WINDOW):
+            met = before[at:at + WINDOW]
+            vectors = model.inputs[met]
+            entering = vectors @ model.into + model.bias
             kept = []
-            for t in range(at, min(at + WINDOW, len(ids))):
-                h0 = np.where(starts[t][:, None], np.float32(0), h)
-                h, z, r, n, side = step(model, model.inputs[before[t]], h0)
+            for t in range(len(met)):
+                h0 = np.where(starts[at + t][:, None], np.float32(0), h)
+                h, z, r, n, side = step(model, entering[t], h0)
                 kept.append((h0, z, r, n, side, h))
             live = ids[at:at + WINDOW] >= 0
             total = int(live.sum())
-            if not total:
-                continue
             hidden, target = np.stack([k[5] for k in kept])[live], ids[at:at + WINDOW][live]
             classes, place = output.classes[target], output.place[target]
-            error = np.exp(log_softmax(hidden @ model.to_class + model.class_bias))
+            error = softmax(hidden @ model.to_class + model.class_bias, classes)[0]
             error[np.arange(total), classes] -= 1
             error /= total
-            grads = [np.zeros_like(p) for p in params]
-            grads[2], grads[3] = hidden.T @ error, error.sum(axis=0)
+            grads: list[tuple[int, np.ndarray | None, np.ndarray]] = [(4, None, hidden.T @ error), (5, None, error.sum(axis=0))]
             d_hidden = error @ model.to_class.T
             for c, rows in by_class(classes, output.sizes):
-                e = np.exp(log_softmax(hidden[rows] @ model.to_word[c] + model.word_bias[c]))
+                e = softmax(hidden[rows] @ model.to_word[c] + model.word_bias[c], place[rows])[0]
                 e[np.arange(len(rows)), place[rows]] -= 1
                 e /= total
-                k = words.index(c)
-                grads[4 + k], grads[4 + len(words) + k] = hidden[rows].T @ e, e.sum(axis=0)
+                k = self.word_at[c]
+                grads += [(k, None, hidden[rows].T @ e), (k + len(self.word_at), None, e.sum(axis=0))]
                 d_hidden[rows] += e @ model.to_word[c].T
-            spread = np.zeros((len(kept), ids.shape[1], H), np.float32)
+            spread = np.zeros((*met.shape, H), np.float32)
             spread[live] = d_hidden
+            back = np.empty((*met.shape, 3 * H), np.float32)  # with regard to the recurrent side
+            enter = np.empty_like(back)  # with regard to what enters
             dh = np.zeros((ids.shape[1], H), np.float32)
             for t in range(len(kept) - 1, -1, -1):
                 h0, z, r, n, side, _ = kept[t]
                 dh = dh + spread[t]
                 dn = dh * (1 - z) * (1 - n * n)
-                dz = dh * (h0 - n) * z * (1 - z)
-                dr = dn * side * r * (1 - r)
-                grads[1] += h0.T @ np.hstack([dz, dr, dn * r])
-                np.add.at(grads[0], before[at + t], np.hstack([dz, dr, dn]))
-                dh = dh * z + np.hstack([dz, dr, dn * r]) @ model.recur.T
+                enter[t, :, :H] = dh * (h0 - n) * z * (1 - z)
+                enter[t, :, H:2 * H] = dn * side * r * (1 - r)
+                enter[t, :, 2 * H:] = dn
+                back[t] = enter[t]
+                back[t, :, 2 * H:] *= r
+                dh = dh * z + back[t] @ model.recur.T
                 dh[starts[at + t]] = 0
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
-            turn += 1
-            rate = RATE * (1 - 0.9 * (epoch + at / len(ids)) / epochs)
-            for p, g, m, s in zip(params, grads, first, second, strict=True):
-                g *= min(1.0, 1.0 / (norm + 1e-9))
-                m += 0.1 * (g - m)
-                s += 0.01 * (g * g - s)
-                p -= (rate * (m / (1 - 0.9**turn)) / (np.sqrt(s / (1 - 0.99**turn)) + 1e-8)).astype(p.dtype)
+            flat, states = enter.reshape(-1, 3 * H), np.stack([k[0] for k in kept]).reshape(-1, H)
+            order = np.argsort(met, axis=None, kind="stable")
+            sorted_ids = met.ravel()[order]
+            edges = np.flatnonzero(np.append(True, sorted_ids[1:] != sorted_ids[:-1]))
+            by_word = np.add.reduceat((flat @ model.into.T)[order], edges, axis=0)
+            grads += [(0, sorted_ids[edges], by_word), (1, None, vectors.reshape(-1, H).T @ flat), (2, None, flat.sum(axis=0)),
+                      (3, None, states.T @ back.reshape(-1, 3 * H))]
+            self.update(grads, rates[0] + (rates[1] - rates[0]) * at / len(ids))
+
+
+def train(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], epochs: int = EPOCHS) -> Gru:
+    trainer = Trainer(model, output, as_input, start_id)
+    fall = lambda done: RATE * (1 - 0.9 * done / epochs)
+    for epoch in range(epochs):
+        trainer.learn(docs, (fall(epoch), fall(epoch + 1)))
     return model

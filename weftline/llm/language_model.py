@@ -1,6 +1,7 @@
-"""Documents scored by the recurrent model: counts from the whole corpus, weights from a bounded sample.
+"""Documents scored by the recurrent model: counts, word groups and weights all come from the whole training corpus.
 
-Every training token is counted. The most frequent words (a bounded number) go to all tasks; what is left, of any size,
+Every training token is counted, and the model is trained on every training document: in each round the workers run over
+documents of their own from the same weights, and the mean of what they learn is written and starts the next round. The most frequent words (a bounded number) go to all tasks; what is left, of any size,
 stays a table that the rare words of each document are joined with. A word's class is a group of words that occur in the
 same kind of document, cut by frequency; rare and unknown words belong to the rare class of the group their letters
 suggest, so the class of any word is known without the join.
@@ -8,15 +9,18 @@ suggest, so the class of any word is known without the join.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType)
 
 from weftline.llm import gru
 from weftline.llm.common import fold
@@ -31,8 +35,13 @@ GROUPS = 6
 CLASSES_PER_GROUP = 14
 #: Words a class may have to get a softmax over the state.
 SOFT_WORDS = 48
-#: The model is fitted on whole documents in hash order, at most so many of them and about so many tokens.
-SAMPLE_DOCS, SAMPLE_TOKENS = 1_000, 250_000
+#: Words the documents are grouped by, and rounds of that grouping.
+TOP, ROUNDS_OF_GROUPS = 256, 6
+#: All documents are trained on once, in so many rounds with means of the weights between them; a corpus that one worker
+#: takes (fewer than twice WORKER_TOKENS) needs no means and, when smaller than FEW_TOKENS, is trained on several times.
+ROUNDS, WORKER_TOKENS, FEW_TOKENS, MOST_EPOCHS = 4, 2_000_000, 1_000_000, 4
+#: Tokens a worker lays out at a time, weights in one row of a table, and workers whose weights are averaged in one task.
+BLOCK_TOKENS, CHUNK, FAN = 500_000, 1 << 18, 16
 #: Bins of the histogram for each doubling of a count.
 BINS = 16
 FLUSH = 100_000
@@ -125,37 +134,103 @@ def frequent(counts: DataFrame) -> list[tuple[str, int]]:
     return sorted(((r["word"], r["c"]) for r in able.filter(level >= lowest).collect()), key=lambda x: (-x[1], x[0]))
 
 
-def document_groups(docs: list[list[str]], head: dict[str, int]) -> np.ndarray:
-    """k-means of the sampled documents by their most frequent words."""
-    top = min(256, len(head))
-    x = np.zeros((len(docs), top))
-    for i, d in enumerate(docs):
-        for w in d:
-            k = head.get(w, top)
-            if k < top:
-                x[i, k] += 1
-    x = np.sqrt(x / np.maximum(x.sum(axis=1, keepdims=True), 1))
-    centres = x[:1]
-    for _ in range(min(GROUPS, len(docs)) - 1):  # the document furthest from all centres so far
-        far = (1 - x @ centres.T).min(axis=1)
-        centres = np.vstack([centres, x[int(far.argmax())]])
-    for _ in range(12):
-        at = (x @ centres.T).argmax(axis=1)
-        centres = np.stack([x[at == g].mean(axis=0) if (at == g).any() else centres[g] for g in range(len(centres))])
-        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
-    return (x @ centres.T).argmax(axis=1)
-
-
-def vocabulary(head: list[tuple[str, int]], ends: int, docs: list[list[str]], rare_total: int) -> Vocabulary:
-    """``head`` in order of falling counts."""
+def features(docs: DataFrame, head: dict[str, int]) -> DataFrame:
+    """(x) for every document that has one of the TOP most frequent words: the square roots of their shares."""
+    shared = docs.sparkSession.sparkContext.broadcast({w: k for w, k in head.items() if k < TOP})
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = shares_of_top(batch["text"], shared.value)
+            yield pd.DataFrame({"x": [v.astype(np.float16).tobytes() for v in x[x.any(axis=1)]]})
+
+    return docs.select("text").mapInPandas(parts, StructType([StructField("x", BinaryType())]))
+
+
+def shares_of_top(texts: pd.Series, top: dict[str, int]) -> np.ndarray:
+    x = np.zeros((len(texts), TOP), np.float32)
+    for i, text in enumerate(texts):
+        found = [top[w] for w in tokens(text) if w in top]
+        x[i] = np.bincount(found, minlength=TOP)
+    return np.sqrt(x / np.maximum(x.sum(axis=1, keepdims=True), 1))
+
+
+def document_groups(rows: DataFrame) -> np.ndarray:
+    """k-means centres of all rows (x). The first centres are drawn by squared distance, with fixed random numbers."""
+    unpack = lambda xs: np.frombuffer(b"".join(xs), np.float16).reshape(-1, TOP).astype(np.float32)
+    centres = np.zeros((0, TOP), np.float32)
+    for turn in range(GROUPS):
+
+        def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = None
+            for batch in batches:
+                if not len(batch):
+                    continue
+                far = np.maximum(1 - (unpack(batch["x"]) @ centres.T).max(axis=1, initial=0), 0)
+                luck = (np.array([zlib.crc32(x, turn) for x in batch["x"]]) + 1.0) / (2.0**32 + 1)
+                late = np.where(far > 1e-3, -np.log(luck) / np.maximum(far, 1e-3), np.inf)
+                k = int(late.argmin())
+                if np.isfinite(late[k]) and (best is None or (late[k], batch["x"].iloc[k]) < best):
+                    best = (late[k], batch["x"].iloc[k])
+            if best:
+                yield pd.DataFrame({"late": [best[0]], "x": [best[1]]})
+
+        kind = StructType([StructField("late", DoubleType()), StructField("x", BinaryType())])
+        drawn = rows.mapInPandas(draw, kind).orderBy("late", "x").limit(1).collect()
+        if not drawn:
+            break
+        centres = np.vstack([centres, unpack([drawn[0]["x"]])])
+    for _ in range(ROUNDS_OF_GROUPS if len(centres) else 0):
+
+        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(centres.shape)
+            for batch in batches:
+                x = unpack(batch["x"])
+                at = (x @ centres.T).argmax(axis=1)
+                for g in np.unique(at):
+                    total[g] += x[at == g].sum(axis=0)
+            g, k = np.nonzero(total)
+            yield pd.DataFrame({"g": g, "k": k, "v": total[g, k]})
+
+        kind = StructType([StructField("g", LongType()), StructField("k", LongType()), StructField("v", DoubleType())])
+        found = rows.mapInPandas(sums, kind).groupBy("g", "k").agg(F.sum("v").alias("v")).collect()
+        moved = np.zeros(centres.shape)
+        for r in found:
+            moved[r["g"], r["k"]] = r["v"]
+        size = np.linalg.norm(moved, axis=1, keepdims=True)
+        centres = np.where(size > 0, moved / np.maximum(size, 1e-9), centres).astype(np.float32)
+    return centres
+
+
+def counts_by_group(docs: DataFrame, head: dict[str, int], centres: np.ndarray) -> np.ndarray:
+    """How often each head word occurs in the documents of each group, over all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast((head, centres))
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, middle = shared.value
+        top = {w: k for w, k in ids.items() if k < TOP}
+        held = np.zeros((GROUPS, len(ids)), np.int64)
+        for batch in batches:
+            at = (shares_of_top(batch["text"], top) @ middle.T).argmax(axis=1)
+            for g in np.unique(at):
+                found = [ids[w] for t in batch["text"][at == g] for w in tokens(t) if w in ids]
+                held[g] += np.bincount(found, minlength=len(ids))
+        g, k = np.nonzero(held)
+        yield pd.DataFrame({"g": g, "k": k, "n": held[g, k]})
+
+    out = np.zeros((len(head), GROUPS))
+    if not head or not len(centres):
+        return out
+    kind = StructType([StructField("g", LongType()), StructField("k", LongType()), StructField("n", LongType())])
+    sums = docs.select("text").mapInPandas(parts, kind).groupBy("k", "g").agg(F.sum("n").alias("n")).toPandas()
+    out[sums["k"], sums["g"]] = sums["n"]
+    return out
+
+
+def vocabulary(head: list[tuple[str, int]], ends: int, by_group: np.ndarray, rare_total: int) -> Vocabulary:
+    """``head`` in order of falling counts; ``by_group``: how often each occurs in each group of documents."""
     ids = {w: i for i, (w, _) in enumerate(head)}
-    at = document_groups(docs, ids) if docs else np.zeros(0, int)
-    seen: dict[str, np.ndarray] = {}
-    for d, g in zip(docs, at, strict=True):
-        for w, n in Counter(d).items():
-            seen.setdefault(w, np.zeros(GROUPS))[g] += n
-    size = sum(seen.values(), np.full(GROUPS, 1e-9))
-    own = {w: int((v / size).argmax()) for w, v in seen.items()}
+    size = by_group.sum(axis=0) + 1e-9
+    own = {w: int((by_group[i] / size).argmax()) for w, i in ids.items() if by_group[i].any()}
     hints: dict[str, np.ndarray] = {}
     for w, g in own.items():
         for k in letters(w):
@@ -225,25 +300,80 @@ class LanguageModel:
     rare: dict[int, tuple[int, int, float]]  # group: tokens, types, discount
 
 
+LEARNT = StructType([StructField("worker", IntegerType()), StructField("chunk", IntegerType()),
+                     StructField("tokens", LongType()), StructField("weights", BinaryType())])
+
+
+def trained(docs: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> gru.Gru:
+    """The model after truncated backpropagation over every row of ``docs``, which hold ``count`` tokens."""
+    context = docs.sparkSession.sparkContext
+    workers = max(1, min(count // WORKER_TOKENS, context.defaultParallelism))
+    rounds = ROUNDS if workers > 1 else 1
+    epochs = max(1, min(FEW_TOKENS // max(count, 1), MOST_EPOCHS)) if workers == 1 else 1
+    expected = max(1, count // workers // rounds)
+    for turn in range(rounds):
+        shared = context.broadcast((known, model))
+
+        def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known, model = shared.value
+            model = model.filled(model.flat())  # the broadcast one serves other tasks too
+            reader, trainer = Reader(known), gru.Trainer(model, known.output, known.as_input, known.start_id)
+            fall = lambda done: gru.RATE * (1 - 0.9 * (turn + min(1.0, done / expected)) / rounds)
+            block: list[np.ndarray] = []
+            held = done = 0
+
+            def flush() -> None:
+                for e in range(epochs):
+                    trainer.learn(block, (fall(done + held * e / epochs), fall(done + held * (e + 1) / epochs)))
+
+            for batch in batches:
+                for text in batch["text"]:
+                    block.append(reader.read(text)[0])
+                    held += len(block[-1])
+                    if held >= BLOCK_TOKENS:
+                        flush()
+                        block, held, done = [], 0, done + held
+            flush()
+            done += held
+            if done:
+                flat, worker = model.flat(), TaskContext.get().partitionId()
+                for k in range(0, len(flat), CHUNK):
+                    yield pd.DataFrame({"worker": [worker], "chunk": [k // CHUNK], "tokens": [done],
+                                        "weights": [flat[k:k + CHUNK].astype(np.float32).tobytes()]})
+
+        mine = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == turn) if rounds > 1 else docs
+        means = land(mine.select("text").coalesce(workers).mapInPandas(learn, LEARNT), "learnt")
+        left = workers
+        while left > 1:
+            left = -(-left // FAN)
+            means = land(means.withColumn("worker", F.floor(F.col("worker") / FAN).cast("int")).groupBy("worker", "chunk")
+                         .applyInPandas(mean, LEARNT), "means")
+        chunks = [r["weights"] for r in means.orderBy("chunk").select("weights").collect()]
+        if chunks:
+            model = model.filled(np.frombuffer(b"".join(chunks), np.float32))
+    return model
+
+
+def mean(rows: pd.DataFrame) -> pd.DataFrame:
+    """Mean of the weights, each counted by the tokens it was learnt from."""
+    total = int(rows["tokens"].sum())
+    sums = sum(np.frombuffer(w, np.float32) * (n / total) for w, n in zip(rows["weights"], rows["tokens"], strict=True))
+    return rows.head(1).assign(tokens=total, weights=[sums.astype(np.float32).tobytes()])
+
+
 def fit(docs: DataFrame) -> LanguageModel:
-    """Learn from all rows of ``docs``: counts from every token, weights from the sample."""
+    """Learn from all rows of ``docs``: counts, word groups and weights from every token."""
     counts = land(count_words(docs), "counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = (counts.filter(F.col("word") == END).first() or {"c": 0})["c"]
     plain = counts.filter(F.col("word") != END)
     head = frequent(plain)
     rare_total = total["n"] - ends - sum(c for _, c in head)
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_DOCS).select("text").collect()
-    read, taken = [], 0
-    for row in sample:
-        if taken < SAMPLE_TOKENS:
-            read.append(tokens(row["text"]))
-            taken += len(read[-1]) + 1
-    known = vocabulary(head, ends, read, rare_total)
-    reader = Reader(known)
-    ids = [reader.read(" ".join(d))[0] for d in read]
+    ids = {w: i for i, (w, _) in enumerate(head)}
+    centres = document_groups(land(features(docs, ids), "features"))
+    known = vocabulary(head, ends, counts_by_group(docs, ids, centres), rare_total)
     model = gru.fresh(known.start_id + 1, known.output, known.class_counts, known.word_counts)
-    gru.train(model, known.output, known.as_input, known.start_id, ids)
+    model = trained(docs, known, model, total["n"])
 
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
