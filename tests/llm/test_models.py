@@ -190,3 +190,15 @@ def test_weights_and_groups_come_from_all_documents(spark, monkeypatch):
     first = gru.fresh(lm.vocabulary.start_id + 1, lm.vocabulary.output, lm.vocabulary.class_counts, lm.vocabulary.word_counts)
     used = lm.model.inputs != first.inputs
     assert all(used[lm.vocabulary.as_input[lm.vocabulary.ids[w]]].any() for k in "xy" for w in names(k))
+
+
+def test_every_head_word_has_a_softmax_and_an_input():
+    head = [(f"w{i}", 10_000 - i) for i in range(3_000)]
+    by_group = np.zeros((3_000, language_model.GROUPS))
+    by_group[np.arange(3_000), np.arange(3_000) % 3] = 1
+    v = language_model.vocabulary(head, 5, by_group, 100)
+    assert (v.output.place[:3_000] >= 0).all() and len(set(v.as_input.tolist())) == len(v.as_input)
+    assert max(v.output.sizes.values()) <= 55 and min(v.output.sizes.values()) >= 50
+    for c, n in v.output.sizes.items():
+        members = np.flatnonzero(v.output.classes == c)
+        assert len(members) == n and sorted(v.output.place[members]) == list(range(n)) and len(set(v.groups[members])) == 1

@@ -1,14 +1,17 @@
 """Documents scored by the recurrent model: counts, word groups and weights all come from the whole training corpus.
 
 Every training token is counted, and the model is trained on every training document: in each round the workers run over
-documents of their own from the same weights, and the mean of what they learn is written and starts the next round. The most frequent words (a bounded number) go to all tasks; what is left, of any size,
-stays a table that the rare words of each document are joined with. A word's class is a group of words that occur in the
-same kind of document, cut by frequency; rare and unknown words belong to the rare class of the group their letters
-suggest, so the class of any word is known without the join.
+documents of their own from the same weights, and the mean of what they learn is written and starts the next round. The
+most frequent words (a bounded number) go to all tasks, each with an input vector; what is left, of any size, stays a table
+that the rare words of each document are joined with. A word's class is a group of words that occur in the same kind of
+document, cut by frequency into about as many classes as there are words in each, with a softmax inside each; rare and
+unknown words belong to the rare class of the group their letters suggest, so the class of any word is known without the
+join.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,12 +32,7 @@ from weftline.session import land
 HELD, FOLDS = 2, 7
 #: Words known to every task, at most, and how often one must occur.
 HEAD, HEAD_COUNT = 65_536, 3
-#: Words with an input vector of their own; others share that of their class.
-OWN_INPUT = 2_048
 GROUPS = 6
-CLASSES_PER_GROUP = 14
-#: Words a class may have to get a softmax over the state.
-SOFT_WORDS = 48
 #: Words the documents are grouped by, and rounds of that grouping.
 TOP, ROUNDS_OF_GROUPS = 256, 6
 #: All documents are trained on once, in so many rounds with means of the weights between them; a corpus that one worker
@@ -76,7 +74,6 @@ class Vocabulary:
     endings: dict[str, int]
     common_group: int
     output: gru.Output
-    shares: np.ndarray  # natural log of the word's share in its class; 0 where the class has a softmax, and for rare ids
     as_input: np.ndarray
     start_id: int
     class_counts: np.ndarray
@@ -242,30 +239,22 @@ def vocabulary(head: list[tuple[str, int]], ends: int, by_group: np.ndarray, rar
     counts = np.array([c for _, c in head], np.int64)
 
     classes, place, sizes, word_counts = np.zeros(len(head) + 1 + GROUPS, np.int64), np.full(len(head) + 1 + GROUPS, -1), {}, {}
-    shares = np.zeros(len(head) + 1 + GROUPS)
     totals, n = [], 0
+    width = math.isqrt(max(len(head) - 1, 0)) + 1  # classes and words in a class are about equally many
     for g in range(GROUPS):
         mine = np.flatnonzero(groups == g)
-        mass = np.cumsum(counts[mine])
-        cut = np.minimum((mass - counts[mine]) * CLASSES_PER_GROUP // max(mass[-1] if len(mass) else 1, 1), CLASSES_PER_GROUP - 1)
-        for k in np.unique(cut):
-            members = mine[cut == k]
+        for members in np.array_split(mine, -(-len(mine) // width)) if len(mine) else ():
             classes[members] = n
-            if len(members) <= SOFT_WORDS:
-                place[members], sizes[n], word_counts[n] = np.arange(len(members)), len(members), counts[members].astype(float)
-            else:
-                shares[members] = np.log(counts[members] / counts[members].sum())
+            place[members], sizes[n], word_counts[n] = np.arange(len(members)), len(members), counts[members].astype(float)
             totals.append(counts[members].sum())
             n += 1
     classes[len(head)] = n
     totals.append(ends)
     classes[len(head) + 1:] = n + 1 + np.arange(GROUPS)
     totals.extend([rare_total / GROUPS + 1] * GROUPS)
-    used = min(OWN_INPUT, len(head))
-    as_input = used + classes
-    as_input[:used] = np.arange(used)
-    return Vocabulary(ids, counts, groups, endings, common, gru.Output(classes, place, sizes), shares, as_input,
-                      used + n + 1 + GROUPS, np.array(totals, float), word_counts)
+    as_input = np.arange(len(classes))
+    return Vocabulary(ids, counts, groups, endings, common, gru.Output(classes, place, sizes), as_input, len(classes),
+                      np.array(totals, float), word_counts)
 
 
 class Reader:
@@ -420,7 +409,6 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
                 read = [reader.read(t) for t in part["text"]]
                 ids = [i for i, _ in read]
                 total = gru.score(model, known.output, known.as_input, known.start_id, ids)
-                total += [float(known.shares[i].sum()) for i in ids]
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None),
                     "held_out": part["held_out"].to_numpy(), "n_tokens": [len(i) for i in ids],
