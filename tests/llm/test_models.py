@@ -29,6 +29,14 @@ def test_page_without_marks_uses_the_ratios():
     assert main_text(page).count("\n") == 4 and "story 4" in main_text(page)
 
 
+def test_ratios_decide_inside_an_article():
+    story = [f"{'a sentence of the story ' * 8}{i}" for i in range(8)]
+    junk = [f"<div><a href=/{i}><i>Go</i></a> <b>x</b></div>" for i in range(12)]
+    page = "<article>" + "".join(f"<p>{t}</p>" for t in story[:4]) + "<ul><li><a href=/r>A linked reference</a></li></ul>"
+    page += "".join(f"<p>{t}</p>" for t in story[4:]) + "".join(junk) + "</article>"
+    assert main_text(page).split("\n") == story[:4] + ["A linked reference"] + story[4:]
+
+
 @pytest.mark.parametrize("html", [None, "", "   ", "<p>", "</p></div>", "<script>x", "<!-- <p>x</p> -->", "<![CDATA[x]]>"])
 def test_pages_without_text(html):
     assert main_text(html) == ""

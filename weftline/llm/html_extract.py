@@ -4,7 +4,7 @@ The events of the standard library's streaming parser are cut into lines, one pe
 text length over the tags in it; links count as boilerplate. The ratios are smoothed along the page with a Gaussian and
 clustered by a threshold; lines of the upper cluster are content. What a page says about itself goes first: parts that are
 marked as menus, headers, footers, sidebars, notices, adverts, forms or comments are dropped, and where a page marks its
-article, the regions are chosen among the lines inside it.
+article, the clusters are made of the lines inside it. A line of links alone stays when its region is content.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 SIGMA = 1.0
-#: Weight of the spread in the threshold: the mean less this part of the standard deviation inside a marked article (a
-#: short paragraph there is content), and plus it where nothing is marked.
+#: Weight of the spread in the threshold where nothing is marked.
 LOOSE = 0.5
+#: Two clusters are told apart when the mean of the lower one is under this part of the upper one's.
+APART = 0.25
 
 # Element names of HTML.
 BLOCKS = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure "
@@ -147,6 +148,31 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel, "same") / weights
 
 
+def split(level: np.ndarray) -> float:
+    """The bar between two clusters (2-means over the sorted levels); below all levels where they are no two clusters.
+
+    What is one cluster must not be cut: the mean of the lower cluster has to be under APART of the upper one's.
+    """
+    x = np.sort(level)
+    n = np.arange(1, len(x))
+    sums = np.cumsum(x)
+    low, high = sums[:-1] / n, (sums[-1] - sums[:-1]) / (len(x) - n)
+    if not len(n):
+        return float(x[0])
+    at = int((n * (len(x) - n) * (high - low)**2).argmax())
+    return float((low[at] + high[at]) / 2 if low[at] < APART * high[at] else x[0])
+
+
+def grown(level: np.ndarray, ratios: np.ndarray, bar: float) -> np.ndarray:
+    """Lines of the upper cluster, and those beside them that are above the bar by themselves."""
+    take = level >= bar
+    for order in (range(1, len(take)), range(len(take) - 2, -1, -1)):
+        back = -1 if order.step > 0 else 1
+        for i in order:
+            take[i] |= take[i + back] and ratios[i] >= bar
+    return take
+
+
 def chosen(lines: list[tuple[str, int, int, bool]]) -> list[bool]:
     """Which lines belong to the content cluster."""
     lengths = np.array([len(t) for t, _, _, _ in lines], float)
@@ -156,9 +182,7 @@ def chosen(lines: list[tuple[str, int, int, bool]]) -> list[bool]:
     level = smoothed(ratios)
     inside = np.array([m for _, _, _, m in lines])
     if inside.any():
-        # an article that the page marks is one region; lines that are links only fall to the lower cluster
-        bar = min(level[inside].mean() - LOOSE * level[inside].std(), np.log1p(1.0))
-        return list(inside & ((level >= bar) | (plain > 0.5)) & (plain > 0))
+        return list(inside & grown(level, ratios, split(level[inside])))
     bar = level.mean() + LOOSE * level.std() if level.std() > 0.5 else level.min()
     return list((level >= min(bar, level.max())) & (plain > 0.3))
 
