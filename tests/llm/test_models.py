@@ -37,6 +37,16 @@ def test_ratios_decide_inside_an_article():
     assert main_text(page).split("\n") == story[:4] + ["A linked reference"] + story[4:]
 
 
+@pytest.mark.parametrize("count", [10, 20, 30, 60, 100])
+@pytest.mark.parametrize("menu", [0, 12])
+def test_unmarked_pages_keep_every_paragraph(count, menu):
+    rng = np.random.default_rng(count + menu)
+    story = [("of the story " * 60)[:int(n)].strip() + f" {i}." for i, n in enumerate(rng.integers(40, 601, count))]
+    links = lambda n, to: "".join(f"<div><a href=/{to}{i}>{to} {i}</a></div>" for i in range(n))
+    page = "<body>" + links(menu, "menu") + "".join(f"<p>{t}</p>" for t in story) + links(5 if menu else 2, "foot")
+    assert main_text(page).split("\n") == story
+
+
 @pytest.mark.parametrize("html", [None, "", "   ", "<p>", "</p></div>", "<script>x", "<!-- <p>x</p> -->", "<![CDATA[x]]>"])
 def test_pages_without_text(html):
     assert main_text(html) == ""

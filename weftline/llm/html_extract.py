@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 SIGMA = 1.0
-#: Weight of the spread in the threshold where nothing is marked.
-LOOSE = 0.5
 #: Two clusters are told apart when the mean of the lower one is under this part of the upper one's.
 APART = 0.25
 
@@ -181,10 +179,9 @@ def chosen(lines: list[tuple[str, int, int, bool]]) -> list[bool]:
     ratios = np.log1p(lengths / tags * plain)  # short paragraphs must not vanish beside very long ones
     level = smoothed(ratios)
     inside = np.array([m for _, _, _, m in lines])
-    if inside.any():
-        return list(inside & grown(level, ratios, split(level[inside])))
-    bar = level.mean() + LOOSE * level.std() if level.std() > 0.5 else level.min()
-    return list((level >= min(bar, level.max())) & (plain > 0.3))
+    if not inside.any():
+        inside[:] = True
+    return list(inside & grown(level, ratios, split(level[inside])))
 
 
 def main_text(html: str | None) -> str:
