@@ -37,6 +37,14 @@ def test_ratios_decide_inside_an_article():
     assert main_text(page).split("\n") == story[:4] + ["A linked reference"] + story[4:]
 
 
+@pytest.mark.parametrize("head", ["", "<title>T</title><meta charset=x>", "<script>x</script><noscript><link href=x>",
+                                  "<template><p>t</p></template><style>p{}</style>"])
+def test_head_without_its_end_tag(head):
+    assert main_text(f"<html><head>{head}<body><p>one</p><p>two</p></body></html>") == "one\ntwo"
+    assert main_text(f"<html><head>{head}<p>one</p>") == "one"
+    assert main_text(f"<html><head>{head}</head><body><p>one</p>") == "one"
+
+
 @pytest.mark.parametrize("count", [10, 20, 30, 60, 100])
 @pytest.mark.parametrize("menu", [0, 12])
 def test_unmarked_pages_keep_every_paragraph(count, menu):
@@ -52,6 +60,10 @@ def test_pages_without_text(html):
     assert main_text(html) == ""
 
 
+def test_text_right_in_a_head_ends_it():
+    assert main_text("<head><title>T</title> \n words of the page") == "words of the page"
+
+
 def test_broken_and_long_pages():
     assert main_text("plain text only") == "plain text only"
     assert main_text("<p>one<p>two <b>bold</i> end") == "one\ntwo bold end"

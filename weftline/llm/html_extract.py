@@ -33,6 +33,7 @@ SILENT = frozenset("script style noscript template head title svg math iframe ob
                    "textarea".split())
 ASIDE = frozenset("nav footer aside form menu dialog".split())
 MAIN = frozenset("article main".split())
+IN_HEAD = frozenset("html head base basefont bgsound link meta title script style noscript noframes template".split())
 CLOSED_BY = {"p": BLOCKS - {"br", "body", "html", "option", "legend", "summary", "li", "dd", "dt", "td", "th", "tr"} | {"p"},
              "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
              "tr": {"tr"}, "option": {"option"}}
@@ -95,7 +96,14 @@ class Lines(HTMLParser):
             self.end_line()
         self.count(kind, -1)
 
+    def close_head(self) -> None:
+        """Pages may omit the head's end tag: what cannot be in a head ends it."""
+        while self.open["head"]:
+            self.close_last()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.open["head"] and tag not in IN_HEAD and not self.open["template"]:
+            self.close_head()
         for at in range(len(self.stack) - 1, -1, -1) if tag in BLOCKS or tag == "option" else ():
             name = self.stack[at][0]
             if tag in CLOSED_BY.get(name, ()):
@@ -127,6 +135,8 @@ class Lines(HTMLParser):
         self.close_last()
 
     def handle_data(self, data: str) -> None:
+        if self.open["head"] and self.stack[-1][0] == "head" and data.strip(WHITE):
+            self.close_head()
         if not self.dropped:
             self.text.append(data)
             if self.links:
