@@ -1,8 +1,7 @@
 """Documents scored by the recurrent model: counts, word groups and weights all come from the whole training corpus.
 
 Every training token is counted, and the model is trained on every training document: in each round the workers run over
-documents of their own from the same weights, and the mean of what they learn is written and starts the next round. The
-most frequent words (a bounded number) go to all tasks, each with an input vector; what is left, of any size, stays a table
+documents of their own from the same weights, and the mean of what they learn starts the next round. The most frequent words (a bounded number) go to all tasks, each with an input vector; what is left, of any size, stays a table
 that the rare words of each document are joined with. A word's class is a group of words that occur in the same kind of
 document, cut by frequency into about as many classes as there are words in each, with a softmax inside each; rare and
 unknown words belong to the rare class of the group their letters suggest, so the class of any word is known without the
@@ -331,13 +330,13 @@ def trained(docs: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> g
                                         "weights": [flat[k:k + CHUNK].astype(np.float32).tobytes()]})
 
         mine = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == turn) if rounds > 1 else docs
-        means = land(mine.select("text").coalesce(workers).mapInPandas(learn, LEARNT), "learnt")
+        means = mine.select("text").coalesce(workers).mapInPandas(learn, LEARNT)
         left = workers
         while left > 1:
             left = -(-left // FAN)
-            means = land(means.withColumn("worker", F.floor(F.col("worker") / FAN).cast("int")).groupBy("worker", "chunk")
-                         .applyInPandas(mean, LEARNT), "means")
-        chunks = [r["weights"] for r in means.orderBy("chunk").select("weights").collect()]
+            means = means.withColumn("worker", F.floor(F.col("worker") / FAN).cast("int")).groupBy("worker", "chunk").applyInPandas(
+                mean, LEARNT)
+        chunks = [r["weights"] for r in sorted(means.select("chunk", "weights").collect())]
         if chunks:
             model = model.filled(np.frombuffer(b"".join(chunks), np.float32))
     return model
