@@ -10,7 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.adapters import table
-from weftline.llm import bpe, hash_forest, html_extract, language_model, minhash_forest, mixing, quality, sharding, toxicity
+from weftline.llm import (
+    bpe,
+    filter_audit,
+    hash_forest,
+    html_extract,
+    language_model,
+    minhash_forest,
+    mixing,
+    periodic_runs,
+    quality,
+    sharding,
+    toxicity,
+    window_packing,
+)
 from weftline.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +126,23 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach ON x =
 """)
 def minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.grouped(table(spark, sf_dir, "documents"))
+
+
+@query("op11_synchronised_runs")
+def synchronised_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", periodic_runs.repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic_runs.digests(periodic_runs.find(texts))
+
+
+@query("op12_window_packing")
+def packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    description = window_packing.read_description(public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return window_packing.pieces(window_packing.pack(docs, description, end_id=1))
+
+
+@query("op13_filter_audit", filter_audit.SQL)
+def audited_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.mask_counts(docs, labels))
