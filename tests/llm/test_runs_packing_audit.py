@@ -128,7 +128,7 @@ def tokenizer():
 
 
 def test_codec_equals_the_library(description, tokenizer, spark, sf):
-    codec = window_packing.WordCodec(description)
+    codec = window_packing.TextCodec(description, window_packing.letter_table(description))
     texts = [r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     texts += ["", " \t ", "a<|endoftext|>b <|startoftext|>", "ΑΣ ΟΔΟΣ İstanbul é é a b a\x1cc it's I'LL 1234 漢字。\x85z w",
               "x ̀ y", "WORD. word, Word!? w...d '' \"Quoted.\" ½ ²", "Å Ǆ ﬁne ẞ", "a b c"]
@@ -136,13 +136,6 @@ def test_codec_equals_the_library(description, tokenizer, spark, sf):
         assert codec.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text[:60]
 
 
-def test_codec_forgets(description, tokenizer, monkeypatch):
-    monkeypatch.setattr(window_packing, "CACHE_WORDS", 3)
-    codec = window_packing.WordCodec(description)
-    for text in ("one two three four", "five six one", "two seven eight nine", "one"):
-        assert codec.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-
-
 def cheapest(place: list[int], price: list[float], size: int) -> float:
     cost = [0.0]
     for j in range(1, len(place)):

@@ -15,12 +15,13 @@ No row is shuffled.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,126 +32,53 @@ from pyspark.sql import functions as F
 SIZE = 2048
 #: Penalties in tokens of padding: a document cut between sentences, or within one.
 SENTENCE_CUT, INNER_CUT = 4.0, 12.0
-#: Stretches without the end of a sentence may be cut every so many tokens.
-GRID = 64
+#: Documents may be cut every so many tokens of the block, for stretches without the end of a sentence.
+GRID = 128
+#: Shorter windows are made only where the stream ends.
+LEAST_WINDOW = 64
 #: Tokens that are cut into windows in one go.
 BLOCK_TOKENS = 1 << 18
-#: Encoded words a worker remembers.
-CACHE_WORDS = 600_000
 #: Fixed value: the characters that end a sentence.
 SENTENCE_ENDS = (".", "!", "?", "…", "。", "！", "？")
 WORD_END = "</w>"
 
 
-class Numbers(dict):
-    """Numbers words in the order they first occur in; ``fresh`` are those not yet encoded."""
+class TextCodec:
+    """Token ids of whole texts, equal to the tokenizer's own (without special tokens added).
 
-    def __init__(self) -> None:
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.fresh.append(word)
-        return number
-
-
-class WordCodec:
-    """Token ids of texts by a tokenizer whose pieces never hold white space, so each word is encoded once.
-
-    ``encode`` equals the tokenizer's own result on the whole text (without special tokens added): splitting at ASCII white
-    space changes nothing, because the tokenizer drops white space and no normalisation or merge crosses it.
+    Texts of Latin letters, digits and marks are cut into the tokenizer's pieces by one expression, and all pieces of a text
+    go through a merger of tokens at once (see `letter_table`). Every other text goes through the tokenizer itself.
     """
 
-    def __init__(self, description: str):
+    def __init__(self, description: str, table: list[tuple[bytes, int]]):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the cores
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(description)
         vocabulary = self.tokenizer.get_vocab()
-        # the byte alphabet of the vocabulary, so that endings outside ASCII are found too
         self.ends_sentence = np.zeros(max(vocabulary.values()) + 2, bool)
-        self.ends_word = np.zeros_like(self.ends_sentence)
+        # the byte alphabet of the vocabulary, so that endings outside ASCII are found too
         endings = tuple(byte_letters(e.encode()) for e in SENTENCE_ENDS)
         for token, number in vocabulary.items():
-            self.ends_word[number] = token.endswith(WORD_END)
             self.ends_sentence[number] = token.removesuffix(WORD_END).rstrip("\"')").endswith(endings)
-        # with a word-end token for every byte no word can vanish
-        self.whole = all(byte_letters(bytes([b])) + end in vocabulary for b in range(256) for end in ("", WORD_END))
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = Numbers()
-        self.stems: dict[str, list[int]] = {}
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.first, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
-
-    def _ids(self, words: list[str]) -> list[list[int]]:
-        return [c.ids for c in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _learn_stems(self, stems: list[str]) -> None:
-        """Words of letters are one piece each, so in one text of them every piece ends at a word-end token.
-
-        Should normalisation make several pieces of a word, the ends are too many and each word is encoded by itself.
-        """
-        flat = self._ids([" ".join(stems)])[0]
-        ends = np.flatnonzero(self.ends_word[flat]) + 1
-        if len(ends) == len(stems) and ends[-1] == len(flat):
-            begin = 0
-            for stem, end in zip(stems, ends.tolist(), strict=True):
-                self.stems[stem] = flat[begin:end]
-                begin = end
-        else:
-            self.stems.update(zip(stems, self._ids(stems), strict=True))
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode the words that have just been numbered, in the order of their numbers."""
-        ids: list[list[int]] = [[]] * len(words)
-        split: list[tuple[int, str, str]] = []
-        other: list[int] = []
-        spelt = [w.decode("utf-8", "replace") for w in words]
-        for i, word in enumerate(spelt):
-            if word.isascii():
-                word = word.lower()  # as the tokenizer does; others are left to it
-            stem = word.rstrip(".,;:!?")
-            if self.whole and stem.isalpha():
-                split.append((i, stem, word[len(stem):]))
-            else:
-                other.append(i)
-        unknown = dict.fromkeys(stem for _, stem, _ in split if stem not in self.stems)
-        if unknown:
-            self._learn_stems([*unknown])
-        for tail in {t for _, _, t in split if t and t not in self.stems}:
-            self.stems[tail] = self._ids([tail])[0]
-        for i, stem, tail in split:
-            ids[i] = self.stems[stem] + self.stems[tail] if tail else self.stems[stem]
-        if other:
-            for i, coded in zip(other, self._ids([spelt[i] for i in other]), strict=True):
-                ids[i] = coded
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        more, begin = int(sizes.sum()), len(self.known) - len(words)
-        while self.used + more > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while len(self.known) > len(self.first):
-            self.first = np.concatenate([self.first, np.empty_like(self.first)])
-            self.length = np.concatenate([self.length, np.empty_like(self.length)])
-        self.flat[self.used:self.used + more] = np.fromiter(chain.from_iterable(ids), np.uint32, more)
-        self.length[begin:len(self.known)] = sizes
-        self.first[begin:len(self.known)] = self.used + np.cumsum(sizes) - sizes
-        self.used += more
+        self.merger = tiktoken.Encoding("pieces", pat_str=f"[^{STOP}]+{STOP}", special_tokens={},
+                                        mergeable_ranks={token: rank for rank, (token, _) in enumerate(table)})
+        self.id_of = np.array([number for _, number in table], np.uint32)
 
     def encode(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        if not words:
+        if not text:
             return np.zeros(0, np.uint32)
-        if len(self.known) > CACHE_WORDS:
-            self._forget()
-        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        if self.known.fresh:
-            fresh, self.known.fresh = self.known.fresh, []
-            self._learn(fresh)
-        sizes = self.length[numbers]
-        ends = np.cumsum(sizes)
-        return self.flat[np.repeat(self.first[numbers] - ends + sizes, sizes) + np.arange(ends[-1])]
+        if not PLAIN(text) or any(s in text for s in SPECIAL):
+            ids = self.tokenizer.encode_batch_fast([clean(text)], add_special_tokens=False)[0].ids
+            return np.array(ids, np.uint32)
+        pieces = (ASCII_PIECES if text.isascii() else LATIN_PIECES)(text.lower())
+        return self.id_of[self.merger.encode_ordinary(STOP.join([*pieces, ""]))]
+
+
+def clean(text: str) -> str:
+    """Halves of surrogate pairs, which no tokenizer takes, become replacement characters."""
+    return text.encode("utf-8", "surrogatepass").decode("utf-8", "replace")
 
 
 @cache
@@ -166,47 +94,114 @@ def byte_letters(raw: bytes) -> str:
     return "".join(letters()[b] for b in raw)
 
 
+#: Marks the end of a piece; plain texts do not hold it.
+STOP = "\x01"
+#: Texts that need no normalisation but small letters: Latin characters without control characters.
+PLAIN = re.compile("[\t-\r -~¡-ɏ]*").fullmatch
+#: What a plain text may hold that is more than text: special tokens, and the capital whose small form is two characters.
+SPECIAL = ("<|", "İ")
+#: The digits, and the pieces the tokenizer cuts lowered text into.
+DIGITS = "0-9²³¹¼½¾"
+ASCII_PIECES = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9]+").findall
+LATIN_LETTERS = "a-z" + "".join(c for c in map(chr, range(161, 592)) if c.isalpha())
+LATIN_PIECES = re.compile(
+    f"[{LATIN_LETTERS}]+|[{DIGITS}]|'(?:s|t|re|ve|m|ll|d)|[^\\s{LATIN_LETTERS}{DIGITS}]+").findall
+
+
+def letter_table(description: str) -> list[tuple[bytes, int]]:
+    """The tokens in the order in which pairs merge, as bytes with ``STOP`` for the end of a piece, and their ids.
+
+    With it a merger that knows tokens only, and not the pairs they are made of, gives what the tokenizer gives on a piece. For
+    that a token must come out whole when it is encoded alone, which is tested here; others never come out and are
+    left out. Proof: say two neighbours join to a known token by another pair than the tokenizer's. No merge has crossed the
+    token's borders yet, so the merges within them are those of the token alone, in the same order, and there the last two
+    parts are the tokenizer's pair. The first entries are the single bytes, then those that end a piece, so a last byte and
+    its stop join first.
+    """
+    from tokenizers import Tokenizer
+
+    bare = json.loads(description) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+    model = bare["model"]
+    ending = Tokenizer.from_str(json.dumps(bare))
+    model["end_of_word_suffix"] = None
+    inner = Tokenizer.from_str(json.dumps(bare))
+    octet = {letter: bytes([b]) for b, letter in enumerate(letters())}
+    vocabulary, stop = model["vocab"], STOP.encode()
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    table = [(bytes([b]), vocabulary[byte_letters(bytes([b]))]) for b in range(256)]
+    table += [(bytes([b]) + stop, vocabulary[byte_letters(bytes([b])) + WORD_END]) for b in range(256)]
+    known = {token for token, _ in table}
+    merged = dict.fromkeys("".join(pair) for pair in pairs)
+    whole = set()
+    for way, last in ((ending, True), (inner, False)):
+        chosen = [t for t in merged if t.endswith(WORD_END) == last]
+        coded = way.encode_batch_fast([t.removesuffix(WORD_END) for t in chosen], add_special_tokens=False)
+        whole |= {t for t, c in zip(chosen, coded, strict=True) if c.ids == [vocabulary[t]]}
+    for token in merged:
+        spelt = b"".join(octet[c] for c in token.removesuffix(WORD_END))
+        if token in whole and stop not in spelt:
+            spelt += stop if token.endswith(WORD_END) else b""
+            if spelt not in known:
+                known.add(spelt)
+                table.append((spelt, vocabulary[token]))
+    return table
+
+
+#: Fixed value: the capital whose small form differs at the end of a word.
+FINAL = "Σ"
+
+
 def cuts(tokens: list[np.ndarray], ends_sentence: np.ndarray, last: bool, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Where the stream of the documents may be cut, from 0 to its length, and what a cut costs there."""
     total = sum(map(len, tokens))
     price = np.full(total + 1, np.inf)
-    price[::GRID] = INNER_CUT
-    if last:  # the rest falls into power-of-two windows, wherever they end
-        price[max(0, total - size):] = INNER_CUT
     at = 0
     for ids in tokens:
         price[at + 1:at + len(ids) + 1][ends_sentence[ids]] = SENTENCE_CUT
         at += len(ids)
         price[at] = 0.0
     price[0] = 0.0
+    grid = np.arange(0, total, GRID)
+    if last:  # the rest falls into power-of-two windows, wherever they end
+        grid = np.concatenate([grid, np.arange(max(0, total - size), total)])
+    price[grid] = np.minimum(price[grid], INNER_CUT)
     place = np.flatnonzero(price < np.inf)
     return place, price[place]
 
 
-def best_windows(place: np.ndarray, price: np.ndarray, size: int) -> list[int]:
-    """The places (numbers into ``place``) where the cheapest windows end, first to last. Ties: the longest window."""
+def best_windows(place: np.ndarray, price: np.ndarray, size: int, least: int = 1) -> list[int]:
+    """The places (numbers into ``place``) where the cheapest windows end, first to last. Ties: the longest window.
+
+    Windows without padding have at least ``least`` tokens.
+    """
     tokens, prices = place.tolist(), price.tolist()
-    powers = [1 << k for k in range(size.bit_length()) if 1 << k <= size]
-    number = {p: i for i, p in enumerate(tokens)}
+    number = np.full(tokens[-1] + 1, -1)
+    number[place] = np.arange(len(place))
+    exact: dict[int, list[int]] = {}  # the places a power of two before a place, the farthest first
+    for power in (1 << k for k in reversed(range(size.bit_length())) if least <= 1 << k <= size):
+        before = place - power
+        before = np.where(before >= 0, number[np.maximum(before, 0)], -1)
+        for j in np.flatnonzero(before >= 0).tolist():
+            exact.setdefault(j, []).append(int(before[j]))
     cost, back = [0.0], [0]
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # cost[i] + P[i], rising
+    queue: deque[tuple[float, int, int]] = deque([(0.0, 0, 0)])  # cost[i] + P[i], P[i], i; rising
     for j in range(1, len(tokens)):
         here = tokens[j]
-        while tokens[queue[0][1]] < here - size:
+        while queue[0][1] < here - size:
             queue.popleft()
-        value, i = queue[0]
+        value, _, i = queue[0]
         value += size - here
-        for power in powers:
-            k = number.get(here - power)
-            if k is not None and cost[k] < value:
-                value, i = cost[k], k
+        if j in exact:
+            for k in exact[j]:
+                if cost[k] < value:
+                    value, i = cost[k], k
         value += prices[j]
         cost.append(value)
         back.append(i)
         key = value + here
         while queue and queue[-1][0] > key:
             queue.pop()
-        queue.append((key, j))
+        queue.append((key, here, j))
     ends, j = [], len(tokens) - 1
     while j:
         ends.append(j)
@@ -235,7 +230,7 @@ class Packer:
         if not self.open:
             return
         place, price = cuts([ids for _, _, ids, _ in self.open], self.ends_sentence, last, self.size)
-        ends = [int(place[j]) for j in best_windows(place, price, self.size)]
+        ends = [int(place[j]) for j in best_windows(place, price, self.size, 1 if last else LEAST_WINDOW)]
         if not last:
             # the end of a block isn't the end of the stream: windows near it are chosen anew
             ends = [e for e in ends if e <= self.tokens - 2 * self.size]
@@ -256,14 +251,14 @@ class Packer:
         self.open = [*rest, *held]
 
 
-_codecs: dict[int, WordCodec] = {}
+_codecs: dict[int, TextCodec] = {}
 
 
-def worker_codec(description: str) -> WordCodec:
+def worker_codec(description: str, table: list[tuple[bytes, int]]) -> TextCodec:
     key = hash(description)
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = WordCodec(description)
+        _codecs[key] = TextCodec(description, table)
     return _codecs[key]
 
 
@@ -287,12 +282,12 @@ def pack(docs: DataFrame, description: str, end_id: int, text: str = "text", siz
     made = ("start", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     kept = [c for c in docs.columns if c != text and c not in made]
     columns = [f"c{i}" for i in range(len(kept))]
-    shared = docs.sparkSession.sparkContext.broadcast(description)
+    shared = docs.sparkSession.sparkContext.broadcast((description, letter_table(description)))
     given = docs.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(kept, columns, strict=True)],
                         F.col(f"`{text}`").cast("string").alias("text"), F.spark_partition_id().alias("part"))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_codec(shared.value)
+        codec = worker_codec(*shared.value)
         end = np.array([end_id], np.uint32)
         packer, rows, schema = None, [], None
         held: dict[int, pa.RecordBatch] = {}  # rows of documents that are not packed to the end
