@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, emp, money_text, table
 from weftline.functions.numbers import mean
 from weftline.functions.udfs import FLAT_TAX, band_batches, blank_as_zero, clean_name, mask_email, register, salary_band
+from weftline.operators.mapreduce import map_pairs, reduce_sorted
 from weftline.plans.sizing import spread
 from weftline.registry import query
 
@@ -60,7 +62,7 @@ def clean_names(spark, sf):
 
 
 @query("grouped_summary_udaf", f"""
-WITH {EMP} SELECT department, count(*) AS headcount, round(avg(salary), 2) AS avg_salary,
+WITH {EMP} SELECT department, count(*) AS headcount, round(avg(CAST(salary AS DECIMAL(28,10))), 2) AS avg_salary,
   round(max(salary) - min(salary), 2) AS salary_range FROM emp GROUP BY department""")
 def grouped_summary_udaf(spark, sf):
     return emp(spark, sf).groupBy("department").agg(
@@ -92,26 +94,60 @@ def registered_function(spark, sf):
                mask_email(concat(c_name, '@example.com')) AS masked FROM weft_fn_customer""")
 
 
-def keyed_map(column: str, shortest: int):
-    """A mapper for mapInPandas: words of at least ``shortest`` letters with the batch's own count (a combiner)."""
+#: The side file of words that are not counted.
+SKIPPED = ("that", "with", "this", "dass", "nicht", "pour", "dans", "para", "como")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            words = batch[column].str.lower().str.split().explode()
-            counts = words[words.str.len() >= shortest].value_counts()
-            yield pd.DataFrame({"word": counts.index, "n": counts.to_numpy("int64")})
 
-    return run
+def words_of_texts(rows: pd.DataFrame, side: dict) -> pd.DataFrame:
+    """A mapper: (word, doc_id, occurrences in the text) for words of at least ``shortest`` letters that are not skipped."""
+    skipped, shortest = side["skipped"], side["shortest"]
+    words, places, values = [], [], []
+    for doc_id, text in zip(rows["doc_id"].tolist(), rows["text"], strict=True):
+        counts = Counter((text or "").lower().split())
+        found = [(w, n) for w, n in counts.items() if len(w) >= shortest and w not in skipped]
+        words += [w for w, _ in found]
+        values += [n for _, n in found]
+        places += [doc_id] * len(found)
+    return pd.DataFrame({"key": pd.Series(words, dtype="object"), "place": pd.Series(places, dtype="int64"),
+                         "value": pd.Series(values, dtype="int64")})
+
+
+class Gaps:
+    """A reducer that depends on the order: occurrences, documents, and the widest gap from one document to the next."""
+
+    def start(self):
+        return (0, 0, None, None, 0)  # occurrences, documents, first and last document, widest gap
+
+    def step(self, state, places, values):
+        if len(places) == 1:  # most words of a text are rare
+            return self.merge(state, (int(values[0]), 1, int(places[0]), int(places[0]), 0))
+        gaps = np.diff(places)
+        return self.merge(state, (int(values.sum()), 1 + int(np.count_nonzero(gaps)), int(places[0]), int(places[-1]),
+                                  int(gaps.max())))
+
+    def merge(self, left, right):
+        if left[2] is None:
+            return right
+        gap = right[2] - left[3]
+        return (left[0] + right[0], left[1] + right[1] - (gap == 0), left[2], right[3], max(left[4], gap, right[4]))
+
+    def finish(self, key, state):
+        return key, state[0], state[1], state[4]
 
 
 @query("streaming_mapreduce", r"""
-WITH w AS (SELECT unnest(string_split_regex(trim(lower(text), E' \t\n\r'), '\s+')) AS word FROM documents)
-SELECT word, count(*) AS n FROM w WHERE length(word) >= 4 GROUP BY word""")
-def streaming_mapreduce(spark, sf, shortest: int = 4):
-    """A Python mapper with a parameter and its own combiner; the reducer is an ordinary partial-and-final sum."""
-    texts = spread(table(spark, sf, "documents").select("text"))
-    mapped = texts.mapInPandas(keyed_map("text", shortest), "word string, n long")
-    return mapped.groupBy("word").agg(F.sum("n").alias("n"))
+WITH w AS (SELECT doc_id, unnest(string_split_regex(trim(lower(text), E' \t\n\r'), '\s+')) AS word FROM documents),
+kept AS (SELECT * FROM w WHERE length(word) >= 4 AND word NOT IN (%s)),
+gaps AS (SELECT word, doc_id - lag(doc_id) OVER (PARTITION BY word ORDER BY doc_id) AS gap FROM kept)
+SELECT word, count(*) AS n, count(DISTINCT doc_id) AS docs, max(widest) AS widest_gap
+FROM kept JOIN (SELECT word, coalesce(max(gap), 0) AS widest FROM gaps GROUP BY word) USING (word) GROUP BY word"""
+       % ", ".join(f"'{w}'" for w in SKIPPED))
+def streaming_mapreduce(spark, sf, shortest: int = 4, slices: int | None = None):
+    """A Python mapper with parameters and a side file, and a Python reducer over the sorted values of each word."""
+    texts = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    pairs = map_pairs(texts, words_of_texts, "key string, place long, value long", "text",
+                      {"shortest": shortest, "skipped": frozenset(SKIPPED)})
+    return reduce_sorted(pairs, lambda side: Gaps(), "word string, n long, docs long, widest_gap long", slices=slices)
 
 
 @query("tokenize_udtf", r"""
