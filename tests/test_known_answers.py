@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import DEPARTMENTS, EMPLOYEE_SCHEMA, EMPLOYEES
+from weftline.functions.numbers import mean
 from weftline.functions.text import words_delimited, words_stripped, words_unicode
 from weftline.functions.udfs import band_batches, blank_as_zero, clean_name, mask_email, salary_band
 from weftline.operators import cells as hb
@@ -122,6 +123,33 @@ def test_salted_join_equals_plain_join(spark):
     assert salted.exceptAll(plain).count() == 0
 
 
+def test_salted_join_salts_hot_keys_only(spark):
+    big = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 1000).alias("k"))
+    big = big.unionByName(spark.sql("SELECT CAST(1 AS BIGINT) AS id, CAST(NULL AS BIGINT) AS k"))
+    small = spark.range(900).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("label"))
+    plain = big.join(small, "k").select("id", "k", "label")
+    joined = salted_join(big, small, "k", "id")
+    text = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in text
+    assert joined.count() == plain.count() and joined.select("id", "k", "label").exceptAll(plain).count() == 0
+    even = big.filter("id % 2 = 1")  # four rows a key: none is hot
+    assert "_salt" not in salted_join(even, small, "k", "id")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_means_do_not_depend_on_the_partitioning(spark):
+    rows = spark.range(3000).select((F.col("id") % 3).alias("k"), ((F.col("id") * 7919 % 100003) / 100.0).alias("v"))
+    means = {tuple(r.m for r in rows.repartition(n).groupBy("k").agg(mean("v").alias("m")).orderBy("k").collect())
+             for n in range(1, 9)}
+    assert len(means) == 1
+    thrice = spark.createDataFrame([(0.004,), (0.004,), (None,), (0.004,)], "v double")
+    assert thrice.agg(mean("v")).first()[0] == 0.004
+    assert thrice.filter("v > 1").agg(mean("v")).first()[0] is None
+    for bad in (1e-11, 1e20, float("nan")):
+        with pytest.raises(Exception, match="no decimal with 10 digits"):
+            spark.createDataFrame([(bad,)], "v double").agg(mean("v")).collect()
+    assert spark.createDataFrame([(1e-11,)], "v double").agg(mean("v", 12)).first()[0] == 1e-11
+
+
 def test_route(spark):
     rows = spark.createDataFrame([(1, 95.0), (2, 75.0), (3, 10.0), (4, None)], "id int, pay double")
     pay = F.col("pay")

@@ -29,30 +29,29 @@ def bucketed_join(big: DataFrame, other: DataFrame, key: str, hot_rows: int | No
 
 
 def salted_join(
-    big: DataFrame, small: DataFrame, key: str, row_id: str, salts: int = 16, hot_rows: int | None = None
+    big: DataFrame, small: DataFrame, key: str, row_id: str, salts: int | None = None, hot_rows: int | None = None
 ) -> DataFrame:
-    """Inner join where rows of hot keys are spread over ``salts`` tasks.
+    """Inner join where the rows of hot keys are spread over several tasks.
 
-    A key is hot above 100,000 rows or a ten-thousandth of all rows, whichever is more, so there are never more than
-    10,000 hot keys and their list may be broadcast whatever the data. Only hot keys are repeated on the other side;
-    everything else joins once under salt 0.
+    A key is hot when it alone has more rows than a task's even share of ``big``, so there are fewer hot keys than shuffle
+    partitions, and their list is a small literal table. A hot key gets one salt for each share it holds (or ``salts``);
+    only its rows on the other side are repeated, as often as it has salts. Without a hot key this is the plain join.
     """
+    spark = big.sparkSession
     total = big.count()
-    if hot_rows is None:
-        hot_rows = max(HOT_KEY_ROWS, total // HOT_KEYS_AT_MOST)
-    if total <= hot_rows:
+    share = hot_rows if hot_rows is not None else max(1, total // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hot = hot_keys(big.filter(F.col(key).isNotNull()), key, share, total, counted=True).collect() if total > share else []
+    if not hot:
         return big.join(small, key)
-    hot = settle(hot_keys(big, key, hot_rows, total).withColumnRenamed(key, "_hot"))
-    left = big.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(row_id), F.lit(salts))).otherwise(F.lit(0))
-    ).drop("_hot")
-    right = small.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    ).drop("_hot")
-    return left.withColumn("_salt", F.col("_salt").cast("int")).join(right, [key, "_salt"]).drop("_salt")
+    listed = spark.createDataFrame(
+        [(k, salts or -(-n // share)) for k, n in hot], f"_hot {dict(big.dtypes)[key]}, _salts int")
+    of_key = F.col(key) == F.col("_hot")
+    repeats = F.coalesce(F.col("_salts"), F.lit(1))
+    left = big.join(F.broadcast(listed), of_key, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(row_id), repeats).cast("int")).drop("_hot", "_salts")
+    right = small.join(F.broadcast(listed), of_key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), repeats - 1))).drop("_hot", "_salts")
+    return left.join(right, [key, "_salt"]).drop("_salt")
 
 
 def product_with_list(df: DataFrame, name: str, values: list[str], limit: int = 1_000) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.functions.numbers import exact, quotient
+from weftline.functions.numbers import quotient, strict
 from weftline.plans.sizing import GROUP_ROWS, largest_group, settle
 from weftline.session import land
 
@@ -24,7 +24,7 @@ Order = list[tuple[str, bool]]  # (column, descending); the last column makes th
 FRAME_BLOCK = 1_000_000
 #: Rows of one slice, and the fewest slices a sliced plan is worth.
 SLICE_ROWS, LEAST_SLICES = 1_000_000, 8
-#: Decimals kept in the running sums of value frames; a double has about as many after the point of a price.
+#: Decimals that values in sums may have where the caller names no scale; a value with more raises.
 DIGITS = 10
 
 
@@ -292,7 +292,7 @@ def attach_group(df: DataFrame, keys: list[str], aggregates: dict[str, Column])
 
 
 def value_range_mean(
-    df: DataFrame, keys: list[str], value: str, reach: float, out: str, group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: list[str], value: str, reach: float, out: str, group_rows: int = GROUP_ROWS, digits: int = DIGITS
 ) -> DataFrame:
     """Mean of ``value`` over rows of the group whose value lies within ``reach`` of this row's value.
 
@@ -303,18 +303,18 @@ def value_range_mean(
     sliced = needs_slices(df, keys, group_rows // 3)  # each value makes up to three marks
     points = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
     # decimal totals: the difference of two large running sums must not lose digits
-    amount = exact(value, DIGITS)
+    amount = strict(value, digits)
     marks = points.select(
         *keys,
         F.col(value).alias("_v"),
         F.explode(
             F.array(
                 F.struct(F.col(value).alias("x"), F.lit(1).alias("side"), F.col("_c").alias("c"),
-                         (amount * F.col("_c")).cast(f"decimal(38,{DIGITS})").alias("s")),
+                         (amount * F.col("_c")).cast(f"decimal(38,{digits})").alias("s")),
                 F.struct((F.col(value) - reach).alias("x"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("c"),
-                         F.lit(0).cast(f"decimal(38,{DIGITS})").alias("s")),
+                         F.lit(0).cast(f"decimal(38,{digits})").alias("s")),
                 F.struct((F.col(value) + reach).alias("x"), F.lit(2).alias("side"), F.lit(0).cast("long").alias("c"),
-                         F.lit(0).cast(f"decimal(38,{DIGITS})").alias("s")),
+                         F.lit(0).cast(f"decimal(38,{digits})").alias("s")),
             )
         ).alias("m"),
     ).select(*keys, "_v", "m.*")
@@ -323,7 +323,7 @@ def value_range_mean(
     )
     sign = F.when(F.col("side") == 2, 1).when(F.col("side") == 0, -1)
     means = summed.filter("side <> 1").groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys], "_v").agg(
-        quotient(F.sum(sign * F.col("_rs")), F.sum(sign * F.col("_rc")), DIGITS).alias(out)
+        quotient(F.sum(sign * F.col("_rs")), F.sum(sign * F.col("_rc")), digits).alias(out)
     )
     condition = F.col(value) == F.col("_v")
     for key in keys:

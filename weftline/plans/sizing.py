@@ -48,10 +48,12 @@ def largest_group(df: DataFrame, keys: list[str], enough: int) -> int:
     return int((counts.agg(F.max("n")).first()[0] or 0) / fraction)
 
 
-def hot_keys(df: DataFrame, key: str, threshold: int, total: int) -> DataFrame:
-    """Keys with more than about ``threshold`` rows; there can be at most about total/threshold of them."""
+def hot_keys(df: DataFrame, key: str, threshold: int, total: int, counted: bool = False) -> DataFrame:
+    """Keys with more than about ``threshold`` rows, with that number (``n``) if ``counted``; there can be at most about
+    total/threshold of them."""
     sample, fraction = key_sample(df, [key], total)
-    return sample.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > threshold * fraction).select(key)
+    found = sample.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > threshold * fraction)
+    return found.select(key, (F.col("n") / fraction).cast("long").alias("n")) if counted else found.select(key)
 
 
 def spread(df: DataFrame) -> DataFrame:

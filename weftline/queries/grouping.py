@@ -27,7 +27,7 @@ def department_stats(frame):
 
 
 @query("dept_stats", f"""
-WITH {EMP} SELECT department, count(*) AS headcount, round(avg(salary), 4) AS avg_salary, max(salary) AS max_salary,
+WITH {EMP} SELECT department, count(*) AS headcount, round(avg(CAST(salary AS DECIMAL(28,10))), 4) AS avg_salary, max(salary) AS max_salary,
   min(salary) AS min_salary, round(sum(salary), 2) AS total_salary
 FROM emp GROUP BY department ORDER BY avg_salary DESC, department""")
 def dept_stats(spark, sf):
@@ -35,7 +35,7 @@ def dept_stats(spark, sf):
 
 
 @query("having_filter", f"""
-WITH {EMP} SELECT country, round(avg(salary), 4) AS avg_sal FROM emp GROUP BY country HAVING avg(salary) > 4500""")
+WITH {EMP} SELECT country, round(avg(CAST(salary AS DECIMAL(28,10))), 4) AS avg_sal FROM emp GROUP BY country HAVING avg(CAST(salary AS DECIMAL(28,10))) > 4500""")
 def having_filter(spark, sf):
     means = emp(spark, sf).groupBy("country").agg(mean("salary").alias("avg_sal")).filter("avg_sal > 4500")
     return means.select("country", F.round("avg_sal", 4).alias("avg_sal"))

@@ -75,7 +75,7 @@ def fill_nulls(spark, sf):
 WITH {EMP}, texted AS (SELECT department,
   CASE WHEN emp_id % 10 = 0 THEN 'n/a' ELSE CAST(CAST(salary AS DECIMAL(18,2)) AS VARCHAR) END AS salary_text FROM emp)
 SELECT department, count(*) AS headcount, count(TRY_CAST(salary_text AS DOUBLE)) AS numeric_rows,
-       round(avg(TRY_CAST(salary_text AS DOUBLE)), 4) AS avg_salary
+       round(avg(TRY_CAST(salary_text AS DECIMAL(28,10))), 4) AS avg_salary
 FROM texted GROUP BY department""")
 def cast_string_numeric(spark, sf):
     texted = emp(spark, sf).select(
@@ -93,7 +93,7 @@ def cast_string_numeric(spark, sf):
 
 
 @query("cte_query", f"""
-WITH {EMP}, dept_avg AS (SELECT department, avg(salary) AS avg_sal FROM emp GROUP BY department)
+WITH {EMP}, dept_avg AS (SELECT department, avg(CAST(salary AS DECIMAL(28,10))) AS avg_sal FROM emp GROUP BY department)
 SELECT e.name, e.salary, round(d.avg_sal, 4) AS avg_sal FROM emp e JOIN dept_avg d ON e.department = d.department
 WHERE e.salary > d.avg_sal""")
 def cte_query(spark, sf):

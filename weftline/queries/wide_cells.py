@@ -92,24 +92,25 @@ def filter_value(spark, sf):
     return hb.latest(cells(spark, sf)).filter(hit).select(*SHOWN, (F.col("value") == "6.55").alias("exact"))
 
 
-SCV = f"""{LATEST}, flags AS (SELECT row_key,
+SCV = f"""{LATEST}, named AS (SELECT row_key, value,
+  CASE WHEN qualifier = 'view' AND CAST(value AS DOUBLE) >= 60 THEN 'long_view' ELSE qualifier END AS qualifier FROM latest),
+flags AS (SELECT row_key,
   max(CAST(value AS DOUBLE)) FILTER (WHERE qualifier = 'purchase') AS p, max(CAST(value AS DOUBLE)) FILTER (WHERE qualifier = 'view') AS v
-  FROM latest WHERE qualifier <> 'view' OR CAST(value AS DOUBLE) < 60 GROUP BY row_key)"""
+  FROM named GROUP BY row_key)"""
 
 
-def part_time_views(spark, sf):
-    """Cells without the bigger views: some rows then lack the column altogether."""
+def named_views(spark, sf):
+    """Bigger views under a qualifier of their own: some rows then lack the column ``view``. Every cell stays."""
     now = hb.latest(cells(spark, sf))
-    return now.filter((F.col("qualifier") != "view") | (amount() < 60))
+    long = (F.col("qualifier") == "view") & (amount() >= 60)
+    return now.withColumn("qualifier", F.when(long, "long_view").otherwise(F.col("qualifier")))
 
 
 @query("filter_single_column", f"""
-WITH {SCV} SELECT 'keep' AS missing, l.row_key, qualifier, value FROM latest l JOIN flags USING (row_key)
-  WHERE (v < 20 OR v IS NULL) AND (qualifier <> 'view' OR CAST(value AS DOUBLE) < 60)
-UNION ALL SELECT 'drop', l.row_key, qualifier, value FROM latest l JOIN flags USING (row_key)
-  WHERE v < 20 AND (qualifier <> 'view' OR CAST(value AS DOUBLE) < 60)""")
+WITH {SCV} SELECT 'keep' AS missing, row_key, qualifier, value FROM named JOIN flags USING (row_key) WHERE v < 20 OR v IS NULL
+UNION ALL SELECT 'drop', row_key, qualifier, value FROM named JOIN flags USING (row_key) WHERE v < 20""")
 def filter_single_column(spark, sf):
-    rows = part_time_views(spark, sf)
+    rows = named_views(spark, sf)
     test = {("cf", "view"): amount() < 20}
     kept = hb.rows_matching(rows, test).select(F.lit("keep").alias("missing"), *SHOWN)
     strict = hb.rows_matching(rows, test, filter_if_missing=True).select(F.lit("drop").alias("missing"), *SHOWN)
@@ -128,12 +129,11 @@ def filter_qualifier_family(spark, sf):
 
 
 @query("filter_list", f"""
-WITH {SCV}, f AS (SELECT row_key, coalesce(p >= 30, true) AS a, coalesce(v < 20, true) AS b FROM flags),
-shown AS (SELECT * FROM latest WHERE qualifier <> 'view' OR CAST(value AS DOUBLE) < 60)
-SELECT 'and' AS mode, row_key, qualifier, value FROM shown JOIN f USING (row_key) WHERE a AND b
-UNION ALL SELECT 'or', row_key, qualifier, value FROM shown JOIN f USING (row_key) WHERE a OR b""")
+WITH {SCV}, f AS (SELECT row_key, coalesce(p >= 30, true) AS a, coalesce(v < 20, true) AS b FROM flags)
+SELECT 'and' AS mode, row_key, qualifier, value FROM named JOIN f USING (row_key) WHERE a AND b
+UNION ALL SELECT 'or', row_key, qualifier, value FROM named JOIN f USING (row_key) WHERE a OR b""")
 def filter_list(spark, sf):
-    rows = part_time_views(spark, sf)
+    rows = named_views(spark, sf)
     tests = {("cf", "purchase"): amount() >= 30, ("cf", "view"): amount() < 20}
     parts = [hb.rows_matching(rows, tests, mode).select(F.lit(mode).alias("mode"), *SHOWN) for mode in ("and", "or")]
     return parts[0].unionByName(parts[1])
@@ -223,7 +223,7 @@ def stamped(frame):
 
 
 @query("wide_from_cells", f"""
-WITH {EMP} SELECT department, count(*) AS headcount, round(avg(salary), 4) AS avg_salary FROM emp
+WITH {EMP} SELECT department, count(*) AS headcount, round(avg(CAST(salary AS DECIMAL(28,10))), 4) AS avg_salary FROM emp
 WHERE department <> 'FURNITURE' GROUP BY department""")
 def wide_from_cells(spark, sf):
     wide = hb.to_wide(stamped(staff_cells(spark, sf)), MAPPING)
@@ -306,7 +306,7 @@ def secondary_index(spark, sf):
 
 @query("phoenix_queries", f"""
 WITH {EMP}, {DEPT} SELECT 'filter' AS part, department, name, salary, CAST(NULL AS VARCHAR) AS location FROM emp WHERE department = 'BUILDING'
-UNION ALL SELECT 'average', department, NULL, round(avg(salary), 4), NULL FROM emp GROUP BY department
+UNION ALL SELECT 'average', department, NULL, round(avg(CAST(salary AS DECIMAL(28,10))), 4), NULL FROM emp GROUP BY department
 UNION ALL SELECT 'join', department, name, salary, location FROM emp JOIN dept ON department = dept_name WHERE salary > 8000""")
 def typed_table_queries(spark, sf):
     staff = emp(spark, sf)

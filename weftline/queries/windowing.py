@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, emp
-from weftline.functions.numbers import mean
-from weftline.operators.ordered import attach_group, framed, ranked, running, value_range_mean
+from weftline.functions.numbers import mean, strict
+from weftline.operators.ordered import attach_group, framed, needs_slices, ranked, running, value_range_mean
+from weftline.plans.sizing import GROUP_ROWS
 from weftline.registry import query
 
 BY_PAY = [("salary", False), ("emp_id", False)]
@@ -46,7 +47,7 @@ WITH {EMP} SELECT emp_id, salary, department,
   round(salary - lag(salary, 1, salary) OVER (ORDER BY emp_id), 2) AS salary_diff,
   lag(salary) OVER (PARTITION BY department ORDER BY salary DESC, emp_id) AS better_paid
 FROM emp""")
-def lag_lead(spark, sf, **sizing):
+def lag_lead(spark, sf, group_rows=GROUP_ROWS):
     def neighbours(w):
         before = F.lag("salary").over(w)
         return {
@@ -56,7 +57,9 @@ def lag_lead(spark, sf, **sizing):
         }
 
     rows = staff(spark, sf).drop("name")
-    whole = framed(rows, [], [("emp_id", False)], neighbours, back=1, ahead=1, **sizing)
+    # both plans are chosen from the base rows: the second window must not compute the first one to count its result
+    sliced = [needs_slices(rows, keys, group_rows) for keys in ([], ["department"])]
+    whole = framed(rows, [], [("emp_id", False)], neighbours, back=1, ahead=1, sliced=sliced[0])
     return framed(
         whole,
         ["department"],
@@ -64,7 +67,7 @@ def lag_lead(spark, sf, **sizing):
         lambda w: {"better_paid": F.lag("salary").over(w)},
         back=1,
         ahead=0,
-        **sizing,
+        sliced=sliced[1],
     )
 
 
@@ -87,12 +90,14 @@ def first_last_value(spark, sf):
 
 
 @query("running_total", f"""
-WITH {EMP} SELECT emp_id, department, salary, round(sum(salary) OVER
-  (PARTITION BY department ORDER BY salary, emp_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_total
+WITH {EMP} SELECT emp_id, department, salary, round(CAST(sum(CAST(salary AS DECIMAL(28,10))) OVER
+  (PARTITION BY department ORDER BY salary, emp_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE), 2) AS running_total
 FROM emp""")
 def running_total(spark, sf, **sizing):
-    rows = running(staff(spark, sf).drop("name"), ["department"], BY_PAY, {"running_total": "salary"}, **sizing)
-    return rows.withColumn("running_total", F.round("running_total", 2))
+    """Decimal sums, so that the plain and the sliced plan give the same digits."""
+    rows = staff(spark, sf).drop("name").withColumn("amount", strict("salary"))
+    rows = running(rows, ["department"], BY_PAY, {"running_total": "amount"}, **sizing).drop("amount")
+    return rows.withColumn("running_total", F.round(F.col("running_total").cast("double"), 2))
 
 
 @query("moving_average", f"""
@@ -150,8 +155,8 @@ def range_frame_value(spark, sf, **sizing):
 
 
 @query("named_window", f"""
-WITH {EMP} SELECT emp_id, department, salary, round(avg(salary) OVER w, 4) AS dept_avg, max(salary) OVER w AS dept_max,
-  min(salary) OVER w AS dept_min, round(salary - round(avg(salary) OVER w, 4), 4) AS delta_from_avg FROM emp
+WITH {EMP} SELECT emp_id, department, salary, round(avg(CAST(salary AS DECIMAL(28,10))) OVER w, 4) AS dept_avg, max(salary) OVER w AS dept_max,
+  min(salary) OVER w AS dept_min, round(salary - round(avg(CAST(salary AS DECIMAL(28,10))) OVER w, 4), 4) AS delta_from_avg FROM emp
 WINDOW w AS (PARTITION BY department ORDER BY salary ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
 def named_window(spark, sf):
     rows = attach_group(
