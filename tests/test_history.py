@@ -11,8 +11,8 @@ from weftline.adapters import table
 from weftline.operators.cells import key_range, publish_sorted
 from weftline.operators.rollups import distinct_sketches, merge_sketches, merge_totals, partial_totals
 from weftline.operators.tables import fresh_database, write_partitioned
-from weftline.operators.versions import compact, merge_deltas
-from weftline.operators.warehouse import apply_changes, history, orphans, quality_report
+from weftline.operators.versions import VersionedTable, compact, merge_deltas
+from weftline.operators.warehouse import apply_changes, history, merge_history, observed, orphans, quality_report, stretches
 from weftline.queries import syllabus
 from weftline.queries.wide_cells import staff_cells
 from weftline.session import scratch
@@ -34,6 +34,35 @@ def test_dimension_history_in_sliced_form(spark, sf):
     assert sorted(got[2], key=sort_key) == want[2]
 
 
+@pytest.mark.parametrize("group_rows", [0, 10**6])
+def test_late_deliveries_equal_a_rebuild(spark, group_rows):
+    """Whatever is delivered when, the stored dimension is the one built from all changes at once."""
+    rows = [(k, "xyz"[(k * 7 + t * t) % 3] if (k + t) % 5 else None, t, t % 4) for k in range(6) for t in range(20)]
+    rows += [(9, "x", t, 0) for t in range(200)]  # one key with a long history
+    rows = [r for r in rows if r[0] != 5]
+    columns = "k int, v string, t int, id int"
+    parts = [[r for i, r in enumerate(rows) if i * 13 % 3 == p] for p in range(3)] + [[(5, "x", 3, 1), (2, "new", -4, 0)]]
+    stored = VersionedTable(spark, scratch(spark, "dim"), f"{columns}, starts boolean, valid_to int", ["k"], 4)
+    stored.create(observed(spark.createDataFrame(parts[0], columns), "k", "v", "t", "id", group_rows))
+    for part in (*parts[1:], parts[1], [(None, "x", 1, 1)]):  # a delivery comes twice, one has no key
+        merge_history(stored, spark.createDataFrame(part, columns), "k", "v", "t", "id", group_rows)
+    everything = spark.createDataFrame([r for p in parts for r in p], columns)
+    want = history(everything, "k", "v", "t", "id", group_rows=group_rows)
+    got = stretches(stored.read(), "k", "v", "t")
+    assert got.columns == want.columns and got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_a_delivery_rewrites_only_its_buckets(spark):
+    columns = "k int, v string, t int, id int"
+    stored = VersionedTable(spark, scratch(spark, "dim"), f"{columns}, starts boolean, valid_to int", ["k"], 8)
+    stored.create(observed(spark.createDataFrame([(k, "a", 1, 1) for k in range(100)], columns), "k", "v", "t", "id"))
+    version = merge_history(stored, spark.createDataFrame([(7, "b", 0, 1)], columns), "k", "v", "t", "id")
+    assert stored._log().filter(F.col("version") == version).count() == 1
+    assert merge_history(stored, spark.createDataFrame([], columns), "k", "v", "t", "id") == version
+    got = sorted(tuple(r) for r in stretches(stored.read(), "k", "v", "t").filter("k = 7").collect())
+    assert got == [(7, "a", 1, None, True), (7, "b", 0, 1, False)]
+
+
 def test_change_feed(spark):
     feed = spark.createDataFrame([(1, "c", 1, "a"), (1, "u", 2, "b"), (2, "c", 1, "c"), (2, "d", 3, None)],
                                  "k int, op string, n int, v string")

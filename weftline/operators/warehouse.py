@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.ordered import framed, needs_slices
+from weftline.operators.versions import VersionedTable
 from weftline.plans.sizing import GROUP_ROWS
+from weftline.session import land
 
 
 def surrogate_key(*parts: Column) -> Column:
@@ -33,6 +35,45 @@ def history(
     )
 
 
+def observed(
+    changes: DataFrame, key: str, value: str, at: str, tie: str, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """Every observation of a key, in what a stored type-2 dimension needs: whether it ``starts`` a stretch, and if so where the
+    stretch ends (``valid_to``, null while it lasts). Observations that repeat the value before them are kept: a late change
+    between them may make them the start of a stretch."""
+    order = [(at, False), (tie, False)]
+    sizing = {"sliced": needs_slices(changes, [key], group_rows)}
+    rows = changes.select(key, value, at, tie)
+    seen = framed(rows, [key], order, lambda w: {"_before": F.lag(F.struct(value)).over(w)}, 1, 0, **sizing)
+    new = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.struct(value))
+    seen = land(seen.withColumn("starts", new).drop("_before"), "observed")
+    ended = framed(seen.filter("starts"), [key], order, lambda w: {"valid_to": F.lead(at).over(w)}, 0, 1, **sizing)
+    return ended.unionByName(seen.filter("not starts").withColumn("valid_to", F.lit(None).cast(dict(rows.dtypes)[at])))
+
+
+def stretches(stored: DataFrame, key: str, value: str, at: str) -> DataFrame:
+    """The type-2 view of stored observations: one row per stretch, [valid_from, valid_to), the last one current."""
+    return stored.filter("starts").select(
+        key, value, F.col(at).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"))
+
+
+def merge_history(
+    stored: VersionedTable, delivery: DataFrame, key: str, value: str, at: str, tie: str, group_rows: int = GROUP_ROWS
+) -> int:
+    """Merge a delivery of changes into a stored dimension, whatever times they have; returns the new version.
+
+    Only keys of the delivery are worked on and only their buckets rewritten. A late change splits the stretch it falls into. An
+    observation delivered again (same key, time and tie) replaces the earlier one, so a repeated delivery changes nothing.
+    ``stored`` has the columns of `observed` and ``key`` as its key. Null keys are left out.
+    """
+    fresh = land(delivery.filter(F.col(key).isNotNull()).groupBy(key, at, tie).agg(F.max(value).alias(value)), "delivery")
+    before = stored.read().select(key, value, at, tie).join(fresh.select(key).distinct(), key, "left_semi")
+    again = before[at].eqNullSafe(fresh[at]) & before[tie].eqNullSafe(fresh[tie]) & (before[key] == fresh[key])
+    kept = before.join(fresh, again, "left_anti")
+    merged = observed(kept.unionByName(fresh.select(key, value, at, tie)), key, value, at, tie, group_rows)
+    return stored.upsert(land(merged, "merged"))
+
+
 def apply_changes(feed: DataFrame, key: str, sequence: str, columns: list[str]) -> DataFrame:
     """State after a change feed ``op`` in c, u, d: the latest change of every key, deleted keys gone."""
     last = feed.groupBy(key).agg(F.max_by(F.struct("op", *columns), sequence).alias("last"))

@@ -17,14 +17,17 @@ from weftline.operators.rollups import (
     partial_totals,
     rollup_totals,
 )
+from weftline.operators.versions import VersionedTable
 from weftline.operators.warehouse import (
     apply_changes,
     duplicate_keys,
-    history,
+    merge_history,
+    observed,
     orphans,
     quality_report,
     surrogate_key,
 )
+from weftline.operators.warehouse import stretches as stretches_of
 from weftline.plans.sizing import settle
 from weftline.registry import query
 from weftline.session import land, scratch
@@ -163,12 +166,21 @@ SELECT 'type2' AS kind, custkey, priority, valid_from, valid_to, NULL AS previou
 UNION ALL SELECT 'type1', custkey, priority, NULL, NULL, NULL FROM three
 UNION ALL SELECT 'type3', custkey, priority, NULL, NULL, previous FROM three""")
 def merge_scd(spark, sf, **sizing):
-    """Type 2 keeps every stretch, type 1 the latest value, type 3 the latest and the one before it."""
+    """Type 2 keeps every stretch, type 1 the latest value, type 3 the latest and the one before it.
+
+    The dimension is stored; a second delivery, of changes from all through the same time, is merged into it.
+    """
     changes = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("custkey"), F.col("o_orderpriority").alias("priority"),
         F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("tie"),
     )
-    stretches = land(history(changes, "custkey", "priority", "at", "tie", **sizing), "history")
+    late, names = F.crc32(F.col("tie").cast("string")) % 4 == 0, ("custkey", "priority", "at", "tie")
+    stored = VersionedTable(
+        spark, scratch(spark, "dimension"),
+        "custkey bigint, priority string, at timestamp_ntz, tie bigint, starts boolean, valid_to timestamp_ntz", ["custkey"])
+    stored.create(observed(changes.filter(~late), *names, **sizing))
+    merge_history(stored, changes.filter(late), *names, **sizing)
+    stretches = land(stretches_of(stored.read(), "custkey", "priority", "at"), "history")
     current = stretches.filter("is_current")
     ended = stretches.filter("not is_current").groupBy("custkey").agg(
         F.max_by("priority", F.struct("valid_to", "valid_from")).alias("previous")
