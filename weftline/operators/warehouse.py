@@ -46,7 +46,9 @@ def observed(
     rows = changes.select(key, value, at, tie)
     seen = framed(rows, [key], order, lambda w: {"_before": F.lag(F.struct(value)).over(w)}, 1, 0, **sizing)
     new = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.struct(value))
-    seen = land(seen.withColumn("starts", new).drop("_before"), "observed")
+    seen = seen.withColumn("starts", new).drop("_before")
+    if sizing["sliced"]:
+        seen = land(seen, "observed")  # a plain window is one shuffle, which both uses below share
     ended = framed(seen.filter("starts"), [key], order, lambda w: {"valid_to": F.lead(at).over(w)}, 0, 1, **sizing)
     return ended.unionByName(seen.filter("not starts").withColumn("valid_to", F.lit(None).cast(dict(rows.dtypes)[at])))
 
@@ -66,12 +68,12 @@ def merge_history(
     observation delivered again (same key, time and tie) replaces the earlier one, so a repeated delivery changes nothing.
     ``stored`` has the columns of `observed` and ``key`` as its key. Null keys are left out.
     """
-    fresh = land(delivery.filter(F.col(key).isNotNull()).groupBy(key, at, tie).agg(F.max(value).alias(value)), "delivery")
+    fresh = delivery.filter(F.col(key).isNotNull()).groupBy(key, at, tie).agg(F.max(value).alias(value))
     before = stored.read().select(key, value, at, tie).join(fresh.select(key).distinct(), key, "left_semi")
     again = before[at].eqNullSafe(fresh[at]) & before[tie].eqNullSafe(fresh[tie]) & (before[key] == fresh[key])
     kept = before.join(fresh, again, "left_anti")
-    merged = observed(kept.unionByName(fresh.select(key, value, at, tie)), key, value, at, tie, group_rows)
-    return stored.upsert(land(merged, "merged"))
+    every = land(kept.unionByName(fresh.select(key, value, at, tie)), "every")
+    return stored.upsert(land(observed(every, key, value, at, tie, group_rows), "merged"))
 
 
 def apply_changes(feed: DataFrame, key: str, sequence: str, columns: list[str]) -> DataFrame:

@@ -17,6 +17,7 @@ from weftline.operators.rollups import (
     partial_totals,
     rollup_totals,
 )
+from weftline.operators.tables import bucket_count, total_bytes
 from weftline.operators.versions import VersionedTable
 from weftline.operators.warehouse import (
     apply_changes,
@@ -177,7 +178,8 @@ def merge_scd(spark, sf, **sizing):
     late, names = F.crc32(F.col("tie").cast("string")) % 4 == 0, ("custkey", "priority", "at", "tie")
     stored = VersionedTable(
         spark, scratch(spark, "dimension"),
-        "custkey bigint, priority string, at timestamp_ntz, tie bigint, starts boolean, valid_to timestamp_ntz", ["custkey"])
+        "custkey bigint, priority string, at timestamp_ntz, tie bigint, starts boolean, valid_to timestamp_ntz", ["custkey"],
+        bucket_count(total_bytes(spark, f"{sf}/orders.parquet"), least=4))
     stored.create(observed(changes.filter(~late), *names, **sizing))
     merge_history(stored, changes.filter(late), *names, **sizing)
     stretches = land(stretches_of(stored.read(), "custkey", "priority", "at"), "history")
