@@ -6,13 +6,19 @@ no row is ever assembled from an unbounded number of cells.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weftline.operators.tables import exists
 from weftline.plans.sizing import broadcast_if_small
 
 CELL = ["row_key", "family", "qualifier"]
+COUNTER = "row_key string, family string, qualifier string, counter long"
 
 
 def newest() -> Column:
@@ -159,8 +165,86 @@ def region_of(key: Column, split_points: list[str]) -> Column:
     return sum((F.when(key >= point, 1).otherwise(0) for point in split_points), F.lit(0))
 
 
+class Published:
+    """A cell table that is loaded as a whole. A load becomes the current one by its line in a log, a single file written after
+    the load has been counted and spot-checked; until then, and if it fails, readers see the load before."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: str):
+        self.spark, self.root, self.schema = spark, root, schema
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema("load int, folder string, n_rows long").parquet(f"{self.root}/log")
+
+    def _newest(self):
+        return self._log().agg(F.max_by(F.struct("load", "folder", "n_rows"), "load").alias("m")).first().m
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self._newest().folder)
+
+    def publish(self, cells: DataFrame, spots: int = 100) -> int:
+        """Globally sorted files: range partitions on the row key, sorted inside. Returns the number of the load.
+
+        ``cells`` is read twice and should be stored. Its rows are counted against the files, and ``spots`` of them, those first
+        in hash order, must be found there.
+        """
+        folder = f"{self.root}/loads/{uuid.uuid4().hex}"
+        ordered = cells.repartitionByRange("row_key", "family", "qualifier").sortWithinPartitions(*CELL)
+        ordered.write.parquet(folder)
+        stored = self.spark.read.schema(self.schema).parquet(folder)
+        n = cells.count()
+        picked = cells.orderBy(F.xxhash64(*cells.columns)).limit(spots).distinct().collect()  # at most ``spots`` rows
+        some = self.spark.createDataFrame(picked, cells.schema)
+        found = [stored[c].eqNullSafe(some[c]) for c in cells.columns]
+        hits = stored.join(F.broadcast(some), reduce(and_, found), "left_semi").distinct().count()
+        if stored.count() != n or hits != len(picked):
+            raise RuntimeError(f"the load in {folder} does not hold what was given; the one before stays current")
+        known = exists(self.spark, f"{self.root}/log")
+        load = self._newest().load + 1 if known else 0
+        line = self.spark.range(1).select(F.lit(load).alias("load"), F.lit(folder).alias("folder"), F.lit(n).alias("n_rows"))
+        line.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        return load
+
+
 def publish_sorted(cells: DataFrame, path: str) -> DataFrame:
-    """Globally sorted files: range partitions on the row key, sorted inside, written as one commit."""
-    ordered = cells.repartitionByRange("row_key", "family", "qualifier").sortWithinPartitions(*CELL)
-    ordered.write.mode("overwrite").parquet(path)
-    return cells.sparkSession.read.schema(cells.schema).parquet(path)
+    """The first load of a new table at ``path``."""
+    table = Published(cells.sparkSession, path, ", ".join(f"{n} {t}" for n, t in cells.dtypes))
+    table.publish(cells)
+    return table.read()
+
+
+class Counters:
+    """Stored counters that batches of increments are added to exactly once.
+
+    The sums of a batch are a folder that bears its number: a batch delivered again replaces its folder. `fold` adds the batches
+    up to some number into a new base and names it in a log, in one file; later copies of folded batches are ignored.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def _base(self):
+        if not exists(self.spark, f"{self.root}/log"):
+            return None
+        log = self.spark.read.schema("through long, folder string").parquet(f"{self.root}/log")
+        return log.agg(F.max_by(F.struct("through", "folder"), "through").alias("m")).first().m
+
+    def add(self, deltas: DataFrame, batch_id: int) -> None:
+        base = self._base()
+        if base is None or batch_id > base.through:
+            increment(deltas).write.mode("overwrite").parquet(f"{self.root}/batches/batch_id={batch_id}")
+
+    def read(self, through: int | None = None) -> DataFrame:
+        base = self._base()
+        parts = self.spark.read.schema(f"{COUNTER}, batch_id long").parquet(f"{self.root}/batches")
+        if through is not None:
+            parts = parts.filter(F.col("batch_id") <= through)
+        if base is not None:
+            parts = parts.filter(F.col("batch_id") > base.through).drop("batch_id").unionByName(
+                self.spark.read.schema(COUNTER).parquet(base.folder))
+        return increment(parts.withColumnRenamed("counter", "delta"))
+
+    def fold(self, through: int) -> None:
+        folder = f"{self.root}/bases/{uuid.uuid4().hex}"
+        self.read(through).write.parquet(folder)
+        line = self.spark.range(1).select(F.lit(through).cast("long").alias("through"), F.lit(folder).alias("folder"))
+        line.coalesce(1).write.mode("append").parquet(f"{self.root}/log")

@@ -215,8 +215,7 @@ def closed(frame, kind):
 
 
 @query("tumbling_sliding_session", """
-WITH mark AS (SELECT epoch_ms(CAST(floor(epoch_us(max(ts)) / 1000) AS BIGINT)) - INTERVAL 1 HOUR AS seen_to FROM events),
-tum AS (SELECT 'tumbling' AS kind, time_bucket(INTERVAL 6 HOUR, ts) AS s, time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS e, event_type AS who,
+WITH tum AS (SELECT 'tumbling' AS kind, time_bucket(INTERVAL 6 HOUR, ts) AS s, time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS e, event_type AS who,
   count(*) AS n, sum(value) AS total FROM events GROUP BY ALL),
 sli AS (SELECT 'sliding' AS kind, s, s + INTERVAL 12 HOUR AS e, event_type AS who, count(*) AS n, sum(value) AS total FROM (
   SELECT *, unnest([time_bucket(INTERVAL 6 HOUR, ts), time_bucket(INTERVAL 6 HOUR, ts) - INTERVAL 6 HOUR]) AS s FROM events) GROUP BY ALL),
@@ -225,21 +224,36 @@ ses0 AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id
 ses AS (SELECT 'session' AS kind, min(ts) AS s, max(ts) + INTERVAL 2 HOUR AS e, CAST(user_id AS VARCHAR) AS who, count(*) AS n, sum(value) AS total
   FROM ses0 GROUP BY user_id, no)
 SELECT kind, s AS window_start, e AS window_end, who, n, round(total, 2) AS total
-FROM (SELECT * FROM tum UNION ALL SELECT * FROM sli UNION ALL SELECT * FROM ses), mark WHERE e <= seen_to""")
+FROM (SELECT * FROM tum UNION ALL SELECT * FROM sli UNION ALL SELECT * FROM ses)""")
 def tumbling_sliding_session(spark, sf):
-    """Append mode: a window is emitted once, when the watermark has passed its end; later windows stay open."""
+    """Tumbling and sliding windows in update mode: every batch emits the windows it changed, the last one wins.
+
+    Sessions know append mode only, which emits a session once the watermark has passed it. A closing mark, an event of nobody
+    two days after the last, brings the watermark past all of them.
+    """
+    events, marks = table(spark, sf, "events"), scratch(spark, "marks")
+    events.limit(0).write.parquet(marks)
     stream = eventtime.timed(ingest.stream_table(spark, sf, "events"), "1 hour")
-    grouped = {
-        "tumbling": eventtime.tumbling(stream, [F.col("event_type").alias("who")], "6 hours"),
-        "sliding": eventtime.sliding(stream, [F.col("event_type").alias("who")], "12 hours", "6 hours"),
-        "session": eventtime.sessions(stream, [F.col("user_id").cast("string").alias("who")], "2 hours"),
-    }
-    path = scratch(spark, "windows")
-    parts = []
+    kinds = [F.col("event_type").alias("who")]
+    grouped = {"tumbling": eventtime.tumbling(stream, kinds, "6 hours"),
+               "sliding": eventtime.sliding(stream, kinds, "12 hours", "6 hours")}
+    shape, parts = ["kind", "window_start", "window_end", "who"], []
     for kind, frame in grouped.items():
+        path = scratch(spark, kind)
+        eventtime.land_updates(closed(frame.agg(F.count("*").alias("n"), F.sum("value").alias("total")), kind), path,
+                               scratch(spark, f"{kind}-checkpoint"))
+        parts.append(eventtime.newest(spark.read.parquet(path), shape, ["n", "total"]))
+
+    path, checkpoint = scratch(spark, "sessions"), scratch(spark, "sessions-checkpoint")
+    for _ in range(2):
+        both = ingest.stream_table(spark, sf, "events").unionByName(ingest.stream_files(spark, marks, events.schema))
+        frame = eventtime.sessions(eventtime.timed(both, "1 hour"), [F.col("user_id").cast("string").alias("who")], "2 hours")
         totals = frame.agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-        ingest.land(closed(totals, kind), f"{path}/{kind}", scratch(spark, f"{kind}-checkpoint"))
-        parts.append(spark.read.parquet(f"{path}/{kind}"))
+        ingest.land(closed(totals, "session"), path, checkpoint)
+        last = events.agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"))
+        last.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema]
+                    ).write.mode("append").parquet(marks)
+    parts.append(spark.read.parquet(path).filter("who IS NOT NULL"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -275,7 +289,7 @@ def stream_joins(spark, sf):
         ).select(F.col("user_id").alias("user_id"), F.col("event_id").alias(f"{prefix}_id"), F.col("ts").alias(f"{prefix}_ts"))
 
     clicks, buys = side("click", "click"), side("purchase", "buy")
-    pairs = eventtime.within(clicks, buys, "user_id", "click_ts", "buy_ts", "6 HOURS").select(
+    pairs = eventtime.within(clicks, buys, "user_id", "click_ts", "buy_ts", 6 * 3600).select(
         F.col("click_id").alias("event_id"), F.col("buy_id").alias("other")
     )
     parts = []

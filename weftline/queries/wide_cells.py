@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.adapters import CELLS, DEPT, EMP, WIDE, cells, dept, emp, money_text
+from weftline.adapters import CELLS, DEPT, EMP, WIDE, cells, dept, emp, money_text, table
 from weftline.functions.numbers import mean
 from weftline.operators import cells as hb
 from weftline.plans.sizing import broadcast_if_small
 from weftline.registry import query
 from weftline.session import scratch
+from weftline.streaming import ingest
 
 LATEST = f"""{CELLS}, latest AS (SELECT row_key, family, qualifier, version_ts, seq, value FROM (SELECT *, row_number() OVER
   (PARTITION BY row_key, family, qualifier ORDER BY version_ts DESC, seq DESC) AS rn FROM cells) WHERE rn = 1)"""
@@ -182,13 +183,20 @@ def retention_ttl_versions(spark, sf):
 SELECT 'page:' || event_type AS row_key, 'c' AS family, 'views' AS qualifier,
   CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS counter FROM events GROUP BY event_type""")
 def counter_increment(spark, sf):
-    from weftline.adapters import table
-
-    deltas = table(spark, sf, "events").select(
-        F.concat(F.lit("page:"), "event_type").alias("row_key"), F.lit("c").alias("family"),
-        F.lit("views").alias("qualifier"), F.get_json_object("props", "$.k").cast("long").alias("delta"),
-    )
-    return hb.increment(deltas)
+    """Increments come as a stream into stored counters; the first batches are folded before the rest arrives."""
+    events, source, checkpoint = table(spark, sf, "events"), scratch(spark, "hits"), scratch(spark, "hits-checkpoint")
+    counters = hb.Counters(spark, scratch(spark, "counters"))
+    for half in (0, 1):
+        events.filter(F.col("event_id") % 2 == half).write.mode("append").parquet(source)
+        deltas = ingest.stream_files(spark, source, events.schema).select(
+            F.concat(F.lit("page:"), "event_type").alias("row_key"), F.lit("c").alias("family"),
+            F.lit("views").alias("qualifier"), F.get_json_object("props", "$.k").cast("long").alias("delta"),
+        )
+        ingest.drain(deltas.writeStream.foreachBatch(counters.add).option("checkpointLocation", checkpoint)
+                     .trigger(availableNow=True).start())
+        if half == 0:
+            counters.fold(0)
+    return counters.read()
 
 
 def staff_cells(spark, sf):

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from weftline.streaming.ingest import drain
 
@@ -30,31 +26,32 @@ def sessions(stream: DataFrame, keys: list[str], gap: str, column: str = "ts") -
 
 
 def within(
-    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, span: str
+    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, seconds: int, salts: int = 4
 ) -> DataFrame:
-    """Pairs of equal key where the right event follows the left one within ``span``.
+    """Pairs of equal key where the right event follows the left one within ``seconds``.
 
-    Both sides carry a watermark and the time bound limits how long either side is remembered.
+    Both sides carry a watermark and the time bound limits how long either side is remembered. The join is on the key, the time
+    bucket of the left event and a salt, so that the state and the pairs of one key are many tasks: a left event is remembered
+    once, a right one under each salt of the two buckets that its span touches.
     """
-    near = (F.col(right_time) >= F.col(left_time)) & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {span}"))
-    return left.join(right, (left[key] == right[key]) & near)
+    bucket = F.floor(F.unix_micros(left_time) / (seconds * 1_000_000))
+    salted = left.withColumns({"_bucket": bucket, "_salt": F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")})
+    last = F.floor(F.unix_micros(right_time) / (seconds * 1_000_000))
+    copied = right.withColumn("_at", F.explode(F.array(*[
+        F.struct((last - back).alias("bucket"), F.lit(salt).alias("salt")) for back in (0, 1) for salt in range(salts)])))
+    copied = copied.select(*right.columns, F.col("_at.bucket").alias("_to_bucket"), F.col("_at.salt").alias("_to_salt"))
+    follows = (F.col(right_time) >= F.col(left_time)) & (
+        F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {seconds} SECONDS"))
+    together = (salted[key] == copied[key]) & (F.col("_bucket") == F.col("_to_bucket")) & (F.col("_salt") == F.col("_to_salt"))
+    return salted.join(copied, together & follows).drop("_bucket", "_salt", "_to_bucket", "_to_salt")
 
 
 def running_totals(stream: DataFrame, key: str, value: str) -> DataFrame:
-    """Per-key count and sum kept as state; every batch emits the new totals of the keys it touched."""
-
-    def update(
-        group: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        n, total = state.get if state.exists else (0, 0.0)
-        for batch in batches:
-            n, total = n + len(batch), total + float(batch[value].sum())
-        state.update((n, total))
-        yield pd.DataFrame({key: [group[0]], "n": [n], "total": [total]})
-
-    return stream.groupBy(key).applyInPandasWithState(
-        update, f"{key} long, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout
-    )
+    """Per-key count and sum kept as state; in update mode every batch emits the new totals of the keys it touched.
+
+    The built-in aggregation combines a batch before the shuffle, so a hot key costs one row per task, and no Python runs per key.
+    """
+    return stream.groupBy(key).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
 
 
 def land_updates(stream: DataFrame, path: str, checkpoint: str, mode: str = "update") -> None:
@@ -67,3 +64,9 @@ def land_updates(stream: DataFrame, path: str, checkpoint: str, mode: str = "upd
         stream.writeStream.outputMode(mode).foreachBatch(deliver).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+
+
+def newest(updates: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """The last update of every key in what `land_updates` has written: the row of the highest batch."""
+    last = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_last"))
+    return last.select(*keys, *[F.col(f"_last.{v}").alias(v) for v in values])

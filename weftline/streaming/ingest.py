@@ -17,15 +17,23 @@ from weftline.operators.tables import by_partition
 
 Transform = Callable[[DataFrame], DataFrame]
 ROLL_ROWS = 1_000_000
+#: Bytes of input files in one batch.
+BATCH_BYTES = 64 * 1024**3
 
 
 def stream_files(
-    spark: SparkSession, path: str, schema: StructType | str, kind: str = "parquet", files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: StructType | str, kind: str = "parquet", files_per_batch: int | None = None,
+    bytes_per_batch: int = BATCH_BYTES,
 ) -> DataFrame:
-    """New files of a folder, each read once; the checkpoint of the query remembers which."""
+    """New files of a folder, each read once; the checkpoint of the query remembers which.
+
+    A batch is bounded by ``bytes_per_batch``, or by a number of files where one is given.
+    """
     reader = spark.readStream.schema(schema).format(kind)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.load(path)
 
 
@@ -149,17 +157,33 @@ def land(
 def fan_out(stream: DataFrame, checkpoint: str, sinks: dict[str, str]) -> None:
     """Replicate a stream to several folders.
 
-    A batch may be delivered again after a failure, so every sink replaces its own folder of that batch. The batch is
-    kept in memory and on disk while the sinks are written, and is not read twice.
+    A batch may be delivered again after a failure, so every sink replaces its own folder of that batch. The batch is computed
+    once, into a landing beside the checkpoint, and the sinks copy from there; nothing is kept in the memory of executors.
+    """
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        landing = f"{checkpoint}-landing/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(landing)
+        landed = batch.sparkSession.read.schema(batch.schema).parquet(landing)
+        for path in sinks.values():
+            landed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    drain(
+        stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def land_batches(stream: DataFrame, path: str, checkpoint: str, lost_at: int | None = None) -> None:
+    """Write every batch to a folder of its own; a repeated batch replaces its folder.
+
+    ``lost_at`` stops the run after the sink of that batch has written and before the batch is committed, as a lost driver would.
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for path in sinks.values():
-                batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if batch_id == lost_at:
+            raise RuntimeError("stopped between sink and commit")
 
     drain(
         stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
