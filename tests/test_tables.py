@@ -23,7 +23,7 @@ from weftline.operators.versions import VersionedTable, compact, snapshot_diff
 from weftline.queries import layout
 from weftline.queries.wide_cells import staff_cells
 from weftline.session import scratch, shared_base
-from weftline.sources.files import folder_totals, inventory, load_pairs, read_evolved, read_with_file_name, save_pairs
+from weftline.sources.files import folder_totals, inventory, load_pairs, read_evolved, read_with_file_name, rows_per_folder, save_pairs
 
 
 def data_files(path: str) -> list[Path]:
@@ -211,6 +211,15 @@ def test_readers_prune_folders_at_run_time(acid):
     assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
 
 
+def test_rows_per_folder(spark, sf):
+    path = scratch(spark, "per-folder")
+    write_partitioned(emp(spark, sf), path, ["country"])
+    counted = {r.folder.rsplit("=", 1)[1]: r.n_rows for r in rows_per_folder(spark.read.parquet(path)).collect()}
+    assert counted == {r.country: r["count"] for r in emp(spark, sf).groupBy("country").count().collect()}
+    listed = folder_totals(spark, path)
+    assert listed.count() == len(counted) and listed.filter("files < 1 OR bytes < 1").count() == 0
+
+
 def test_unknown_predicates_change_nothing(acid):
     acid.delete(F.col("pay") < 0)  # null for id 5, false elsewhere
     assert acid.version == 0

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from weftline.session import scratch
+from weftline.session import land, scratch
 from weftline.sources.files import inventory
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -86,14 +86,14 @@ def fill_ready_hours(
     ready = spark.read.parquet(f"{root}/ready").distinct()
     if exists(spark, f"{out}/ready"):
         ready = ready.join(spark.read.parquet(f"{out}/ready"), column, "left_anti")
-    pending = [r[0] for r in ready.collect()]  # one short name per hour
+    ready = land(ready, "ready")
+    # the comparison makes the side a selective one, so the hours' folders are pruned at run time
+    pending = F.broadcast(ready.filter(F.col(column) > ""))
     hours = spark.read.schema(schema).parquet(f"{root}/data")
-    result = job(hours.filter(F.col(column).isin(pending)))
-    if pending:
+    result = job(hours.join(pending, column, "left_semi"))
+    if not ready.isEmpty():
         write_partitioned(result, f"{out}/data", [column], only_touched=True)
-        spark.createDataFrame([(h,) for h in pending], f"{column} string").coalesce(1).write.mode("append").parquet(
-            f"{out}/ready"
-        )
+        ready.coalesce(1).write.mode("append").parquet(f"{out}/ready")
     return spark.read.schema(result.schema).parquet(f"{out}/data")
 
 

@@ -13,6 +13,7 @@ from weftline.sources.files import (
     load_pairs,
     read_delimited,
     read_evolved,
+    rows_per_folder,
     save_pairs,
 )
 
@@ -111,11 +112,11 @@ def schema_evolution_read(spark, sf):
 
 
 @query("file_inventory", """
-SELECT 'event_type=' || event_type AS folder, true AS has_files, true AS has_bytes FROM events GROUP BY event_type""")
+SELECT 'event_type=' || event_type AS folder, count(*) AS n_rows FROM events GROUP BY event_type""")
 def file_inventory(spark, sf):
+    """Rows of every listed folder, counted by the file they are read from; files and bytes are columns of `folder_totals`."""
     path = scratch(spark, "inventory")
     write_partitioned(table(spark, sf, "events"), path, ["event_type"])
-    return folder_totals(spark, path).select(
-        F.regexp_extract("folder", r"([^/]+)$", 1).alias("folder"), (F.col("files") > 0).alias("has_files"),
-        (F.col("bytes") > 0).alias("has_bytes"),
-    )
+    name = F.regexp_extract("folder", r"([^/]+)$", 1).alias("folder")
+    rows = rows_per_folder(spark.read.parquet(path)).select(name, "n_rows")
+    return folder_totals(spark, path).filter("files > 0 AND bytes > 0").select(name).join(rows, "folder")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from weftline.adapters import EMP, SALES, emp, sales, table
-from weftline.operators.grouping import bags
+from weftline.operators.grouping import CHUNK_ROWS, bags
 from weftline.operators.rollups import (
     distinct_sketches,
     merge_sketches,
@@ -472,9 +472,12 @@ def ml_features(spark, sf, clusters: int = 4):
 
 
 @query("cogroup_datasets", """
-WITH o AS (SELECT o_custkey AS k, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS orders FROM orders GROUP BY 1),
-e AS (SELECT user_id AS k, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS events FROM events GROUP BY 1)
-SELECT coalesce(o.k, e.k) AS k, CAST(0 AS BIGINT) AS part, coalesce(orders, '') AS orders, coalesce(events, '') AS events FROM o FULL JOIN e ON o.k = e.k""")
+WITH o1 AS (SELECT o_custkey AS k, o_orderkey AS id, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // %(n)d AS part FROM orders),
+e1 AS (SELECT user_id AS k, event_id AS id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // %(n)d AS part FROM events),
+o AS (SELECT k, part, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS orders FROM o1 GROUP BY k, part),
+e AS (SELECT k, part, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS events FROM e1 GROUP BY k, part)
+SELECT coalesce(o.k, e.k) AS k, CAST(coalesce(o.part, e.part) AS BIGINT) AS part, coalesce(orders, '') AS orders, coalesce(events, '') AS events
+FROM o FULL JOIN e ON o.k = e.k AND o.part = e.part""" % {"n": CHUNK_ROWS})
 def cogroup_datasets(spark, sf):
     """Per key the bag of each side. Long bags continue in further parts, so a hot key is many rows, not one."""
     orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("id"))

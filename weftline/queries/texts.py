@@ -9,6 +9,7 @@ from weftline.functions.text import lines, words_delimited, words_stripped, word
 from weftline.operators.index import POSTINGS_PER_ROW, inverted_index
 from weftline.operators.tables import fill_ready_hours, write_hours
 from weftline.plans.sizing import spread
+from weftline.queries.ingestion import LOGS, log_body
 from weftline.registry import query
 from weftline.session import scratch
 from weftline.sources.files import read_counts
@@ -92,11 +93,12 @@ def wordcount_load_report(spark, sf):
 
 
 @query("hourly_incremental_wordcount", """
-SELECT strftime(ts, '%Y-%m-%d-%H') AS hour, event_type AS word, count(*) AS n FROM events GROUP BY 1, 2""")
+WITH """ + LOGS + r""", w AS (SELECT strftime(ts, '%Y-%m-%d-%H') AS hour, unnest(string_split_regex(lower(body), '[^\p{L}\p{N}_]+')) AS word FROM logs)
+SELECT hour, word, count(*) AS n FROM w WHERE word <> '' GROUP BY hour, word""")
 def hourly_incremental_wordcount(spark, sf):
-    """Hourly input partitions with a ready mark; each run counts the ready hours that have no result yet."""
+    """Hourly partitions of log lines with a ready mark; each run counts the words of the ready hours that have no result yet."""
     hourly = table(spark, sf, "events").select(
-        F.date_format("ts", "yyyy-MM-dd-HH").alias("hour"), F.col("event_type").alias("line")
+        F.date_format("ts", "yyyy-MM-dd-HH").alias("hour"), log_body().alias("line")
     )
     root, out = scratch(spark, "hours"), scratch(spark, "hour-counts")
     write_hours(hourly, root, "hour")

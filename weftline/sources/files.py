@@ -47,6 +47,12 @@ def folder_totals(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def rows_per_folder(read: DataFrame) -> DataFrame:
+    """Rows of every folder that a frame read from files comes from. Rows are counted per file first."""
+    files = read.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+    return files.groupBy(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder")).agg(F.sum("n").alias("n_rows"))
+
+
 def save_pairs(df: DataFrame, key: str, value: str, path: str) -> None:
     """Write a binary key/value container. There is no DataFrame writer for it, so this goes through pairs."""
     df.select(key, value).rdd.map(tuple).saveAsSequenceFile(path)
