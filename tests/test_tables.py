@@ -128,11 +128,11 @@ def test_sorted_publish_is_globally_sorted(spark, sf):
     path = scratch(spark, "sorted")
     publish_sorted(staff_cells(spark, sf), path)
     spans = [
-        spark.read.parquet(str(f)).agg(F.min("row_key"), F.max("row_key")).first() for f in data_files(path)
+        spark.read.parquet(str(f)).agg(F.min("row_key"), F.max("row_key")).first() for f in data_files(f"{path}/loads")
     ]
     spans = [tuple(s) for s in spans if s[0] is not None]
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
-    for f in data_files(path):
+    for f in data_files(f"{path}/loads"):
         keys = [r.row_key for r in spark.read.parquet(str(f)).collect()]
         assert keys == sorted(keys)
 
@@ -239,7 +239,7 @@ def test_emptied_bucket_and_restore(acid):
 def test_data_without_a_log_entry_is_invisible(spark, acid):
     """What a job leaves behind when it is lost before its commit."""
     spark.range(5).selectExpr("id", "id AS grp", "0D AS pay", "0 AS _b").write.partitionBy("_b").parquet(
-        f"{acid.root}/data/_v=1")
+        f"{acid.root}/data/_a=lost")
     assert acid.read().count() == 1000
     assert acid.version == 0
 
