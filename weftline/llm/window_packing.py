@@ -21,7 +21,6 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -81,8 +80,7 @@ def clean(text: str) -> str:
     return text.encode("utf-8", "surrogatepass").decode("utf-8", "replace")
 
 
-@cache
-def letters() -> list[str]:
+def byte_alphabet() -> list[str]:
     """The printable letters that byte-level vocabularies use: printable bytes stand for themselves, the others for the
     letters from 256 on, in order (fixed rule)."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -90,8 +88,11 @@ def letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
+LETTERS = byte_alphabet()
+
+
 def byte_letters(raw: bytes) -> str:
-    return "".join(letters()[b] for b in raw)
+    return "".join(LETTERS[b] for b in raw)
 
 
 #: Marks the end of a piece; plain texts do not hold it.
@@ -125,7 +126,7 @@ def letter_table(description: str) -> list[tuple[bytes, int]]:
     ending = Tokenizer.from_str(json.dumps(bare))
     model["end_of_word_suffix"] = None
     inner = Tokenizer.from_str(json.dumps(bare))
-    octet = {letter: bytes([b]) for b, letter in enumerate(letters())}
+    octet = {letter: bytes([b]) for b, letter in enumerate(LETTERS)}
     vocabulary, stop = model["vocab"], STOP.encode()
     pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
     table = [(bytes([b]), vocabulary[byte_letters(bytes([b]))]) for b in range(256)]
