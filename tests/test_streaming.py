@@ -208,3 +208,26 @@ def test_readers_see_the_old_or_the_new_load(spark, monkeypatch):
         store.publish(wobbly)
     assert store.publish(new) == 1 and store.read().count() == 60
     assert reader.count() == 50
+
+
+def spells(spark, source, out, checkpoint):
+    stream = ingest.stream_files(spark, source, SCHEMA)
+    ingest.land(eventtime.quiet_spells(stream, "k", "v", 600, 60), out, checkpoint)
+    return sorted((r.k or "", str(r.start)[11:16], str(r.stop)[11:16], r.n, r.total) for r in spark.read.parquet(out).collect())
+
+
+def test_timers_emit_after_silence(spark):
+    """Stretches come out without a further event of their key, once, over restarts; a null key is a key, a null value adds 0."""
+    source, out, checkpoint = scratch(spark, "sp"), scratch(spark, "sp-out"), scratch(spark, "sp-cp")
+    day = "2024-01-01 "
+    put(spark, source, [(day + "00:00:00", "a", 1.0), (day + "00:09:59", "a", None), (day + "00:19:58", "a", 4.0),
+                        (day + "00:29:58", "a", 8.0), (day + "00:05:00", None, 2.0)])
+    first = [("", "00:05", "00:05", 1, 2.0)]
+    assert spells(spark, source, out, checkpoint) == first
+    put(spark, source, [(day + "02:00:00", "b", 1.0)])
+    second = sorted([*first, ("a", "00:00", "00:19", 3, 5.0), ("a", "00:29", "00:29", 1, 8.0)])
+    assert spells(spark, source, out, checkpoint) == second
+    put(spark, source, [(day + "02:05:00", "b", 1.0), (day + "00:08:00", "a", 99.0)])  # the second one is late: dropped
+    assert spells(spark, source, out, checkpoint) == second
+    put(spark, source, [(day + "09:00:00", "c", 1.0)])
+    assert spells(spark, source, out, checkpoint) == sorted([*second, ("b", "02:00", "02:05", 2, 2.0)])

@@ -6,23 +6,50 @@ from pyspark.sql import functions as F
 
 from weftline.adapters import EMP, emp, table
 from weftline.operators.tables import by_partition, fresh_database
-from weftline.plans.stats import column_profile
+from weftline.plans.stats import described, exact_distinct, merged, sketch_partitions
 from weftline.registry import query
 from weftline.session import land, tune
 
-PROFILED = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+PROFILED = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
 
 
-@query("table_column_stats", " UNION ALL ".join(f"""
-SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
-  CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high, count(DISTINCT {c}) AS distinct_values FROM customer"""
-                                       for c in PROFILED))
-def table_column_stats(spark, sf):
-    """The catalog's own statistics are gathered too; the profile is what a report reads."""
+def profile_sql(part: str, distinct: str, grouped: str) -> str:
+    return " UNION ALL ".join(f"""
+SELECT {part} AS part, '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+  CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high, {distinct.format(c)} AS distinct_values FROM customer{grouped}"""
+                              for c in PROFILED)
+
+
+def sketched_customers(spark, sf):
+    """Sketches of every nation's customers, stored like statistics of partitions, and the customers themselves."""
     name = f"{fresh_database(spark)}.customer"
     table(spark, sf, "customer").write.format("parquet").saveAsTable(name)
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
-    return column_profile(spark.table(name).select(*PROFILED))
+    rows = spark.table(name)
+    return land(sketch_partitions(rows.select("c_nationkey", *PROFILED), "c_nationkey"), "sketches"), rows
+
+
+@query("table_column_stats", profile_sql("CAST(NULL AS VARCHAR)", "count(DISTINCT {})", "") + " UNION ALL "
+       + profile_sql("CAST(c_nationkey AS VARCHAR)", "CAST(NULL AS BIGINT)", " GROUP BY c_nationkey"))
+def table_column_stats(spark, sf):
+    """Rows of every partition and of the table, the latter merged from the stored rows of the partitions.
+
+    The catalog's own statistics are gathered too. Exact distinct values are asked for the table; those of partitions are
+    estimates, see `partition_sketches`.
+    """
+    parts, rows = sketched_customers(spark, sf)
+    kept = ["part", "column_name", "n_rows", "nulls", "low", "high"]
+    whole = described(merged(parts)).select(*kept).join(exact_distinct(rows.select(*PROFILED)), "column_name", "left")
+    whole = whole.select(*kept, F.coalesce("distinct_values", F.lit(0)).cast("long").alias("distinct_values"))
+    return whole.unionByName(described(parts).select(*kept, F.lit(None).cast("long").alias("distinct_values")))
+
+
+@query("partition_sketches")
+def partition_sketches(spark, sf):
+    """Estimates by mergeable sketches, of every partition and of the table: distinct values, median, frequent values."""
+    parts, _ = sketched_customers(spark, sf)
+    shown = described(parts.unionByName(merged(parts)))
+    return shown.withColumn("frequent", F.array_join(F.transform("frequent", lambda i: F.concat_ws(":", i["item"], i["count"])), ","))
 
 
 @query("count_from_stats", """

@@ -315,6 +315,29 @@ def stateful_per_key(spark, sf):
     return last.select("user_id", "s.n", F.round("s.total", 2).alias("total"))
 
 
+@query("quiet_spells", """
+WITH gap AS (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 1 DAY THEN 0 ELSE 1 END AS starts FROM events),
+numbered AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS no FROM gap)
+SELECT user_id, min(ts) AS start, max(ts) AS stop, count(*) AS n, round(sum(value), 2) AS total FROM numbered GROUP BY user_id, no""")
+def quiet_spells(spark, sf):
+    """Timers: a user's stretch of activity comes out when the user has been silent for a day.
+
+    The events arrive in deliveries by time. A closing mark, an event of nobody four days after the last, lets the timers of the
+    last stretches fire.
+    """
+    source, out, checkpoint = (scratch(spark, f"spells-{part}") for part in ("in", "out", "checkpoint"))
+    events = table(spark, sf, "events").select("user_id", "ts", "value")
+    middle = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    mark = events.agg(F.lit(None).cast(events.schema["user_id"].dataType).alias("user_id"),
+                      (F.max("ts") + F.expr("INTERVAL 4 DAYS")).alias("ts"), F.lit(0.0).alias("value"))
+    for delivery in (events.filter(F.col("ts") < middle), events.filter(F.col("ts") >= middle), mark):
+        delivery.write.mode("append").parquet(source)
+        stream = ingest.stream_files(spark, source, events.schema)
+        ingest.land(eventtime.quiet_spells(stream, "user_id", "value", 24 * 3600, 3600), out, checkpoint)
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("start", "stop")]
+    return spark.read.parquet(out).filter("user_id IS NOT NULL").select("user_id", *times, "n", F.round("total", 2).alias("total"))
+
+
 HASH = "md5({})"
 
 
