@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
+from html import unescape
 
 import numpy as np
 import pytest
@@ -37,6 +39,95 @@ def test_ratios_decide_inside_an_article():
     assert main_text(page).split("\n") == story[:4] + ["A linked reference"] + story[4:]
 
 
+STORY = [f"{'a sentence of the story ' * 8 * (i % 3 + 1)}{i}" for i in range(6)]
+
+
+def around(middle, article=""):
+    """A page whose article has six long paragraphs before and after what is given."""
+    story = "".join(f"<p>{t}</p>" for t in STORY)
+    return f"<body><article{article}>{story}{middle}{story}</article></body>"
+
+
+def test_a_table_of_short_cells_stays():
+    rows = [[f"a{i}", str(i)] for i in range(12)]
+    table = "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+    assert main_text(around(table)).split("\n") == STORY + [c for r in rows for c in r] + STORY
+
+
+@pytest.mark.parametrize("length", [1, 12])
+@pytest.mark.parametrize("name", ["Reference {}", "{} Smith, On the matter of the story"])
+def test_linked_references_at_the_end_stay(name, length):
+    names = [name.format(i) for i in range(15)]
+    story = [t * length for t in STORY]
+    page = "".join(f"<p>{t}</p>" for t in story) + "<ul>" + "".join(f'<li><a href="/{i}">{t}</a></li>' for i, t in enumerate(names)) + "</ul>"
+    assert main_text(f"<article>{page}</article>").split("\n") == story + names
+
+
+@pytest.mark.parametrize("element", ['h2 class="section-header"', 'div class="side-by-side"', 'section id="social-history"',
+                                     'div class="page-header-image"', 'div class="post has-sidebar"', 'div class="entry-content share"',
+                                     'div class="no-comments"', 'pre class="code"'])
+def test_names_that_only_hold_a_word_stay(element):
+    kept = main_text(around(f"<{element}>Kept <span class=text>words</span></{element.split()[0]}>"))
+    assert kept.split("\n") == STORY + ["Kept words"] + STORY
+
+
+@pytest.mark.parametrize("element", ["div class=article-comments", "div class=post-sidebar", "div class=content-ad", "div class=main-footer",
+                                     "div class=share-bar", "div class='box relatedPosts'", "div id=comment_12", "div role=navigation",
+                                     "section class=ad-728", "div class='article comments'", "div class=cookie-notice"])
+def test_names_that_end_in_a_word_go(element):
+    assert main_text(around(f"<{element}><p>{STORY[0]}</p></{element.split()[0]}>")).split("\n") == STORY + STORY
+
+
+def test_highlighted_code_keeps_its_comments():
+    assert "x = 1 # why" in main_text(around('<pre>x = 1 <span class="comment"># why</span></pre>'))
+
+
+@pytest.mark.parametrize("card", ["<article class=card><h3>Another</h3><p>teaser</p></article>",
+                                  "<main><p>short</p></main>"])
+def test_the_marked_element_with_most_text_is_the_article(card):
+    assert main_text(card + around("")).split("\n") == STORY + STORY
+    assert main_text(around("") + card).split("\n") == STORY + STORY
+    inner = "".join(f"<p>{t}</p>" for t in STORY)
+    page = f"<main><h1>Title</h1><article>{inner}</article><article class=card><p>teaser</p></article></main>"
+    assert main_text(page).split("\n") == ["Title", *STORY]
+
+
+def test_bare_links_go_at_an_end_or_without_other_text():
+    junk = "".join(f"<div><a href=/{i}><i>Go</i></a> <b>x</b></div>" for i in range(12))
+    bare = "".join(f"<div><a href=/{i}><i>Go</i></a></div>" for i in range(12))
+    story = "".join(f"<p>{t}</p>" for t in STORY)
+    assert main_text(f"<article>{junk}{story}</article>").split("\n") == STORY
+    assert main_text(around(junk)).split("\n") == STORY + ["Go x"] * 12 + STORY
+    assert main_text(around(bare)).split("\n") == STORY + STORY
+
+
+def test_an_article_in_a_layout_table():
+    page = f"<table><tr><td><a href=/>Home</a></td><td>{around('<table><tr><td>1</td></tr></table>')}</td></tr></table>"
+    assert main_text(page).split("\n") == STORY + ["1"] + STORY
+
+
+def by_patterns(html):
+    """The text of a page of the given table by plain patterns: what the article element holds, cut at its blocks."""
+    found = re.search(r"<article>(.*?)</article>", html, re.S)
+    blocks = re.split(r"</?(?:p|h\d|br|div|ul|ol|li|section)\b[^>]*>", found.group(1)) if found else []
+    texts = [re.sub(r"\s+", " ", unescape(re.sub(r"<!--.*?-->|<[^>]+>", "", b, flags=re.S))).strip() for b in blocks]
+    return "\n".join(t for t in texts if t)
+
+
+def test_given_pages_against_plain_patterns(spark, sf):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/../sf0.01/pages.parquet").collect()}
+    out = queries.QUERIES["op1_tag_ratio_text"](spark, f"{sf}/../sf0.01").collect()
+    assert len(out) == len(pages) > 0
+    assert [r["page_id"] for r in out if r["text"] != by_patterns(pages[r["page_id"]])] == []
+
+
+def test_empty_and_repeated_pages(spark):
+    frame = spark.createDataFrame([(1, PAGE), (1, PAGE), (2, "")], "page_id long, html string")
+    texts = [r["t"] for r in frame.select(extract(F.col("html")).alias("t")).collect()]
+    assert texts[0] == texts[1] == main_text(PAGE) and texts[2] == ""
+    assert frame.limit(0).select(extract(F.col("html")).alias("t")).collect() == []
+
+
 @pytest.mark.parametrize("head", ["", "<title>T</title><meta charset=x>", "<script>x</script><noscript><link href=x>",
                                   "<template><p>t</p></template><style>p{}</style>"])
 def test_head_without_its_end_tag(head):
