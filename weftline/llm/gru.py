@@ -2,21 +2,31 @@
 
 The output is factored: the class of the next word given the state, then the word given its class, each a softmax over the
 state. Training is backpropagation through windows of fixed length; the state is carried from window to window, in training
-as in scoring, and starts anew with each document. A word's vectors are updated only in windows that hold it or its class.
+as in scoring, and starts anew with each document (in training also every PIECE words of a very long one, whose next word
+then still sees the word before). Many documents run side by side in lanes; the tokens of a window are sorted by class, so
+each class is one matrix product over a slice of the word vectors. Word vectors, a third of a row's cost each, follow a rule
+with one number a row; the small dense matrices follow Adam.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN = 32
+HIDDEN = 16
 WINDOW = 24
-LANES = 96
+#: Lanes in training at most, and the words a lane should have at least; fewer words mean fewer lanes, never under LEAST_LANES.
+LANES, LANE_WORDS, LEAST_LANES = 512, 2_000, 32
+PIECE = 2_048
 EPOCHS = 2
-RATE = 0.01
+RATE, ROW_RATE = 0.02, 0.3
+#: Rows of a softmax worked on at a time, so that they stay in the cache of a core.
+ROWS = 1_024
+#: Logits that float32 can exponentiate without taking the largest off first.
+TAME = 60.0
 
 
 @dataclass
@@ -27,6 +37,13 @@ class Output:
     place: np.ndarray  # place inside the class, -1 where the class is one id
     sizes: dict[int, int]  # words of each class with a softmax of its own
 
+    def __post_init__(self) -> None:
+        self.first: dict[int, int] = {}  # first row of each class in the word vectors
+        self.rows = 0
+        for c, n in self.sizes.items():
+            self.first[c] = self.rows
+            self.rows += n
+
 
 @dataclass
 class Gru:
@@ -36,12 +53,11 @@ class Gru:
     recur: np.ndarray  # hidden x 3 hidden
     to_class: np.ndarray
     class_bias: np.ndarray
-    to_word: dict[int, np.ndarray] = field(default_factory=dict)
-    word_bias: dict[int, np.ndarray] = field(default_factory=dict)
+    words: np.ndarray  # word x hidden, class by class
+    word_bias: np.ndarray
 
     def params(self) -> list[np.ndarray]:
-        return [self.inputs, self.into, self.bias, self.recur, self.to_class, self.class_bias, *self.to_word.values(),
-                *self.word_bias.values()]
+        return [self.inputs, self.into, self.bias, self.recur, self.to_class, self.class_bias, self.words, self.word_bias]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.params()])
@@ -49,12 +65,12 @@ class Gru:
     def filled(self, flat: np.ndarray) -> Gru:
         """The same model with other weights."""
         parts = np.split(flat, np.cumsum([p.size for p in self.params()])[:-1])
-        a, b, c, d, e, f, *rest = [x.reshape(p.shape).astype(np.float32) for x, p in zip(parts, self.params(), strict=True)]
-        return Gru(a, b, c, d, e, f, dict(zip(self.to_word, rest)), dict(zip(self.word_bias, rest[len(self.to_word):])))
-
+        return Gru(*[x.reshape(p.shape).astype(np.float32) for x, p in zip(parts, self.params(), strict=True)])
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    def tame(self) -> bool:
+        """Whether no state, whose parts lie between -1 and 1, can give a logit above TAME."""
+        return all(float((np.abs(w).sum(axis=axis) + b).max(initial=0)) < TAME
+                   for w, axis, b in ((self.to_class, 0, self.class_bias), (self.words, 1, self.word_bias)))
 
 
 def fresh(n_inputs: int, output: Output, class_counts: np.ndarray, word_counts: dict[int, np.ndarray], seed: int = 11) -> Gru:
@@ -64,183 +80,260 @@ def fresh(n_inputs: int, output: Output, class_counts: np.ndarray, word_counts:
     start = lambda c: np.log((c + 0.5) / (c + 0.5).sum()).astype(np.float32)
     return Gru(small(n_inputs, HIDDEN), small(HIDDEN, 3 * HIDDEN) * np.float32(4), np.zeros(3 * HIDDEN, np.float32),
                small(HIDDEN, 3 * HIDDEN), small(HIDDEN, len(class_counts)), start(class_counts),
-               {c: small(HIDDEN, n) * np.float32(0.1) for c, n in output.sizes.items()},
-               {c: start(word_counts[c]) for c in output.sizes})
+               small(output.rows, HIDDEN) * np.float32(0.1),
+               np.concatenate([np.zeros(0, np.float32), *[start(word_counts[c]) for c in output.sizes]]))
 
 
 def step(model: Gru, x: np.ndarray, h: np.ndarray):
     """One time step; returns the new state and what the backward pass needs."""
     H = HIDDEN
     side = h @ model.recur
-    gates = sigmoid(x[:, :2 * H] + side[:, :2 * H])
-    z, r = gates[:, :H], gates[:, H:]
-    n = np.tanh(x[:, 2 * H:] + r * side[:, 2 * H:])
-    return n + z * (h - n), z, r, n, side[:, 2 * H:]
-
-
-def lanes(lengths: list[int], count: int) -> list[list[int]]:
-    """Deal documents to lanes of about equal length, longest first."""
-    count = max(1, min(count, -(-sum(lengths) // max(lengths, default=1))))  # no more than the longest one keeps busy
-    out: list[list[int]] = [[] for _ in range(count)]
-    load = [(0, k) for k in range(count)]
-    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
-        used, at = load[0]
-        out[at].append(i)
-        heapq.heapreplace(load, (used + lengths[i], at))
-    return [x for x in out if x]
-
-
-def layout(docs: list[np.ndarray], count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word ids (time x lane, -1 where a lane has ended), document of each, and whether a document starts there."""
-    dealt = lanes([len(d) for d in docs], count)
-    length = max(sum(len(docs[i]) for i in lane) for lane in dealt)
-    ids = np.full((length, len(dealt)), -1, np.int32)
-    owner = np.zeros((length, len(dealt)), np.int32)
-    starts = np.zeros((length, len(dealt)), bool)
-    for k, lane in enumerate(dealt):
-        at = 0
-        for i in lane:
-            ids[at:at + len(docs[i]), k], owner[at:at + len(docs[i]), k], starts[at, k] = docs[i], i, True
-            at += len(docs[i])
-    return ids, owner, starts
-
-
-def previous(ids: np.ndarray, starts: np.ndarray, as_input: np.ndarray, start_id: int) -> np.ndarray:
-    """Input ids: the word before, or the start sign at the beginning of a document."""
-    before = np.full(ids.shape, start_id, np.int32)
-    before[1:] = as_input[np.maximum(ids[:-1], 0)]
-    before[starts] = start_id
-    return before
-
-
-def softmax(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, in place of the logits, and the natural log of the target's."""
-    logits -= logits.max(axis=1, keepdims=True)
+    gates = x[:, :2 * H] + side[:, :2 * H]
+    np.negative(gates, out=gates)
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
+    n = gates[:, H:] * side[:, 2 * H:]
+    n += x[:, 2 * H:]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= gates[:, :H]
+    new += n
+    return new, gates, n, side[:, 2 * H:]
+
+
+class Lanes:
+    """Documents dealt to lanes of about equal length; in each lane one after the other.
+
+    ``firsts`` are the input ids that the documents begin with. Lanes are ordered by length, so those still running at any time
+    are the first ones.
+    """
+
+    def __init__(self, docs: list[np.ndarray], firsts: np.ndarray, as_input: np.ndarray, count: int):
+        lengths = [len(d) for d in docs]
+        dealt: list[list[int]] = [[] for _ in range(max(1, min(count, len(docs))))]
+        load = [(0, k) for k in range(len(dealt))]
+        for i in sorted(range(len(docs)), key=lambda i: (-lengths[i], i)):
+            used, at = load[0]
+            dealt[at].append(i)
+            heapq.heapreplace(load, (used + lengths[i], at))
+        loads = dict((k, used) for used, k in load)
+        order = [i for k in sorted(loads, key=lambda k: -loads[k]) for i in dealt[k]]
+        self.length = np.array(sorted(loads.values(), reverse=True))
+        self.offset = np.append(0, np.cumsum(self.length)[:-1])
+        self.ids = np.concatenate([docs[i] for i in order])
+        own = np.array([lengths[i] for i in order])
+        begins = np.append(0, np.cumsum(own)[:-1])[own > 0]
+        self.owner = np.repeat(np.array(order), own)
+        self.starts = np.zeros(len(self.ids), bool)
+        self.starts[begins] = True
+        self.before = np.empty(len(self.ids), np.int64)
+        self.before[1:] = as_input[self.ids[:-1]]
+        self.before[begins] = firsts[np.array(order)[own > 0]]
+
+    def windows(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each window the places (time x running lane) in the stream and which of them are not past a lane's end."""
+        for at in range(0, int(self.length[0]) if len(self.ids) else 0, size):
+            running = int(np.searchsorted(-self.length, -at, side="left"))
+            times = np.arange(at, min(at + size, int(self.length[0])))[:, None]
+            live = times < self.length[:running]
+            yield np.where(live, self.offset[:running] + times, self.offset[:running]), live
+
+
+ONES = np.ones(1 << 17, np.float32)
+
+
+def exponentials(logits: np.ndarray, target: np.ndarray, tame: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials in place of the logits, their sums, and the natural log of the target's probability."""
+    if not tame:
+        logits -= logits.max(axis=1, keepdims=True)
     found = logits[np.arange(len(logits)), target]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1, keepdims=True)
-    logits /= total
-    return logits, found - np.log(total[:, 0])
+    total = logits @ ONES[:logits.shape[1]] if logits.shape[1] <= len(ONES) else logits.sum(axis=1)
+    return logits, total, found - np.log(total)
+
 
+def class_runs(classes: np.ndarray, sizes: dict[int, int]) -> Iterator[tuple[int, int, int]]:
+    """(class, from, to) of the runs in sorted ``classes`` that have a softmax of their own, cut to ROWS rows."""
+    edges = np.flatnonzero(np.append(True, classes[1:] != classes[:-1])).tolist() if len(classes) else []
+    for a, b in zip(edges, [*edges[1:], len(classes)], strict=True):
+        c = int(classes[a])
+        if c in sizes:
+            for at in range(a, b, ROWS):
+                yield c, at, min(at + ROWS, b)
 
-def by_class(classes: np.ndarray, sizes: dict[int, int]):
-    """Rows of each class with a softmax of its own."""
-    order = np.argsort(classes, kind="stable")
-    ends = np.searchsorted(classes[order], np.arange(classes.max(initial=0) + 2))
-    for c in sizes:
-        if c < len(ends) - 1 and ends[c] < ends[c + 1]:
-            yield c, order[ends[c]:ends[c + 1]]
 
+def by_class(output: Output, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts ``words`` by class, and classes and places in that order."""
+    classes = output.classes[words]
+    order = np.argsort(classes.astype(np.uint16) if len(output.classes) and output.classes.max() < 65_536 else classes, kind="stable")
+    return order, classes[order], output.place[words[order]]
 
-def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], count: int = 384,
+
+def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], count: int = 1_024,
           window: int = 32) -> np.ndarray:
     """Natural log probability of each document's classes and of the words in them."""
     totals = np.zeros(len(docs))
     if not docs:
         return totals
-    ids, owner, starts = layout(docs, count)
-    before = previous(ids, starts, as_input, start_id)
+    stream, tame = Lanes(docs, np.full(len(docs), start_id), as_input, count), model.tame()
     entering = model.inputs @ model.into + model.bias
-    h = np.zeros((ids.shape[1], HIDDEN), np.float32)
-    for at in range(0, len(ids), window):
-        states = []
-        for t in range(at, min(at + window, len(ids))):
+    h = np.zeros((len(stream.length), HIDDEN), np.float32)
+    for places, live in stream.windows(window):
+        h = h[:places.shape[1]]
+        met, starts = stream.before[places], stream.starts[places]
+        states = np.empty((*places.shape, HIDDEN), np.float32)
+        for t in range(len(places)):
             h = np.where(starts[t][:, None], np.float32(0), h)
-            h = step(model, entering[before[t]], h)[0]
-            states.append(h)
-        live = ids[at:at + window] >= 0
-        hidden, words, who = np.stack(states)[live], ids[at:at + window][live], owner[at:at + window][live]
-        classes, place = output.classes[words], output.place[words]
-        part = softmax(hidden @ model.to_class + model.class_bias, classes)[1].astype(float)
-        for c, rows in by_class(classes, output.sizes):
-            part[rows] += softmax(hidden[rows] @ model.to_word[c] + model.word_bias[c], place[rows])[1]
-        totals += np.bincount(who, part, len(docs))
+            h = states[t] = step(model, entering[met[t]], h)[0]
+        here = places[live]
+        order, classes, place = by_class(output, stream.ids[here])
+        hidden, part = states[live][order], np.empty(len(here), np.float32)
+        for a in range(0, len(here), ROWS):
+            rows = slice(a, a + ROWS)
+            part[rows] = exponentials(hidden[rows] @ model.to_class + model.class_bias, classes[rows], tame)[2]
+        for c, a, b in class_runs(classes, output.sizes):
+            rows, mine = slice(a, b), slice(output.first[c], output.first[c] + output.sizes[c])
+            part[rows] += exponentials(hidden[rows] @ model.words[mine].T + model.word_bias[mine], place[rows], tame)[2]
+        totals += np.bincount(stream.owner[here][order], part, len(docs))
     return totals
 
 
 class Trainer:
-    """Adam over truncated windows, block of documents by block. The order is fixed, so a rerun gives the same model."""
+    """Truncated windows, block of documents by block. The order is fixed, so a rerun gives the same model."""
+
+    DENSE = ("into", "bias", "recur", "to_class", "class_bias")
 
     def __init__(self, model: Gru, output: Output, as_input: np.ndarray, start_id: int):
         self.model, self.output, self.as_input, self.start_id = model, output, as_input, start_id
-        self.params = model.params()
-        self.first = [np.zeros_like(p) for p in self.params]
-        self.second = [np.zeros_like(p) for p in self.params]
-        self.word_at = {c: 6 + k for k, c in enumerate(model.to_word)}
+        self.first = {k: np.zeros_like(getattr(model, k)) for k in self.DENSE}
+        self.second = {k: np.zeros_like(getattr(model, k)) for k in self.DENSE}
+        self.seen = {k: np.ones(len(getattr(model, k)), np.float32) for k in ("inputs", "words", "word_bias")}
         self.turn = 0
 
-    def update(self, grads: list[tuple[int, np.ndarray | None, np.ndarray]], rate: float) -> None:
-        """``grads``: parameter, its rows (or all), gradient."""
+    def update(self, grads: dict[str, np.ndarray], rate: float) -> None:
+        """Adam for the dense matrices."""
         self.turn += 1
-        norm = np.sqrt(sum(float(np.vdot(g, g)) for _, _, g in grads))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         scale = np.float32(min(1.0, 1.0 / (norm + 1e-9)))
         near, far = 1 - 0.9**self.turn, 1 - 0.99**self.turn
-        for k, rows, g in grads:
+        for k, g in grads.items():
             g = g * scale
-            at = slice(None) if rows is None else rows
-            m, s = self.first[k][at], self.second[k][at]
-            m = m + np.float32(0.1) * (g - m)
-            s = s + np.float32(0.01) * (g * g - s)
-            self.first[k][at], self.second[k][at] = m, s
-            self.params[k][at] -= np.float32(rate / near) * m / (np.sqrt(s * np.float32(1 / far)) + np.float32(1e-8))
+            m, s = self.first[k], self.second[k]
+            m += np.float32(0.1) * (g - m)
+            s += np.float32(0.01) * (g * g - s)
+            getattr(self.model, k)[...] -= np.float32(rate / near) * m / (np.sqrt(s * np.float32(1 / far)) + np.float32(1e-8))
+
+    def move(self, name: str, rows: slice | np.ndarray, grad: np.ndarray, rate: float) -> None:
+        """Adagrad with one number a row; ``grad`` is summed over tokens, so a row that met one token moves by a part of ``rate``."""
+        seen, table = self.seen[name], getattr(self.model, name)
+        if grad.ndim == 1:
+            met = seen[rows] + grad * grad
+            table[rows] -= np.float32(rate) * grad / np.sqrt(met)
+        else:
+            met = seen[rows] + np.einsum("ij,ij->i", grad, grad) * np.float32(4 / HIDDEN)
+            table[rows] -= grad * (np.float32(rate) / np.sqrt(met))[:, None]
+        seen[rows] = met
 
     def learn(self, docs: list[np.ndarray], rates: tuple[float, float]) -> None:
         """One pass over ``docs``; the rate falls from the first of ``rates`` to the second."""
-        if not docs:
+        pieces = [(d[at:at + PIECE], self.start_id if at == 0 else int(self.as_input[d[at - 1]]))
+                  for d in docs for at in range(0, len(d), PIECE)]
+        if not pieces:
             return
-        model, output, H = self.model, self.output, HIDDEN
-        ids, _, starts = layout(docs, LANES)
-        before = previous(ids, starts, self.as_input, self.start_id)
-        h = np.zeros((ids.shape[1], H), np.float32)
-        for at in range(0, len(ids), WINDOW):
-            met = before[at:at + WINDOW]
-            vectors = model.inputs[met]
-            entering = vectors @ model.into + model.bias
-            kept = []
-            for t in range(len(met)):
-                h0 = np.where(starts[at + t][:, None], np.float32(0), h)
-                h, z, r, n, side = step(model, entering[t], h0)
-                kept.append((h0, z, r, n, side, h))
-            live = ids[at:at + WINDOW] >= 0
-            total = int(live.sum())
-            hidden, target = np.stack([k[5] for k in kept])[live], ids[at:at + WINDOW][live]
-            classes, place = output.classes[target], output.place[target]
-            error = softmax(hidden @ model.to_class + model.class_bias, classes)[0]
-            error[np.arange(total), classes] -= 1
-            error /= total
-            grads: list[tuple[int, np.ndarray | None, np.ndarray]] = [(4, None, hidden.T @ error), (5, None, error.sum(axis=0))]
-            d_hidden = error @ model.to_class.T
-            for c, rows in by_class(classes, output.sizes):
-                e = softmax(hidden[rows] @ model.to_word[c] + model.word_bias[c], place[rows])[0]
-                e[np.arange(len(rows)), place[rows]] -= 1
-                e /= total
-                k = self.word_at[c]
-                grads += [(k, None, hidden[rows].T @ e), (k + len(self.word_at), None, e.sum(axis=0))]
-                d_hidden[rows] += e @ model.to_word[c].T
-            spread = np.zeros((*met.shape, H), np.float32)
-            spread[live] = d_hidden
-            back = np.empty((*met.shape, 3 * H), np.float32)  # with regard to the recurrent side
-            enter = np.empty_like(back)  # with regard to what enters
-            dh = np.zeros((ids.shape[1], H), np.float32)
-            for t in range(len(kept) - 1, -1, -1):
-                h0, z, r, n, side, _ = kept[t]
-                dh = dh + spread[t]
-                dn = dh * (1 - z) * (1 - n * n)
-                enter[t, :, :H] = dh * (h0 - n) * z * (1 - z)
-                enter[t, :, H:2 * H] = dn * side * r * (1 - r)
-                enter[t, :, 2 * H:] = dn
-                back[t] = enter[t]
-                back[t, :, 2 * H:] *= r
-                dh = dh * z + back[t] @ model.recur.T
-                dh[starts[at + t]] = 0
-            flat, states = enter.reshape(-1, 3 * H), np.stack([k[0] for k in kept]).reshape(-1, H)
-            order = np.argsort(met, axis=None, kind="stable")
-            sorted_ids = met.ravel()[order]
-            edges = np.flatnonzero(np.append(True, sorted_ids[1:] != sorted_ids[:-1]))
-            by_word = np.add.reduceat((flat @ model.into.T)[order], edges, axis=0)
-            grads += [(0, sorted_ids[edges], by_word), (1, None, vectors.reshape(-1, H).T @ flat), (2, None, flat.sum(axis=0)),
-                      (3, None, states.T @ back.reshape(-1, 3 * H))]
-            self.update(grads, rates[0] + (rates[1] - rates[0]) * at / len(ids))
+        words = sum(len(d) for d, _ in pieces)
+        stream = Lanes([d for d, _ in pieces], np.array([f for _, f in pieces]), self.as_input,
+                       min(LANES, max(LEAST_LANES, words // LANE_WORDS)))
+        h = np.zeros((len(stream.length), HIDDEN), np.float32)
+        done = 0
+        for places, live in stream.windows(WINDOW):
+            rate = rates[0] + (rates[1] - rates[0]) * done / words
+            done += int(live.sum())
+            h = self.window(stream, places, live, h[:places.shape[1]], rate)
+
+    def window(self, stream: Lanes, places: np.ndarray, live: np.ndarray, h: np.ndarray, rate: float) -> np.ndarray:
+        model, H, shape = self.model, HIDDEN, places.shape
+        met, starts = stream.before[places], stream.starts[places]
+        vectors = model.inputs[met.ravel()]
+        entering = (vectors @ model.into + model.bias).reshape(*shape, 3 * H)
+        before, states, cand, side = (np.empty((*shape, H), np.float32) for _ in range(4))
+        gates = np.empty((*shape, 2 * H), np.float32)
+        for t in range(len(places)):
+            before[t] = h0 = np.where(starts[t][:, None], np.float32(0), h)
+            h, gates[t], cand[t], side[t] = step(model, entering[t], h0)
+            states[t] = h
+
+        here = places[live]
+        order, classes, place = by_class(self.output, stream.ids[here])
+        grads, d_sorted = self.outputs(states[live][order], classes, place, rate)
+        d_live = np.empty_like(d_sorted)
+        d_live[order] = d_sorted
+        spread = np.zeros((*shape, H), np.float32)
+        spread[live] = d_live
+
+        z, r = gates[..., :H], gates[..., H:]
+        to_cand = (1 - z) * (1 - cand * cand)
+        to_z = (before - cand) * z * (1 - z)
+        to_r = to_cand * side * r * (1 - r)
+        through = to_cand * r
+        enter = np.empty((*shape, 3 * H), np.float32)  # with regard to what enters
+        back = np.empty_like(enter)  # with regard to the recurrent side
+        recur = np.ascontiguousarray(model.recur.T)
+        dh = np.zeros((shape[1], H), np.float32)
+        for t in range(len(places) - 1, -1, -1):
+            dh += spread[t]
+            spread[t] = dh
+            side_t = back[t]
+            np.multiply(dh, to_z[t], out=side_t[:, :H])
+            np.multiply(dh, to_r[t], out=side_t[:, H:2 * H])
+            np.multiply(dh, through[t], out=side_t[:, 2 * H:])
+            dh = dh * z[t] + side_t @ recur
+            dh[starts[t]] = 0
+        enter[..., :2 * H] = back[..., :2 * H]
+        np.multiply(spread, to_cand, out=enter[..., 2 * H:])
+
+        flat = enter.reshape(-1, 3 * H)
+        by = np.argsort(met, axis=None, kind="stable")
+        sorted_ids = met.ravel()[by]
+        edges = np.flatnonzero(np.append(True, sorted_ids[1:] != sorted_ids[:-1]))
+        by_word = np.add.reduceat((flat @ model.into.T)[by], edges, axis=0)
+        part = np.float32(1 / len(here))
+        grads |= {"into": vectors.T @ flat, "bias": flat.sum(axis=0), "recur": before.reshape(-1, H).T @ back.reshape(-1, 3 * H)}
+        self.move("inputs", sorted_ids[edges], by_word, rate * ROW_RATE / RATE)
+        self.update({k: g * part for k, g in grads.items()}, rate)
+        return h
+
+    def outputs(self, hidden: np.ndarray, classes: np.ndarray, place: np.ndarray, rate: float) -> tuple[dict, np.ndarray]:
+        """Moves the word vectors; returns the gradients, summed over tokens, of the class side and of the states."""
+        model, output, tame = self.model, self.output, self.model.tame()
+        d_hidden = np.empty_like(hidden)
+        to_class = np.ascontiguousarray(model.to_class.T)
+        grads = {"to_class": np.zeros_like(model.to_class), "class_bias": np.zeros_like(model.class_bias)}
+        d_words, d_bias = np.zeros_like(model.words), np.zeros_like(model.word_bias)
+
+        def errors(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+            e, total, _ = exponentials(logits, target, tame)
+            e *= (1 / total)[:, None]
+            e[np.arange(len(e)), target] -= 1
+            return e
+
+        for a in range(0, len(hidden), ROWS):
+            rows = slice(a, a + ROWS)
+            e = errors(hidden[rows] @ model.to_class + model.class_bias, classes[rows])
+            grads["to_class"] += hidden[rows].T @ e
+            grads["class_bias"] += ONES[:len(e)] @ e
+            d_hidden[rows] = e @ to_class
+        for c, a, b in class_runs(classes, output.sizes):
+            rows, mine = slice(a, b), slice(output.first[c], output.first[c] + output.sizes[c])
+            vectors = model.words[mine]
+            e = errors(hidden[rows] @ vectors.T + model.word_bias[mine], place[rows])
+            d_hidden[rows] += e @ vectors
+            d_words[mine] += e.T @ hidden[rows]
+            d_bias[mine] += ONES[:b - a] @ e
+        if output.rows:
+            self.move("words", slice(None), d_words, rate * ROW_RATE / RATE)
+            self.move("word_bias", slice(None), d_bias, rate * ROW_RATE / RATE)
+        return grads, d_hidden
 
 
 def train(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], epochs: int = EPOCHS) -> Gru:

@@ -91,8 +91,8 @@ def name_says(name: str) -> str:
 
 
 class Line(NamedTuple):
-    """Text of a block with its tags, letters inside links and outside them (``plain``, without white space), the marked element it is in (0: none), the article within that
-    element, and the region: table, list or run of siblings."""
+    """Text of a block with its tags, letters inside links and outside them (``plain``, without white space), the marked element
+    it is in (0: none), the article within that element, and the region: table, list or run of siblings."""
 
     text: str
     tags: int

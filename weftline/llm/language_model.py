@@ -5,7 +5,9 @@ documents of their own from the same weights, and the mean of what they learn st
 that the rare words of each document are joined with. A word's class is a group of words that occur in the same kind of
 document, cut by frequency into about as many classes as there are words in each, with a softmax inside each; rare and
 unknown words belong to the rare class of the group their letters suggest, so the class of any word is known without the
-join.
+join. The training texts are split into words twice, to count them and to store their ids; all later steps read the ids.
+
+Rows are scored one by one, so repeated rows get equal results; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -29,8 +31,10 @@ from weftline.llm.common import fold
 from weftline.session import land
 
 HELD, FOLDS = 2, 7
-#: Words known to every task, at most, and how often one must occur.
-HEAD, HEAD_COUNT = 65_536, 3
+#: Words known to every task, at most (RARE in the stored ids is any other), and how often one must occur.
+HEAD, HEAD_COUNT, RARE = 16_384, 3, 65_535
+#: Classes of words are cut by this power of the counts, so that frequent words are in smaller ones.
+EVEN = 0.2
 GROUPS = 6
 #: Words the documents are grouped by, and rounds of that grouping.
 TOP, ROUNDS_OF_GROUPS = 256, 6
@@ -38,24 +42,22 @@ TOP, ROUNDS_OF_GROUPS = 256, 6
 #: takes (fewer than twice WORKER_TOKENS) needs no means and, when smaller than FEW_TOKENS, is trained on several times.
 ROUNDS, WORKER_TOKENS, FEW_TOKENS, MOST_EPOCHS = 4, 2_000_000, 1_000_000, 4
 #: Tokens a worker lays out at a time, weights in one row of a table, and workers whose weights are averaged in one task.
-BLOCK_TOKENS, CHUNK, FAN = 500_000, 1 << 18, 16
+BLOCK_TOKENS, CHUNK, FAN = 1_000_000, 1 << 18, 16
 #: Bins of the histogram for each doubling of a count.
 BINS = 16
-FLUSH = 100_000
-BATCH_DOCS = 5_000
+FLUSH = 200_000
+BATCH_DOCS = 10_000
 #: Never a word, as it holds a space.
 END = " end"
 
 
-def words_of(text: str | None) -> list[str]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").translate(SPLIT).split(" ")
-
-
-SPLIT = {c: " " for c in range(9, 14)}
+def tokens(text: str | None) -> list[bytes]:
+    """The words of a text, A-Z lowered. Bytes are split at ASCII white space and lowered in ASCII only, as is asked."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def tokens(text: str | None) -> list[str]:
-    return [w for w in words_of(text) if w]
+def plain(word: bytes) -> str:
+    return word.decode("utf-8", "surrogatepass")
 
 
 def letters(word: str) -> tuple[str, str]:
@@ -97,15 +99,21 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(word, c) over all training documents; every document adds one end."""
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter[str] = Counter()
+        held: Counter[bytes] = Counter()
+        ends = 0
+
+        def told() -> pd.DataFrame:
+            return pd.DataFrame({"word": [plain(w) for w in held], "c": list(held.values())}).astype({"word": str, "c": "int64"})
+
         for batch in batches:
             for text in batch["text"]:
                 held.update(tokens(text))
                 if len(held) > FLUSH:
-                    yield pd.DataFrame({"word": list(held.keys()), "c": list(held.values())})
+                    yield told()
                     held.clear()
-            held[END] += len(batch)
-        yield pd.DataFrame({"word": list(held.keys()), "c": list(held.values())}).astype({"word": str, "c": "int64"})
+            ends += len(batch)
+        yield told()
+        yield pd.DataFrame({"word": [END], "c": [ends]})
 
     kind = StructType([StructField("word", StringType()), StructField("c", LongType())])
     return docs.select("text").mapInPandas(parts, kind).groupBy("word").agg(F.sum("c").alias("c")).filter("c > 0")
@@ -119,6 +127,9 @@ def frequent(counts: DataFrame) -> list[tuple[str, int]]:
     level = F.floor(F.log2(F.col("c")) * BINS).cast("int")
     able = counts.filter(F.col("c") >= HEAD_COUNT)
     bins = sorted(able.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
+    if bins and bins[0]["count"] > HEAD:  # the first bin alone is too large: its words in order
+        first = able.filter(level == bins[0]["level"]).orderBy(F.desc("c"), "word").limit(HEAD).collect()
+        return [(r["word"], r["c"]) for r in first]
     lowest, kept = None, 0
     for row in bins:
         kept += row["count"]
@@ -130,23 +141,49 @@ def frequent(counts: DataFrame) -> list[tuple[str, int]]:
     return sorted(((r["word"], r["c"]) for r in able.filter(level >= lowest).collect()), key=lambda x: (-x[1], x[0]))
 
 
-def features(docs: DataFrame, head: dict[str, int]) -> DataFrame:
+STORED = StructType([StructField("part", IntegerType()), StructField("ids", BinaryType()), StructField("rare", StringType())])
+
+
+def stored_ids(docs: DataFrame, head: dict[str, int]) -> DataFrame:
+    """One row per training document: its round, the ids of its words and the rare words among them."""
+    shared = docs.sparkSession.sparkContext.broadcast(head)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        id_of = {w.encode("utf-8", "surrogatepass"): i for w, i in shared.value.items()}.get
+        for batch in batches:
+            ids, rare = [], []
+            for text in batch["text"]:
+                found = tokens(text)
+                at = np.fromiter([id_of(w, RARE) for w in found], np.uint16, len(found))
+                ids.append(at.tobytes())
+                rare.append(plain(b" ".join([found[i] for i in np.flatnonzero(at == RARE).tolist()])))
+            yield pd.DataFrame({"part": batch["part"], "ids": ids, "rare": rare})
+
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int").alias("part")
+    rows = land(docs.select(part, "text").mapInPandas(read, STORED), "ids")
+    shared.destroy()
+    return rows
+
+
+def unpacked(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, np.uint16)
+
+
+def features(rows: DataFrame) -> DataFrame:
     """(x) for every document that has one of the TOP most frequent words: the square roots of their shares."""
-    shared = docs.sparkSession.sparkContext.broadcast({w: k for w, k in head.items() if k < TOP})
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = shares_of_top(batch["text"], shared.value)
+            x = shares_of_top(batch["ids"])
             yield pd.DataFrame({"x": [v.astype(np.float16).tobytes() for v in x[x.any(axis=1)]]})
 
-    return docs.select("text").mapInPandas(parts, StructType([StructField("x", BinaryType())]))
+    return rows.select("ids").mapInPandas(parts, StructType([StructField("x", BinaryType())]))
 
 
-def shares_of_top(texts: pd.Series, top: dict[str, int]) -> np.ndarray:
-    x = np.zeros((len(texts), TOP), np.float32)
-    for i, text in enumerate(texts):
-        found = [top[w] for w in tokens(text) if w in top]
-        x[i] = np.bincount(found, minlength=TOP)
+def shares_of_top(rows: pd.Series) -> np.ndarray:
+    x = np.zeros((len(rows), TOP), np.float32)
+    for i, ids in enumerate(rows):
+        x[i] = np.bincount(unpacked(ids), minlength=TOP)[:TOP]
     return np.sqrt(x / np.maximum(x.sum(axis=1, keepdims=True), 1))
 
 
@@ -197,27 +234,24 @@ def document_groups(rows: DataFrame) -> np.ndarray:
     return centres
 
 
-def counts_by_group(docs: DataFrame, head: dict[str, int], centres: np.ndarray) -> np.ndarray:
-    """How often each head word occurs in the documents of each group, over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast((head, centres))
+def counts_by_group(rows: DataFrame, words: int, centres: np.ndarray) -> np.ndarray:
+    """How often each of the head words occurs in the documents of each group, over all documents."""
+    out = np.zeros((words, GROUPS))
+    if not words or not len(centres):
+        return out
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, middle = shared.value
-        top = {w: k for w, k in ids.items() if k < TOP}
-        held = np.zeros((GROUPS, len(ids)), np.int64)
+        held = np.zeros((GROUPS, words), np.int64)
         for batch in batches:
-            at = (shares_of_top(batch["text"], top) @ middle.T).argmax(axis=1)
+            at = (shares_of_top(batch["ids"]) @ centres.T).argmax(axis=1)
             for g in np.unique(at):
-                found = [ids[w] for t in batch["text"][at == g] for w in tokens(t) if w in ids]
-                held[g] += np.bincount(found, minlength=len(ids))
+                found = unpacked(b"".join(batch["ids"][at == g]))
+                held[g] += np.bincount(found[found != RARE], minlength=words)
         g, k = np.nonzero(held)
         yield pd.DataFrame({"g": g, "k": k, "n": held[g, k]})
 
-    out = np.zeros((len(head), GROUPS))
-    if not head or not len(centres):
-        return out
     kind = StructType([StructField("g", LongType()), StructField("k", LongType()), StructField("n", LongType())])
-    sums = docs.select("text").mapInPandas(parts, kind).groupBy("k", "g").agg(F.sum("n").alias("n")).toPandas()
+    sums = rows.select("ids").mapInPandas(parts, kind).groupBy("k", "g").agg(F.sum("n").alias("n")).toPandas()
     out[sums["k"], sums["g"]] = sums["n"]
     return out
 
@@ -242,7 +276,12 @@ def vocabulary(head: list[tuple[str, int]], ends: int, by_group: np.ndarray, rar
     width = math.isqrt(max(len(head) - 1, 0)) + 1  # classes and words in a class are about equally many
     for g in range(GROUPS):
         mine = np.flatnonzero(groups == g)
-        for members in np.array_split(mine, -(-len(mine) // width)) if len(mine) else ():
+        if not len(mine):
+            continue
+        share = np.cumsum(counts[mine].astype(float)**EVEN)
+        parts = -(-len(mine) // width)
+        upto = np.searchsorted(share, share[-1] * np.arange(1, parts) / parts)
+        for members in (m for m in np.split(mine, upto) if len(m)):
             classes[members] = n
             place[members], sizes[n], word_counts[n] = np.arange(len(members)), len(members), counts[members].astype(float)
             totals.append(counts[members].sum())
@@ -261,20 +300,22 @@ class Reader:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        first_rare, group = vocabulary.end + 1, vocabulary.rare_group
-
-        class Ids(dict):
-            def __missing__(self, word: str) -> int:
-                return first_rare + group(word)
-
-        self.ids = Ids(vocabulary.ids)
+        self.id_of = {w.encode("utf-8", "surrogatepass"): i for w, i in vocabulary.ids.items()}.get
+
+    def whole(self, ids: np.ndarray, rare: list[str]) -> np.ndarray:
+        """The ids with those of rare words in the places marked RARE, and the end."""
+        v = self.vocabulary
+        out = np.append(ids.astype(np.int32), np.int32(v.end))
+        if rare:
+            out[:-1][ids == RARE] = [v.end + 1 + v.rare_group(w) for w in rare]
+        return out
 
     def read(self, text: str | None) -> tuple[np.ndarray, str]:
         """Ids with the end, and the rare words joined by blanks."""
-        found = tokens(text)
-        ids = np.fromiter(map(self.ids.__getitem__, found), np.int32, len(found))
-        rare = " ".join([found[i] for i in np.flatnonzero(ids > self.vocabulary.end).tolist()])
-        return np.append(ids, np.int32(self.vocabulary.end)), rare
+        found, id_of = tokens(text), self.id_of
+        ids = np.fromiter([id_of(w, RARE) for w in found], np.int32, len(found))
+        rare = [plain(found[i]) for i in np.flatnonzero(ids == RARE).tolist()]
+        return self.whole(ids, rare), " ".join(rare)
 
 
 @dataclass
@@ -292,19 +333,23 @@ LEARNT = StructType([StructField("worker", IntegerType()), StructField("chunk",
                      StructField("tokens", LongType()), StructField("weights", BinaryType())])
 
 
-def trained(docs: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> gru.Gru:
-    """The model after truncated backpropagation over every row of ``docs``, which hold ``count`` tokens."""
-    context = docs.sparkSession.sparkContext
+def trained(rows: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> gru.Gru:
+    """The model after truncated backpropagation over every one of the `stored_ids`, which hold ``count`` tokens.
+
+    A round sends the weights out and takes back what each worker changed, in half precision; broadcasts end with their round.
+    """
+    context = rows.sparkSession.sparkContext
     workers = max(1, min(count // WORKER_TOKENS, context.defaultParallelism))
     rounds = ROUNDS if workers > 1 else 1
     epochs = max(1, min(FEW_TOKENS // max(count, 1), MOST_EPOCHS)) if workers == 1 else 1
     expected = max(1, count // workers // rounds)
+    words = context.broadcast(known)
     for turn in range(rounds):
-        shared = context.broadcast((known, model))
+        shared = context.broadcast(model)
 
         def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            known, model = shared.value
-            model = model.filled(model.flat())  # the broadcast one serves other tasks too
+            known, start = words.value, shared.value.flat()
+            model = shared.value.filled(start)  # the broadcast one serves other tasks too
             reader, trainer = Reader(known), gru.Trainer(model, known.output, known.as_input, known.start_id)
             fall = lambda done: gru.RATE * (1 - 0.9 * (turn + min(1.0, done / expected)) / rounds)
             block: list[np.ndarray] = []
@@ -315,8 +360,8 @@ def trained(docs: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> g
                     trainer.learn(block, (fall(done + held * e / epochs), fall(done + held * (e + 1) / epochs)))
 
             for batch in batches:
-                for text in batch["text"]:
-                    block.append(reader.read(text)[0])
+                for ids, rare in zip(batch["ids"], batch["rare"], strict=True):
+                    block.append(reader.whole(unpacked(ids), rare.split(" ") if rare else []))
                     held += len(block[-1])
                     if held >= BLOCK_TOKENS:
                         flush()
@@ -324,13 +369,13 @@ def trained(docs: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> g
             flush()
             done += held
             if done:
-                flat, worker = model.flat(), TaskContext.get().partitionId()
-                for k in range(0, len(flat), CHUNK):
+                moved, worker = model.flat() - start, TaskContext.get().partitionId()
+                for k in range(0, len(moved), CHUNK):
                     yield pd.DataFrame({"worker": [worker], "chunk": [k // CHUNK], "tokens": [done],
-                                        "weights": [flat[k:k + CHUNK].astype(np.float32).tobytes()]})
+                                        "weights": [moved[k:k + CHUNK].astype(np.float16).tobytes()]})
 
-        mine = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == turn) if rounds > 1 else docs
-        means = mine.select("text").coalesce(workers).mapInPandas(learn, LEARNT)
+        mine = rows.filter(F.col("part") == turn) if rounds > 1 else rows
+        means = mine.select("ids", "rare").coalesce(workers).mapInPandas(learn, LEARNT)
         left = workers
         while left > 1:
             left = -(-left // FAN)
@@ -338,15 +383,18 @@ def trained(docs: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> g
                 mean, LEARNT)
         chunks = [r["weights"] for r in sorted(means.select("chunk", "weights").collect())]
         if chunks:
-            model = model.filled(np.frombuffer(b"".join(chunks), np.float32))
+            model = model.filled(model.flat() + np.frombuffer(b"".join(chunks), np.float16).astype(np.float32))
+        shared.destroy()
+    words.destroy()
     return model
 
 
 def mean(rows: pd.DataFrame) -> pd.DataFrame:
-    """Mean of the weights, each counted by the tokens it was learnt from."""
+    """Mean of what the workers changed, each counted by the tokens it was learnt from."""
     total = int(rows["tokens"].sum())
-    sums = sum(np.frombuffer(w, np.float32) * (n / total) for w, n in zip(rows["weights"], rows["tokens"], strict=True))
-    return rows.head(1).assign(tokens=total, weights=[sums.astype(np.float32).tobytes()])
+    sums = sum(np.frombuffer(w, np.float16).astype(np.float32) * (n / total)
+               for w, n in zip(rows["weights"], rows["tokens"], strict=True))
+    return rows.head(1).assign(tokens=total, weights=[sums.astype(np.float16).tobytes()])
 
 
 def fit(docs: DataFrame) -> LanguageModel:
@@ -354,14 +402,15 @@ def fit(docs: DataFrame) -> LanguageModel:
     counts = land(count_words(docs), "counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = (counts.filter(F.col("word") == END).first() or {"c": 0})["c"]
-    plain = counts.filter(F.col("word") != END)
-    head = frequent(plain)
+    words = counts.filter(F.col("word") != END)
+    head = frequent(words)
     rare_total = total["n"] - ends - sum(c for _, c in head)
     ids = {w: i for i, (w, _) in enumerate(head)}
-    centres = document_groups(land(features(docs, ids), "features"))
-    known = vocabulary(head, ends, counts_by_group(docs, ids, centres), rare_total)
+    rows = stored_ids(docs, ids)
+    centres = document_groups(land(features(rows), "features"))
+    known = vocabulary(head, ends, counts_by_group(rows, len(head), centres), rare_total)
     model = gru.fresh(known.start_id + 1, known.output, known.class_counts, known.word_counts)
-    model = trained(docs, known, model, total["n"])
+    model = trained(rows, known, model, total["n"])
 
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
@@ -370,7 +419,7 @@ def fit(docs: DataFrame) -> LanguageModel:
         v = shared.value
         return words.map(lambda w: -1 if w in v.ids else v.rare_group(w)).astype("int32")
 
-    rest = land(plain.select("word", "c", group_of("word").alias("grp")).filter("grp >= 0"), "rare")
+    rest = land(words.select("word", "c", group_of("word").alias("grp")).filter("grp >= 0"), "rare")
     rare = {}
     for r in rest.groupBy("grp").agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count(F.when(F.col("c") == 1, 1)).alias("n1"),
                                      F.count(F.when(F.col("c") == 2, 1)).alias("n2")).collect():
