@@ -124,10 +124,10 @@ class Lanes:
         self.ids = np.concatenate([docs[i] for i in order])
         own = np.array([lengths[i] for i in order])
         begins = np.append(0, np.cumsum(own)[:-1])[own > 0]
-        self.owner = np.repeat(np.array(order), own)
+        self.owner = np.repeat(np.array(order, np.int32), own)
         self.starts = np.zeros(len(self.ids), bool)
         self.starts[begins] = True
-        self.before = np.empty(len(self.ids), np.int64)
+        self.before = np.empty(len(self.ids), np.int32)
         self.before[1:] = as_input[self.ids[:-1]]
         self.before[begins] = firsts[np.array(order)[own > 0]]
 

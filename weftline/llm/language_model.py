@@ -46,7 +46,7 @@ BLOCK_TOKENS, CHUNK, FAN = 1_000_000, 1 << 18, 16
 #: Bins of the histogram for each doubling of a count.
 BINS = 16
 FLUSH = 200_000
-BATCH_DOCS = 10_000
+BATCH_DOCS = 3_000
 #: Never a word, as it holds a space.
 END = " end"
 
