@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weftline.adapters import table
 from weftline.functions.text import lines, words_delimited, words_stripped, words_unicode
-from weftline.operators.index import POSTINGS_PER_ROW, inverted_index
+from weftline.operators.index import POSTINGS_PER_ROW, index_documents
 from weftline.operators.tables import fill_ready_hours, write_hours
 from weftline.plans.sizing import spread
 from weftline.queries.ingestion import LOGS, log_body
@@ -67,11 +67,8 @@ p AS (SELECT *, (row_number() OVER (PARTITION BY word ORDER BY file) - 1) // {PO
 SELECT word, CAST(part AS BIGINT) AS part, string_agg(file || ':' || CAST(n AS VARCHAR), ',' ORDER BY file) AS postings
 FROM p GROUP BY word, part""")
 def build_inverted_index(spark, sf):
-    tokens = texts(spark, sf, "doc_id").select(
-        F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"),
-        F.explode(words_unicode(F.col("text"))).alias("word"),
-    )
-    return inverted_index(tokens)
+    file = F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file")
+    return index_documents(table(spark, sf, "documents").select(file, "text"), words_unicode(F.col("text")))
 
 
 @query("top_n_words", f"""
