@@ -25,6 +25,8 @@ EPOCHS = 2
 RATE, ROW_RATE = 0.02, 0.3
 #: Rows of a softmax worked on at a time, so that they stay in the cache of a core.
 ROWS = 1_024
+#: States gathered in scoring before the words they predict are looked at, class by class.
+GATHERED = 1 << 16
 #: Logits that float32 can exponentiate without taking the largest off first.
 TAME = 60.0
 
@@ -153,6 +155,12 @@ def exponentials(logits: np.ndarray, target: np.ndarray, tame: bool) -> tuple[np
     return logits, total, found - np.log(total)
 
 
+def product(hidden: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    out = hidden @ vectors
+    out += bias
+    return out
+
+
 def class_runs(classes: np.ndarray, sizes: dict[int, int]) -> Iterator[tuple[int, int, int]]:
     """(class, from, to) of the runs in sorted ``classes`` that have a softmax of their own, cut to ROWS rows."""
     edges = np.flatnonzero(np.append(True, classes[1:] != classes[:-1])).tolist() if len(classes) else []
@@ -172,30 +180,47 @@ def by_class(output: Output, words: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], count: int = 1_024,
           window: int = 32) -> np.ndarray:
-    """Natural log probability of each document's classes and of the words in them."""
+    """Natural log probability of each document's classes and of the words in them.
+
+    The states of many windows are gathered before the output, so a class is one product over many rows also where only a
+    few long documents are left in the lanes.
+    """
     totals = np.zeros(len(docs))
     if not docs:
         return totals
     stream, tame = Lanes(docs, np.full(len(docs), start_id), as_input, count), model.tame()
     entering = model.inputs @ model.into + model.bias
     h = np.zeros((len(stream.length), HIDDEN), np.float32)
-    for places, live in stream.windows(window):
-        h = h[:places.shape[1]]
-        met, starts = stream.before[places], stream.starts[places]
-        states = np.empty((*places.shape, HIDDEN), np.float32)
-        for t in range(len(places)):
-            h = np.where(starts[t][:, None], np.float32(0), h)
-            h = states[t] = step(model, entering[met[t]], h)[0]
-        here = places[live]
+    gathered, held = [], 0
+
+    def outputs() -> None:
+        here, states = (np.concatenate(x) for x in zip(*gathered, strict=True))
         order, classes, place = by_class(output, stream.ids[here])
-        hidden, part = states[live][order], np.empty(len(here), np.float32)
+        hidden, part = states[order], np.empty(len(here), np.float32)
         for a in range(0, len(here), ROWS):
             rows = slice(a, a + ROWS)
-            part[rows] = exponentials(hidden[rows] @ model.to_class + model.class_bias, classes[rows], tame)[2]
+            part[rows] = exponentials(product(hidden[rows], model.to_class, model.class_bias), classes[rows], tame)[2]
         for c, a, b in class_runs(classes, output.sizes):
             rows, mine = slice(a, b), slice(output.first[c], output.first[c] + output.sizes[c])
-            part[rows] += exponentials(hidden[rows] @ model.words[mine].T + model.word_bias[mine], place[rows], tame)[2]
-        totals += np.bincount(stream.owner[here][order], part, len(docs))
+            part[rows] += exponentials(product(hidden[rows], model.words[mine].T, model.word_bias[mine]), place[rows], tame)[2]
+        totals[:] += np.bincount(stream.owner[here][order], part, len(docs))
+
+    for places, live in stream.windows(window):
+        h = h[:places.shape[1]]
+        entered, starts = entering[stream.before[places]], stream.starts[places]
+        begins = starts.any(axis=1).tolist()
+        states = np.empty((*places.shape, HIDDEN), np.float32)
+        for t in range(len(places)):
+            if begins[t]:
+                h = np.where(starts[t][:, None], np.float32(0), h)
+            h = states[t] = step(model, entered[t], h)[0]
+        gathered.append((places[live], states[live]))
+        held += len(gathered[-1][0])
+        if held >= GATHERED:
+            outputs()
+            gathered, held = [], 0
+    if held:
+        outputs()
     return totals
 
 
@@ -258,8 +283,9 @@ class Trainer:
         entering = (vectors @ model.into + model.bias).reshape(*shape, 3 * H)
         before, states, cand, side = (np.empty((*shape, H), np.float32) for _ in range(4))
         gates = np.empty((*shape, 2 * H), np.float32)
+        begins = starts.any(axis=1).tolist()
         for t in range(len(places)):
-            before[t] = h0 = np.where(starts[t][:, None], np.float32(0), h)
+            before[t] = h0 = np.where(starts[t][:, None], np.float32(0), h) if begins[t] else h
             h, gates[t], cand[t], side[t] = step(model, entering[t], h0)
             states[t] = h
 
@@ -288,7 +314,8 @@ class Trainer:
             np.multiply(dh, to_r[t], out=side_t[:, H:2 * H])
             np.multiply(dh, through[t], out=side_t[:, 2 * H:])
             dh = dh * z[t] + side_t @ recur
-            dh[starts[t]] = 0
+            if begins[t]:
+                dh[starts[t]] = 0
         enter[..., :2 * H] = back[..., :2 * H]
         np.multiply(spread, to_cand, out=enter[..., 2 * H:])
 
@@ -319,14 +346,14 @@ class Trainer:
 
         for a in range(0, len(hidden), ROWS):
             rows = slice(a, a + ROWS)
-            e = errors(hidden[rows] @ model.to_class + model.class_bias, classes[rows])
+            e = errors(product(hidden[rows], model.to_class, model.class_bias), classes[rows])
             grads["to_class"] += hidden[rows].T @ e
             grads["class_bias"] += ONES[:len(e)] @ e
             d_hidden[rows] = e @ to_class
         for c, a, b in class_runs(classes, output.sizes):
             rows, mine = slice(a, b), slice(output.first[c], output.first[c] + output.sizes[c])
             vectors = model.words[mine]
-            e = errors(hidden[rows] @ vectors.T + model.word_bias[mine], place[rows])
+            e = errors(product(hidden[rows], vectors.T, model.word_bias[mine]), place[rows])
             d_hidden[rows] += e @ vectors
             d_words[mine] += e.T @ hidden[rows]
             d_bias[mine] += ONES[:b - a] @ e

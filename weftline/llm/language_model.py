@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,8 +31,13 @@ from weftline.llm.common import fold
 from weftline.session import land
 
 HELD, FOLDS = 2, 7
-#: Words known to every task, at most (RARE in the stored ids is any other), and how often one must occur.
-HEAD, HEAD_COUNT, RARE = 16_384, 3, 65_535
+#: Words known to every task, at most (in the stored ids MARK is a near word, RARE any other), and how often one must occur.
+HEAD, HEAD_COUNT, RARE, MARK = 16_384, 3, 65_535, 65_534
+#: The next most frequent words, at most so many, are told by id too (from NEAR_ID on): they are rare words to the model, but
+#: their groups and counts are known to every task, so they need no join.
+NEAR, NEAR_ID = 131_072, 65_536
+#: Endings remembered with their group.
+ENDINGS = 200_000
 #: Classes of words are cut by this power of the counts, so that frequent words are in smaller ones.
 EVEN = 0.2
 GROUPS = 6
@@ -79,6 +84,7 @@ class Vocabulary:
     start_id: int
     class_counts: np.ndarray
     word_counts: dict[int, np.ndarray]
+    near_groups: np.ndarray | None = None  # group of each of the near words
 
     @property
     def end(self) -> int:
@@ -119,21 +125,35 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(parts, kind).groupBy("word").agg(F.sum("c").alias("c")).filter("c > 0")
 
 
-def frequent(counts: DataFrame) -> list[tuple[str, int]]:
-    """The head words, most frequent first: those above a threshold of the counts that leaves at most HEAD.
+class Told(dict):
+    """Group of a rare word by its last three letters, on which alone it depends."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, ending: str) -> int:
+        if len(self) >= ENDINGS:
+            self.clear()
+        group = self[ending] = self.vocabulary.rare_group(ending)
+        return group
+
+
+def frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
+    """The head words, most frequent first: those above a threshold of the counts that leaves at most ``most``.
 
     The threshold is read from a histogram with a bounded number of bins, so no task sends more than what is kept.
     """
     level = F.floor(F.log2(F.col("c")) * BINS).cast("int")
     able = counts.filter(F.col("c") >= HEAD_COUNT)
     bins = sorted(able.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
-    if bins and bins[0]["count"] > HEAD:  # the first bin alone is too large: its words in order
-        first = able.filter(level == bins[0]["level"]).orderBy(F.desc("c"), "word").limit(HEAD).collect()
+    if bins and bins[0]["count"] > most:  # the first bin alone is too large: its words in order
+        first = able.filter(level == bins[0]["level"]).orderBy(F.desc("c"), "word").limit(most).collect()
         return [(r["word"], r["c"]) for r in first]
     lowest, kept = None, 0
     for row in bins:
         kept += row["count"]
-        if kept > HEAD:
+        if kept > most:
             break
         lowest = row["level"]
     if lowest is None:
@@ -141,23 +161,31 @@ def frequent(counts: DataFrame) -> list[tuple[str, int]]:
     return sorted(((r["word"], r["c"]) for r in able.filter(level >= lowest).collect()), key=lambda x: (-x[1], x[0]))
 
 
-STORED = StructType([StructField("part", IntegerType()), StructField("ids", BinaryType()), StructField("rare", StringType())])
+STORED = StructType([StructField("part", IntegerType()), StructField("ids", BinaryType()), StructField("near", BinaryType()),
+                     StructField("rare", StringType())])
+
+
+def ids_of_words(head: Iterable[str], near: Iterable[str]) -> dict[bytes, int]:
+    ids = {w.encode("utf-8", "surrogatepass"): NEAR_ID + i for i, w in enumerate(near)}
+    ids.update((w.encode("utf-8", "surrogatepass"), i) for i, w in enumerate(head))
+    return ids
 
 
-def stored_ids(docs: DataFrame, head: dict[str, int]) -> DataFrame:
-    """One row per training document: its round, the ids of its words and the rare words among them."""
-    shared = docs.sparkSession.sparkContext.broadcast(head)
+def stored_ids(docs: DataFrame, head: list[str], near: list[str]) -> DataFrame:
+    """One row per training document: its round, the ids of its words, those of the near words among them, the words without one."""
+    shared = docs.sparkSession.sparkContext.broadcast((head, near))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        id_of = {w.encode("utf-8", "surrogatepass"): i for w, i in shared.value.items()}.get
+        id_of = ids_of_words(*shared.value).get
         for batch in batches:
-            ids, rare = [], []
+            ids, nears, rare = [], [], []
             for text in batch["text"]:
                 found = tokens(text)
-                at = np.fromiter([id_of(w, RARE) for w in found], np.uint16, len(found))
-                ids.append(at.tobytes())
+                at = np.fromiter([id_of(w, RARE) for w in found], np.int32, len(found))
+                ids.append(np.minimum(at, np.where(at >= NEAR_ID, MARK, RARE)).astype(np.uint16).tobytes())
+                nears.append(at[at >= NEAR_ID].tobytes())
                 rare.append(plain(b" ".join([found[i] for i in np.flatnonzero(at == RARE).tolist()])))
-            yield pd.DataFrame({"part": batch["part"], "ids": ids, "rare": rare})
+            yield pd.DataFrame({"part": batch["part"], "ids": ids, "near": nears, "rare": rare})
 
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int").alias("part")
     rows = land(docs.select(part, "text").mapInPandas(read, STORED), "ids")
@@ -169,6 +197,13 @@ def unpacked(ids: bytes) -> np.ndarray:
     return np.frombuffer(ids, np.uint16)
 
 
+def with_near(ids: bytes, near: bytes) -> np.ndarray:
+    """The stored ids with those of the near words in their places."""
+    out = unpacked(ids).astype(np.int32)
+    out[out == MARK] = np.frombuffer(near, np.int32)
+    return out
+
+
 def features(rows: DataFrame) -> DataFrame:
     """(x) for every document that has one of the TOP most frequent words: the square roots of their shares."""
 
@@ -183,7 +218,8 @@ def features(rows: DataFrame) -> DataFrame:
 def shares_of_top(rows: pd.Series) -> np.ndarray:
     x = np.zeros((len(rows), TOP), np.float32)
     for i, ids in enumerate(rows):
-        x[i] = np.bincount(unpacked(ids), minlength=TOP)[:TOP]
+        found = unpacked(ids)
+        x[i] = np.bincount(found[found < TOP], minlength=TOP)
     return np.sqrt(x / np.maximum(x.sum(axis=1, keepdims=True), 1))
 
 
@@ -246,7 +282,7 @@ def counts_by_group(rows: DataFrame, words: int, centres: np.ndarray) -> np.ndar
             at = (shares_of_top(batch["ids"]) @ centres.T).argmax(axis=1)
             for g in np.unique(at):
                 found = unpacked(b"".join(batch["ids"][at == g]))
-                held[g] += np.bincount(found[found != RARE], minlength=words)
+                held[g] += np.bincount(found[found < words], minlength=words)
         g, k = np.nonzero(held)
         yield pd.DataFrame({"g": g, "k": k, "n": held[g, k]})
 
@@ -296,26 +332,35 @@ def vocabulary(head: list[tuple[str, int]], ends: int, by_group: np.ndarray, rar
 
 
 class Reader:
-    """Word ids of texts. Rare words are not remembered: their group is two look-ups."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-        self.id_of = {w.encode("utf-8", "surrogatepass"): i for w, i in vocabulary.ids.items()}.get
-
-    def whole(self, ids: np.ndarray, rare: list[str]) -> np.ndarray:
-        """The ids with those of rare words in the places marked RARE, and the end."""
-        v = self.vocabulary
-        out = np.append(ids.astype(np.int32), np.int32(v.end))
-        if rare:
-            out[:-1][ids == RARE] = [v.end + 1 + v.rare_group(w) for w in rare]
+    """Word ids of texts. Words without an id are not remembered: the endings that tell their group are."""
+
+    def __init__(self, vocabulary: Vocabulary, near: Iterable[str] = ()):
+        self.vocabulary, self.told = vocabulary, Told(vocabulary)
+        self.id_of = ids_of_words(vocabulary.ids, near).get
+        # what the model knows a word by: its own id, or that of the rare words of its group
+        self.by_id = np.arange(NEAR_ID + len(vocabulary.near_groups if vocabulary.near_groups is not None else ()), dtype=np.int32)
+        if vocabulary.near_groups is not None:
+            self.by_id[NEAR_ID:] = vocabulary.end + 1 + vocabulary.near_groups
+
+    def groups(self, rare: list[str]) -> list[int]:
+        told = self.told
+        return [told[w[-3:]] for w in rare]
+
+    def whole(self, ids: np.ndarray, groups: list[int]) -> np.ndarray:
+        """The ids the model knows, with those of the ``groups`` in the places marked RARE, and the end."""
+        end = self.vocabulary.end
+        out = np.append(self.by_id[ids], np.int32(end))
+        if groups:
+            out[:-1][ids == RARE] = np.array(groups, np.int32) + np.int32(end + 1)
         return out
 
-    def read(self, text: str | None) -> tuple[np.ndarray, str]:
-        """Ids with the end, and the rare words joined by blanks."""
+    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, str]:
+        """Ids the model knows, with the end; ids of the near words; the other rare words, after their group, joined by blanks."""
         found, id_of = tokens(text), self.id_of
         ids = np.fromiter([id_of(w, RARE) for w in found], np.int32, len(found))
         rare = [plain(found[i]) for i in np.flatnonzero(ids == RARE).tolist()]
-        return self.whole(ids, rare), " ".join(rare)
+        groups = self.groups(rare)
+        return self.whole(ids, groups), ids[ids >= NEAR_ID], " ".join([f"{g}{w}" for g, w in zip(groups, rare, strict=True)])
 
 
 @dataclass
@@ -327,6 +372,7 @@ class LanguageModel:
     ends: int
     counts: DataFrame  # (word, c, grp) of the words outside the head
     rare: dict[int, tuple[int, int, float]]  # group: tokens, types, discount
+    near: list[tuple[str, int]]  # words next in frequency to the head, and their counts
 
 
 LEARNT = StructType([StructField("worker", IntegerType()), StructField("chunk", IntegerType()),
@@ -360,8 +406,8 @@ def trained(rows: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> g
                     trainer.learn(block, (fall(done + held * e / epochs), fall(done + held * (e + 1) / epochs)))
 
             for batch in batches:
-                for ids, rare in zip(batch["ids"], batch["rare"], strict=True):
-                    block.append(reader.whole(unpacked(ids), rare.split(" ") if rare else []))
+                for ids, near, rare in zip(batch["ids"], batch["near"], batch["rare"], strict=True):
+                    block.append(reader.whole(with_near(ids, near), reader.groups(rare.split(" ")) if rare else []))
                     held += len(block[-1])
                     if held >= BLOCK_TOKENS:
                         flush()
@@ -375,7 +421,7 @@ def trained(rows: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> g
                                         "weights": [moved[k:k + CHUNK].astype(np.float16).tobytes()]})
 
         mine = rows.filter(F.col("part") == turn) if rounds > 1 else rows
-        means = mine.select("ids", "rare").coalesce(workers).mapInPandas(learn, LEARNT)
+        means = mine.select("ids", "near", "rare").coalesce(workers).mapInPandas(learn, LEARNT)
         left = workers
         while left > 1:
             left = -(-left // FAN)
@@ -403,12 +449,14 @@ def fit(docs: DataFrame) -> LanguageModel:
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = (counts.filter(F.col("word") == END).first() or {"c": 0})["c"]
     words = counts.filter(F.col("word") != END)
-    head = frequent(words)
+    head = frequent(words, HEAD)
+    near = frequent(words, HEAD + NEAR)[len(head):]  # in the same order, so the head comes first
     rare_total = total["n"] - ends - sum(c for _, c in head)
-    ids = {w: i for i, (w, _) in enumerate(head)}
-    rows = stored_ids(docs, ids)
+    rows = stored_ids(docs, [w for w, _ in head], [w for w, _ in near])
     centres = document_groups(land(features(rows), "features"))
     known = vocabulary(head, ends, counts_by_group(rows, len(head), centres), rare_total)
+    told = Told(known)
+    known.near_groups = np.array([told[w[-3:]] for w, _ in near], np.int32)
     model = gru.fresh(known.start_id + 1, known.output, known.class_counts, known.word_counts)
     model = trained(rows, known, model, total["n"])
 
@@ -417,7 +465,8 @@ def fit(docs: DataFrame) -> LanguageModel:
     @F.pandas_udf(IntegerType())
     def group_of(words: pd.Series) -> pd.Series:
         v = shared.value
-        return words.map(lambda w: -1 if w in v.ids else v.rare_group(w)).astype("int32")
+        told = Told(v)
+        return words.map(lambda w: -1 if w in v.ids else told[w[-3:]]).astype("int32")
 
     rest = land(words.select("word", "c", group_of("word").alias("grp")).filter("grp >= 0"), "rare")
     rare = {}
@@ -425,7 +474,7 @@ def fit(docs: DataFrame) -> LanguageModel:
                                      F.count(F.when(F.col("c") == 2, 1)).alias("n2")).collect():
         discount = r["n1"] / (r["n1"] + 2 * r["n2"]) if r["n1"] and r["n2"] else 0.5
         rare[r["grp"]] = (r["n"], r["v"], min(max(discount, 0.1), 0.9))
-    return LanguageModel(known, model, total["n"], total["v"], ends, rest, rare)
+    return LanguageModel(known, model, total["n"], total["v"], ends, rest, rare, near)
 
 
 PASS = StructType([
@@ -442,50 +491,57 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
     together, as in the base, where they are one type. Without training documents all words are unknown.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((lm.vocabulary, lm.model, lm.ends))
+    near_words, near_c = [w for w, _ in lm.near], np.array([c for _, c in lm.near], np.int64)
+    known_as = np.zeros((GROUPS, 2))
+    for g, (n, _, d) in lm.rare.items():
+        known_as[g] = n, d
+    near_share = np.zeros(0)
+    if len(near_c):
+        n, d = known_as[lm.vocabulary.near_groups].T
+        near_share = np.log10((near_c - d) / n)
+    shared = spark.sparkContext.broadcast((lm.vocabulary, lm.model, lm.ends, near_words, np.log10(near_c + 1.0), near_share))
 
     def passes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, model, ends = shared.value
-        reader = Reader(known)
+        known, model, ends, near, near_logs, near_share = shared.value
+        reader = Reader(known, near)
         rare_ids = GROUPS
         logs = np.concatenate([np.log10(known.counts + 1.0), [np.log10(ends + 1.0)], np.zeros(rare_ids)])
         seen = np.concatenate([np.ones(len(known.counts), np.int64), [int(ends > 0)], np.zeros(rare_ids, np.int64)])
-        for whole in batches:
-            # long documents run beside many others, so a step through the lanes is never nearly empty
-            for start in range(0, len(whole), BATCH_DOCS):
-                part = whole.iloc[start:start + BATCH_DOCS]
-                read = [reader.read(t) for t in part["text"]]
-                ids = [i for i, _ in read]
-                total = gru.score(model, known.output, known.as_input, known.start_id, ids)
-                yield pd.DataFrame({
-                    "doc_id": part["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None),
-                    "held_out": part["held_out"].to_numpy(), "n_tokens": [len(i) for i in ids],
-                    "known": [int(seen[i].sum()) for i in ids], "logs": [float(logs[i].sum()) for i in ids],
-                    "model": total / np.log(10), "rare": [r for _, r in read],
-                })
-
-    scanned = land(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out"
-                               ).mapInPandas(passes, PASS).withColumn("row", F.monotonically_increasing_id()), "scanned")
-    words = scanned.filter("rare <> ''").select("row", F.explode(F.split("rare", " ")).alias("word"), F.lit(1).alias("n"))
-    shares = F.create_map(*[F.lit(x) for g, (n, v, d) in lm.rare.items() for x in (g, float(n))]) if lm.rare else None
-    off = F.create_map(*[F.lit(x) for g, (n, v, d) in lm.rare.items() for x in (g, float(d))]) if lm.rare else None
+        for part in (b for b in batches if len(b)):
+            read = [reader.read(t) for t in part["text"]]
+            ids, near_ids = [i for i, _, _ in read], [n - NEAR_ID for _, n, _ in read]
+            total = gru.score(model, known.output, known.as_input, known.start_id, ids)
+            yield pd.DataFrame({
+                "doc_id": part["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None),
+                "held_out": part["held_out"].to_numpy(), "n_tokens": [len(i) for i in ids],
+                "known": [int(seen[i].sum()) + len(n) for i, n in zip(ids, near_ids, strict=True)],
+                "logs": [float(logs[i].sum() + near_logs[n].sum()) for i, n in zip(ids, near_ids, strict=True)],
+                "model": total / np.log(10) + [near_share[n].sum() for n in near_ids], "rare": [r for _, _, r in read],
+            })
+
+    # long documents run beside many others, so a step through the lanes is never nearly empty; more at a time would fill memory
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(BATCH_DOCS))
+    try:
+        scanned = land(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out"
+                                   ).mapInPandas(passes, PASS).withColumn("row", F.monotonically_increasing_id()), "scanned")
+    finally:
+        spark.conf.set(size, before)
+    words = scanned.filter("rare <> ''").select("row", F.explode(F.split("rare", " ")).alias("marked")).select(
+        "row", F.substring("marked", 1, 1).cast("int").alias("grp"), F.expr("substring(marked, 2)").alias("word"))
     if lm.rare:
+        shares = F.create_map(*[F.lit(x) for g, (n, v, d) in lm.rare.items() for x in (g, float(n))])
+        off = F.create_map(*[F.lit(x) for g, (n, v, d) in lm.rare.items() for x in (g, float(d))])
         inside = lm.counts.select(F.col("word").alias("w"), "c", F.log10((F.col("c") - off[F.col("grp")]) / shares[F.col("grp")]).alias("share"))
+        unknown = F.create_map(*[F.lit(x) for g, (n, v, d) in lm.rare.items() for x in (g, float(np.log10(d * v / n)))])[F.col("grp")]
     else:
-        inside = lm.counts.select(F.col("word").alias("w"), "c", F.lit(0.0).alias("share"))
-    new = {g: float(np.log10(d * v / n)) for g, (n, v, d) in lm.rare.items()}
-
-    @F.pandas_udf(DoubleType())
-    def unknown(words: pd.Series) -> pd.Series:
-        v = shared.value[0]
-        return words.map(lambda w: new.get(v.rare_group(w), 0.0)).astype("float64")
-
-    met = words.join(inside, F.col("word") == F.col("w"), "left")
-    found = met.filter("c IS NOT NULL").select("row", "n", "c", "share")
-    lost = met.filter("c IS NULL").select("row", "n", F.lit(0).cast("long").alias("c"), unknown("word").alias("share"))
-    sums = found.unionByName(lost).groupBy(F.col("row").alias("r")).agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_logs"), F.sum(F.col("n") * F.col("share")).alias("rare_model"))
+        inside, unknown = lm.counts.select(F.col("word").alias("w"), "c", F.lit(0.0).alias("share")), F.lit(0.0)
+    # every word is once in the counts, so a partition's part of them is a small table of its own
+    met = words.join(inside.hint("shuffle_hash"), F.col("word") == F.col("w"), "left")
+    sums = met.groupBy(F.col("row").alias("r")).agg(
+        F.count("c").alias("rare_known"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("rare_logs"),
+        F.sum(F.coalesce("share", unknown, F.lit(0.0))).alias("rare_model"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     base = float(np.log10(lm.tokens + lm.types + 1))
     return scanned.join(sums, F.col("row") == F.col("r"), "left").select(
