@@ -16,12 +16,13 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
@@ -443,8 +444,25 @@ def mean(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.head(1).assign(tokens=total, weights=[sums.astype(np.float16).tobytes()])
 
 
+@contextmanager
+def batches_of_docs(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside get at most BATCH_DOCS rows at a time in their Python workers; more would fill the memory."""
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(BATCH_DOCS))
+    try:
+        yield
+    finally:
+        spark.conf.set(size, before)
+
+
 def fit(docs: DataFrame) -> LanguageModel:
     """Learn from all rows of ``docs``: counts, word groups and weights from every token."""
+    with batches_of_docs(docs.sparkSession):
+        return fitted(docs)
+
+
+def fitted(docs: DataFrame) -> LanguageModel:
     counts = land(count_words(docs), "counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = (counts.filter(F.col("word") == END).first() or {"c": 0})["c"]
@@ -519,15 +537,10 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
                 "model": total / np.log(10) + [near_share[n].sum() for n in near_ids], "rare": [r for _, _, r in read],
             })
 
-    # long documents run beside many others, so a step through the lanes is never nearly empty; more at a time would fill memory
-    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(size)
-    spark.conf.set(size, str(BATCH_DOCS))
-    try:
+    # long documents run beside many others, so a step through the lanes is never nearly empty
+    with batches_of_docs(spark):
         scanned = land(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out"
                                    ).mapInPandas(passes, PASS).withColumn("row", F.monotonically_increasing_id()), "scanned")
-    finally:
-        spark.conf.set(size, before)
     words = scanned.filter("rare <> ''").select("row", F.explode(F.split("rare", " ")).alias("marked")).select(
         "row", F.substring("marked", 1, 1).cast("int").alias("grp"), F.expr("substring(marked, 2)").alias("word"))
     if lm.rare:
