@@ -3,9 +3,10 @@
 The output is factored: the class of the next word given the state, then the word given its class, each a softmax over the
 state. Training is backpropagation through windows of fixed length; the state is carried from window to window, in training
 as in scoring, and starts anew with each document (in training also every PIECE words of a very long one, whose next word
-then still sees the word before). Many documents run side by side in lanes; the tokens of a window are sorted by class, so
-each class is one matrix product over a slice of the word vectors. Word vectors, a third of a row's cost each, follow a rule
-with one number a row; the small dense matrices follow Adam.
+then still sees the word before). Many documents run side by side in lanes, which are the columns of a step's matrices, so every
+gate is a block of whole rows. The tokens of a window are sorted by class, so each class is one matrix product over a slice of
+the word vectors. Word vectors, a third of a row's cost each, follow a rule with one number a row; the small dense matrices
+follow Adam.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ PIECE = 2_048
 EPOCHS = 2
 RATE, ROW_RATE = 0.02, 0.3
 #: Rows of a softmax worked on at a time, so that they stay in the cache of a core.
-ROWS = 1_024
+ROWS = 256
 #: States gathered in scoring before the words they predict are looked at, class by class.
 GATHERED = 1 << 16
 #: Logits that float32 can exponentiate without taking the largest off first.
@@ -45,6 +46,11 @@ class Output:
         for c, n in self.sizes.items():
             self.first[c] = self.rows
             self.rows += n
+        # row of each word id in the word vectors, -1 without one; ids in order of class and place
+        self.row = np.array([self.first[c] + p if c in self.sizes else -1
+                             for c, p in zip(self.classes.tolist(), self.place.tolist(), strict=True)], np.int64)
+        self.rank = np.empty(len(self.classes), np.uint16 if len(self.classes) < 65_536 else np.int64)
+        self.rank[np.lexsort((self.place, self.classes))] = np.arange(len(self.classes))
 
 
 @dataclass
@@ -86,22 +92,33 @@ def fresh(n_inputs: int, output: Output, class_counts: np.ndarray, word_counts:
                np.concatenate([np.zeros(0, np.float32), *[start(word_counts[c]) for c in output.sizes]]))
 
 
-def step(model: Gru, x: np.ndarray, h: np.ndarray):
-    """One time step; returns the new state and what the backward pass needs."""
+def stacked(model: Gru) -> np.ndarray:
+    """The weights of a step as one matrix. Times (state, input, one) it gives the two gates' logits, both negated, and the
+    recurrent and the entering side of the candidate."""
     H = HIDDEN
-    side = h @ model.recur
-    gates = x[:, :2 * H] + side[:, :2 * H]
-    np.negative(gates, out=gates)
+    out = np.zeros((4 * H, 2 * H + 1), np.float32)
+    out[:2 * H, :H], out[:2 * H, H:2 * H], out[:2 * H, 2 * H] = -model.recur[:, :2 * H].T, -model.into[:, :2 * H].T, -model.bias[:2 * H]
+    out[2 * H:3 * H, :H] = model.recur[:, 2 * H:].T
+    out[3 * H:, H:2 * H], out[3 * H:, 2 * H] = model.into[:, 2 * H:].T, model.bias[2 * H:]
+    return out
+
+
+def step(weights: np.ndarray, given: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One time step from ``given`` (state, input and one, a column a lane); returns the new state and the candidate, and
+    leaves the gates and the sides of the candidate in ``sums``."""
+    H = HIDDEN
+    np.matmul(weights, given, out=sums)
+    gates = sums[:2 * H]
     np.exp(gates, out=gates)
     gates += 1
     np.reciprocal(gates, out=gates)
-    n = gates[:, H:] * side[:, 2 * H:]
-    n += x[:, 2 * H:]
+    n = gates[H:] * sums[2 * H:3 * H]
+    n += sums[3 * H:]
     np.tanh(n, out=n)
-    new = h - n
-    new *= gates[:, :H]
+    new = given[:H] - n
+    new *= gates[:H]
     new += n
-    return new, gates, n, side[:, 2 * H:]
+    return new, n
 
 
 class Lanes:
@@ -145,25 +162,37 @@ class Lanes:
 ONES = np.ones(1 << 17, np.float32)
 
 
-def exponentials(logits: np.ndarray, target: np.ndarray, tame: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Exponentials in place of the logits, their sums, and the natural log of the target's probability."""
+def table(vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Vectors (hidden x words), bias and ones in rows: rows (state, one) times the first two are logits, exponentials times the
+    transpose give the sums of vectors and, last, of themselves. Rows lie a little apart, or they share a place in the cache."""
+    out = np.ones((HIDDEN + 2, vectors.shape[1] + 16), np.float32)[:, :vectors.shape[1]]
+    out[:HIDDEN], out[HIDDEN] = vectors, bias
+    return out
+
+
+def exponentials(hidden: np.ndarray, rows: np.ndarray, tame: bool) -> tuple[np.ndarray, np.ndarray | np.float32]:
+    """Exponentials of the logits of ``hidden`` (state, one) over the columns of a `table`, and what was taken off before."""
+    logits, off = hidden @ rows[:HIDDEN + 1], np.float32(0)
     if not tame:
-        logits -= logits.max(axis=1, keepdims=True)
-    found = logits[np.arange(len(logits)), target]
-    np.exp(logits, out=logits)
-    total = logits @ ONES[:logits.shape[1]] if logits.shape[1] <= len(ONES) else logits.sum(axis=1)
-    return logits, total, found - np.log(total)
+        off = logits.max(axis=1)
+        logits -= off[:, None]
+    return np.exp(logits, out=logits), off
 
 
-def product(hidden: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    out = hidden @ vectors
-    out += bias
+def log_sums(hidden: np.ndarray, rows: np.ndarray, tame: bool) -> np.ndarray:
+    e, off = exponentials(hidden, rows, tame)
+    return np.log(e @ ONES[:e.shape[1]] if e.shape[1] <= len(ONES) else e.sum(axis=1)) + off
+
+
+def with_one(states: np.ndarray) -> np.ndarray:
+    out = np.ones((len(states), HIDDEN + 1), np.float32)
+    out[:, :HIDDEN] = states
     return out
 
 
 def class_runs(classes: np.ndarray, sizes: dict[int, int]) -> Iterator[tuple[int, int, int]]:
     """(class, from, to) of the runs in sorted ``classes`` that have a softmax of their own, cut to ROWS rows."""
-    edges = np.flatnonzero(np.append(True, classes[1:] != classes[:-1])).tolist() if len(classes) else []
+    edges = met_first(classes).tolist()
     for a, b in zip(edges, [*edges[1:], len(classes)], strict=True):
         c = int(classes[a])
         if c in sizes:
@@ -172,10 +201,15 @@ def class_runs(classes: np.ndarray, sizes: dict[int, int]) -> Iterator[tuple[int
 
 
 def by_class(output: Output, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order that sorts ``words`` by class, and classes and places in that order."""
-    classes = output.classes[words]
-    order = np.argsort(classes.astype(np.uint16) if len(output.classes) and output.classes.max() < 65_536 else classes, kind="stable")
-    return order, classes[order], output.place[words[order]]
+    """The order that sorts ``words`` by class and place, and classes and rows of the word vectors in that order."""
+    order = np.argsort(output.rank[words], kind="stable")
+    words = words[order]
+    return order, output.classes[words], output.row[words]
+
+
+def met_first(found: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, np.int64)
 
 
 def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], count: int = 1_024,
@@ -189,31 +223,37 @@ def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs:
     if not docs:
         return totals
     stream, tame = Lanes(docs, np.full(len(docs), start_id), as_input, count), model.tame()
-    entering = model.inputs @ model.into + model.bias
-    h = np.zeros((len(stream.length), HIDDEN), np.float32)
+    weights, to_class, words = stacked(model), table(model.to_class, model.class_bias), table(model.words.T, model.word_bias)
+    class_rows, word_rows = (np.ascontiguousarray(x[:HIDDEN + 1].T) for x in (to_class, words))
+    given = np.ones((2 * HIDDEN + 1, len(stream.length)), np.float32)
+    given[:HIDDEN] = 0
     gathered, held = [], 0
 
     def outputs() -> None:
         here, states = (np.concatenate(x) for x in zip(*gathered, strict=True))
-        order, classes, place = by_class(output, stream.ids[here])
-        hidden, part = states[order], np.empty(len(here), np.float32)
+        order, classes, row = by_class(output, stream.ids[here])
+        hidden = with_one(states[order])
+        part = np.einsum("ij,ij->i", hidden, class_rows[classes])
+        own = row >= 0
+        part[own] += np.einsum("ij,ij->i", hidden[own], word_rows[row[own]])
         for a in range(0, len(here), ROWS):
-            rows = slice(a, a + ROWS)
-            part[rows] = exponentials(product(hidden[rows], model.to_class, model.class_bias), classes[rows], tame)[2]
+            part[a:a + ROWS] -= log_sums(hidden[a:a + ROWS], to_class, tame)
         for c, a, b in class_runs(classes, output.sizes):
-            rows, mine = slice(a, b), slice(output.first[c], output.first[c] + output.sizes[c])
-            part[rows] += exponentials(product(hidden[rows], model.words[mine].T, model.word_bias[mine]), place[rows], tame)[2]
+            part[a:b] -= log_sums(hidden[a:b], words[:, output.first[c]:output.first[c] + output.sizes[c]], tame)
         totals[:] += np.bincount(stream.owner[here][order], part, len(docs))
 
     for places, live in stream.windows(window):
-        h = h[:places.shape[1]]
-        entered, starts = entering[stream.before[places]], stream.starts[places]
+        if places.shape[1] < given.shape[1]:
+            given = np.ascontiguousarray(given[:, :places.shape[1]])
+        vectors, starts = model.inputs[stream.before[places]], stream.starts[places]
         begins = starts.any(axis=1).tolist()
-        states = np.empty((*places.shape, HIDDEN), np.float32)
+        states, sums = np.empty((*places.shape, HIDDEN), np.float32), np.empty((4 * HIDDEN, places.shape[1]), np.float32)
         for t in range(len(places)):
             if begins[t]:
-                h = np.where(starts[t][:, None], np.float32(0), h)
-            h = states[t] = step(model, entered[t], h)[0]
+                given[:HIDDEN, starts[t]] = 0
+            given[HIDDEN:2 * HIDDEN] = vectors[t].T
+            given[:HIDDEN] = step(weights, given, sums)[0]
+            states[t] = given[:HIDDEN].T
         gathered.append((places[live], states[live]))
         held += len(gathered[-1][0])
         if held >= GATHERED:
@@ -231,6 +271,8 @@ class Trainer:
 
     def __init__(self, model: Gru, output: Output, as_input: np.ndarray, start_id: int):
         self.model, self.output, self.as_input, self.start_id = model, output, as_input, start_id
+        self.words = table(model.words.T, model.word_bias)
+        model.words, model.word_bias = self.words[:HIDDEN].T, self.words[HIDDEN]  # the same numbers
         self.first = {k: np.zeros_like(getattr(model, k)) for k in self.DENSE}
         self.second = {k: np.zeros_like(getattr(model, k)) for k in self.DENSE}
         self.seen = {k: np.ones(len(getattr(model, k)), np.float32) for k in ("inputs", "words", "word_bias")}
@@ -249,16 +291,11 @@ class Trainer:
             s += np.float32(0.01) * (g * g - s)
             getattr(self.model, k)[...] -= np.float32(rate / near) * m / (np.sqrt(s * np.float32(1 / far)) + np.float32(1e-8))
 
-    def move(self, name: str, rows: slice | np.ndarray, grad: np.ndarray, rate: float) -> None:
-        """Adagrad with one number a row; ``grad`` is summed over tokens, so a row that met one token moves by a part of ``rate``."""
-        seen, table = self.seen[name], getattr(self.model, name)
-        if grad.ndim == 1:
-            met = seen[rows] + grad * grad
-            table[rows] -= np.float32(rate) * grad / np.sqrt(met)
-        else:
-            met = seen[rows] + np.einsum("ij,ij->i", grad, grad) * np.float32(4 / HIDDEN)
-            table[rows] -= grad * (np.float32(rate) / np.sqrt(met))[:, None]
-        seen[rows] = met
+    def met(self, name: str, rows: slice | np.ndarray, size: np.ndarray, rate: float) -> np.ndarray:
+        """Adagrad with one number a row, which ``size`` is added to: the rate of each row."""
+        seen = self.seen[name]
+        seen[rows] = now = seen[rows] + size
+        return np.float32(rate) / np.sqrt(now)
 
     def learn(self, docs: list[np.ndarray], rates: tuple[float, float]) -> None:
         """One pass over ``docs``; the rate falls from the first of ``rates`` to the second."""
@@ -269,98 +306,119 @@ class Trainer:
         words = sum(len(d) for d, _ in pieces)
         stream = Lanes([d for d, _ in pieces], np.array([f for _, f in pieces]), self.as_input,
                        min(LANES, max(LEAST_LANES, words // LANE_WORDS)))
-        h = np.zeros((len(stream.length), HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, len(stream.length)), np.float32)
         done = 0
         for places, live in stream.windows(WINDOW):
             rate = rates[0] + (rates[1] - rates[0]) * done / words
             done += int(live.sum())
-            h = self.window(stream, places, live, h[:places.shape[1]], rate)
+            h = self.window(stream, places, live, h[:, :places.shape[1]], rate)
 
     def window(self, stream: Lanes, places: np.ndarray, live: np.ndarray, h: np.ndarray, rate: float) -> np.ndarray:
-        model, H, shape = self.model, HIDDEN, places.shape
-        met, starts = stream.before[places], stream.starts[places]
-        vectors = model.inputs[met.ravel()]
-        entering = (vectors @ model.into + model.bias).reshape(*shape, 3 * H)
-        before, states, cand, side = (np.empty((*shape, H), np.float32) for _ in range(4))
-        gates = np.empty((*shape, 2 * H), np.float32)
+        model, H, (times, lanes) = self.model, HIDDEN, places.shape
+        met, starts, weights = stream.before[places], stream.starts[places], stacked(model)
+        vectors = model.inputs[met]
+        given, sums = np.empty((times, 2 * H + 1, lanes), np.float32), np.empty((times, 4 * H, lanes), np.float32)
+        cand, states = np.empty((times, H, lanes), np.float32), np.empty((times, lanes, H), np.float32)
+        given[:, 2 * H] = 1
         begins = starts.any(axis=1).tolist()
-        for t in range(len(places)):
-            before[t] = h0 = np.where(starts[t][:, None], np.float32(0), h) if begins[t] else h
-            h, gates[t], cand[t], side[t] = step(model, entering[t], h0)
-            states[t] = h
-
-        here = places[live]
-        order, classes, place = by_class(self.output, stream.ids[here])
-        grads, d_sorted = self.outputs(states[live][order], classes, place, rate)
-        d_live = np.empty_like(d_sorted)
-        d_live[order] = d_sorted
-        spread = np.zeros((*shape, H), np.float32)
-        spread[live] = d_live
-
-        z, r = gates[..., :H], gates[..., H:]
-        to_cand = (1 - z) * (1 - cand * cand)
-        to_z = (before - cand) * z * (1 - z)
-        to_r = to_cand * side * r * (1 - r)
-        through = to_cand * r
-        enter = np.empty((*shape, 3 * H), np.float32)  # with regard to what enters
-        back = np.empty_like(enter)  # with regard to the recurrent side
-        recur = np.ascontiguousarray(model.recur.T)
-        dh = np.zeros((shape[1], H), np.float32)
-        for t in range(len(places) - 1, -1, -1):
-            dh += spread[t]
-            spread[t] = dh
-            side_t = back[t]
-            np.multiply(dh, to_z[t], out=side_t[:, :H])
-            np.multiply(dh, to_r[t], out=side_t[:, H:2 * H])
-            np.multiply(dh, through[t], out=side_t[:, 2 * H:])
-            dh = dh * z[t] + side_t @ recur
+        for t in range(times):
+            given[t, :H], given[t, H:2 * H] = h, vectors[t].T
+            if begins[t]:
+                given[t, :H, starts[t]] = 0
+            h, cand[t] = step(weights, given[t], sums[t])
+            states[t] = h.T
+
+        where = np.flatnonzero(live)
+        order, classes, row = by_class(self.output, stream.ids[places.ravel()[where]])
+        where = where[order]
+        grads, d_sorted = self.outputs(with_one(states.reshape(-1, H)[where]), classes, row, rate)
+        spread = np.zeros((times * lanes, H), np.float32)
+        spread[where] = d_sorted
+        spread = spread.reshape(times, lanes, H)
+
+        d_weights, d_vectors = np.zeros_like(weights), np.empty_like(vectors)
+        dh, d_sums, back = np.zeros((H, lanes), np.float32), np.empty((4 * H, lanes), np.float32), np.ascontiguousarray(weights.T)
+        d_z, d_r, d_side, d_cand = (d_sums[k * H:(k + 1) * H] for k in range(4))
+        for t in range(times - 1, -1, -1):  # the gates' logits are negated
+            z, r, side, n = sums[t, :H], sums[t, H:2 * H], sums[t, 2 * H:3 * H], cand[t]
+            dh += spread[t].T
+            fresh = 1 - z
+            fresh *= dh
+            np.subtract(n, given[t, :H], out=d_z)
+            d_z *= z
+            d_z *= fresh
+            np.multiply(n, n, out=d_cand)
+            np.subtract(1, d_cand, out=d_cand)
+            d_cand *= fresh
+            np.multiply(d_cand, r, out=d_side)
+            np.subtract(r, 1, out=d_r)
+            d_r *= side
+            d_r *= d_side
+            d_weights += d_sums @ given[t].T
+            d_given = back @ d_sums
+            d_vectors[t] = d_given[H:2 * H].T
+            dh *= z
+            dh += d_given[:H]
             if begins[t]:
-                dh[starts[t]] = 0
-        enter[..., :2 * H] = back[..., :2 * H]
-        np.multiply(spread, to_cand, out=enter[..., 2 * H:])
+                dh[:, starts[t]] = 0
 
-        flat = enter.reshape(-1, 3 * H)
         by = np.argsort(met, axis=None, kind="stable")
         sorted_ids = met.ravel()[by]
-        edges = np.flatnonzero(np.append(True, sorted_ids[1:] != sorted_ids[:-1]))
-        by_word = np.add.reduceat((flat @ model.into.T)[by], edges, axis=0)
-        part = np.float32(1 / len(here))
-        grads |= {"into": vectors.T @ flat, "bias": flat.sum(axis=0), "recur": before.reshape(-1, H).T @ back.reshape(-1, 3 * H)}
-        self.move("inputs", sorted_ids[edges], by_word, rate * ROW_RATE / RATE)
+        edges = met_first(sorted_ids)
+        by_word = np.add.reduceat(d_vectors.reshape(-1, H)[by], edges, axis=0)
+        d_weights[:2 * H] *= -1
+        grads |= {"into": np.hstack([d_weights[:2 * H, H:2 * H].T, d_weights[3 * H:, H:2 * H].T]),
+                  "bias": np.append(d_weights[:2 * H, 2 * H], d_weights[3 * H:, 2 * H]), "recur": d_weights[:3 * H, :H].T}
+        rows, row_rate, part = sorted_ids[edges], rate * ROW_RATE / RATE, np.float32(1 / len(where))
+        size = np.einsum("ij,ij->i", by_word, by_word) * np.float32(4 / H)
+        model.inputs[rows] -= by_word * self.met("inputs", rows, size, row_rate)[:, None]
         self.update({k: g * part for k, g in grads.items()}, rate)
         return h
 
-    def outputs(self, hidden: np.ndarray, classes: np.ndarray, place: np.ndarray, rate: float) -> tuple[dict, np.ndarray]:
-        """Moves the word vectors; returns the gradients, summed over tokens, of the class side and of the states."""
-        model, output, tame = self.model, self.output, self.model.tame()
-        d_hidden = np.empty_like(hidden)
-        to_class = np.ascontiguousarray(model.to_class.T)
-        grads = {"to_class": np.zeros_like(model.to_class), "class_bias": np.zeros_like(model.class_bias)}
-        d_words, d_bias = np.zeros_like(model.words), np.zeros_like(model.word_bias)
+    def outputs(self, hidden: np.ndarray, classes: np.ndarray, row: np.ndarray, rate: float) -> tuple[dict, np.ndarray]:
+        """Moves the word vectors; returns the gradients, summed over tokens, of the class side and of the states.
+
+        What is expected is summed by products with the exponentials, whose rows are scaled after them; what was met is one sum
+        for each class and each word.
+        """
+        model, output, H, tame = self.model, self.output, HIDDEN, self.model.tame()
+        to_class, words = table(model.to_class, model.class_bias), self.words
+        d_class, d_words = np.zeros((H + 1, to_class.shape[1]), np.float32), np.zeros_like(words[:H + 1])
+        d_hidden = np.empty((len(hidden), H), np.float32)
 
-        def errors(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-            e, total, _ = exponentials(logits, target, tame)
-            e *= (1 / total)[:, None]
-            e[np.arange(len(e)), target] -= 1
-            return e
+        def expected(mine: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            e, _ = exponentials(mine, rows, tame)
+            sums = e @ rows.T
+            scale = 1 / sums[:, H + 1:]
+            return sums[:, :H] * scale, (mine * scale).T @ e
 
         for a in range(0, len(hidden), ROWS):
-            rows = slice(a, a + ROWS)
-            e = errors(product(hidden[rows], model.to_class, model.class_bias), classes[rows])
-            grads["to_class"] += hidden[rows].T @ e
-            grads["class_bias"] += ONES[:len(e)] @ e
-            d_hidden[rows] = e @ to_class
+            d_hidden[a:a + ROWS], found = expected(hidden[a:a + ROWS], to_class)
+            d_class += found
         for c, a, b in class_runs(classes, output.sizes):
-            rows, mine = slice(a, b), slice(output.first[c], output.first[c] + output.sizes[c])
-            vectors = model.words[mine]
-            e = errors(product(hidden[rows], vectors.T, model.word_bias[mine]), place[rows])
-            d_hidden[rows] += e @ vectors
-            d_words[mine] += e.T @ hidden[rows]
-            d_bias[mine] += ONES[:b - a] @ e
-        if output.rows:
-            self.move("words", slice(None), d_words, rate * ROW_RATE / RATE)
-            self.move("word_bias", slice(None), d_bias, rate * ROW_RATE / RATE)
-        return grads, d_hidden
+            mine = slice(output.first[c], output.first[c] + output.sizes[c])
+            moved, found = expected(hidden[a:b], words[:, mine])
+            d_hidden[a:b] += moved
+            d_words[:, mine] += found
+        d_hidden -= to_class[:H].T[classes]
+        edges = met_first(classes)
+        d_class[:, classes[edges]] -= np.add.reduceat(hidden, edges, axis=0).T
+        own = np.flatnonzero(row >= 0)
+        if len(own):
+            all_own = len(own) == len(row)
+            row, mine = (row, hidden) if all_own else (row[own], hidden[own])
+            met = words[:H].take(row, axis=1).T
+            if all_own:
+                d_hidden -= met
+            else:
+                d_hidden[own] -= met
+            edges = met_first(row)
+            d_words[:, row[edges]] -= np.add.reduceat(mine, edges, axis=0).T
+            row_rate = rate * ROW_RATE / RATE
+            size = np.einsum("ij,ij->j", d_words[:H], d_words[:H]) * np.float32(4 / H)
+            words[:H] -= d_words[:H] * self.met("words", slice(None), size, row_rate)
+            words[H] -= d_words[H] * self.met("word_bias", slice(None), d_words[H] * d_words[H], row_rate)
+        return {"to_class": d_class[:H], "class_bias": d_class[H]}, d_hidden
 
 
 def train(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], epochs: int = EPOCHS) -> Gru:

@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,13 +58,29 @@ BATCH_DOCS = 3_000
 END = " end"
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """The words of a text, A-Z lowered. Bytes are split at ASCII white space and lowered in ASCII only, as is asked."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z lowered, and where each text's begin (and the last ends). Texts are cut at ASCII white space
+    and lowered in ASCII only, as is asked."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(trimmed, ""), None, trimmed))
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return lists.flatten(), np.append(0, np.cumsum(lengths, dtype=np.int64))
 
 
-def plain(word: bytes) -> str:
-    return word.decode("utf-8", "surrogatepass")
+def within(mask: np.ndarray, upto: np.ndarray) -> np.ndarray:
+    """Where each text's begin when of all words only those of the mask are kept."""
+    return np.append(0, np.cumsum(mask, dtype=np.int64))[upto]
+
+
+def packed(values: np.ndarray, upto: np.ndarray) -> pa.Array:
+    """The bytes of each text's part of ``values``."""
+    places = pa.py_buffer((upto * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(upto) - 1, [None, places, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def joined(words: pa.Array, upto: np.ndarray) -> pa.Array:
+    """Each text's part of ``words``, joined by blanks."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), words), " ")
 
 
 def letters(word: str) -> tuple[str, str]:
@@ -105,25 +122,25 @@ def guess(word: str, endings: dict[str, int], common: int) -> int:
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, c) over all training documents; every document adds one end."""
 
-    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter[bytes] = Counter()
-        ends = 0
-
-        def told() -> pd.DataFrame:
-            return pd.DataFrame({"word": [plain(w) for w in held], "c": list(held.values())}).astype({"word": str, "c": "int64"})
+    kind = StructType([StructField("word", StringType()), StructField("c", LongType())])
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ends = None, 0
         for batch in batches:
-            for text in batch["text"]:
-                held.update(tokens(text))
-                if len(held) > FLUSH:
-                    yield told()
-                    held.clear()
-            ends += len(batch)
-        yield told()
-        yield pd.DataFrame({"word": [END], "c": [ends]})
-
-    kind = StructType([StructField("word", StringType()), StructField("c", LongType())])
-    return docs.select("text").mapInPandas(parts, kind).groupBy("word").agg(F.sum("c").alias("c")).filter("c > 0")
+            words, _ = words_of(batch.column(0))
+            found = words.value_counts()
+            own = pa.table({"word": found.field("values"), "c": found.field("counts")})
+            if held is not None:
+                own = pa.concat_tables([held, own]).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
+            held, ends = own, ends + len(batch)
+            if len(held) > FLUSH:
+                yield from held.to_batches()
+                held = None
+        if held is not None:
+            yield from held.to_batches()
+        yield pa.RecordBatch.from_pydict({"word": [END], "c": [ends]})
+
+    return docs.select("text").mapInArrow(parts, kind).groupBy("word").agg(F.sum("c").alias("c")).filter("c > 0")
 
 
 class Told(dict):
@@ -139,6 +156,10 @@ class Told(dict):
         group = self[ending] = self.vocabulary.rare_group(ending)
         return group
 
+    def groups(self, words: pa.Array) -> np.ndarray:
+        endings = pc.utf8_slice_codeunits(words, -3).dictionary_encode()
+        return np.array([self[e] for e in endings.dictionary.to_pylist()], np.int32)[endings.indices.to_numpy()]
+
 
 def frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
     """The head words, most frequent first: those above a threshold of the counts that leaves at most ``most``.
@@ -166,30 +187,38 @@ STORED = StructType([StructField("part", IntegerType()), StructField("ids", Bina
                      StructField("rare", StringType())])
 
 
-def ids_of_words(head: Iterable[str], near: Iterable[str]) -> dict[bytes, int]:
-    ids = {w.encode("utf-8", "surrogatepass"): NEAR_ID + i for i, w in enumerate(near)}
-    ids.update((w.encode("utf-8", "surrogatepass"), i) for i, w in enumerate(head))
-    return ids
+@dataclass
+class Ids:
+    """Ids of the head words and of the near words."""
+
+    words: pa.Array
+    heads: int
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        at = pc.fill_null(pc.index_in(words, value_set=self.words.cast(words.type)), -1).to_numpy(zero_copy_only=False)
+        return np.where(at < 0, RARE, np.where(at < self.heads, at, at + (NEAR_ID - self.heads))).astype(np.int32)
+
+
+def ids_of_words(head: Iterable[str], near: Iterable[str]) -> Ids:
+    head = list(head)
+    return Ids(pa.array([*head, *near], pa.string()), len(head))
 
 
 def stored_ids(docs: DataFrame, head: list[str], near: list[str]) -> DataFrame:
     """One row per training document: its round, the ids of its words, those of the near words among them, the words without one."""
-    shared = docs.sparkSession.sparkContext.broadcast((head, near))
+    shared = docs.sparkSession.sparkContext.broadcast(ids_of_words(head, near))
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        id_of = ids_of_words(*shared.value).get
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, nears, rare = [], [], []
-            for text in batch["text"]:
-                found = tokens(text)
-                at = np.fromiter([id_of(w, RARE) for w in found], np.int32, len(found))
-                ids.append(np.minimum(at, np.where(at >= NEAR_ID, MARK, RARE)).astype(np.uint16).tobytes())
-                nears.append(at[at >= NEAR_ID].tobytes())
-                rare.append(plain(b" ".join([found[i] for i in np.flatnonzero(at == RARE).tolist()])))
-            yield pd.DataFrame({"part": batch["part"], "ids": ids, "near": nears, "rare": rare})
+            words, upto = words_of(batch.column(1))
+            at = shared.value.of(words)
+            nears, rare = at >= NEAR_ID, at == RARE
+            short = np.where(nears, MARK, at).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed(short, upto), packed(at[nears], within(nears, upto)),
+                                              joined(words.filter(pa.array(rare)), within(rare, upto))], names=STORED.names)
 
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int").alias("part")
-    rows = land(docs.select(part, "text").mapInPandas(read, STORED), "ids")
+    rows = land(docs.select(part, "text").mapInArrow(read, STORED), "ids")
     shared.destroy()
     return rows
 
@@ -333,35 +362,29 @@ def vocabulary(head: list[tuple[str, int]], ends: int, by_group: np.ndarray, rar
 
 
 class Reader:
-    """Word ids of texts. Words without an id are not remembered: the endings that tell their group are."""
+    """Stored words as the model knows them. Words without an id are not remembered: the endings that tell their group are."""
 
-    def __init__(self, vocabulary: Vocabulary, near: Iterable[str] = ()):
+    def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.told = vocabulary, Told(vocabulary)
-        self.id_of = ids_of_words(vocabulary.ids, near).get
         # what the model knows a word by: its own id, or that of the rare words of its group
         self.by_id = np.arange(NEAR_ID + len(vocabulary.near_groups if vocabulary.near_groups is not None else ()), dtype=np.int32)
         if vocabulary.near_groups is not None:
             self.by_id[NEAR_ID:] = vocabulary.end + 1 + vocabulary.near_groups
 
-    def groups(self, rare: list[str]) -> list[int]:
-        told = self.told
-        return [told[w[-3:]] for w in rare]
-
-    def whole(self, ids: np.ndarray, groups: list[int]) -> np.ndarray:
-        """The ids the model knows, with those of the ``groups`` in the places marked RARE, and the end."""
-        end = self.vocabulary.end
-        out = np.append(self.by_id[ids], np.int32(end))
-        if groups:
-            out[:-1][ids == RARE] = np.array(groups, np.int32) + np.int32(end + 1)
-        return out
+    def whole(self, ids: np.ndarray, groups: np.ndarray, upto: np.ndarray) -> list[np.ndarray]:
+        """For each text the ids the model knows, with those of the ``groups`` in the places marked RARE, and the end."""
+        known, texts = self.by_id[ids], np.arange(len(upto) - 1)
+        known[ids == RARE] = groups + np.int32(self.vocabulary.end + 1)
+        out = np.full(len(ids) + len(texts), self.vocabulary.end, np.int32)
+        out[np.arange(len(ids)) + np.repeat(texts, np.diff(upto))] = known
+        return np.split(out, upto[1:-1] + texts[1:]) if len(texts) else []
 
-    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, str]:
-        """Ids the model knows, with the end; ids of the near words; the other rare words, after their group, joined by blanks."""
-        found, id_of = tokens(text), self.id_of
-        ids = np.fromiter([id_of(w, RARE) for w in found], np.int32, len(found))
-        rare = [plain(found[i]) for i in np.flatnonzero(ids == RARE).tolist()]
-        groups = self.groups(rare)
-        return self.whole(ids, groups), ids[ids >= NEAR_ID], " ".join([f"{g}{w}" for g, w in zip(groups, rare, strict=True)])
+    def stored(self, batch: pa.RecordBatch) -> list[np.ndarray]:
+        """The texts of some rows (ids, near, rare) of the `stored_ids`."""
+        column = lambda k: b"".join(batch.column(k).to_pylist())
+        upto = np.append(0, np.cumsum(pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False), dtype=np.int64)) // 2
+        rare = pc.split_pattern(batch.column(2).filter(pc.not_equal(batch.column(2), "")), " ").flatten()
+        return self.whole(with_near(column(0), column(1)), self.told.groups(rare), upto)
 
 
 @dataclass
@@ -394,7 +417,7 @@ def trained(rows: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> g
     for turn in range(rounds):
         shared = context.broadcast(model)
 
-        def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, start = words.value, shared.value.flat()
             model = shared.value.filled(start)  # the broadcast one serves other tasks too
             reader, trainer = Reader(known), gru.Trainer(model, known.output, known.as_input, known.start_id)
@@ -407,9 +430,9 @@ def trained(rows: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> g
                     trainer.learn(block, (fall(done + held * e / epochs), fall(done + held * (e + 1) / epochs)))
 
             for batch in batches:
-                for ids, near, rare in zip(batch["ids"], batch["near"], batch["rare"], strict=True):
-                    block.append(reader.whole(with_near(ids, near), reader.groups(rare.split(" ")) if rare else []))
-                    held += len(block[-1])
+                for text in reader.stored(batch):
+                    block.append(text)
+                    held += len(text)
                     if held >= BLOCK_TOKENS:
                         flush()
                         block, held, done = [], 0, done + held
@@ -418,11 +441,12 @@ def trained(rows: DataFrame, known: Vocabulary, model: gru.Gru, count: int) -> g
             if done:
                 moved, worker = model.flat() - start, TaskContext.get().partitionId()
                 for k in range(0, len(moved), CHUNK):
-                    yield pd.DataFrame({"worker": [worker], "chunk": [k // CHUNK], "tokens": [done],
-                                        "weights": [moved[k:k + CHUNK].astype(np.float16).tobytes()]})
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([worker], pa.int32()), pa.array([k // CHUNK], pa.int32()), pa.array([done], pa.int64()),
+                        pa.array([moved[k:k + CHUNK].astype(np.float16).tobytes()], pa.binary())], names=LEARNT.names)
 
         mine = rows.filter(F.col("part") == turn) if rounds > 1 else rows
-        means = mine.select("ids", "near", "rare").coalesce(workers).mapInPandas(learn, LEARNT)
+        means = mine.select("ids", "near", "rare").coalesce(workers).mapInArrow(learn, LEARNT)
         left = workers
         while left > 1:
             left = -(-left // FAN)
@@ -517,30 +541,35 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
     if len(near_c):
         n, d = known_as[lm.vocabulary.near_groups].T
         near_share = np.log10((near_c - d) / n)
-    shared = spark.sparkContext.broadcast((lm.vocabulary, lm.model, lm.ends, near_words, np.log10(near_c + 1.0), near_share))
-
-    def passes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, model, ends, near, near_logs, near_share = shared.value
-        reader = Reader(known, near)
-        rare_ids = GROUPS
-        logs = np.concatenate([np.log10(known.counts + 1.0), [np.log10(ends + 1.0)], np.zeros(rare_ids)])
-        seen = np.concatenate([np.ones(len(known.counts), np.int64), [int(ends > 0)], np.zeros(rare_ids, np.int64)])
-        for part in (b for b in batches if len(b)):
-            read = [reader.read(t) for t in part["text"]]
-            ids, near_ids = [i for i, _, _ in read], [n - NEAR_ID for _, n, _ in read]
-            total = gru.score(model, known.output, known.as_input, known.start_id, ids)
-            yield pd.DataFrame({
-                "doc_id": part["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None),
-                "held_out": part["held_out"].to_numpy(), "n_tokens": [len(i) for i in ids],
-                "known": [int(seen[i].sum()) + len(n) for i, n in zip(ids, near_ids, strict=True)],
-                "logs": [float(logs[i].sum() + near_logs[n].sum()) for i, n in zip(ids, near_ids, strict=True)],
-                "model": total / np.log(10) + [near_share[n].sum() for n in near_ids], "rare": [r for _, _, r in read],
-            })
+    ids = ids_of_words(lm.vocabulary.ids, near_words)
+    logs, share = np.zeros(NEAR_ID + len(near_c)), np.zeros(NEAR_ID + len(near_c))
+    logs[:len(lm.vocabulary.counts)], logs[NEAR_ID:] = np.log10(lm.vocabulary.counts + 1.0), np.log10(near_c + 1.0)
+    share[NEAR_ID:] = near_share
+    shared = spark.sparkContext.broadcast((lm.vocabulary, lm.model, lm.ends, ids, logs, share))
+    group_names = pa.array([str(g) for g in range(GROUPS)])
+
+    def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, model, ends, ids, logs, share = shared.value
+        reader = Reader(known)
+        for batch in (b for b in batches if len(b)):
+            words, upto = words_of(batch.column(1))
+            at = ids.of(words)
+            rare = at == RARE
+            others = words.filter(pa.array(rare))
+            groups = reader.told.groups(others)
+            total = gru.score(model, known.output, known.as_input, known.start_id, reader.whole(at, groups, upto))
+            doc = np.repeat(np.arange(len(batch)), np.diff(upto))
+            sums = lambda values: np.bincount(doc, values[at], len(batch))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(2), pa.array(np.diff(upto) + 1), pa.array(np.diff(within(~rare, upto)) + int(ends > 0)),
+                pa.array(sums(logs) + np.log10(ends + 1.0)), pa.array(total / np.log(10) + sums(share)),
+                joined(pc.binary_join_element_wise(group_names.take(pa.array(groups)), others, ""), within(rare, upto)),
+            ], names=PASS.names)
 
     # long documents run beside many others, so a step through the lanes is never nearly empty
     with batches_of_docs(spark):
         scanned = land(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out"
-                                   ).mapInPandas(passes, PASS).withColumn("row", F.monotonically_increasing_id()), "scanned")
+                                   ).mapInArrow(passes, PASS).withColumn("row", F.monotonically_increasing_id()), "scanned")
     words = scanned.filter("rare <> ''").select("row", F.explode(F.split("rare", " ")).alias("marked")).select(
         "row", F.substring("marked", 1, 1).cast("int").alias("grp"), F.expr("substring(marked, 2)").alias("word"))
     if lm.rare:
