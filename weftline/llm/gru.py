@@ -27,7 +27,7 @@ RATE, ROW_RATE = 0.02, 0.3
 #: Rows of a softmax worked on at a time, so that they stay in the cache of a core.
 ROWS = 256
 #: States gathered in scoring before the words they predict are looked at, class by class.
-GATHERED = 1 << 16
+GATHERED = 1 << 15
 #: Logits that float32 can exponentiate without taking the largest off first.
 TAME = 60.0
 
@@ -170,18 +170,20 @@ def table(vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
     return out
 
 
-def exponentials(hidden: np.ndarray, rows: np.ndarray, tame: bool) -> tuple[np.ndarray, np.ndarray | np.float32]:
-    """Exponentials of the logits of ``hidden`` (state, one) over the columns of a `table`, and what was taken off before."""
-    logits, off = hidden @ rows[:HIDDEN + 1], np.float32(0)
+def logits(hidden: np.ndarray, rows: np.ndarray, tame: bool) -> np.ndarray:
+    """Logits of ``hidden`` (state, one) over the columns of a `table`, up to a number for each row."""
+    out = hidden @ rows[:HIDDEN + 1]
     if not tame:
-        off = logits.max(axis=1)
-        logits -= off[:, None]
-    return np.exp(logits, out=logits), off
+        out -= out.max(axis=1, keepdims=True)
+    return out
 
 
-def log_sums(hidden: np.ndarray, rows: np.ndarray, tame: bool) -> np.ndarray:
-    e, off = exponentials(hidden, rows, tame)
-    return np.log(e @ ONES[:e.shape[1]] if e.shape[1] <= len(ONES) else e.sum(axis=1)) + off
+def log_shares(hidden: np.ndarray, rows: np.ndarray, target: np.ndarray, tame: bool) -> np.ndarray:
+    """Natural log of the targets' probabilities."""
+    out = logits(hidden, rows, tame)
+    found = out.ravel().take(np.arange(0, out.size, out.shape[1]) + target)
+    np.exp(out, out=out)
+    return found - np.log(out @ ONES[:out.shape[1]] if out.shape[1] <= len(ONES) else out.sum(axis=1))
 
 
 def with_one(states: np.ndarray) -> np.ndarray:
@@ -202,9 +204,9 @@ def class_runs(classes: np.ndarray, sizes: dict[int, int]) -> Iterator[tuple[int
 
 def by_class(output: Output, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order that sorts ``words`` by class and place, and classes and rows of the word vectors in that order."""
-    order = np.argsort(output.rank[words], kind="stable")
-    words = words[order]
-    return order, output.classes[words], output.row[words]
+    order = np.argsort(output.rank.take(words), kind="stable")
+    words = words.take(order)
+    return order, output.classes.take(words), output.row.take(words)
 
 
 def met_first(found: np.ndarray) -> np.ndarray:
@@ -224,7 +226,6 @@ def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs:
         return totals
     stream, tame = Lanes(docs, np.full(len(docs), start_id), as_input, count), model.tame()
     weights, to_class, words = stacked(model), table(model.to_class, model.class_bias), table(model.words.T, model.word_bias)
-    class_rows, word_rows = (np.ascontiguousarray(x[:HIDDEN + 1].T) for x in (to_class, words))
     given = np.ones((2 * HIDDEN + 1, len(stream.length)), np.float32)
     given[:HIDDEN] = 0
     gathered, held = [], 0
@@ -232,20 +233,18 @@ def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs:
     def outputs() -> None:
         here, states = (np.concatenate(x) for x in zip(*gathered, strict=True))
         order, classes, row = by_class(output, stream.ids[here])
-        hidden = with_one(states[order])
-        part = np.einsum("ij,ij->i", hidden, class_rows[classes])
-        own = row >= 0
-        part[own] += np.einsum("ij,ij->i", hidden[own], word_rows[row[own]])
+        hidden, part = with_one(states.take(order, axis=0)), np.empty(len(here), np.float32)
         for a in range(0, len(here), ROWS):
-            part[a:a + ROWS] -= log_sums(hidden[a:a + ROWS], to_class, tame)
+            part[a:a + ROWS] = log_shares(hidden[a:a + ROWS], to_class, classes[a:a + ROWS], tame)
         for c, a, b in class_runs(classes, output.sizes):
-            part[a:b] -= log_sums(hidden[a:b], words[:, output.first[c]:output.first[c] + output.sizes[c]], tame)
-        totals[:] += np.bincount(stream.owner[here][order], part, len(docs))
+            first = output.first[c]
+            part[a:b] += log_shares(hidden[a:b], words[:, first:first + output.sizes[c]], row[a:b] - first, tame)
+        totals[:] += np.bincount(stream.owner.take(here).take(order), part, len(docs))
 
     for places, live in stream.windows(window):
         if places.shape[1] < given.shape[1]:
             given = np.ascontiguousarray(given[:, :places.shape[1]])
-        vectors, starts = model.inputs[stream.before[places]], stream.starts[places]
+        vectors, starts = model.inputs.take(stream.before.take(places), axis=0), stream.starts.take(places)
         begins = starts.any(axis=1).tolist()
         states, sums = np.empty((*places.shape, HIDDEN), np.float32), np.empty((4 * HIDDEN, places.shape[1]), np.float32)
         for t in range(len(places)):
@@ -254,7 +253,8 @@ def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs:
             given[HIDDEN:2 * HIDDEN] = vectors[t].T
             given[:HIDDEN] = step(weights, given, sums)[0]
             states[t] = given[:HIDDEN].T
-        gathered.append((places[live], states[live]))
+        where = np.flatnonzero(live)
+        gathered.append((places.ravel().take(where), states.reshape(-1, HIDDEN).take(where, axis=0)))
         held += len(gathered[-1][0])
         if held >= GATHERED:
             outputs()
@@ -315,8 +315,8 @@ class Trainer:
 
     def window(self, stream: Lanes, places: np.ndarray, live: np.ndarray, h: np.ndarray, rate: float) -> np.ndarray:
         model, H, (times, lanes) = self.model, HIDDEN, places.shape
-        met, starts, weights = stream.before[places], stream.starts[places], stacked(model)
-        vectors = model.inputs[met]
+        met, starts, weights = stream.before.take(places), stream.starts.take(places), stacked(model)
+        vectors = model.inputs.take(met, axis=0)
         given, sums = np.empty((times, 2 * H + 1, lanes), np.float32), np.empty((times, 4 * H, lanes), np.float32)
         cand, states = np.empty((times, H, lanes), np.float32), np.empty((times, lanes, H), np.float32)
         given[:, 2 * H] = 1
@@ -329,9 +329,9 @@ class Trainer:
             states[t] = h.T
 
         where = np.flatnonzero(live)
-        order, classes, row = by_class(self.output, stream.ids[places.ravel()[where]])
-        where = where[order]
-        grads, d_sorted = self.outputs(with_one(states.reshape(-1, H)[where]), classes, row, rate)
+        order, classes, row = by_class(self.output, stream.ids.take(places.ravel().take(where)))
+        where = where.take(order)
+        grads, d_sorted = self.outputs(with_one(states.reshape(-1, H).take(where, axis=0)), classes, row, rate)
         spread = np.zeros((times * lanes, H), np.float32)
         spread[where] = d_sorted
         spread = spread.reshape(times, lanes, H)
@@ -362,10 +362,10 @@ class Trainer:
             if begins[t]:
                 dh[:, starts[t]] = 0
 
-        by = np.argsort(met, axis=None, kind="stable")
-        sorted_ids = met.ravel()[by]
+        by = np.argsort(met.astype(np.uint16) if len(model.inputs) < 65_536 else met, axis=None, kind="stable")
+        sorted_ids = met.ravel().take(by)
         edges = met_first(sorted_ids)
-        by_word = np.add.reduceat(d_vectors.reshape(-1, H)[by], edges, axis=0)
+        by_word = np.add.reduceat(d_vectors.reshape(-1, H).take(by, axis=0), edges, axis=0)
         d_weights[:2 * H] *= -1
         grads |= {"into": np.hstack([d_weights[:2 * H, H:2 * H].T, d_weights[3 * H:, H:2 * H].T]),
                   "bias": np.append(d_weights[:2 * H, 2 * H], d_weights[3 * H:, 2 * H]), "recur": d_weights[:3 * H, :H].T}
@@ -383,31 +383,33 @@ class Trainer:
         """
         model, output, H, tame = self.model, self.output, HIDDEN, self.model.tame()
         to_class, words = table(model.to_class, model.class_bias), self.words
+        class_rows, word_rows = np.ascontiguousarray(to_class.T), np.ascontiguousarray(words.T)
         d_class, d_words = np.zeros((H + 1, to_class.shape[1]), np.float32), np.zeros_like(words[:H + 1])
         d_hidden = np.empty((len(hidden), H), np.float32)
 
-        def expected(mine: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            e, _ = exponentials(mine, rows, tame)
-            sums = e @ rows.T
+        def expected(mine: np.ndarray, columns: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            e = logits(mine, columns, tame)
+            np.exp(e, out=e)
+            sums = e @ rows
             scale = 1 / sums[:, H + 1:]
             return sums[:, :H] * scale, (mine * scale).T @ e
 
         for a in range(0, len(hidden), ROWS):
-            d_hidden[a:a + ROWS], found = expected(hidden[a:a + ROWS], to_class)
+            d_hidden[a:a + ROWS], found = expected(hidden[a:a + ROWS], to_class, class_rows)
             d_class += found
         for c, a, b in class_runs(classes, output.sizes):
             mine = slice(output.first[c], output.first[c] + output.sizes[c])
-            moved, found = expected(hidden[a:b], words[:, mine])
+            moved, found = expected(hidden[a:b], words[:, mine], word_rows[mine])
             d_hidden[a:b] += moved
             d_words[:, mine] += found
-        d_hidden -= to_class[:H].T[classes]
+        d_hidden -= class_rows.take(classes, axis=0)[:, :H]
         edges = met_first(classes)
         d_class[:, classes[edges]] -= np.add.reduceat(hidden, edges, axis=0).T
         own = np.flatnonzero(row >= 0)
         if len(own):
             all_own = len(own) == len(row)
             row, mine = (row, hidden) if all_own else (row[own], hidden[own])
-            met = words[:H].take(row, axis=1).T
+            met = word_rows.take(row, axis=0)[:, :H]
             if all_own:
                 d_hidden -= met
             else:

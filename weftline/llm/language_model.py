@@ -62,9 +62,19 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts, A-Z lowered, and where each text's begin (and the last ends). Texts are cut at ASCII white space
     and lowered in ASCII only, as is asked."""
     trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
-    lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(trimmed, ""), None, trimmed))
-    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    return lists.flatten(), np.append(0, np.cumsum(lengths, dtype=np.int64))
+    full = pc.fill_null(pc.greater(pc.binary_length(trimmed), 0), False)  # an empty text is one empty word to the split
+    lists = pc.ascii_split_whitespace(trimmed)
+    lengths = pc.if_else(full, pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    words = (lists if pc.all(full).as_py() is not False else lists.filter(full)).flatten()
+    return words, np.append(0, np.cumsum(lengths, dtype=np.int64))
+
+
+def in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, after each of which Arrow's free memory goes back to the system; else a worker keeps it while it waits."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def within(mask: np.ndarray, upto: np.ndarray) -> np.ndarray:
@@ -126,7 +136,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, ends = None, 0
-        for batch in batches:
+        for batch in in_turn(batches):
             words, _ = words_of(batch.column(0))
             found = words.value_counts()
             own = pa.table({"word": found.field("values"), "c": found.field("counts")})
@@ -209,7 +219,7 @@ def stored_ids(docs: DataFrame, head: list[str], near: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ids_of_words(head, near))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_turn(batches):
             words, upto = words_of(batch.column(1))
             at = shared.value.of(words)
             nears, rare = at >= NEAR_ID, at == RARE
@@ -376,8 +386,11 @@ class Reader:
         known, texts = self.by_id[ids], np.arange(len(upto) - 1)
         known[ids == RARE] = groups + np.int32(self.vocabulary.end + 1)
         out = np.full(len(ids) + len(texts), self.vocabulary.end, np.int32)
-        out[np.arange(len(ids)) + np.repeat(texts, np.diff(upto))] = known
-        return np.split(out, upto[1:-1] + texts[1:]) if len(texts) else []
+        ends = upto[1:] + texts
+        inside = np.ones(len(out), bool)
+        inside[ends] = False
+        out[inside] = known
+        return np.split(out, ends[:-1] + 1) if len(texts) else []
 
     def stored(self, batch: pa.RecordBatch) -> list[np.ndarray]:
         """The texts of some rows (ids, near, rare) of the `stored_ids`."""
@@ -551,14 +564,14 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
     def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, model, ends, ids, logs, share = shared.value
         reader = Reader(known)
-        for batch in (b for b in batches if len(b)):
+        for batch in in_turn(b for b in batches if len(b)):
             words, upto = words_of(batch.column(1))
             at = ids.of(words)
             rare = at == RARE
             others = words.filter(pa.array(rare))
             groups = reader.told.groups(others)
             total = gru.score(model, known.output, known.as_input, known.start_id, reader.whole(at, groups, upto))
-            doc = np.repeat(np.arange(len(batch)), np.diff(upto))
+            doc = np.repeat(np.arange(len(batch), dtype=np.int32), np.diff(upto))
             sums = lambda values: np.bincount(doc, values[at], len(batch))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), pa.array(np.diff(upto) + 1), pa.array(np.diff(within(~rare, upto)) + int(ends > 0)),
