@@ -12,7 +12,7 @@ follow Adam.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,9 +25,11 @@ PIECE = 2_048
 EPOCHS = 2
 RATE, ROW_RATE = 0.02, 0.3
 #: Rows of a softmax worked on at a time, so that they stay in the cache of a core.
-ROWS = 256
+ROWS = 512
 #: States gathered in scoring before the words they predict are looked at, class by class.
 GATHERED = 1 << 15
+#: Steps times lanes of a window in scoring, at most, where few long documents are left in the lanes.
+WIDE = 2_048
 #: Logits that float32 can exponentiate without taking the largest off first.
 TAME = 60.0
 
@@ -93,32 +95,32 @@ def fresh(n_inputs: int, output: Output, class_counts: np.ndarray, word_counts:
 
 
 def stacked(model: Gru) -> np.ndarray:
-    """The weights of a step as one matrix. Times (state, input, one) it gives the two gates' logits, both negated, and the
-    recurrent and the entering side of the candidate."""
+    """The weights of a step as one matrix. Times (state, input, one) it gives the recurrent side of the candidate, the two
+    gates' logits, both negated, and the entering side of the candidate: all but the last depend on the state, all but the
+    first on the input."""
     H = HIDDEN
     out = np.zeros((4 * H, 2 * H + 1), np.float32)
-    out[:2 * H, :H], out[:2 * H, H:2 * H], out[:2 * H, 2 * H] = -model.recur[:, :2 * H].T, -model.into[:, :2 * H].T, -model.bias[:2 * H]
-    out[2 * H:3 * H, :H] = model.recur[:, 2 * H:].T
+    out[:H, :H] = model.recur[:, 2 * H:].T
+    out[H:3 * H, :H], out[H:3 * H, H:2 * H], out[H:3 * H, 2 * H] = -model.recur[:, :2 * H].T, -model.into[:, :2 * H].T, -model.bias[:2 * H]
     out[3 * H:, H:2 * H], out[3 * H:, 2 * H] = model.into[:, 2 * H:].T, model.bias[2 * H:]
     return out
 
 
-def step(weights: np.ndarray, given: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One time step from ``given`` (state, input and one, a column a lane); returns the new state and the candidate, and
-    leaves the gates and the sides of the candidate in ``sums``."""
+def step(weights: np.ndarray, given: np.ndarray, sums: np.ndarray, n: np.ndarray, new: np.ndarray) -> None:
+    """One time step from ``given`` (state, input and one, a column a lane) to the state ``new``, which may be that in ``given``;
+    leaves the candidate in ``n``, the gates and the sides of the candidate in ``sums``."""
     H = HIDDEN
     np.matmul(weights, given, out=sums)
-    gates = sums[:2 * H]
+    gates = sums[H:3 * H]
     np.exp(gates, out=gates)
-    gates += 1
+    np.add(gates, 1, out=gates)
     np.reciprocal(gates, out=gates)
-    n = gates[H:] * sums[2 * H:3 * H]
-    n += sums[3 * H:]
+    np.multiply(gates[H:], sums[:H], out=n)
+    np.add(n, sums[3 * H:], out=n)
     np.tanh(n, out=n)
-    new = given[:H] - n
-    new *= gates[:H]
-    new += n
-    return new, n
+    np.subtract(given[:H], n, out=new)
+    np.multiply(new, gates[:H], out=new)
+    np.add(new, n, out=new)
 
 
 class Lanes:
@@ -150,16 +152,21 @@ class Lanes:
         self.before[1:] = as_input[self.ids[:-1]]
         self.before[begins] = firsts[np.array(order)[own > 0]]
 
-    def windows(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each window the places (time x running lane) in the stream and which of them are not past a lane's end."""
-        for at in range(0, int(self.length[0]) if len(self.ids) else 0, size):
+    def windows(self, size: int, places: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each window the places (time x running lane) in the stream and which of them are not past a lane's end. A window
+        of few lanes has more than ``size`` times, up to ``places`` in all."""
+        at, end = 0, int(self.length[0]) if len(self.ids) else 0
+        while at < end:
             running = int(np.searchsorted(-self.length, -at, side="left"))
-            times = np.arange(at, min(at + size, int(self.length[0])))[:, None]
+            upto = min(at + max(size, places // running), end)
+            times = np.arange(at, upto)[:, None]
             live = times < self.length[:running]
             yield np.where(live, self.offset[:running] + times, self.offset[:running]), live
+            at = upto
 
 
 ONES = np.ones(1 << 17, np.float32)
+FIRST = np.arange(ROWS)
 
 
 def table(vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -178,12 +185,10 @@ def logits(hidden: np.ndarray, rows: np.ndarray, tame: bool) -> np.ndarray:
     return out
 
 
-def log_shares(hidden: np.ndarray, rows: np.ndarray, target: np.ndarray, tame: bool) -> np.ndarray:
-    """Natural log of the targets' probabilities."""
-    out = logits(hidden, rows, tame)
-    found = out.ravel().take(np.arange(0, out.size, out.shape[1]) + target)
-    np.exp(out, out=out)
-    return found - np.log(out @ ONES[:out.shape[1]] if out.shape[1] <= len(ONES) else out.sum(axis=1))
+def totals(shares: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """The sum of each row."""
+    width = shares.shape[1]
+    return np.matmul(shares, ONES[:width], out=out) if width <= len(ONES) else shares.sum(axis=1, out=out)
 
 
 def with_one(states: np.ndarray) -> np.ndarray:
@@ -221,47 +226,58 @@ def score(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs:
     The states of many windows are gathered before the output, so a class is one product over many rows also where only a
     few long documents are left in the lanes.
     """
-    totals = np.zeros(len(docs))
+    scores = np.zeros(len(docs))
     if not docs:
-        return totals
+        return scores
     stream, tame = Lanes(docs, np.full(len(docs), start_id), as_input, count), model.tame()
     weights, to_class, words = stacked(model), table(model.to_class, model.class_bias), table(model.words.T, model.word_bias)
     given = np.ones((2 * HIDDEN + 1, len(stream.length)), np.float32)
     given[:HIDDEN] = 0
     gathered, held = [], 0
 
+    def log_shares(hidden: np.ndarray, runs: Iterable[tuple[int, int, np.ndarray]], targets: np.ndarray) -> np.ndarray:
+        """Natural log of the targets' probabilities: for each run (from, to, columns of a `table`) one product."""
+        found, sums = np.zeros(len(hidden), np.float32), np.ones(len(hidden), np.float32)
+        for a, b, columns in runs:
+            out = logits(hidden[a:b], columns, tame)
+            width = out.shape[1]
+            out.ravel().take(FIRST[:b - a] * width + targets[a:b], out=found[a:b], mode="clip")
+            np.exp(out, out=out)
+            totals(out, sums[a:b])
+        return found - np.log(sums)
+
     def outputs() -> None:
         here, states = (np.concatenate(x) for x in zip(*gathered, strict=True))
-        order, classes, row = by_class(output, stream.ids[here])
-        hidden, part = with_one(states.take(order, axis=0)), np.empty(len(here), np.float32)
-        for a in range(0, len(here), ROWS):
-            part[a:a + ROWS] = log_shares(hidden[a:a + ROWS], to_class, classes[a:a + ROWS], tame)
-        for c, a, b in class_runs(classes, output.sizes):
-            first = output.first[c]
-            part[a:b] += log_shares(hidden[a:b], words[:, first:first + output.sizes[c]], row[a:b] - first, tame)
-        totals[:] += np.bincount(stream.owner.take(here).take(order), part, len(docs))
-
-    for places, live in stream.windows(window):
-        if places.shape[1] < given.shape[1]:
-            given = np.ascontiguousarray(given[:, :places.shape[1]])
+        order, classes, row = by_class(output, stream.ids.take(here))
+        hidden = with_one(states.take(order, axis=0))
+        part = log_shares(hidden, ((a, min(a + ROWS, len(here)), to_class) for a in range(0, len(here), ROWS)), classes)
+        part += log_shares(hidden, ((a, b, words[:, output.first[c]:output.first[c] + output.sizes[c]])
+                                    for c, a, b in class_runs(classes, output.sizes)), output.place.take(stream.ids.take(here)).take(order))
+        scores[:] += np.bincount(stream.owner.take(here).take(order), part, len(docs))
+
+    for places, live in stream.windows(window, WIDE):
+        times, lanes = places.shape
+        if lanes < given.shape[1]:
+            given = np.ascontiguousarray(given[:, :lanes])
         vectors, starts = model.inputs.take(stream.before.take(places), axis=0), stream.starts.take(places)
-        begins = starts.any(axis=1).tolist()
-        states, sums = np.empty((*places.shape, HIDDEN), np.float32), np.empty((4 * HIDDEN, places.shape[1]), np.float32)
-        for t in range(len(places)):
+        vectors, begins = np.ascontiguousarray(vectors.transpose(0, 2, 1)), starts.any(axis=1).tolist()
+        states, sums = np.empty((times, HIDDEN, lanes), np.float32), np.empty((4 * HIDDEN, lanes), np.float32)
+        now, entering, n = given[:HIDDEN], given[HIDDEN:2 * HIDDEN], np.empty((HIDDEN, lanes), np.float32)
+        for t in range(times):
             if begins[t]:
-                given[:HIDDEN, starts[t]] = 0
-            given[HIDDEN:2 * HIDDEN] = vectors[t].T
-            given[:HIDDEN] = step(weights, given, sums)[0]
-            states[t] = given[:HIDDEN].T
+                now[:, starts[t]] = 0
+            entering[...] = vectors[t]
+            step(weights, given, sums, n, now)
+            states[t] = now
         where = np.flatnonzero(live)
-        gathered.append((places.ravel().take(where), states.reshape(-1, HIDDEN).take(where, axis=0)))
-        held += len(gathered[-1][0])
+        gathered.append((places.ravel().take(where), states.transpose(0, 2, 1).reshape(-1, HIDDEN).take(where, axis=0)))
+        held += len(where)
         if held >= GATHERED:
             outputs()
             gathered, held = [], 0
     if held:
         outputs()
-    return totals
+    return scores
 
 
 class Trainer:
@@ -318,29 +334,32 @@ class Trainer:
         met, starts, weights = stream.before.take(places), stream.starts.take(places), stacked(model)
         vectors = model.inputs.take(met, axis=0)
         given, sums = np.empty((times, 2 * H + 1, lanes), np.float32), np.empty((times, 4 * H, lanes), np.float32)
-        cand, states = np.empty((times, H, lanes), np.float32), np.empty((times, lanes, H), np.float32)
-        given[:, 2 * H] = 1
+        cand, states = np.empty((times, H, lanes), np.float32), np.empty((times, H, lanes), np.float32)
+        given[:, H:2 * H], given[:, 2 * H] = vectors.transpose(0, 2, 1), 1
         begins = starts.any(axis=1).tolist()
         for t in range(times):
-            given[t, :H], given[t, H:2 * H] = h, vectors[t].T
+            given[t, :H] = h
             if begins[t]:
                 given[t, :H, starts[t]] = 0
-            h, cand[t] = step(weights, given[t], sums[t])
-            states[t] = h.T
+            h = states[t]
+            step(weights, given[t], sums[t], cand[t], h)
 
         where = np.flatnonzero(live)
         order, classes, row = by_class(self.output, stream.ids.take(places.ravel().take(where)))
         where = where.take(order)
-        grads, d_sorted = self.outputs(with_one(states.reshape(-1, H).take(where, axis=0)), classes, row, rate)
+        grads, d_sorted = self.outputs(with_one(states.transpose(0, 2, 1).reshape(-1, H).take(where, axis=0)), classes, row, rate)
         spread = np.zeros((times * lanes, H), np.float32)
         spread[where] = d_sorted
         spread = spread.reshape(times, lanes, H)
 
-        d_weights, d_vectors = np.zeros_like(weights), np.empty_like(vectors)
-        dh, d_sums, back = np.zeros((H, lanes), np.float32), np.empty((4 * H, lanes), np.float32), np.ascontiguousarray(weights.T)
-        d_z, d_r, d_side, d_cand = (d_sums[k * H:(k + 1) * H] for k in range(4))
+        d_vectors, dh, d_sums = np.empty_like(vectors), np.zeros((H, lanes), np.float32), np.empty((4 * H, lanes), np.float32)
+        d_side, d_z, d_r, d_cand = (d_sums[k * H:(k + 1) * H] for k in range(4))
+        of_state, of_input = d_sums[:3 * H], d_sums[H:]
+        to_state, to_input = np.ascontiguousarray(weights[:3 * H, :H].T), np.ascontiguousarray(weights[H:, H:2 * H])
+        d_recur, d_into, d_bias = np.zeros((3 * H, H), np.float32), np.zeros((3 * H, H), np.float32), np.zeros(3 * H, np.float32)
+        one = given[0, 2 * H]
         for t in range(times - 1, -1, -1):  # the gates' logits are negated
-            z, r, side, n = sums[t, :H], sums[t, H:2 * H], sums[t, 2 * H:3 * H], cand[t]
+            side, z, r, n = sums[t, :H], sums[t, H:2 * H], sums[t, 2 * H:3 * H], cand[t]
             dh += spread[t].T
             fresh = 1 - z
             fresh *= dh
@@ -354,11 +373,12 @@ class Trainer:
             np.subtract(r, 1, out=d_r)
             d_r *= side
             d_r *= d_side
-            d_weights += d_sums @ given[t].T
-            d_given = back @ d_sums
-            d_vectors[t] = d_given[H:2 * H].T
+            d_recur += of_state @ given[t, :H].T
+            d_into += of_input @ given[t, H:2 * H].T
+            d_bias += of_input @ one
+            np.matmul(of_input.T, to_input, out=d_vectors[t])
             dh *= z
-            dh += d_given[:H]
+            dh += to_state @ of_state
             if begins[t]:
                 dh[:, starts[t]] = 0
 
@@ -366,9 +386,9 @@ class Trainer:
         sorted_ids = met.ravel().take(by)
         edges = met_first(sorted_ids)
         by_word = np.add.reduceat(d_vectors.reshape(-1, H).take(by, axis=0), edges, axis=0)
-        d_weights[:2 * H] *= -1
-        grads |= {"into": np.hstack([d_weights[:2 * H, H:2 * H].T, d_weights[3 * H:, H:2 * H].T]),
-                  "bias": np.append(d_weights[:2 * H, 2 * H], d_weights[3 * H:, 2 * H]), "recur": d_weights[:3 * H, :H].T}
+        d_into[:2 * H] *= -1
+        d_bias[:2 * H] *= -1
+        grads |= {"into": d_into.T, "bias": d_bias, "recur": np.hstack([-d_recur[H:].T, d_recur[:H].T])}
         rows, row_rate, part = sorted_ids[edges], rate * ROW_RATE / RATE, np.float32(1 / len(where))
         size = np.einsum("ij,ij->i", by_word, by_word) * np.float32(4 / H)
         model.inputs[rows] -= by_word * self.met("inputs", rows, size, row_rate)[:, None]
@@ -378,49 +398,43 @@ class Trainer:
     def outputs(self, hidden: np.ndarray, classes: np.ndarray, row: np.ndarray, rate: float) -> tuple[dict, np.ndarray]:
         """Moves the word vectors; returns the gradients, summed over tokens, of the class side and of the states.
 
-        What is expected is summed by products with the exponentials, whose rows are scaled after them; what was met is one sum
-        for each class and each word.
+        A target's share less one is what its logit is moved by, so vectors and states take their gradients from one matrix.
         """
         model, output, H, tame = self.model, self.output, HIDDEN, self.model.tame()
         to_class, words = table(model.to_class, model.class_bias), self.words
-        class_rows, word_rows = np.ascontiguousarray(to_class.T), np.ascontiguousarray(words.T)
-        d_class, d_words = np.zeros((H + 1, to_class.shape[1]), np.float32), np.zeros_like(words[:H + 1])
-        d_hidden = np.empty((len(hidden), H), np.float32)
+        class_rows, word_rows = np.ascontiguousarray(to_class[:H].T), np.ascontiguousarray(words[:H].T)
+        d_class, d_words = np.zeros((len(class_rows), H + 1), np.float32), np.zeros((len(word_rows), H + 1), np.float32)
+        d_hidden, moved = np.empty((len(hidden), H), np.float32), np.zeros((len(hidden), H), np.float32)
 
-        def expected(mine: np.ndarray, columns: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            e = logits(mine, columns, tame)
+        def errors(a: int, b: int, columns: np.ndarray, targets: np.ndarray) -> np.ndarray:
+            e = logits(hidden[a:b], columns, tame)
             np.exp(e, out=e)
-            sums = e @ rows
-            scale = 1 / sums[:, H + 1:]
-            return sums[:, :H] * scale, (mine * scale).T @ e
+            e *= (1 / totals(e))[:, None]
+            e.ravel()[targets[a:b]] -= 1
+            return e
 
+        targets = np.arange(len(hidden)) % ROWS * len(class_rows) + classes
         for a in range(0, len(hidden), ROWS):
-            d_hidden[a:a + ROWS], found = expected(hidden[a:a + ROWS], to_class, class_rows)
-            d_class += found
-        for c, a, b in class_runs(classes, output.sizes):
+            b = min(a + ROWS, len(hidden))
+            e = errors(a, b, to_class, targets)
+            np.matmul(e, class_rows, out=d_hidden[a:b])
+            d_class += e.T @ hidden[a:b]
+        runs = [*class_runs(classes, output.sizes)]
+        for c, a, b in runs:
+            targets[a:b] = row[a:b] - output.first[c] + FIRST[:b - a] * output.sizes[c]
+        for c, a, b in runs:
             mine = slice(output.first[c], output.first[c] + output.sizes[c])
-            moved, found = expected(hidden[a:b], words[:, mine], word_rows[mine])
-            d_hidden[a:b] += moved
-            d_words[:, mine] += found
-        d_hidden -= class_rows.take(classes, axis=0)[:, :H]
-        edges = met_first(classes)
-        d_class[:, classes[edges]] -= np.add.reduceat(hidden, edges, axis=0).T
-        own = np.flatnonzero(row >= 0)
-        if len(own):
-            all_own = len(own) == len(row)
-            row, mine = (row, hidden) if all_own else (row[own], hidden[own])
-            met = word_rows.take(row, axis=0)[:, :H]
-            if all_own:
-                d_hidden -= met
-            else:
-                d_hidden[own] -= met
-            edges = met_first(row)
-            d_words[:, row[edges]] -= np.add.reduceat(mine, edges, axis=0).T
-            row_rate = rate * ROW_RATE / RATE
+            e = errors(a, b, words[:, mine], targets)
+            np.matmul(e, word_rows[mine], out=moved[a:b])
+            d_words[mine] += e.T @ hidden[a:b]
+        d_hidden += moved
+        if runs:
+            d_words, row_rate = np.ascontiguousarray(d_words.T), rate * ROW_RATE / RATE
             size = np.einsum("ij,ij->j", d_words[:H], d_words[:H]) * np.float32(4 / H)
-            words[:H] -= d_words[:H] * self.met("words", slice(None), size, row_rate)
-            words[H] -= d_words[H] * self.met("word_bias", slice(None), d_words[H] * d_words[H], row_rate)
-        return {"to_class": d_class[:H], "class_bias": d_class[H]}, d_hidden
+            for part, name, grown in ((slice(H), "words", size), (H, "word_bias", d_words[H] * d_words[H])):
+                d_words[part] *= self.met(name, slice(None), grown, row_rate)
+                words[part] -= d_words[part]
+        return {"to_class": d_class[:, :H].T, "class_bias": d_class[:, H]}, d_hidden
 
 
 def train(model: Gru, output: Output, as_input: np.ndarray, start_id: int, docs: list[np.ndarray], epochs: int = EPOCHS) -> Gru:

@@ -54,6 +54,10 @@ BLOCK_TOKENS, CHUNK, FAN = 1_000_000, 1 << 18, 16
 BINS = 16
 FLUSH = 200_000
 BATCH_DOCS = 3_000
+#: Fitting has a partition of a shuffle for each so many bytes of input, not fewer than LEAST_PARTS and not more than the session.
+PARTS, PART_BYTES, LEAST_PARTS = "spark.sql.shuffle.partitions", 32 << 20, 8
+#: Documents of more words are scored beside those of other batches.
+LONG = 4_096
 #: Never a word, as it holds a space.
 END = " end"
 
@@ -171,26 +175,25 @@ class Told(dict):
         return np.array([self[e] for e in endings.dictionary.to_pylist()], np.int32)[endings.indices.to_numpy()]
 
 
-def frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
-    """The head words, most frequent first: those above a threshold of the counts that leaves at most ``most``.
+def frequent(counts: DataFrame, most: int, first: int) -> tuple[list[tuple[str, int]], int]:
+    """The words above a threshold of the counts that leaves at most ``most``, most frequent first, and how many of them are above
+    one that leaves at most ``first``.
 
-    The threshold is read from a histogram with a bounded number of bins, so no task sends more than what is kept.
+    The thresholds are read from a histogram with a bounded number of bins, so no task sends more than what is kept.
     """
     level = F.floor(F.log2(F.col("c")) * BINS).cast("int")
     able = counts.filter(F.col("c") >= HEAD_COUNT)
     bins = sorted(able.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
-    if bins and bins[0]["count"] > most:  # the first bin alone is too large: its words in order
-        first = able.filter(level == bins[0]["level"]).orderBy(F.desc("c"), "word").limit(most).collect()
-        return [(r["word"], r["c"]) for r in first]
-    lowest, kept = None, 0
-    for row in bins:
-        kept += row["count"]
-        if kept > most:
-            break
-        lowest = row["level"]
-    if lowest is None:
-        return []
-    return sorted(((r["word"], r["c"]) for r in able.filter(level >= lowest).collect()), key=lambda x: (-x[1], x[0]))
+    upto = np.cumsum([r["count"] for r in bins])
+    within_most, within_first = (int(np.searchsorted(upto, n, side="right")) for n in (most, first))
+    if not bins:
+        return [], 0
+    if not within_most:  # the first bin alone is too large: its words in order
+        found = able.filter(level == bins[0]["level"]).orderBy(F.desc("c"), "word").limit(most).collect()
+    else:
+        found = able.filter(level >= bins[within_most - 1]["level"]).collect()
+    words = sorted(((r["word"], r["c"]) for r in found), key=lambda x: (-x[1], x[0]))
+    return words, int(upto[within_first - 1]) if within_first else min(first, len(words))
 
 
 STORED = StructType([StructField("part", IntegerType()), StructField("ids", BinaryType()), StructField("near", BinaryType()),
@@ -482,20 +485,31 @@ def mean(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 @contextmanager
-def batches_of_docs(spark: SparkSession) -> Iterator[None]:
-    """Jobs run inside get at most BATCH_DOCS rows at a time in their Python workers; more would fill the memory."""
-    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(size)
-    spark.conf.set(size, str(BATCH_DOCS))
+def batches_of_docs(spark: SparkSession, parts: int | None = None) -> Iterator[None]:
+    """Jobs run inside get at most BATCH_DOCS rows at a time in their Python workers, as more would fill the memory, and have
+    ``parts`` partitions in a shuffle, if given."""
+    inside = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_DOCS)} | ({PARTS: str(parts)} if parts else {})
+    before = {k: spark.conf.get(k) for k in inside}
     try:
+        for k, v in inside.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(size, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def shuffle_parts(docs: DataFrame) -> int:
+    """Partitions of a shuffle in fitting: the session's number, or fewer for a small input. A task writes a file for each, which
+    costs more than its rows where those are few."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = max(LEAST_PARTS, docs.sparkSession.sparkContext.defaultParallelism)
+    return min(int(docs.sparkSession.conf.get(PARTS)), max(least, size // PART_BYTES))
 
 
 def fit(docs: DataFrame) -> LanguageModel:
     """Learn from all rows of ``docs``: counts, word groups and weights from every token."""
-    with batches_of_docs(docs.sparkSession):
+    with batches_of_docs(docs.sparkSession, shuffle_parts(docs)):
         return fitted(docs)
 
 
@@ -504,8 +518,8 @@ def fitted(docs: DataFrame) -> LanguageModel:
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = (counts.filter(F.col("word") == END).first() or {"c": 0})["c"]
     words = counts.filter(F.col("word") != END)
-    head = frequent(words, HEAD)
-    near = frequent(words, HEAD + NEAR)[len(head):]  # in the same order, so the head comes first
+    known_words, heads = frequent(words, HEAD + NEAR, HEAD)
+    head, near = known_words[:heads], known_words[heads:]
     rare_total = total["n"] - ends - sum(c for _, c in head)
     rows = stored_ids(docs, [w for w, _ in head], [w for w, _ in near])
     centres = document_groups(land(features(rows), "features"))
@@ -517,13 +531,16 @@ def fitted(docs: DataFrame) -> LanguageModel:
 
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
-    @F.pandas_udf(IntegerType())
-    def group_of(words: pd.Series) -> pd.Series:
-        v = shared.value
-        told = Told(v)
-        return words.map(lambda w: -1 if w in v.ids else told[w[-3:]]).astype("int32")
+    kind = StructType([StructField("word", StringType()), StructField("c", LongType()), StructField("grp", IntegerType())])
 
-    rest = land(words.select("word", "c", group_of("word").alias("grp")).filter("grp >= 0"), "rare")
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words outside the head, with the group their endings tell."""
+        heads, told = pa.array([*shared.value.ids], pa.string()), Told(shared.value)
+        for batch in in_turn(batches):
+            rest = batch.filter(pc.invert(pc.is_in(batch.column(0), value_set=heads)))
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(told.groups(rest.column(0)))], names=kind.names)
+
+    rest = land(words.select("word", "c").mapInArrow(others, kind), "rare")
     rare = {}
     for r in rest.groupBy("grp").agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count(F.when(F.col("c") == 1, 1)).alias("n1"),
                                      F.count(F.when(F.col("c") == 2, 1)).alias("n2")).collect():
@@ -564,22 +581,40 @@ def score(docs: DataFrame, lm: LanguageModel) -> DataFrame:
     def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, model, ends, ids, logs, share = shared.value
         reader = Reader(known)
+        late: list[pa.RecordBatch] = []
+        waiting: list[np.ndarray] = []
+
+        def scored(rows: pa.RecordBatch, texts: list[np.ndarray]) -> pa.RecordBatch:
+            total = gru.score(model, known.output, known.as_input, known.start_id, texts)
+            return rows.set_column(5, "model", pc.add(rows.column(5), pa.array(total / np.log(10))))
+
         for batch in in_turn(b for b in batches if len(b)):
             words, upto = words_of(batch.column(1))
             at = ids.of(words)
             rare = at == RARE
             others = words.filter(pa.array(rare))
             groups = reader.told.groups(others)
-            total = gru.score(model, known.output, known.as_input, known.start_id, reader.whole(at, groups, upto))
+            texts, long = reader.whole(at, groups, upto), np.diff(upto) > LONG
             doc = np.repeat(np.arange(len(batch), dtype=np.int32), np.diff(upto))
             sums = lambda values: np.bincount(doc, values[at], len(batch))
-            yield pa.RecordBatch.from_arrays([
+            rows = pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), pa.array(np.diff(upto) + 1), pa.array(np.diff(within(~rare, upto)) + int(ends > 0)),
-                pa.array(sums(logs) + np.log10(ends + 1.0)), pa.array(total / np.log(10) + sums(share)),
+                pa.array(sums(logs) + np.log10(ends + 1.0)), pa.array(sums(share)),
                 joined(pc.binary_join_element_wise(group_names.take(pa.array(groups)), others, ""), within(rare, upto)),
             ], names=PASS.names)
-
-    # long documents run beside many others, so a step through the lanes is never nearly empty
+            if long.any():
+                late.append(rows.filter(pa.array(long)))
+                waiting += [texts[i].copy() for i in np.flatnonzero(long)]
+                rows, texts = rows.filter(pa.array(~long)), [texts[i] for i in np.flatnonzero(~long)]
+            if texts:
+                yield scored(rows, texts)
+            if sum(map(len, waiting)) >= BLOCK_TOKENS:
+                yield scored(pa.concat_batches(late), waiting)
+                late, waiting = [], []
+        if waiting:
+            yield scored(pa.concat_batches(late), waiting)
+
+    # long documents wait for others, so few steps through the lanes are nearly empty
     with batches_of_docs(spark):
         scanned = land(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out"
                                    ).mapInArrow(passes, PASS).withColumn("row", F.monotonically_increasing_id()), "scanned")
