@@ -79,7 +79,8 @@ class Gru:
 
     def tame(self) -> bool:
         """Whether no state, whose parts lie between -1 and 1, can give a logit above TAME."""
-        return all(float((np.abs(w).sum(axis=axis) + b).max(initial=0)) < TAME
+        most = lambda w: float(max(w.max(initial=0), -w.min(initial=0)))
+        return all(HIDDEN * most(w) + float(b.max(initial=0)) < TAME or float((np.abs(w).sum(axis=axis) + b).max(initial=0)) < TAME
                    for w, axis, b in ((self.to_class, 0, self.class_bias), (self.words, 1, self.word_bias)))
 
 
@@ -152,16 +153,16 @@ class Lanes:
         self.before[1:] = as_input[self.ids[:-1]]
         self.before[begins] = firsts[np.array(order)[own > 0]]
 
-    def windows(self, size: int, places: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def windows(self, size: int, most: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each window the places (time x running lane) in the stream and which of them are not past a lane's end. A window
-        of few lanes has more than ``size`` times, up to ``places`` in all."""
+        of few lanes has more than ``size`` times, up to ``most`` places in all."""
         at, end = 0, int(self.length[0]) if len(self.ids) else 0
         while at < end:
             running = int(np.searchsorted(-self.length, -at, side="left"))
-            upto = min(at + max(size, places // running), end)
+            upto = min(at + max(size, most // running), end)
             times = np.arange(at, upto)[:, None]
-            live = times < self.length[:running]
-            yield np.where(live, self.offset[:running] + times, self.offset[:running]), live
+            live, places = times < self.length[:running], self.offset[:running] + times
+            yield (places if self.length[running - 1] >= upto else np.where(live, places, self.offset[:running])), live
             at = upto
 
 
@@ -326,28 +327,28 @@ class Trainer:
         done = 0
         for places, live in stream.windows(WINDOW):
             rate = rates[0] + (rates[1] - rates[0]) * done / words
-            done += int(live.sum())
-            h = self.window(stream, places, live, h[:, :places.shape[1]], rate)
+            done += int(np.count_nonzero(live))
+            h = self.window(stream, places, live, np.ascontiguousarray(h[:, :places.shape[1]]), rate)
 
     def window(self, stream: Lanes, places: np.ndarray, live: np.ndarray, h: np.ndarray, rate: float) -> np.ndarray:
         model, H, (times, lanes) = self.model, HIDDEN, places.shape
         met, starts, weights = stream.before.take(places), stream.starts.take(places), stacked(model)
         vectors = model.inputs.take(met, axis=0)
         given, sums = np.empty((times, 2 * H + 1, lanes), np.float32), np.empty((times, 4 * H, lanes), np.float32)
-        cand, states = np.empty((times, H, lanes), np.float32), np.empty((times, H, lanes), np.float32)
+        cand, states = np.empty((times, H, lanes), np.float32), np.ones((times, lanes, H + 1), np.float32)
         given[:, H:2 * H], given[:, 2 * H] = vectors.transpose(0, 2, 1), 1
         begins = starts.any(axis=1).tolist()
         for t in range(times):
             given[t, :H] = h
             if begins[t]:
                 given[t, :H, starts[t]] = 0
-            h = states[t]
             step(weights, given[t], sums[t], cand[t], h)
+            states[t, :, :H] = h.T
 
         where = np.flatnonzero(live)
         order, classes, row = by_class(self.output, stream.ids.take(places.ravel().take(where)))
         where = where.take(order)
-        grads, d_sorted = self.outputs(with_one(states.transpose(0, 2, 1).reshape(-1, H).take(where, axis=0)), classes, row, rate)
+        grads, d_sorted = self.outputs(states.reshape(-1, H + 1).take(where, axis=0), classes, row, rate)
         spread = np.zeros((times * lanes, H), np.float32)
         spread[where] = d_sorted
         spread = spread.reshape(times, lanes, H)
